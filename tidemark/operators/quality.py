@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import percent
+from tidemark.sources.scratch import materialise
 
 log = logging.getLogger(__name__)
 
@@ -215,6 +216,20 @@ def evaluate(rules: Sequence[Rule], tables: Mapping[str, DataFrame], layer: str)
     return reduce(DataFrame.unionByName, parts)
 
 
+def staged_columns(rules: Sequence[Rule], tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The checked tables cut down to the columns the rules read, each written once.
+
+    Use it when the tables are views: several rules read the same table, and a stored table is scanned again
+    instead of being derived again.  Tables read from files need no staging.
+    """
+    wanted: dict[str, set[str]] = {}
+    for rule in rules:
+        wanted.setdefault(rule.table, set()).add(rule.column)
+        if isinstance(rule, References):
+            wanted.setdefault(rule.to_table, set()).add(rule.to_column)
+    return {t: materialise(tables[t].select(*sorted(columns)), f"checked-{t}")[0] for t, columns in wanted.items()}
+
+
 def summarise(results: DataFrame) -> DataFrame:
     """Totals and the failed checks in name order; the input has one row per rule."""
     failure = F.when(~F.col("passed"), F.concat_ws(" | ", "check_name", "table_name", "details"))

@@ -139,9 +139,8 @@ class MedallionRun:
             bronze = self.spark.read.parquet(self.layout.bronze(table.name))
             again = bronze.filter(F.col(PARTITION_DATE) == F.lit(batch_date).cast("date")).drop(PARTITION_DATE)
             cleaned = silver.BUILDERS[table.name](again, stamp=True)
-            written[table.name] = write_counted(
-                cleaned,
-                lambda df, t=table: replace_slice(df, self.layout.silver(t.name), t.key, t.event_time, batch_date),
+            written[table.name] = replace_slice(
+                cleaned, self.layout.silver(table.name), table.key, table.event_time, batch_date
             )
         return written
 
