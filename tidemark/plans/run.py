@@ -136,7 +136,7 @@ class MedallionRun:
             raw = ingest_csv(self.spark, self.layout.landing(table.name), table.name, table.schema, self.run_id)
             day = with_partition_date(raw, table).filter(F.col(PARTITION_DATE) == F.lit(batch_date).cast("date"))
             write_bronze(day, self.layout.bronze(table.name), [PARTITION_DATE])
-            bronze = self.spark.read.parquet(self.layout.bronze(table.name))
+            bronze = self.spark.read.schema(day.schema).parquet(self.layout.bronze(table.name))
             again = bronze.filter(F.col(PARTITION_DATE) == F.lit(batch_date).cast("date")).drop(PARTITION_DATE)
             cleaned = silver.BUILDERS[table.name](again, stamp=True)
             written[table.name] = replace_slice(

@@ -21,6 +21,8 @@ from tidemark.sources.files import ingest_csv
 log = logging.getLogger(__name__)
 T = TypeVar("T")
 
+SMALL_INPUT_BYTES = 256 * 1024 * 1024
+
 
 @dataclass(frozen=True)
 class Loaded:
@@ -53,16 +55,26 @@ def with_partition_date(df: DataFrame, table: SourceTable) -> DataFrame:
     return df.withColumn(PARTITION_DATE, F.to_date(table.event_time))
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate; file scans report the size of their files."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def write_bronze(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Overwrite the folder or, with partition columns, only the partitions that occur in ``df``.
 
     Rows are brought together by partition value before the write, so a date becomes a few files instead of
-    one per task; adaptive execution cuts a date that is larger than the advisory partition size.
+    one per task.  The rebalance hint lets adaptive execution split a date that exceeds the advisory partition
+    size.  It also merges small partitions, which would leave all files of a small input to one task; input
+    below ``SMALL_INPUT_BYTES`` is therefore spread by date over all tasks.
     """
     if not partition_by:
         df.write.mode("overwrite").parquet(path)
         return
-    gathered = df.hint("rebalance", *partition_by)
+    if estimated_bytes(df) <= SMALL_INPUT_BYTES:
+        gathered = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *partition_by)
+    else:
+        gathered = df.hint("rebalance", *partition_by)
     writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_by).parquet(path)
 

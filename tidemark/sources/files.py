@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.schemas import INGESTED_AT
 
 CORRUPT = "_corrupt_record"
+REASON = "_reject_reason"
 
 
 def add_audit_columns(df: DataFrame, source_system: str, batch_id: str | None = None) -> DataFrame:
@@ -72,18 +75,22 @@ class Checked:
 def ingest_csv_checked(spark: SparkSession, path: str, table: str, schema: StructType) -> Checked:
     """Split a CSV into usable and rejected records.
 
-    A record is rejected when a field does not parse or when a column the contract calls non-null is empty;
-    file readers report every column as nullable, so the second rule has to be applied here.
+    A record is rejected when it has the wrong number of fields, when a field is no value of its type, or when
+    a column the contract calls non-null is empty (file readers report every column as nullable).  Fields are
+    read as text and cast here: the reader itself only parses the columns a query asks for, so what it calls
+    malformed would depend on the query.
     """
-    wanted = StructType(list(schema.fields)).add(CORRUPT, StringType(), True)
+    text = StructType([StructField(f.name, StringType(), True) for f in schema.fields]).add(CORRUPT, StringType(), True)
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
-    raw = reader.option("columnNameOfCorruptRecord", CORRUPT).schema(wanted).csv(path)
-    reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed record"))
+    raw = reader.option("columnNameOfCorruptRecord", CORRUPT).schema(text).csv(path)
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    unreadable = [F.col(name).isNotNull() & value.isNull() for name, value in typed.items()]
+    reason = F.when(reduce(or_, unreadable, F.col(CORRUPT).isNotNull()), F.lit("malformed record"))
     for field in schema.fields:
         if not field.nullable:
             reason = reason.when(F.col(field.name).isNull(), F.lit(f"missing {field.name}"))
-    judged = add_audit_columns(raw, f"csv/{table}").withColumn("_reject_reason", reason)
+    judged = add_audit_columns(raw, f"csv/{table}").withColumn(REASON, reason)
     return Checked(
-        valid=judged.filter(F.col("_reject_reason").isNull()).drop(CORRUPT, "_reject_reason"),
-        rejected=judged.filter(F.col("_reject_reason").isNotNull()),
+        valid=judged.filter(F.col(REASON).isNull()).drop(CORRUPT, REASON).withColumns(typed),
+        rejected=judged.filter(F.col(REASON).isNotNull()),
     )
