@@ -40,7 +40,8 @@ def gold_daily_sales_short(t: Tables) -> DataFrame:
 
 def _customer_360(t: Tables) -> DataFrame:
     s = t.silver_set
-    return gold.customer_360(s["customers"], s["orders"], s["order_items"], s["products"], s["reviews"], AS_OF)
+    orders = t.stored("orders", "order_id", "customer_id", "order_date", "status", "total_amount")
+    return gold.customer_360(s["customers"], orders, s["order_items"], s["products"], s["reviews"], AS_OF)
 
 
 query("gold_customer_360", "SELECT * FROM gold_customer_360")(_customer_360)

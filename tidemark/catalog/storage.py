@@ -231,10 +231,11 @@ def warehouse_load(t: Tables) -> DataFrame:
     """Loaded twice; the second load replaces the first."""
     path = t.scratch("warehouse")
     s = t.silver_set
+    orders, items = t.stored("orders"), t.stored("order_items")
     tables = {
-        "daily_sales": gold.daily_sales(s["orders"]),
-        "customer_360": gold.customer_360(s["customers"], s["orders"], s["order_items"], s["products"], s["reviews"], AS_OF),
-        "product_performance": gold.product_performance(s["products"], s["orders"], s["order_items"], s["reviews"]),
+        "daily_sales": gold.daily_sales(orders),
+        "customer_360": gold.customer_360(s["customers"], orders, items, s["products"], s["reviews"], AS_OF),
+        "product_performance": gold.product_performance(s["products"], orders, items, s["reviews"]),
     }
     sink = warehouse.ParquetSink(path)
     warehouse.load_warehouse(tables, sink)

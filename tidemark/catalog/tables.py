@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.catalog.raw_views import RawTables
 from tidemark.plans import silver, staging
 from tidemark.schemas import SOURCES
-from tidemark.sources.scratch import scratch_path
+from tidemark.sources.scratch import materialise, scratch_path
 
 
 class Tables:
@@ -31,6 +31,11 @@ class Tables:
     def silver(self, name: str) -> DataFrame:
         return silver.BUILDERS[name](self.raw(name))
 
+    def stored(self, name: str, *columns: str) -> DataFrame:
+        """A silver table (or some of its columns) written once, for queries that read it more than once."""
+        table = self.silver(name)
+        return materialise(table.select(*columns) if columns else table, f"silver-{name}")[0]
+
     def reduced(self, name: str) -> DataFrame:
         return silver.BUILDERS[name](self.raw(name), **silver.REDUCED_OPTIONS[name])
 

@@ -11,13 +11,14 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import percent
+from tidemark.sources.parallel import run_parallel
 from tidemark.sources.scratch import materialise
 
 log = logging.getLogger(__name__)
@@ -80,25 +81,34 @@ class Fresh:
 
 Rule = NotNull | Unique | InRange | Allowed | References | Fresh
 
-RESULT_COLUMNS = (
-    "check_name", "table_name", "layer", "passed", "details", "rows_checked", "rows_failed", "pass_rate",
-)
-
 
 def _text(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
-def _outcome(name: str, table: str, layer: str, details: Column, checked: Column, failed: Column, passed=None) -> Column:
-    rate = F.when(checked == 0, F.lit(100).cast("decimal(18,2)")).otherwise(percent(checked - failed, checked))
+def _outcome(name: str, table: str, details: Column, checked: Column, failed: Column, verdict: Column | None = None) -> Column:
+    """One rule's figures; without a verdict the rule passes when nothing failed."""
     return F.struct(
         F.lit(name).alias("check_name"),
         F.lit(table).alias("table_name"),
-        F.lit(layer).alias("layer"),
-        (failed == 0 if passed is None else passed).alias("passed"),
         details.alias("details"),
         checked.alias("rows_checked"),
         failed.alias("rows_failed"),
+        (F.lit(None).cast("boolean") if verdict is None else verdict).alias("verdict"),
+    )
+
+
+def _judged(figures: DataFrame, layer: str) -> DataFrame:
+    checked, failed = F.col("rows_checked"), F.col("rows_failed")
+    rate = F.when(checked == 0, F.lit(100).cast("decimal(18,2)")).otherwise(percent(checked - failed, checked))
+    return figures.select(
+        "check_name",
+        "table_name",
+        F.lit(layer).alias("layer"),
+        F.coalesce("verdict", failed == 0).alias("passed"),
+        "details",
+        "rows_checked",
+        "rows_failed",
         rate.alias("pass_rate"),
     )
 
@@ -118,7 +128,7 @@ def _row_failure(rule: Rule) -> Column | None:
             return None
 
 
-def _row_level(df: DataFrame, rules: Sequence[Rule], table: str, layer: str) -> DataFrame | None:
+def _row_level(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame | None:
     aggregates = [F.count(F.lit(1)).alias("_rows")]
     structs: list[Column] = []
     for i, rule in enumerate(rules):
@@ -142,21 +152,21 @@ def _row_level(df: DataFrame, rules: Sequence[Rule], table: str, layer: str) ->
                 details = F.when(latest.isNull(), F.lit("No data found")).otherwise(_text("Latest record: ", shown))
                 structs.append(
                     _outcome(
-                        name, table, layer, details, checked, F.lit(0).cast("bigint"),
-                        passed=F.coalesce(latest >= cutoff, F.lit(False)),
+                        name, table, details, checked, F.lit(0).cast("bigint"),
+                        verdict=F.coalesce(latest >= cutoff, F.lit(False)),
                     )
                 )
                 continue
             case _:
                 continue
         aggregates.append(F.count_if(_row_failure(rule)).alias(f"_v{i}"))
-        structs.append(_outcome(name, table, layer, details, checked, failed))
+        structs.append(_outcome(name, table, details, checked, failed))
     if not structs:
         return None
     return df.agg(*aggregates).select(F.inline(F.array(*structs)))
 
 
-def _unique(df: DataFrame, rule: Unique, layer: str) -> DataFrame:
+def _unique(df: DataFrame, rule: Unique) -> DataFrame:
     c = rule.column
     rows = df.filter(F.col(c).isNotNull()) if rule.ignore_nulls else df
     counted = (
@@ -165,19 +175,11 @@ def _unique(df: DataFrame, rule: Unique, layer: str) -> DataFrame:
         .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"), F.count(F.lit(1)).alias("_values"))
     )
     failed = F.col("_rows") - F.col("_values")
-    return counted.select(
-        F.inline(
-            F.array(
-                _outcome(
-                    f"unique:{c}", rule.table, layer, _text(failed, f" duplicate values found in '{c}'"),
-                    F.col("_rows"), failed,
-                )
-            )
-        )
-    )
-
-
-def _references(df: DataFrame, reference: DataFrame, rule: References, layer: str) -> DataFrame:
+    details = _text(failed, f" duplicate values found in '{c}'")
+    return counted.select(F.inline(F.array(_outcome(f"unique:{c}", rule.table, details, F.col("_rows"), failed))))
+
+
+def _references(df: DataFrame, reference: DataFrame, rule: References) -> DataFrame:
     c = rule.column
     keys = df.select(c).distinct()
     if rule.ignore_nulls:
@@ -186,16 +188,9 @@ def _references(df: DataFrame, reference: DataFrame, rule: References, layer: st
     counted = keys.join(known, c, "left").agg(
         F.count(F.lit(1)).alias("_keys"), F.count_if(F.col("_known").isNull()).alias("_orphans")
     )
-    return counted.select(
-        F.inline(
-            F.array(
-                _outcome(
-                    f"ref_integrity:{c}→{rule.to_column}", rule.table, layer,
-                    _text(F.col("_orphans"), " orphan records found"), F.col("_keys"), F.col("_orphans"),
-                )
-            )
-        )
-    )
+    name, orphans = f"ref_integrity:{c}→{rule.to_column}", F.col("_orphans")
+    details = _text(orphans, " orphan records found")
+    return counted.select(F.inline(F.array(_outcome(name, rule.table, details, F.col("_keys"), orphans))))
 
 
 def evaluate(rules: Sequence[Rule], tables: Mapping[str, DataFrame], layer: str) -> DataFrame:
@@ -203,17 +198,17 @@ def evaluate(rules: Sequence[Rule], tables: Mapping[str, DataFrame], layer: str)
     parts: list[DataFrame] = []
     for table in dict.fromkeys(r.table for r in rules):
         own = [r for r in rules if r.table == table]
-        row_level = _row_level(tables[table], own, table, layer)
+        row_level = _row_level(tables[table], own, table)
         if row_level is not None:
             parts.append(row_level)
         for rule in own:
             if isinstance(rule, Unique):
-                parts.append(_unique(tables[table], rule, layer))
+                parts.append(_unique(tables[table], rule))
             elif isinstance(rule, References):
-                parts.append(_references(tables[table], tables[rule.to_table], rule, layer))
+                parts.append(_references(tables[table], tables[rule.to_table], rule))
     if not parts:
         raise ValueError("no rule to evaluate")
-    return reduce(DataFrame.unionByName, parts)
+    return _judged(reduce(DataFrame.union, parts), layer)
 
 
 def staged_columns(rules: Sequence[Rule], tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -227,7 +222,11 @@ def staged_columns(rules: Sequence[Rule], tables: Mapping[str, DataFrame]) -> di
         wanted.setdefault(rule.table, set()).add(rule.column)
         if isinstance(rule, References):
             wanted.setdefault(rule.to_table, set()).add(rule.to_column)
-    return {t: materialise(tables[t].select(*sorted(columns)), f"checked-{t}")[0] for t, columns in wanted.items()}
+    spark = next(iter(tables.values())).sparkSession
+    jobs = [
+        partial(materialise, tables[t].select(*sorted(columns)), f"checked-{t}") for t, columns in wanted.items()
+    ]
+    return {t: stored for t, (stored, _) in zip(wanted, run_parallel(spark, jobs), strict=True)}
 
 
 def summarise(results: DataFrame) -> DataFrame:

@@ -159,11 +159,9 @@ def favourite_category(order_items: DataFrame, orders: DataFrame, products: Data
         items_per_order_product(order_items)
         .select("order_id", "product_id", "lines")
         .join(orders.select("order_id", "customer_id"), "order_id")
-        .groupBy("customer_id", "product_id")
-        .agg(F.sum("lines").alias("lines"))
     )
-    # A best-selling product is bought by many customers, so its rows are spread by customer.
-    labelled = salted_lookup(bought, products.select("product_id", "category"), "product_id", ["customer_id"])
+    # A best-selling product is in very many orders, so its rows are spread by order.
+    labelled = salted_lookup(bought, products.select("product_id", "category"), "product_id", ["order_id"])
     counted = labelled.groupBy("customer_id", "category").agg(F.sum("lines").alias("category_count"))
     best = first_per_group(
         counted, ["customer_id"], [F.col("category_count").desc(), F.col("category").asc_nulls_last()]
@@ -180,7 +178,10 @@ def customer_360(
     as_of: date | str,
     stamp: bool = False,
 ) -> DataFrame:
-    """Customer profile.  Every joined side has one row per customer, so no join can be skewed."""
+    """Customer profile.  Every joined side has one row per customer, so no join can be skewed.
+
+    ``orders`` is read twice (order figures and favourite category): pass a stored table.
+    """
     profile = (
         customers.join(order_metrics(orders, as_of), "customer_id", "left")
         .join(review_metrics(reviews), "customer_id", "left")

@@ -19,8 +19,9 @@ from tidemark.operators.merge import replace_slice
 from tidemark.operators.quality import SILVER_RULES, evaluate, gate
 from tidemark.plans import gold, silver
 from tidemark.schemas import PARTITION_DATE, SOURCES, Layout
-from tidemark.sources.bronze import ingest_all, run_parallel, with_partition_date, write_bronze, write_counted
+from tidemark.sources.bronze import ingest_all, with_partition_date, write_bronze, write_counted
 from tidemark.sources.files import ingest_csv
+from tidemark.sources.parallel import run_parallel
 from tidemark.sources.run_log import StepRecord, append_steps, now
 from tidemark.sources.snapshot import read_snapshot, snapshot_exists, write_snapshot
 from tidemark.streaming.ingest import drain_to_silver

@@ -6,20 +6,17 @@ import logging
 import time
 import uuid
 from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
-from typing import TypeVar
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import PARTITION_DATE, SOURCES, Layout, SourceTable
 from tidemark.sources.files import ingest_csv
+from tidemark.sources.parallel import run_parallel
 
 log = logging.getLogger(__name__)
-T = TypeVar("T")
 
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
@@ -34,13 +31,6 @@ class Loaded:
     error: str | None = None
 
 
-def run_parallel(spark: SparkSession, jobs: Sequence[Callable[[], T]], workers: int = 4) -> list[T]:
-    """Submit independent Spark jobs from a few driver threads; the first error is raised after all ended."""
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        futures = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
-    return [f.result() for f in futures]
-
-
 def write_counted(df: DataFrame, write: Callable[[DataFrame], object]) -> int:
     """Write and count in one pass."""
     seen = Observation(f"rows-{uuid.uuid4().hex[:8]}")
