@@ -16,7 +16,7 @@ LOG_AS_OF = "2024-01-31"
 
 def pct(part: str, whole: str) -> str:
     ratio = f"CAST({part} AS DOUBLE) / NULLIF(CAST({whole} AS DOUBLE), 0) * 100.0"
-    return f"CAST(round(CAST({ratio} AS DECIMAL(24,6)), 2) AS DECIMAL(18,2))"
+    return f"CAST(round(CAST({ratio} AS DECIMAL(34,12)), 2) AS DECIMAL(18,2))"
 
 
 def mean(column: str, over: str = "") -> str:
@@ -266,7 +266,7 @@ FROM stg_customers c LEFT JOIN mart_orders_by_customer om ON c.customer_id = om.
 LEFT JOIN mart_items_by_customer im ON c.customer_id = im.customer_id""",
     "mart_customer_360": f"""
 SELECT *, {_tier("rfm_recency", "rfm_frequency", "rfm_monetary")} AS customer_tier,
-  CAST(round(CAST(avg_order_value * total_orders * CAST(1.2 AS DOUBLE) AS DECIMAL(24,6)), 2) AS DECIMAL(22,2)) AS estimated_ltv
+  CAST(round(CAST(avg_order_value * total_orders * CAST(1.2 AS DOUBLE) AS DECIMAL(34,12)), 2) AS DECIMAL(22,2)) AS estimated_ltv
 FROM mart_customer_scores""",
     "mart_product_performance": f"""
 SELECT *, CAST(rank() OVER (PARTITION BY category ORDER BY total_revenue DESC) AS INTEGER) AS category_revenue_rank,

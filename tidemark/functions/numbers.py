@@ -29,9 +29,13 @@ def mean_of(column: str | Column) -> Column:
 
 
 def percent(part: Column, whole: Column) -> Column:
-    """``part / whole * 100`` to two places, null where the whole is zero or null."""
+    """``part / whole * 100`` to two places, null where the whole is zero or null.
+
+    The ratio is taken to twelve places first: that absorbs the noise of binary division (so a true half
+    rounds up) and is fine enough not to round twice.
+    """
     ratio = F.try_divide(part.cast("double"), whole.cast("double")) * F.lit(100.0)
-    return F.round(ratio.cast("decimal(24,6)"), 2).cast("decimal(18,2)")
+    return F.round(ratio.cast("decimal(34,12)"), 2).cast("decimal(18,2)")
 
 
 def at_most(value: Column, steps: Sequence[tuple[object, object]], otherwise: object) -> Column:

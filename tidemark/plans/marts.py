@@ -110,7 +110,7 @@ def mart_customer_360(
             "rfm_monetary": monetary_score(F.col("total_spend")),
             # With several versions of an order the average is over versions, hence average x orders here.
             "estimated_ltv": F.round(
-                (F.col("avg_order_value") * F.col("total_orders") * F.lit(1.2)).cast("decimal(24,6)"), 2
+                (F.col("avg_order_value") * F.col("total_orders") * F.lit(1.2)).cast("decimal(34,12)"), 2
             ).cast("decimal(22,2)"),
         }
     )
