@@ -193,3 +193,14 @@ def test_run_metrics(spark):
     recent = {r["step"]: r for r in metrics.run_metrics(log.filter("pipeline_name = 'etl'"), "2024-01-02").collect()}
     assert recent["data_quality"]["current_status"] == "success" and recent["data_quality"]["failure_rate"] == 50
     assert recent["bronze_ingestion"]["recent_rows"] == 22 and recent["bronze_ingestion"]["last_duration"] == 6
+
+
+def test_repeated_order_versions_multiply_item_figures(stg):
+    """Every staged version of an order counts in sums; distinct counts stay."""
+    orders = stg["orders"].unionByName(stg["orders"].filter("order_id = 'O1'"))
+    customers = by(marts.mart_customer_360(stg["customers"], orders, stg["items"], AS_OF), "customer_id")
+    assert (customers["C1"]["total_items_purchased"], customers["C1"]["unique_products"]) == (8, 2)
+    assert (customers["C1"]["total_orders"], customers["C1"]["total_spend"]) == (1, Decimal("300.00"))
+    products = by(marts.mart_product_performance(stg["products"], orders, stg["items"]), "product_id")
+    assert (products["P2"]["units_sold"], products["P2"]["order_count"]) == (2, 1)
+    assert products["P2"]["total_revenue"] == Decimal("179.98") and products["P2"]["avg_selling_price"] == pytest.approx(99.99)

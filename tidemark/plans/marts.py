@@ -18,6 +18,7 @@ from tidemark.plans.gold import (
     recency_score,
     rfm_tier,
 )
+from tidemark.sources.scratch import materialise
 
 # Fixed value: days shown for a customer without orders.
 NEVER_ORDERED_DAYS = 9999
@@ -67,13 +68,25 @@ def _customer_orders(stg_orders: DataFrame, as_of: date | str) -> DataFrame:
     )
 
 
+def _open_orders(stg_orders: DataFrame, *columns: str) -> DataFrame:
+    """Orders that were not cancelled, one row each, with the number of their versions.
+
+    Staging keeps repeated versions of an order and every version counts.  Folding them before the join means
+    that an order with very many copies meets its items once, and its sums are multiplied afterwards.
+    """
+    kept = stg_orders.filter(F.col("status") != CANCELLED)
+    return kept.groupBy("order_id", *columns).agg(F.count(F.lit(1)).alias("versions"))
+
+
 def _customer_items(stg_order_items: DataFrame, stg_orders: DataFrame) -> DataFrame:
     folded = stg_order_items.groupBy("order_id", "product_id").agg(F.sum("quantity").alias("units"))
-    open_orders = stg_orders.filter(F.col("status") != CANCELLED).select("order_id", "customer_id")
     return (
-        folded.join(open_orders, "order_id")
+        folded.join(_open_orders(stg_orders, "customer_id"), "order_id")
         .groupBy("customer_id")
-        .agg(F.sum("units").alias("total_items_purchased"), F.count_distinct("product_id").alias("unique_products"))
+        .agg(
+            F.sum(F.col("units") * F.col("versions")).alias("total_items_purchased"),
+            F.count_distinct("product_id").alias("unique_products"),
+        )
     )
 
 
@@ -84,11 +97,16 @@ def mart_customer_360(
     as_of: date | str,
     stamp: bool = False,
 ) -> DataFrame:
-    joined = (
-        stg_customers.withColumnRenamed("created_at", "customer_since")
-        .join(_customer_orders(stg_orders, as_of), "customer_id", "left")
-        .join(_customer_items(stg_order_items, stg_orders), "customer_id", "left")
+    """Customer profile over the staging views, one row per staged customer version.
+
+    The figures per customer are stored before the last join.  That join then has a plain shuffle on both
+    sides, so adaptive execution can split a customer with very many staged versions.
+    """
+    figures, _ = materialise(
+        _customer_orders(stg_orders, as_of).join(_customer_items(stg_order_items, stg_orders), "customer_id", "left"),
+        "customer-figures",
     )
+    joined = stg_customers.withColumnRenamed("created_at", "customer_since").join(figures, "customer_id", "left")
 
     def zero(column: str, of: str):
         return F.coalesce(column, F.lit(0).cast(of)).alias(column)
@@ -125,22 +143,28 @@ def mart_product_performance(
     stamp: bool = False,
     small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
+    """Product figures with the rank inside the category and overall.
+
+    The sales per product are stored before they meet the staged products, for the reason given above.
+    """
     folded = stg_order_items.groupBy("order_id", "product_id").agg(
         F.sum("line_total").alias("revenue"),
         F.sum("quantity").alias("units"),
         F.sum("unit_price").alias("prices"),
         F.count("unit_price").alias("lines"),
     )
-    open_orders = stg_orders.filter(F.col("status") != CANCELLED).select("order_id")
-    sales = (
-        folded.join(open_orders, "order_id")
+    versions = F.col("versions")
+    sales, _ = materialise(
+        folded.join(_open_orders(stg_orders), "order_id")
         .groupBy("product_id")
         .agg(
-            F.sum("revenue").alias("total_revenue"),
-            F.sum("units").alias("units_sold"),
-            F.count_distinct("order_id").alias("order_count"),
-            average(F.sum("prices"), F.sum("lines")).alias("avg_selling_price"),
-        )
+            F.sum(F.col("revenue") * versions).alias("total_revenue"),
+            F.sum(F.col("units") * versions).alias("units_sold"),
+            # One row per order and product is left, so counting rows counts distinct orders.
+            F.count("order_id").alias("order_count"),
+            average(F.sum(F.col("prices") * versions), F.sum(F.col("lines") * versions)).alias("avg_selling_price"),
+        ),
+        "product-sales",
     )
     figures = stg_products.join(sales, "product_id", "left").select(
         "product_id", "product_name", "category", "subcategory", "brand",
