@@ -146,11 +146,11 @@ _DAYS = (
 )
 _CUSTOMERS = (
     "SELECT customer_id, full_name, segment, region, total_orders, total_spend, avg_order_value, customer_tier, rfm_recency, "
-    "rfm_frequency, rfm_monetary FROM mart_customer_360 {where} ORDER BY total_spend DESC, customer_id LIMIT 50"
+    "rfm_frequency, rfm_monetary FROM mart_customer_360 {where} ORDER BY total_spend DESC, customer_id, full_name, segment, region LIMIT 50"
 )
 _PRODUCTS = (
     "SELECT product_id, product_name, category, brand, total_revenue, units_sold, order_count, category_revenue_rank, "
-    "overall_revenue_rank FROM mart_product_performance ORDER BY total_revenue DESC, product_id LIMIT 50"
+    "overall_revenue_rank FROM mart_product_performance ORDER BY total_revenue DESC, product_id, product_name, category, brand LIMIT 50"
 )
 
 query("serve_daily_sales", _DAYS)(lambda t: serving.daily_sales(_mart_daily_sales(t)))
@@ -175,17 +175,19 @@ query("profile_counts", _SIZES)(lambda t: profile.table_sizes({n: t.raw(n) for n
 
 
 def _missing_sql() -> str:
-    nullable = {
-        "customers": ("phone", "segment", "region", "country"),
-        "orders": ("shipping_cost",),
-        "order_items": ("discount",),
-        "clickstream": ("customer_id", "event_type"),
+    columns_of = {
+        "customers": "customer_id first_name last_name email phone segment region city country created_at _ingestion_timestamp",
+        "products": "product_id product_name category subcategory brand price cost weight_kg",
+        "orders": "order_id customer_id order_date status total_amount shipping_cost payment_method",
+        "order_items": "item_id order_id product_id quantity unit_price discount _ingestion_timestamp",
+        "clickstream": "event_id session_id customer_id event_type device_type timestamp",
+        "reviews": "review_id product_id customer_id rating review_text helpful_votes",
     }
     parts = [
         f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
         f"{pct(f'count(*) FILTER (WHERE {c} IS NULL)', 'count(*)')} AS null_percent FROM raw_{t}"
-        for t, columns in nullable.items()
-        for c in columns
+        for t, columns in columns_of.items()
+        for c in columns.split()
     ]
     return f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE null_count > 0"
 

@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 RAW_SQL: dict[str, str] = {
     "raw_customers": """
-SELECT concat('C', lpad(CAST(c_custkey AS STRING), 6, '0')) AS customer_id, 'Customer' AS first_name, c_name AS last_name,
-  CASE WHEN c_custkey % 10 = 3 THEN 'invalid-email' ELSE concat('user', CAST(c_custkey AS STRING), '@example.com') END AS email,
-  CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE concat('+', CAST(c_custkey AS STRING)) END AS phone,
+SELECT 'C' || lpad(CAST(c_custkey AS STRING), 6, '0') AS customer_id, 'Customer' AS first_name, c_name AS last_name,
+  CASE WHEN c_custkey % 10 = 3 THEN 'invalid-email' ELSE 'user' || CAST(c_custkey AS STRING) || '@example.com' END AS email,
+  CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE '+' || CAST(c_custkey AS STRING) END AS phone,
   CASE c_mktsegment WHEN 'HOUSEHOLD' THEN '  PREMIUM ' WHEN 'BUILDING' THEN 'Gold' WHEN 'MACHINERY' THEN 'regular'
     WHEN 'FURNITURE' THEN 'budget' END AS segment,
   CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE r_name END AS region, n_name AS city,
@@ -25,13 +25,13 @@ JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regi
     "raw_products": """
 SELECT product_id, product_name, category, subcategory, brand, price,
   CAST(round(price * CAST(0.30 + 0.01 * (p_partkey % 40) AS DECIMAL(3,2)), 2) AS DECIMAL(12,2)) AS cost, weight_kg
-FROM (SELECT p_partkey, concat('P', lpad(CAST(p_partkey AS STRING), 6, '0')) AS product_id, p_name AS product_name,
-  concat(' ', p_type, ' ') AS category, concat('size-', CAST(p_size % 5 AS STRING)) AS subcategory, p_brand AS brand,
+FROM (SELECT p_partkey, 'P' || lpad(CAST(p_partkey AS STRING), 6, '0') AS product_id, p_name AS product_name,
+  ' ' || p_type || ' ' AS category, 'size-' || CAST(p_size % 5 AS STRING) AS subcategory, p_brand AS brand,
   CASE WHEN p_partkey % 50 = 0 THEN CAST(-5 AS DECIMAL(12,2)) ELSE
     CAST(round(CAST(p_retailprice AS DECIMAL(10,2)) * CAST(p_size AS DECIMAL(4,0)) * CAST(0.02 AS DECIMAL(3,2)), 2) AS DECIMAL(12,2)) END AS price,
   CAST(p_size AS DOUBLE) AS weight_kg FROM {part}) p""",
     "raw_orders": """
-SELECT concat('O', lpad(CAST(o_orderkey AS STRING), 8, '0')) AS order_id, concat('C', lpad(CAST(o_custkey AS STRING), 6, '0')) AS customer_id,
+SELECT 'O' || lpad(CAST(o_orderkey AS STRING), 8, '0') AS order_id, 'C' || lpad(CAST(o_custkey AS STRING), 6, '0') AS customer_id,
   CAST(o_orderdate AS TIMESTAMP) AS order_date,
   CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'canceled' WHEN o_orderpriority = '2-HIGH' AND o_orderstatus = 'P' THEN 'lost'
        WHEN o_orderstatus = 'F' THEN 'delivered' WHEN o_orderstatus = 'O' THEN 'pending' ELSE 'processing' END AS status,
@@ -40,26 +40,26 @@ SELECT concat('O', lpad(CAST(o_orderkey AS STRING), 8, '0')) AS order_id, concat
   CASE WHEN o_orderkey % 2 = 0 THEN 'credit_card' ELSE 'paypal' END AS payment_method
 FROM {orders}""",
     "raw_order_items": """
-SELECT concat('I', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS item_id,
-  concat('O', lpad(CAST(l_orderkey AS STRING), 8, '0')) AS order_id, concat('P', lpad(CAST(l_partkey AS STRING), 6, '0')) AS product_id,
+SELECT 'I' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS item_id,
+  'O' || lpad(CAST(l_orderkey AS STRING), 8, '0') AS order_id, 'P' || lpad(CAST(l_partkey AS STRING), 6, '0') AS product_id,
   CAST(l_quantity AS INT) AS quantity, CAST(CAST(l_extendedprice AS DECIMAL(14,2)) * CAST(0.001 AS DECIMAL(4,3)) AS DECIMAL(12,2)) AS unit_price,
   CASE WHEN l_orderkey % 9 = 0 THEN NULL ELSE CAST(l_discount AS DECIMAL(5,4)) END AS discount,
   CAST(l_shipdate AS TIMESTAMP) AS _ingestion_timestamp
 FROM {lineitem}""",
     "raw_clickstream": """
-SELECT CAST(event_id AS STRING) AS event_id, concat(CAST(user_id AS STRING), '-', CAST(CAST(ts AS DATE) AS STRING)) AS session_id,
-  CASE WHEN event_id % 10 < 3 THEN NULL ELSE concat('C', lpad(CAST(user_id AS STRING), 6, '0')) END AS customer_id,
+SELECT CAST(event_id AS STRING) AS event_id, CAST(user_id AS STRING) || '-' || CAST(CAST(ts AS DATE) AS STRING) AS session_id,
+  CASE WHEN event_id % 10 < 3 THEN NULL ELSE 'C' || lpad(CAST(user_id AS STRING), 6, '0') END AS customer_id,
   CASE event_type WHEN 'view' THEN ' Page_View' WHEN 'click' THEN 'product_view' WHEN 'signup' THEN 'add_to_cart' WHEN 'purchase' THEN 'purchase' END AS event_type,
   CASE CAST(event_id % 3 AS INT) WHEN 0 THEN 'desktop' WHEN 1 THEN 'Mobile' ELSE 'tablet' END AS device_type,
   CAST(ts AS TIMESTAMP) AS timestamp
 FROM {events}""",
     "raw_reviews": """
-SELECT concat('R', CAST(doc_id AS STRING)) AS review_id, concat('P', lpad(CAST(doc_id % 200 AS STRING), 6, '0')) AS product_id,
-  concat('C', lpad(CAST(doc_id % 150 AS STRING), 6, '0')) AS customer_id, CAST(doc_id % 7 AS INT) AS rating,
+SELECT 'R' || CAST(doc_id AS STRING) AS review_id, 'P' || lpad(CAST(doc_id % 200 AS STRING), 6, '0') AS product_id,
+  'C' || lpad(CAST(doc_id % 150 AS STRING), 6, '0') AS customer_id, CAST(doc_id % 7 AS INT) AS rating,
   text AS review_text, doc_id % 51 AS helpful_votes
 FROM {documents}""",
     "raw_run_log": """
-SELECT concat('run-', CAST(CAST(ts AS DATE) AS STRING)) AS run_id, 'daily_etl' AS pipeline_name,
+SELECT 'run-' || CAST(CAST(ts AS DATE) AS STRING) AS run_id, 'daily_etl' AS pipeline_name,
   CASE CAST(event_id % 4 AS INT) WHEN 0 THEN 'bronze_ingestion' WHEN 1 THEN 'silver_transformation' WHEN 2 THEN 'gold_aggregation' ELSE 'data_quality' END AS step,
   CASE CAST(event_id % 6 AS INT) WHEN 0 THEN 'customers' WHEN 1 THEN 'products' WHEN 2 THEN 'orders' WHEN 3 THEN 'order_items' WHEN 4 THEN 'clickstream' ELSE 'reviews' END AS table_name,
   CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status, event_id % 1000 AS rows_processed,

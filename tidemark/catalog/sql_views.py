@@ -74,6 +74,7 @@ _YTD = "OVER (PARTITION BY order_year ORDER BY sale_date ROWS BETWEEN UNBOUNDED
 VIEWS: dict[str, str] = {name: duckdb_text(name) for name in RAW_SQL}
 
 VIEWS |= {
+    "newest_orders": f"SELECT * FROM {_ORDERS} o",
     "silver_customers": f"""
 SELECT customer_id, first_name, last_name, email, phone,
   CASE WHEN lower(trim(segment)) IN ('premium','gold','vip') THEN 'premium'

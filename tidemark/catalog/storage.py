@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query
-from tidemark.catalog.sql_views import AS_OF
+from tidemark.catalog.sql_views import AS_OF, latest
 from tidemark.catalog.tables import Tables, land_csv
+from tidemark.operators.dedup import latest_of
 from tidemark.operators.merge import upsert
 from tidemark.plans import gold, silver
 from tidemark.plans.run import MedallionRun
@@ -86,7 +87,7 @@ def audit_columns(t: Tables) -> DataFrame:
 @query(
     "quarantine",
     """SELECT reason, count(*) AS order_count FROM (SELECT CASE WHEN status = 'lost' THEN 'malformed record'
-      WHEN status = 'canceled' AND payment_method = 'paypal' THEN 'missing customer_id' ELSE 'valid' END AS reason FROM raw_orders)
+      WHEN customer_id IS NULL OR (status = 'canceled' AND payment_method = 'paypal') THEN 'missing customer_id' ELSE 'valid' END AS reason FROM raw_orders)
     GROUP BY 1""",
 )
 def quarantine(t: Tables) -> DataFrame:
@@ -193,13 +194,14 @@ def compact(t: Tables) -> DataFrame:
 
 @query(
     "upsert",
-    """SELECT order_id, customer_id, CASE WHEN status = 'pending' THEN 'shipped' ELSE status END AS status, total_amount FROM raw_orders
-    UNION ALL SELECT 'N' || order_id, customer_id, 'processing', total_amount FROM raw_orders WHERE status = 'lost'""",
+    """SELECT order_id, customer_id, CASE WHEN status = 'pending' THEN 'shipped' ELSE status END AS status, total_amount FROM newest_orders
+    UNION ALL SELECT 'N' || order_id, customer_id, 'processing', total_amount FROM newest_orders WHERE status = 'lost'""",
 )
 def upsert_orders(t: Tables) -> DataFrame:
     """Pending orders become shipped, and every lost order is placed again; the same source is applied twice."""
     path = t.scratch("orders")
-    orders = t.raw("orders").select("order_id", "customer_id", "status", "total_amount")
+    newest = latest_of(t.raw("orders"), SOURCES["orders"])
+    orders = newest.select("order_id", "customer_id", "status", "total_amount")
     upsert(orders, path, "order_id")
     shipped = orders.filter(F.col("status") == "pending").withColumn("status", F.lit("shipped"))
     again = orders.filter(F.col("status") == "lost").withColumns(
@@ -308,7 +310,7 @@ def stream_upsert(t: Tables) -> DataFrame:
     """All orders arrive, then the pending ones again as shipped; silver holds the newest version of each."""
     landing, bronze, target, checkpoint = (t.scratch(n) for n in ("landing", "bronze", "silver", "checkpoint"))
     orders = t.contract("orders")
-    shipped = orders.filter(F.col("status") == "pending").withColumn("status", F.lit("shipped"))
+    shipped = latest_of(orders, SOURCES["orders"]).filter(F.col("status") == "pending").withColumn("status", F.lit("shipped"))
     for part in (orders, shipped):
         land_csv(part, landing, mode="append")
         drain_to_silver(
@@ -319,10 +321,13 @@ def stream_upsert(t: Tables) -> DataFrame:
 
 # Whole runs
 
-_RUN_COUNTS = """SELECT 'customers' AS table_name, count(*) AS row_count FROM silver_customers
+# Landing files carry no load time, so versions of an item that land together differ by their content alone.
+_LANDED_ITEMS = latest("raw_order_items", "item_id", "order_id, product_id, quantity, unit_price, discount NULLS LAST")
+
+_RUN_COUNTS = f"""SELECT 'customers' AS table_name, count(*) AS row_count FROM silver_customers
 UNION ALL SELECT 'products', count(*) FROM silver_products UNION ALL SELECT 'orders', count(*) FROM silver_orders
 UNION ALL SELECT 'clickstream', count(*) FROM silver_clickstream UNION ALL SELECT 'reviews', count(*) FROM silver_reviews
-UNION ALL SELECT 'order_items', count(*) FROM silver_order_items
+UNION ALL SELECT 'order_items', count(*) FROM {_LANDED_ITEMS} i WHERE quantity > 0 AND unit_price > 0
 UNION ALL SELECT 'daily_sales', count(*) FROM gold_daily_sales UNION ALL SELECT 'customer_360', count(*) FROM gold_customer_360
 UNION ALL SELECT 'product_performance', count(*) FROM gold_product_performance
 UNION ALL SELECT 'hourly_traffic', count(*) FROM gold_hourly_traffic"""

@@ -22,7 +22,7 @@ def top_customers(mart: DataFrame, tier: str | None = None, limit: int = 50) ->
         "customer_id", "full_name", "segment", "region", "total_orders", "total_spend", "avg_order_value",
         "customer_tier", "rfm_recency", "rfm_frequency", "rfm_monetary",
     )
-    return top_rows(columns, "total_spend", ["customer_id"], limit, 500)
+    return top_rows(columns, "total_spend", ["customer_id", "full_name", "segment", "region"], limit, 500)
 
 
 def top_products(mart: DataFrame, category: str | None = None, limit: int = 50) -> DataFrame:
@@ -31,7 +31,7 @@ def top_products(mart: DataFrame, category: str | None = None, limit: int = 50)
         "product_id", "product_name", "category", "brand", "total_revenue", "units_sold", "order_count",
         "category_revenue_rank", "overall_revenue_rank",
     )
-    return top_rows(columns, "total_revenue", ["product_id"], limit, 500)
+    return top_rows(columns, "total_revenue", ["product_id", "product_name", "category", "brand"], limit, 500)
 
 
 def latest_runs(run_log: DataFrame, limit: int = 10) -> DataFrame:
