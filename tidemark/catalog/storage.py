@@ -266,7 +266,7 @@ def audit_append(t: Tables) -> DataFrame:
 # Streams
 
 
-def _land_orders_in_two_parts(t: Tables, path: str) -> tuple[DataFrame, DataFrame]:
+def _orders_in_two_parts(t: Tables) -> tuple[DataFrame, DataFrame]:
     rows = t.contract("orders")
     return rows.filter(F.col("payment_method") == "paypal"), rows.filter(F.col("payment_method") != "paypal")
 
@@ -278,7 +278,7 @@ _ORDER_FACTS = "order_id, customer_id, order_date, status, CAST(total_amount AS
 def stream_ingest(t: Tables) -> DataFrame:
     """Two arrivals with the schema inferred on the first and remembered for the second."""
     landing, target, checkpoint = t.scratch("landing"), t.scratch("bronze"), t.scratch("checkpoint")
-    for part in _land_orders_in_two_parts(t, landing):
+    for part in _orders_in_two_parts(t):
         land_csv(part, landing, mode="append")
         table = drain_to_bronze(t.spark, landing, "orders", target, checkpoint)
     return table.select("order_id", "customer_id", "order_date", "status", "total_amount", "_source_system")
@@ -294,7 +294,7 @@ def stream_exactly_once(t: Tables) -> DataFrame:
     """Rows in the table after each of four runs; runs two and four find no new file."""
     landing, target, checkpoint = t.scratch("landing"), t.scratch("bronze"), t.scratch("checkpoint")
     counts = []
-    for part in _land_orders_in_two_parts(t, landing):
+    for part in _orders_in_two_parts(t):
         land_csv(part, landing, mode="append")
         for _ in range(2):
             table = drain_to_bronze(t.spark, landing, "orders", target, checkpoint, SOURCES["orders"].schema)

@@ -23,7 +23,7 @@ from tidemark.sources.bronze import ingest_all, with_partition_date, write_bronz
 from tidemark.sources.files import ingest_csv
 from tidemark.sources.parallel import run_parallel
 from tidemark.sources.run_log import StepRecord, append_steps, now
-from tidemark.sources.snapshot import read_snapshot, snapshot_exists, write_snapshot
+from tidemark.sources.snapshot import read_snapshot, write_snapshot
 from tidemark.streaming.ingest import drain_to_silver
 
 log = logging.getLogger(__name__)
@@ -169,7 +169,3 @@ class MedallionRun:
 
         counts = run_parallel(self.spark, [job(t) for t in builders], self.workers)
         return dict(zip(builders, counts, strict=True))
-
-
-def has_silver(spark: SparkSession, layout: Layout) -> bool:
-    return all(snapshot_exists(spark, layout.silver(t)) for t in SOURCES)
