@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import toxicity
+from tidemark.llm import exact_dedup, toxicity
 from tidemark.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,22 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return documents.select(
         "doc_id", (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), toxicity.score_column(documents, model).alias("score")
     ).withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
+@query
+def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = exact_dedup.duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+ORACLES["op3_exact_dedup"] = r"""
+WITH d AS (
+    SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content
+    FROM documents
+), g AS (
+    SELECT doc_id, content, first_value(doc_id) OVER (PARTITION BY content ORDER BY chars DESC, doc_id) AS keep_id,
+           count(*) OVER (PARTITION BY content) AS group_size
+    FROM d
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256 FROM g
+"""
