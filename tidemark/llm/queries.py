@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, toxicity
+from tidemark.llm import exact_dedup, near_join, toxicity
 from tidemark.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,8 @@ WITH d AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256 FROM g
 """
+
+
+@query
+def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_join.links(table(spark, folder, "documents"))
