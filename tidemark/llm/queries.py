@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, near_join, toxicity
+from tidemark.llm import exact_dedup, mixing, near_join, toxicity
 from tidemark.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,22 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS
 @query
 def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_join.links(table(spark, folder, "documents"))
+
+
+#: Production mixture: a source's domain follows from its number; paths without a weight weigh 1.
+DOMAINS = ("web", "books", "reference")
+MIXTURE = {
+    ("web",): 0.5, ("books",): 0.3, ("reference",): 0.2,
+    **{(d, lang): w for d in DOMAINS for lang, w in (("en", 0.55), ("de", 0.15), ("fr", 0.15), ("es", 0.15))},
+}
+
+
+def domain_of_source() -> Column:
+    number = F.regexp_extract(F.coalesce("source", F.lit("")), r"(\d+)$", 1).try_cast("long")
+    return F.coalesce(F.element_at(F.array(*map(F.lit, DOMAINS)), (F.pmod(number, F.lit(len(DOMAINS))) + 1).cast("int")), F.lit("other"))
+
+
+@query
+def op10_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    chosen = mixing.mix(table(spark, folder, "documents"), domain_of_source(), MIXTURE, share=0.6, max_epochs=4)
+    return chosen.select("doc_id", "domain", "lang", "source", "tokens", "epoch")
