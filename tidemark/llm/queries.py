@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, near_join, toxicity
+from tidemark.llm import exact_dedup, mixing, near_join, packing, toxicity
 from tidemark.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +73,12 @@ def domain_of_source() -> Column:
 def op10_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     chosen = mixing.mix(table(spark, folder, "documents"), domain_of_source(), MIXTURE, share=0.6, max_epochs=4)
     return chosen.select("doc_id", "domain", "lang", "source", "tokens", "epoch")
+
+
+def word_tokenizer() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op1_hilbert_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), word_tokenizer())
