@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, near_join, packing, toxicity
+from tidemark.llm import exact_dedup, language, mixing, near_join, packing, quality_knn, toxicity
 from tidemark.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,22 @@ def word_tokenizer() -> str:
 @query
 def op1_hilbert_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), word_tokenizer())
+
+
+@query
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    found = language.classify(documents, language.fit(documents, fold_of(F.col("doc_id"), 3) != 1))
+    return found.withColumn("held_out", fold_of(F.col("doc_id"), 3) == 1)
+
+
+GOOD_FROM = 0.3
+
+
+@query
+def op5_quality_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    space = quality_knn.fit(documents, table(spark, folder, "labels"), fold_of(F.col("doc_id"), 5) != 0)
+    return quality_knn.score(documents, space).withColumns(
+        {"held_out": fold_of(F.col("doc_id"), 5) == 0, "predicted": (F.col("score") >= GOOD_FROM).cast("int")}
+    )
