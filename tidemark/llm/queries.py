@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, language, mixing, near_join, packing, quality_knn, toxicity
+from tidemark.llm import chat, exact_dedup, language, licences, mixing, near_join, packing, quality_knn, quality_rules, toxicity
 from tidemark.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,87 @@ def op5_quality_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return quality_knn.score(documents, space).withColumns(
         {"held_out": fold_of(F.col("doc_id"), 5) == 0, "predicted": (F.col("score") >= GOOD_FROM).cast("int")}
     )
+
+
+@query
+def op2_licence_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("sentence_ids").cast("long").alias("n_sentences"),
+        F.array_join("sentence_ids", " ").alias("sentence_ids"),
+        F.array_join("licences", " ").alias("licences"),
+    )
+
+
+def _licence_sql() -> str:
+    values = ", ".join(f"('{words}', '{name}')" for name, words in licences.SENTENCES.items())
+    fires = {n: " OR ".join(f"contains(joined, ' {' '.join(s)} ')" for s in found) for n, found in licences.RULES.items()}
+    fires["BSD-2-Clause"] = f"({fires['BSD-2-Clause']}) AND NOT ({fires['BSD-3-Clause']})"
+    named = ", ".join(f"CASE WHEN {condition} THEN '{name}' END" for name, condition in fires.items())
+    normal = "trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g'))"
+    return rf"""
+WITH known(words, name) AS (VALUES {values}),
+sentences AS (
+    SELECT doc_id, text, unnest(s) AS part, generate_subscripts(s, 1) AS i
+    FROM (SELECT doc_id, text, string_split(regexp_replace(coalesce(text, ''), '{licences.ENDS}', chr(1), 'g'), chr(1)) AS s FROM documents)
+),
+whole AS (SELECT s.*, k.name FROM sentences s LEFT JOIN known k ON k.words = {normal}),
+lines AS (
+    SELECT doc_id, i, unnest(l) AS part, generate_subscripts(l, 1) AS j
+    FROM (SELECT doc_id, i, string_split(part, chr(10)) AS l FROM whole WHERE name IS NULL)
+),
+found AS (
+    SELECT doc_id, i, 0 AS j, name FROM whole WHERE name IS NOT NULL
+    UNION ALL SELECT doc_id, i, j, k.name FROM lines JOIN known k ON k.words = {normal}
+),
+sequence AS (SELECT doc_id, count(*) AS n, string_agg(name, ' ' ORDER BY i, j) AS ids FROM found GROUP BY doc_id),
+joined AS (
+    SELECT d.doc_id, coalesce(n, 0) AS n_sentences, coalesce(ids, '') AS sentence_ids, ' ' || coalesce(ids, '') || ' ' AS joined
+    FROM documents d LEFT JOIN sequence s ON s.doc_id = d.doc_id
+)
+SELECT doc_id, n_sentences, sentence_ids, concat_ws(' ', {named}) AS licences FROM joined
+"""
+
+
+ORACLES["op2_licence_sentences"] = _licence_sql()
+
+
+@query
+def op7_chat_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    added = spark.sql(f"SELECT -7L AS conv_id, 0L AS turn, 'user' AS role, '{text}' AS text UNION ALL SELECT -7L, 1L, 'assistant', '{text}'")
+    return chat.read_back(chat.format_turns(given.unionByName(added)))
+
+
+def _chat_sql() -> str:
+    controls = " + ".join(f"(length(text) - length(replace(text, '{c}', ''))) // {len(c)}" for c in chat.CONTROLS)
+    marks = " ".join(f"WHEN '{role}' THEN {len(a) + len(b)}" for role, (a, b) in chat.MARKS.items())
+    other = len(chat.OTHER_OPEN + chat.OTHER_NAMED + chat.OTHER_CLOSE)
+    return rf"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'
+), e AS (
+    SELECT *, length(text) - length(replace(text, '\', '')) + {controls} AS escapes,
+           CASE role {marks} ELSE {other} + length(role) END AS marks
+    FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       ({len(chat.HEAD)} + sum(length(text) + marks + escapes))::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+ORACLES["op7_chat_round_trip"] = _chat_sql()
+
+
+@query
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, folder, "documents"))
+    columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
+    return judged.select(*columns)
