@@ -10,21 +10,24 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.arrays import SPACE, mixed, pieces
 
-#: ASCII letters folded to lower case, digits to one byte, white space to a blank.
+#: Letters only: lower case (also the accented letters of Latin-1), all other ASCII characters to a blank.
 FOLDED = np.arange(256, dtype=np.uint8)
 FOLDED[65:91] += 32
-FOLDED[48:58] = 48
-FOLDED[SPACE] = 32
+FOLDED[:65] = FOLDED[91:97] = FOLDED[123:128] = 32
+FOLDED[0x80:0x9F] += 32
 SPACED = np.arange(256, dtype=np.uint8)
 SPACED[48:58] = 48
 SPACED[SPACE] = 32
 
 
 def ngram_counts(texts: list[bytes], width: int, size: int, fold: np.ndarray = FOLDED) -> np.ndarray:
-    """(text, hash) counts of byte runs of ``width``; every text has a blank at both ends."""
+    """(text, hash) counts of byte runs of ``width``; every text has a blank at both ends, runs of blanks count as one."""
     joined = fold[np.frombuffer(b" " + b"  ".join(texts) + b" ", np.uint8)]
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 2
     owner = np.repeat(np.arange(len(texts)), lengths)
+    again = np.zeros(len(joined), bool)
+    again[1:] = (joined[1:] == 32) & (joined[:-1] == 32) & (owner[1:] == owner[:-1])
+    joined, owner = joined[~again], owner[~again]
     n = len(joined) - width + 1
     if n <= 0:
         return np.zeros((len(texts), size), np.float32)

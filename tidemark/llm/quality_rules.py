@@ -95,15 +95,18 @@ def rules() -> dict[str, tuple[Column, Column]]:
     """Per rule the conditions to vote against and for; neither: it abstains."""
     repeated, symbols, lines = _share("n_repeat_words", "n_words"), _share("n_symbols", "n_words"), _share("n_dup_lines", "n_lines")
     length, kinds, capitals = _share("word_chars", "n_words"), _share("n_kinds", "n_words"), _share("n_capitals", "n_letters")
-    long_enough = F.col("n_words") >= 50
+    long_enough, never = F.col("n_words") >= 50, F.lit(False)
+    # Faults speak against a text one by one; only a text that is sound in all respects is spoken for.
+    sound = (symbols < 0.05) & (capitals < 0.2) & (length >= 3) & (length <= 12)
     return {
-        "repeated words": (repeated > 0.2, repeated < 0.02),
-        "symbols": (symbols > 0.2, symbols < 0.02),
-        "repeated lines": (lines > 0.3, (lines == 0) & (F.col("n_lines") >= 3)),
-        "word length": ((length < 2.5) | (length > 15), (length >= 3) & (length <= 9)),
-        "capitals": (capitals > 0.5, capitals < 0.2),
-        "kinds of words": (long_enough & (kinds < 0.2), long_enough & (kinds > 0.35)),
-        "text length": (F.lit(False), F.col("n_words") >= 100),
+        "repeated words": (repeated > 0.3, never),
+        "symbols": (symbols > 0.15, never),
+        "repeated lines": (lines > 0.3, never),
+        "word length": ((length < 2.5) | (length > 15), never),
+        "capitals": (capitals > 0.4, never),
+        "kinds of words": (long_enough & (kinds < 0.2), never),
+        "sound prose": (never, sound & (repeated < 0.3)),
+        "text length": (never, sound & (F.col("n_words") >= 100)),
     }
 
 
