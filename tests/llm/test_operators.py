@@ -1,0 +1,457 @@
+"""Each operator against brute force, an exact round trip or held-out accuracy, on small tables."""
+
+import hashlib
+import itertools
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import chat, exact_dedup, language, licences, mixing, near_join, packing, quality_knn, quality_rules, toxicity
+from tidemark.llm.arrays import Words
+from tidemark.llm.components import components
+from tidemark.llm.queries import domain_of_source
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, tokens string, n int, kept string, links string"
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def prose(seed: int, n: int = 120) -> str:
+    rng = np.random.default_rng(seed)
+    made = ["".join(rng.choice(list("abdefgilmnorstu"), rng.integers(2, 8))) for _ in range(n)]
+    return ". ".join(" ".join(made[i : i + 12]) for i in range(0, n, 12)) + "."
+
+
+def edited(text: str, every: int) -> str:
+    words = text.split()
+    return " ".join("changed" if i % every == every - 1 else w for i, w in enumerate(words))
+
+
+def frame(spark, rows):
+    """Documents with further columns whose names clash with the operators' own."""
+    full = [(i, t, lang, source, None, "k", "t", 1, "x", "y") for i, t, lang, source in rows]
+    return spark.createDataFrame(full, SCHEMA)
+
+
+ODD_ROWS = [
+    (None, "no id", "en", "src1"),
+    (1, None, None, None),
+    (2, "", "en", "src1"),
+    (3, " \t\n", "en", ""),
+    (4, "word", "en", "src2"),
+    (4, "word", "en", "src2"),
+    (5, "x" * 60_000 + " end", "de", "src3"),
+    (6, "日本語 текст ünï", "xx", "src1"),
+    (7, "wo rd", "en", "src2"),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return frame(spark, ODD_ROWS)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return frame(spark, [])
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    rows = [(i, prose(i), "en", f"src{i % 5}") for i in range(60)]
+    rows += [(100 + i, prose(i % 3), "en", "src0") for i in range(30)]  # a hot group of copies
+    rows += [(200 + i, edited(prose(7), 40 + i), "en", "src0") for i in range(25)]  # near copies
+    rows += [(300 + i, edited(prose(8), 3), "en", "src1") for i in range(3)]
+    return frame(spark, rows), rows
+
+
+def test_word_arrays_match_plain_python():
+    texts = ["a b a b c", "", "one", " x\ty\vz ", "ä ö\nü ä ö"]
+    words = Words([t.encode() for t in texts])
+    found = defaultdict(list)
+    for o, s, e in zip(words.owner, words.start, words.end, strict=True):
+        found[o].append(words.buffer[s:e].tobytes().decode())
+    assert [found[i] for i in range(len(texts))] == [WORDS.findall(t) for t in texts]
+    hashes = words.hashes()
+    by_word = defaultdict(set)
+    for h, s, e in zip(hashes, words.start, words.end, strict=True):
+        by_word[words.buffer[s:e].tobytes()].add(int(h))
+    assert all(len(v) == 1 for v in by_word.values()) and len(set().union(*by_word.values())) == len(by_word)
+
+
+def test_components(spark):
+    edges = [(1, 2), (2, 3), (3, 4), (10, 11), (20, 21), (21, 22), (22, 20), (30, 30)] + [(50, 50 + i) for i in range(1, 40)]
+    found = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert {found[i] for i in (1, 2, 3, 4)} == {1} and found[11] == 10 and found[22] == 20 and found[77] == 50 and 30 not in found
+
+
+# exact duplicates
+
+
+def brute_groups(rows):
+    groups = defaultdict(list)
+    for i, t, *_ in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]", "", t or "")].append((-len(t or ""), i is None, i))
+    return groups
+
+
+@pytest.mark.parametrize("capacity", [2, 4096])
+def test_exact_groups(spark, corpus, capacity):
+    df, rows = corpus
+    found = {r["doc_id"]: r for r in exact_dedup.duplicates(df, capacity=capacity, max_depth=6).collect()}
+    assert len(found) == len(rows)
+    for content, members in brute_groups(rows).items():
+        keep = min(members)[2]
+        for *_, i in members:
+            r = found[i]
+            assert (r["keep_id"], r["group_size"], r["kept"]) == (keep, len(members), i == keep)
+            assert r["text_sha256"] == hashlib.sha256(content.encode()).hexdigest()
+
+
+def test_exact_odd_rows(odd, empty):
+    found = exact_dedup.duplicates(odd).collect()
+    assert len(found) == len(ODD_ROWS)
+    assert Counter(r["kept"] for r in found)[True] == len(brute_groups(ODD_ROWS))
+    assert {r["keep_id"] for r in found if r["doc_id"] in (1, 2, 3)} == {3}
+    assert {r["keep_id"] for r in found if r["doc_id"] in (4, 7)} == {7}
+    assert exact_dedup.duplicates(empty).count() == 0
+    kept = exact_dedup.keep_one(odd)
+    assert kept.columns == odd.columns and kept.count() == len(brute_groups(ODD_ROWS))
+
+
+def test_directory_doubles_until_buckets_fit():
+    keys = {0: 5, 1: 1, 2: 1, 3: 0, 4: 1, 5: 1, 6: 0, 7: 1}
+    assert exact_dedup.directory(keys, 3, 3) == [0, 1, 2, 2, 4, 4, 4, 4]
+    assert exact_dedup.directory({}, 3, 3) == [0] * 8
+
+
+# near copies
+
+
+def brute_links(rows):
+    texts = defaultdict(list)
+    for i, t, *_ in rows:
+        texts[t or ""].append(i)
+    sets = {}
+    for t in texts:
+        w = WORDS.findall(t)
+        sets[t] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    linked = [(a, b) for a, b in itertools.combinations(sets, 2) if sets[a] and sets[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    parent = {t: t for t in texts}
+
+    def root(t):
+        while parent[t] != t:
+            t = parent[t]
+        return t
+
+    degree = Counter()
+    for a, b in linked:
+        degree[a] += 1
+        degree[b] += 1
+        parent[root(a)] = root(b)
+    least = {}
+    for t, ids in texts.items():
+        known = [i for i in ids if i is not None]
+        least[root(t)] = min([*known, least.get(root(t), 10**9)])
+    return {(i, least[root(t)], degree[t], len(ids)) for t, ids in texts.items() for i in ids}
+
+
+@pytest.mark.parametrize("block", [8, 256])
+def test_jaccard_links(corpus, monkeypatch, block):
+    monkeypatch.setattr(near_join, "BLOCK", block)
+    df, rows = corpus
+    found = {(r["doc_id"], r["class_id"], r["links"], r["copies"]) for r in near_join.links(df).collect()}
+    assert found == brute_links(rows)
+
+
+def test_jaccard_odd_rows(odd, empty):
+    found = near_join.links(odd).collect()
+    assert len(found) == len(ODD_ROWS) and all(r["links"] == 0 for r in found)
+    assert near_join.links(empty).count() == 0
+    assert near_join.keep_one(odd).columns == odd.columns
+
+
+def test_prefixes_are_shortened_to_the_recall():
+    d = near_join.matched_depth(0.8, 30, 10, 0.999)
+    assert 1 - (1 - 0.8**d) ** 30 >= 0.999 > 1 - (1 - 0.8 ** (d + 1)) ** 30
+
+
+# packing
+
+
+def check_pieces(rows, pieces, length):
+    from tokenizers import Tokenizer
+
+    encoder = Tokenizer.from_file(TOKENIZER)
+    want = Counter()
+    for i, t, *_ in rows:
+        ids = np.array([*encoder.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
+        want[(i, ids.tobytes())] += 1
+    place = sorted((p["sequence_id"], p["offset"], p["length"]) for p in pieces)
+    for (s, o, n), (s2, o2, _) in itertools.pairwise(place):
+        assert (s2, o2) == ((s, o + n) if o + n < length else (s + 1, 0))
+    rebuilt = Counter()
+    run: dict = {}
+    for p in sorted(pieces, key=lambda p: (p["sequence_id"], p["offset"])):
+        ids = np.array(p["ids"], "<u4")
+        assert len(ids) == p["length"] and zlib.crc32(ids.tobytes()) == p["ids_crc32"]
+        held = run.setdefault(p["doc_id"], [])
+        assert p["start"] == sum(map(len, held))
+        held.append(ids)
+        if sum(map(len, held)) == p["doc_tokens"]:
+            rebuilt[(p["doc_id"], np.concatenate(run.pop(p["doc_id"])).tobytes())] += 1
+    assert rebuilt == want and not run
+
+
+def test_pieces_hold_every_id_once(corpus):
+    df, rows = corpus
+    check_pieces(rows, packing.pack(df, TOKENIZER, length=64, with_ids=True).collect(), 64)
+
+
+def test_packing_odd_rows(odd, empty):
+    pieces = packing.pack(odd, TOKENIZER, length=64, with_ids=True)
+    check_pieces(ODD_ROWS, pieces.collect(), 64)
+    made = packing.sequences(pieces, 64).collect()
+    assert all(len(r["ids"]) in (64, r["used"]) for r in made)
+    assert packing.pack(empty, TOKENIZER).count() == 0
+
+
+def test_chunks_have_the_tokenizers_own_ids():
+    from tokenizers import Tokenizer
+
+    from tidemark.llm.tokens import ChunkIds
+
+    plain, chunks = Tokenizer.from_file(TOKENIZER), ChunkIds(TOKENIZER, 1)
+    texts = ["It's  a\ttest's\x1c end", "", "É e\u0301 ﬁ\u00a0x\u2003y", "<|endoftext|> a<|startoftext|>b", "don't! WE'LL\n\n12 3.5", "\u0301 x \u0301"]
+    ids, counts = chunks.encode(texts)
+    parts = np.split(ids, np.cumsum(counts)[:-1])
+    assert [p.tolist() for p in parts] == [[*plain.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
+def test_hilbert_neighbours_touch():
+    side = np.array(list(itertools.product(range(8), repeat=3)))
+    path = side[np.argsort(packing.hilbert_keys(side, 3))]
+    assert len(set(map(tuple, path))) == 512 and (np.abs(np.diff(path, axis=0)).sum(1) == 1).all()
+
+
+# mixture
+
+
+def test_shortages_go_to_siblings_first():
+    tokens = {("a", "x", "1"): 100, ("a", "x", "2"): 1000, ("a", "y", "1"): 1000, ("b", "x", "1"): 1000}
+    found = mixing.budgets(tokens, 800, {("a",): 1, ("b",): 1}, 1)
+    assert found == {("a", "x", "1"): 100, ("a", "x", "2"): 100, ("a", "y", "1"): 200, ("b", "x", "1"): 400}
+    tight = mixing.budgets({("a", "x", "1"): 100, ("a", "x", "2"): 1000, ("b", "x", "1"): 1000}, 1000, {("a", "x", "1"): 9}, 1)
+    assert tight == {("a", "x", "1"): 100, ("a", "x", "2"): 400, ("b", "x", "1"): 500}
+    assert sum(mixing.budgets(tokens, 10**9, {}, 2).values()) == 2 * sum(tokens.values())
+    assert mixing.budgets({}, 10, {}, 1) == {}
+
+
+@pytest.mark.parametrize("slice_rows", [4, 4096])
+def test_mixture_is_the_seeded_prefix(spark, corpus, monkeypatch, slice_rows):
+    monkeypatch.setattr(mixing, "SLICE_ROWS", slice_rows)
+    df, rows = corpus
+    weights = {("web",): 0.6, ("books",): 0.3, ("reference",): 0.1}
+    chosen = Counter((r["doc_id"], r["epoch"]) for r in mixing.mix(df, domain_of_source(), weights, 0.9, 3).collect())
+    assert max(chosen.values()) == 1
+    keyed = df.select("doc_id", domain_of_source().alias("domain"), "lang", "source", F.xxhash64("doc_id", "text").alias("key"), "text").collect()
+    leaves = defaultdict(list)
+    for r in keyed:
+        leaves[(r["domain"], r["lang"], r["source"])].append((r["doc_id"], r["key"], len(WORDS.findall(r["text"]))))
+    held = {k: sum(x[2] for x in v) for k, v in leaves.items()}
+    granted = mixing.budgets(held, 0.9 * sum(held.values()), weights, 3)
+    want = set()
+    for leaf, members in leaves.items():
+        whole, rest = divmod(granted[leaf], held[leaf])
+        want |= {(i, e) for i, *_ in members for e in range(whole)}
+        hashed = spark.createDataFrame([(i, k, t, whole) for i, k, t in members], "i long, k long, t long, e int")
+        order = sorted((r["h"], r["i"], r["t"]) for r in hashed.select("i", "t", F.xxhash64("k", F.lit(mixing.SEED), "e").alias("h")).collect())
+        before = 0
+        for _, i, t in order:
+            if rest and before + t / 2 <= rest:
+                want.add((i, whole))
+            before += t
+    assert set(chosen) == want
+
+
+def test_mixture_odd_rows(odd, empty):
+    found = mixing.mix(odd, domain_of_source(), {}, 4.0, 4)
+    # Without tokens a row comes along only where its leaf gives whole epochs: the empty text of src1 does.
+    assert sorted(r["doc_id"] or 0 for r in found.where("epoch = 0").collect()) == [0, 2, 4, 4, 5, 6, 7]
+    assert {r["key"] for r in found.collect()} == {"k"}
+    assert mixing.mix(empty, domain_of_source(), {}, 0.5, 1).count() == 0
+
+
+# toxicity, language, quality
+
+
+def test_toxic_words_are_learnt_and_clean_texts_left_alone(spark):
+    def text(i):
+        words = prose(i, 150).split()
+        if i % 4 == 0:
+            for k in range(5, 150, 30):
+                words[k] = ["zonkwit", "zonkwitty", "blarghed", "blargher"][(i + k) % 4]
+        return " ".join(words)
+
+    rows = [(i, text(i), "en", "s") for i in range(400)]
+    df = frame(spark, rows)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)] + [(None, 1), (5, None)], "doc_id long, toxic int")
+    model = toxicity.fit(df, labels)
+    assert {"zonkw", "blarg"} & {e[:5] for e in model.ratios}
+    scores = {r["doc_id"]: r["s"] for r in df.select("doc_id", toxicity.score_column(df, model).alias("s")).collect()}
+    wrong = [i for i in range(300, 400) if (scores[i] >= 0.7) != (i % 4 == 0)]
+    assert len(wrong) <= 2
+
+
+def test_toxicity_odd_rows(spark, odd, empty):
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.fit(odd, labels)
+    assert [r["s"] for r in odd.select(toxicity.score_column(odd, model).alias("s")).collect()] == [0.0] * len(ODD_ROWS)
+    assert empty.select(toxicity.score_column(empty, model)).count() == 0
+
+
+def test_languages(spark, odd, empty):
+    alphabets = {"aa": "abcdef", "bb": "klmnop", "cc": "tuvwxy"}
+
+    def text(lang, i):
+        rng = np.random.default_rng(i)
+        return " ".join("".join(rng.choice(list(alphabets[lang]), rng.integers(2, 7))) for _ in range(40))
+
+    rows = [(i, text(lang, i), lang if i < 240 else None, "s") for i, lang in enumerate(list(alphabets) * 100)]
+    df = frame(spark, rows)
+    found = {r["doc_id"]: r for r in language.classify(df, language.fit(df)).collect()}
+    assert all(found[i]["lang_pred"] == list(alphabets)[i % 3] and 0 < found[i]["score"] <= 1 for i in range(240, 300))
+    unknown = [r for r in language.classify(odd, language.fit(df)).collect() if r["lang_pred"] == "und"]
+    assert sorted(r["doc_id"] for r in unknown) == [1, 2, 3] and all(r["score"] == 0 for r in unknown)
+    assert {r["lang_pred"] for r in language.classify(df, None).collect()} == {"und"}
+    assert language.classify(empty, language.fit(df)).count() == 0 and language.fit(empty) is None
+
+
+def test_quality_votes(spark, odd, empty):
+    def text(i):
+        words = prose(i, 80).split()
+        kind = i % 8
+        return " ".join(w.upper() + "!!" for w in words) if kind == 0 else " ".join([words[0]] * 40 + [words[1]] * 40) if kind == 1 else " ".join(words)
+
+    df = frame(spark, [(i, text(i), "en", "s") for i in range(320)])
+    labels = spark.createDataFrame([(i, int(i % 8 > 1)) for i in range(240)] + [(None, 1), (3, None)], "doc_id long, quality int")
+    space = quality_knn.fit(df, labels)
+    found = {r["doc_id"]: r["score"] for r in quality_knn.score(df, space).collect()}
+    assert sum((found[i] >= 0.3) != (i % 8 > 1) for i in range(240, 320)) <= 1
+    assert quality_knn.score(odd, space).count() == len(ODD_ROWS) and quality_knn.score(empty, space).count() == 0
+    assert {r["score"] for r in quality_knn.score(odd, quality_knn.fit(odd, labels.limit(0))).collect()} == {0.5}
+
+
+def test_votes_are_exact():
+    rng = np.random.default_rng(1)
+    x, labelled = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (rng.normal(size=(20, 6)), rng.normal(size=(50, 6))))
+    labels = rng.integers(0, 2, 50).astype(float)
+    found = quality_knn.votes(x, quality_knn.Space(np.ones(1), np.eye(6), labelled, labels), 7)
+    for v, got in zip(x, found, strict=True):
+        near = sorted(((float(v @ w), y) for w, y in zip(labelled, labels, strict=True)), reverse=True)[:7]
+        weight = [np.exp(quality_knn.SHARPNESS * (c - 1)) for c, _ in near]
+        assert got == pytest.approx(sum(w * y for w, (_, y) in zip(weight, near, strict=True)) / sum(weight))
+
+
+# quality rules
+
+
+def brute_counts(text):
+    words = WORDS.findall(text or "")
+    windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    cover = {i + k for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for k in range(8)}
+    lines = [x for x in (text or "").split("\n") if WORDS.search(x)]
+    return {
+        "n_words": len(words),
+        "word_chars": sum(map(len, words)),
+        "n_symbols": len(re.findall(r"[#*$%&|<>]", text or "")),
+        "n_dup_lines": len(lines) - len(set(lines)),
+        "n_repeat_words": len(cover),
+    }
+
+
+def test_rule_counts(spark, odd):
+    line = " ".join(f"w{i}" for i in range(12))
+    texts = [line, f"{line}\n{line}\n\n{line} ", "ä # $$ <b>\n \n# x", "a " * 40, *[r[1] for r in ODD_ROWS]]
+    df = frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    for r in quality_rules.judge(df).collect():
+        want = brute_counts(texts[r["doc_id"]])
+        assert {c: r[c] for c in want} == want
+        assert r["base_failed"] == (want["n_words"] < 20 or 100 * want["n_repeat_words"] > 30 * want["n_words"])
+        assert not (r["base_failed"] and r["kept"])
+    assert quality_rules.judge(odd).count() == len(ODD_ROWS)
+
+
+def test_expectation_maximisation_trusts_the_better_rules():
+    rng = np.random.default_rng(3)
+    truth = rng.random(4000) < 0.7
+    votes = np.stack([np.where(rng.random(4000) < a, truth, ~truth) + 1 for a in (0.95, 0.9, 0.6)], 1)
+    votes[rng.random(votes.shape) < 0.2] = 0
+    patterns = Counter(map(tuple, votes.tolist()))
+    posterior, chance = quality_rules.fit(patterns, 3)
+    right = [(posterior[tuple(v)] >= 0.5) == t for v, t in zip(votes.tolist(), truth, strict=True)]
+    assert np.mean(right) > 0.88 and chance[0, 1, 2] > chance[2, 1, 2] and len(posterior) == 27
+
+
+def test_rules_on_empty_table(empty):
+    assert quality_rules.judge(empty).count() == 0
+
+
+# licences
+
+
+def test_licence_rules(spark, odd, empty):
+    s = licences.SENTENCES
+    texts = [
+        "Title\nReleased under the MIT License.\nMore text.",
+        f"{s['bsd-forms']}: {s['bsd-source']}. {s['bsd-binary']}. {s['bsd-endorse']}.",
+        f"{s['bsd-forms']}: {s['bsd-source']}.\n\n{s['bsd-binary']}.",
+        f"{s['mit-condition']}. {s['mit-grant']}.",
+        "Licensed under the Apache License,\nVersion 2.0. All rights reserved.",
+        "We license nothing here. Rights matter.",
+    ]
+    df = frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    found = {r["doc_id"]: r for r in licences.scan(df).collect()}
+    assert [found[i]["licences"] for i in range(6)] == [["MIT"], ["BSD-3-Clause"], ["BSD-2-Clause"], [], ["Apache-2.0", "Proprietary"], []]
+    assert found[3]["sentence_ids"] == ["mit-condition", "mit-grant"]
+    assert all(r["licences"] == [] for r in licences.scan(odd).collect()) and licences.scan(empty).count() == 0
+
+
+def test_every_sentence_is_normal_and_anchored():
+    assert all(re.fullmatch(r"[a-z0-9]+( [a-z0-9]+)*", w) and any(a in w for a in licences.ANCHORS) for w in licences.SENTENCES.values())
+    assert {i for found in licences.RULES.values() for s in found for i in s} <= set(licences.SENTENCES)
+
+
+# chat
+
+
+HARD = ["", " ", "[INST]", " [/INST]", "</s>[INST] ok [/INST]", "\\", "\\\\[/INST]\\", "a [/INS", "<<SYS>> x <</SYS>>", "[ROLE] [IS] [/ROLE]", "é\n😀</s", "\\</s>"]
+
+
+@pytest.mark.parametrize("role", ["user", "assistant", "system", "tool [IS] x", ""])
+def test_turns_come_back(role):
+    for text in HARD:
+        segment, begin, end = chat.render_turn(role, text)
+        assert chat.parse(chat.HEAD + segment) == [(role, text)] and chat.plain(segment[begin:end]) == text
+
+
+def test_conversations(spark):
+    rows = [(c, t, ["user", "assistant", None][t % 3], HARD[(c + t) % len(HARD)]) for c in range(6) for t in range(4)]
+    rows += [(None, 1, "user", None), (3, None, "system", "first"), (2, 1, "assistant", "tie"), (2, 1, "assistant", "tie")]
+    segments = chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    whole = {r["conv_id"]: r["formatted"] for r in chat.whole(segments).collect()}
+    found = {r["conv_id"]: r for r in chat.read_back(segments).collect()}
+    assert len(found) == 7
+    for conv, r in found.items():
+        own = sorted((x for x in rows if x[0] == conv), key=lambda x: (x[1] is not None, x[1] or 0, x[2] is not None, x[2] or "", x[3] or ""))
+        turns = [(x[2] or "", x[3] or "") for x in own]
+        loss = "".join(t for role, t in turns if role == "assistant")
+        assert sorted(chat.parse(whole[conv])) == sorted(turns) and r["formatted_chars"] == len(whole[conv])
+        assert r["n_turns"] == len(turns) and r["loss_chars"] == len(loss) and r["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+        assert r["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
+    assert chat.read_back(segments.limit(0)).count() == 0

@@ -93,9 +93,11 @@ def mix(
 
     ``share`` is the budget as a part of all tokens (it may be above 1 with several epochs).
     """
-    named = documents.withColumn("domain", domain)
-    key = F.xxhash64("doc_id", "text")
-    rows = stored(named.select(*LEAF, key.alias("key"), _words(F.col("text")).alias("tokens")), "mixing-rows")
+    # The given columns stay apart from the ones made here, whatever their names.
+    named = documents.select(
+        domain.alias("domain"), "lang", "source", F.xxhash64("doc_id", "text").alias("key"), _words(F.col("text")).alias("tokens"), F.struct("*").alias("row")
+    )
+    rows = stored(named.select(*LEAF, "key", "tokens"), "mixing-rows")
     leaves = rows.groupBy(*LEAF).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")).collect()
     held = {tuple(r[c] for c in LEAF): int(r["tokens"]) for r in leaves}
     spark = documents.sparkSession
@@ -138,16 +140,16 @@ def mix(
     schedule = stored(_outer(plan, ends_cut), "mixing-schedule")
     if len(plan_rows) <= BROADCAST_LEAVES:
         schedule = F.broadcast(schedule)
-    chosen = with_plan(named.withColumn("key", key), schedule).withColumn("place", order).withColumn("slice", piece)
+    chosen = with_plan(named, schedule).withColumn("place", order).withColumn("slice", piece)
     # A leaf with a rest but no end slice holds nothing beyond it: that can only be a leaf without tokens.
     partial = (F.col("rest") > 0) & F.coalesce((F.col("slice") < F.col("end")) | ((F.col("slice") == F.col("end")) & (F.col("place") <= F.col("cut"))), F.lit(False))
     times = F.col("whole") + partial.cast("int")
-    kept = [F.col(c) for c in documents.columns if c not in ("epoch", "tokens", "domain")]
+    kept = [F.col("row")[c].alias(c) for c in documents.columns if c not in ("epoch", "tokens", "domain")]
     return (
         chosen.withColumn("times", times)
         .where("times > 0")
         .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("times") - 1)))
-        .select(*kept, "domain", _words(F.col("text")).alias("tokens"), "epoch")
+        .select(*kept, "domain", "tokens", "epoch")
     )
 
 
