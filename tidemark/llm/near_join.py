@@ -168,7 +168,8 @@ def links(documents: DataFrame, trees: int = TREES, depth: int = DEPTH, recall:
     texts = documents.select(F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("same"), "text")
     wanted = placed.select("same")
     # Copies are folded here, before texts are dealt to their tasks.
-    chosen = texts.join(wanted, "same", "left_semi").distinct()
+    # The same join at every size: a broadcast that only small inputs get would hide what large ones move.
+    chosen = texts.join(wanted.hint("merge"), "same", "left_semi").distinct()
     verified = stored(
         keyed.join(chosen, "same").drop("same").groupBy("task", "bi", "bj").applyInPandas(_verified, "node long, links long, root long"),
         "join-verified",
