@@ -72,9 +72,8 @@ def test_tier_rules(spark, r, f, m, tier):
     assert df.select(gold.rfm_tier(F.col("r"), F.col("f"), F.col("m"))).head()[0] == tier
 
 
-@pytest.mark.parametrize("small_rows", [1000, 0])
-def test_product_performance(s, small_rows):
-    df = gold.product_performance(s["products"], s["orders"], s["order_items"], s["reviews"], small_rows=small_rows)
+def test_product_performance(s):
+    df = gold.product_performance(s["products"], s["orders"], s["order_items"], s["reviews"])
     got = by(df, "product_id")
     p1, p2, p3, p4 = (got[p] for p in ("P1", "P2", "P3", "P4"))
     assert (p1["total_revenue"], p1["units_sold"], p1["order_count"]) == (Decimal("162.44"), 7, 2)
@@ -124,9 +123,8 @@ def test_mart_customer_360(stg):
     assert (c3["avg_order_value"], c3["estimated_ltv"], c3["days_since_last_order"], c3["rfm_recency"]) == (0, 0, 9999, 1)
 
 
-@pytest.mark.parametrize("small_rows", [1000, 0])
-def test_mart_product_performance(stg, small_rows):
-    got = by(marts.mart_product_performance(stg["products"], stg["orders"], stg["items"], small_rows=small_rows), "product_id")
+def test_mart_product_performance(stg):
+    got = by(marts.mart_product_performance(stg["products"], stg["orders"], stg["items"]), "product_id")
     assert got["P1"]["avg_selling_price"] == pytest.approx(24.99) and got["P4"]["avg_selling_price"] == 500.0
     assert {p: r["overall_revenue_rank"] for p, r in got.items()} == {"P3": 1, "P1": 2, "P2": 3, "P4": 4}
 
@@ -147,9 +145,10 @@ def test_star_schema(s):
     products = star.dim_product(s["products"])
     orders = star.fact_orders(s["orders"], customers)
     items = by(star.fact_order_items(s["order_items"], orders, products), "item_id")
-    assert {r["customer_id"]: r["customer_key"] for r in customers.collect()} == {f"C{i}": i for i in range(1, 6)}
+    assert {r["customer_id"]: r["customer_key"] for r in customers.collect()} == {f"C{i}": i for i in range(1, 6)} | {None: -1}
     facts = by(orders, "order_id")
-    assert [facts[o]["order_key"] for o in sorted(facts)] == [1, 2, 3, 4, 5, 6]
+    assert [facts[o]["order_key"] for o in sorted(o for o in facts if o)] == [1, 2, 3, 4, 5, 6] and facts[None]["order_key"] == -1
+    assert by(products, "product_key")[-1]["category"] == "unknown"
     assert facts["O5"]["customer_key"] == star.UNKNOWN_KEY and facts["O1"]["customer_key"] == 1
     assert items["I9"]["order_key"] == -1 and items["I9"]["product_key"] == -1
     assert items["I4"]["order_key"] == facts["O3"]["order_key"] and items["I4"]["product_key"] == 1

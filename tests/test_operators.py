@@ -89,38 +89,36 @@ def brute_rank(rows, groups, value):
     return result
 
 
-@pytest.mark.parametrize("small_rows", [10_000, 0])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_rank_forms_match_the_definition(spark, small_rows, seed):
+def test_rank_forms_match_the_definition(spark, seed):
     rng = random.Random(seed)
     values = [0] * 120 + [rng.randrange(15) for _ in range(150)] + [rng.random() * 100 for _ in range(60)] + [None] * 9
     cats = ["hot"] * 200 + [f"c{rng.randrange(6)}" for _ in range(120)] + [None] * 19
     rng.shuffle(values)
     rows = [{"id": i, "cat": c, "v": None if v is None else float(v)} for i, (c, v) in enumerate(zip(cats, values))]
     df = spark.createDataFrame([(r["id"], r["cat"], r["v"]) for r in rows], "id INT, cat STRING, v DOUBLE")
-    got = rank_by(df, [("in_cat", ["cat"], "v"), ("overall", [], "v")], small_rows).collect()
+    got = rank_by(df, [("in_cat", ["cat"], "v"), ("overall", [], "v")]).collect()
     assert Counter((r["id"], r["in_cat"]) for r in got) == brute_rank(rows, ["cat"], "v")
     assert Counter((r["id"], r["overall"]) for r in got) == brute_rank(rows, [], "v")
 
 
 def test_large_rank_never_sorts_in_one_task(spark):
     df = spark.range(1000).select("id", (F.col("id") % 7).alias("cat"), (F.col("id") % 50).alias("v"))
-    ranked = rank_by(df, [("in_cat", ["cat"], "v")], small_rows=0)
+    ranked = rank_by(df, [("in_cat", ["cat"], "v")])
     assert "SinglePartition" not in ranked._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("small_rows", [10_000, 0])
-def test_dense_numbers(spark, small_rows):
+def test_dense_numbers(spark):
     keys = [f"k{i:04d}" for i in range(500)]
     random.Random(3).shuffle(keys)
     df = spark.createDataFrame([(k,) for k in keys], "k STRING").repartition(7)
-    got = {r["k"]: r["n"] for r in dense_numbers(df, ["k"], "n", small_rows).collect()}
+    got = {r["k"]: r["n"] for r in dense_numbers(df, ["k"], "n").collect()}
     assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
 
 
 def test_dense_numbers_of_nothing(spark):
     df = spark.createDataFrame([], "k STRING")
-    assert dense_numbers(df, ["k"], "n", 0).count() == 0
+    assert dense_numbers(df, ["k"], "n").count() == 0
 
 
 def test_running_figures_are_over_rows_present(spark):

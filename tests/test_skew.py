@@ -50,7 +50,7 @@ def skewed_joins(df):
 
 
 def test_order_lookup_of_items_is_split(spark, eager_splitting, items):
-    orders = dense_numbers(items.select("order_id").distinct(), ["order_id"], "order_key", small_rows=0)
+    orders = dense_numbers(items.select("order_id").distinct(), ["order_id"], "order_key")
     joined = silver.order_items(items).join(orders.select("order_id", "order_key"), "order_id", "left")
     assert any("order_id" in line for line in skewed_joins(joined))
 
@@ -63,7 +63,7 @@ def test_salted_lookup_is_split_further(spark, eager_splitting, items):
 
 def test_rank_of_a_shared_value_is_split(spark, eager_splitting, items):
     rows = items.select("item_id", "noise", F.when(F.col("quantity") < 6, 0).otherwise(F.col("noise")).alias("v"))
-    assert skewed_joins(rank_by(rows, [("r", [], "v")], small_rows=0))
+    assert skewed_joins(rank_by(rows, [("r", [], "v")]))
 
 
 def test_items_are_folded_before_they_meet_orders(spark, items):
@@ -75,9 +75,9 @@ def test_items_are_folded_before_they_meet_orders(spark, items):
 
 def test_fact_items_are_whole_under_skew(spark, eager_splitting, items):
     cleaned = silver.order_items(items)
-    orders = dense_numbers(items.select("order_id").distinct(), ["order_id"], "order_key", small_rows=0)
-    products = dense_numbers(items.select("product_id").distinct(), ["product_id"], "product_key", small_rows=0)
-    facts = star.fact_order_items(cleaned, orders, products, small_rows=0)
+    orders = dense_numbers(items.select("order_id").distinct(), ["order_id"], "order_key")
+    products = dense_numbers(items.select("product_id").distinct(), ["product_id"], "product_key")
+    facts = star.fact_order_items(cleaned, orders, products)
     got = facts.agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("item_key").alias("keys"), F.max("item_key").alias("top"),
         F.count_if((F.col("order_key") < 0) | (F.col("product_key") < 0)).alias("unknown"),

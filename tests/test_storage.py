@@ -56,9 +56,7 @@ def test_quarantine(spark, tmp_path):
     assert reasons == {"O2": "malformed record", "O3": "missing customer_id", "O4": "malformed record", "O5": "malformed record"}
 
 
-@pytest.mark.parametrize("small_bytes", [1 << 40, 0])
-def test_partition_overwrite_keeps_other_dates(spark, tmp_path, monkeypatch, small_bytes):
-    monkeypatch.setattr(bronze, "SMALL_INPUT_BYTES", small_bytes)
+def test_partition_overwrite_keeps_other_dates(spark, tmp_path):
     path = str(tmp_path / "b")
     df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-01"), (3, "2024-01-02")], "id INT, d STRING")
     df = df.withColumn("d", F.to_date("d"))

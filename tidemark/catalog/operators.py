@@ -436,7 +436,7 @@ def window_rank_ranges(t: Tables) -> DataFrame:
     """The range form of the ranks on heavily tied values, whatever the size of the input."""
     rows = t.silver("order_items").select("item_id", "product_id", "quantity")
     ranks = [("product_rank", ["product_id"], "quantity"), ("overall_rank", [], "quantity")]
-    return rank_by(rows, ranks, small_rows=0).drop("product_id")
+    return rank_by(rows, ranks).drop("product_id")
 
 
 @query(

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query
-from tidemark.catalog.sql_views import AS_OF, LOG_AS_OF, pct
+from tidemark.catalog.sql_views import AS_OF, LOG_AS_OF, latest, pct
 from tidemark.catalog.tables import Tables
 from tidemark.operators import profile
 from tidemark.operators.ranking import dense_numbers
-from tidemark.plans import gold, marts, metrics, serving, star
+from tidemark.plans import gold, marts, metrics, serving, silver, staging, star
+from tidemark.plans.validity import faults
 from tidemark.schemas import SOURCES
+from tidemark.sources.files import REASON
 
 for _name in SOURCES:
     query(f"silver_{_name}", f"SELECT * FROM silver_{_name}")(lambda t, n=_name: t.silver(n))
@@ -22,6 +26,75 @@ for _name in ("customers", "products", "orders", "order_items"):
     query(f"stg_{_name}", f"SELECT * FROM stg_{_name}")(lambda t, n=_name: t.staging(n))
 
 
+# Amounts as the source contract has them (DOUBLE), with values planted that no narrow type holds.
+
+_N = "CAST(substr(order_id, 2) AS BIGINT)"
+_PLANTED = {
+    "orders": {
+        "total_amount": f"CASE WHEN {_N} % 11 = 1 THEN 2e10 + {_N} WHEN {_N} % 11 = 2 THEN 1e20 WHEN {_N} % 11 = 3 THEN -0.004 ELSE CAST(total_amount AS DOUBLE) END",
+        "shipping_cost": f"CASE WHEN {_N} % 13 = 1 THEN 3e18 ELSE CAST(shipping_cost AS DOUBLE) END",
+    },
+    "order_items": {
+        "unit_price": f"CASE WHEN {_N} % 11 = 1 THEN 4e-3 WHEN {_N} % 11 = 2 THEN 1e15 ELSE CAST(unit_price AS DOUBLE) END",
+        "discount": f"CASE WHEN {_N} % 13 = 1 THEN 15e0 WHEN {_N} % 13 = 2 THEN 2e5 ELSE CAST(discount AS DOUBLE) END",
+    },
+}
+
+
+def _planted_sql(name: str) -> str:
+    changed = ", ".join(f"{value} AS {column}" for column, value in _PLANTED[name].items())
+    return f"(SELECT * REPLACE ({changed}) FROM raw_{name})"
+
+
+def _limits_sql(orders: str, items: str) -> str:
+    return f"""SELECT order_id AS key, CASE WHEN fault IS NULL THEN CAST(CAST(total_amount AS DECIMAL(18,2)) - CASE WHEN shipping_cost IS NULL THEN 0 ELSE
+  CAST(shipping_cost AS DECIMAL(18,2)) END AS DECIMAL(24,2)) END AS amount, fault FROM (SELECT *, CASE WHEN total_amount IS NULL OR total_amount < 0
+  THEN 'total_amount is missing or negative' WHEN total_amount >= 1e16 THEN 'total_amount does not fit' WHEN shipping_cost >= 1e16
+  THEN 'shipping_cost does not fit' END AS fault FROM {orders} o) o
+UNION ALL SELECT item_id, CASE WHEN fault IS NULL THEN CAST(round(quantity * CAST(unit_price AS DECIMAL(18,6)) * (1 - CASE WHEN discount IS NULL
+  THEN 0 ELSE CAST(discount AS DECIMAL(9,6)) END), 2) AS DECIMAL(24,2)) END, fault FROM (SELECT *, CASE WHEN quantity IS NULL OR quantity <= 0
+  THEN 'quantity is not positive' WHEN unit_price IS NULL OR unit_price <= 0 THEN 'unit_price is not positive' WHEN unit_price >= 1e12
+  THEN 'unit_price does not fit' WHEN discount >= 1e3 THEN 'discount does not fit' END AS fault FROM {items} i) i"""
+
+
+def _planted(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Raw orders and items with the planted amounts, otherwise as they are."""
+    return tuple(t.raw(n).withColumns({c: F.expr(v) for c, v in _PLANTED[n].items()}) for n in ("orders", "order_items"))
+
+
+def _judged(kept: list[tuple[DataFrame, str, str]], rejected: list[tuple[DataFrame, str]]) -> DataFrame:
+    parts = [df.select(F.col(k).alias("key"), F.col(v).cast("decimal(24,2)").alias("amount"), F.lit(None).cast("string").alias("fault")) for df, k, v in kept]
+    parts += [df.select(F.col(k).alias("key"), F.lit(None).cast("decimal(24,2)").alias("amount"), F.col(REASON).alias("fault")) for df, k in rejected]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "silver_amount_limits",
+    _limits_sql(
+        latest(_planted_sql("orders"), "order_id", "order_date, status, total_amount, customer_id, shipping_cost, payment_method"),
+        latest(
+            _planted_sql("order_items"), "item_id",
+            "_ingestion_timestamp DESC NULLS LAST, order_id, product_id, quantity, unit_price, discount NULLS LAST",
+        ),
+    ),
+)
+def silver_amount_limits(t: Tables) -> DataFrame:
+    """Every order and item is in silver with its exact amount, or rejected with a reason."""
+    orders, items = _planted(t)
+    return _judged(
+        [(silver.orders(orders), "order_id", "net_amount"), (silver.order_items(items), "item_id", "line_total")],
+        [(silver.rejected(orders, "orders"), "order_id"), (silver.rejected(items, "order_items"), "item_id")],
+    )
+
+
+@query("stg_amount_limits", _limits_sql(_planted_sql("orders"), _planted_sql("order_items")))
+def stg_amount_limits(t: Tables) -> DataFrame:
+    """The staged tables keep and leave out the same rows as silver."""
+    orders, items = _planted(t)
+    bad = [(df.withColumn(REASON, faults(n)).filter(F.col(REASON).isNotNull()), k) for df, n, k in ((orders, "orders", "order_id"), (items, "order_items", "item_id"))]
+    return _judged([(staging.stg_orders(orders), "order_id", "net_amount"), (staging.stg_order_items(items), "item_id", "line_total")], bad)
+
+
 # Gold
 
 
@@ -129,10 +202,41 @@ def fact_order_items(t: Tables) -> DataFrame:
     return star.fact_order_items(t.silver("order_items"), _fact_orders(t), _dim_product(t))
 
 
+@query(
+    "dim_customer_next",
+    """SELECT customer_id, CASE WHEN customer_id IS NULL THEN -1 WHEN old THEN row_number() OVER (PARTITION BY old ORDER BY customer_id)
+      ELSE row_number() OVER (PARTITION BY old ORDER BY customer_id) + count(*) FILTER (old) OVER () END AS customer_key
+    FROM (SELECT customer_id, substr(customer_id, 7) <> '3' AS old FROM silver_customers UNION ALL SELECT NULL, NULL) c""",
+)
+def dim_customer_next(t: Tables) -> DataFrame:
+    """A second load: customers whose number ends in 3 are new, all others keep the keys of the first."""
+    customers = t.silver("customers")
+    tiers = customers.select("customer_id", F.lit("regular").alias("customer_tier"))
+    first = star.dim_customer(customers.filter(F.substring("customer_id", 7, 1) != "3"), tiers)
+    return star.dim_customer(customers, tiers, previous=first).select("customer_id", "customer_key")
+
+
+@query(
+    "star_joins",
+    """SELECT count(*) AS facts, count(*) FILTER (f.order_key < 0) AS without_order, count(*) FILTER (f.product_key < 0) AS without_product
+    FROM fact_order_items f JOIN fact_orders o ON f.order_key = o.order_key JOIN dim_product p ON f.product_key = p.product_key""",
+)
+def star_joins(t: Tables) -> DataFrame:
+    """Inner joins from the items to both sides keep every fact; the unknown members answer for the missing ones."""
+    orders, products = _fact_orders(t), _dim_product(t)
+    facts = star.fact_order_items(t.silver("order_items"), orders, products)
+    joined = facts.join(orders.select("order_key"), "order_key").join(products.select("product_key"), "product_key")
+    return joined.agg(
+        F.count("*").alias("facts"),
+        F.count_if(F.col("order_key") < 0).alias("without_order"),
+        F.count_if(F.col("product_key") < 0).alias("without_product"),
+    )
+
+
 @query("dense_numbers_ranges", "SELECT row_number() OVER (ORDER BY item_id) AS item_key, item_id FROM silver_order_items")
 def dense_numbers_ranges(t: Tables) -> DataFrame:
     """The range form of the surrogate key, whatever the size of the input."""
-    return dense_numbers(t.silver("order_items").select("item_id"), ["item_id"], "item_key", small_rows=0)
+    return dense_numbers(t.silver("order_items").select("item_id"), ["item_id"], "item_key")
 
 
 # Serving
@@ -217,10 +321,7 @@ def _describe_sql() -> str:
         figures = "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev"
         if c in ("total_amount", "shipping_cost"):
             n, s = f"CAST(count({c}) AS DOUBLE)", f"CAST(sum({c}) AS DOUBLE)"
-            q = f"CAST(sum({c} * {c}) AS DOUBLE)"
-            figures = (
-                f"round({s} / {n}, 4) AS mean, round(sqrt(greatest(({q} - ({s} * {s}) / {n}) / ({n} - 1), 0)), 4) AS stddev"
-            )
+            figures = f"round({s} / {n}, 4) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS stddev"
         parts.append(
             f"SELECT '{c}' AS column_name, count({c}) AS value_count, {figures}, CAST(min({c}) AS VARCHAR) AS min_value, "
             f"CAST(max({c}) AS VARCHAR) AS max_value FROM raw_orders"

@@ -86,7 +86,7 @@ SELECT customer_id, first_name, last_name, email, phone,
   1 AS _silver_version FROM {_CUSTOMERS} c""",
     "silver_products": f"""
 SELECT product_id, product_name, lower(trim(category)) AS category, lower(trim(subcategory)) AS subcategory,
-  lower(trim(brand)) AS brand, price, cost, weight_kg, {pct("price - cost", "price")} AS profit_margin,
+  lower(trim(brand)) AS brand, CAST(price AS DECIMAL(18,6)) AS price, CAST(cost AS DECIMAL(18,6)) AS cost, weight_kg, {pct("price - cost", "price")} AS profit_margin,
   {_PRICE_TIER} AS price_tier, 1 AS _silver_version
 FROM {_PRODUCTS} p WHERE price > 0 AND cost > 0""",
     "silver_orders": f"""
@@ -95,12 +95,12 @@ SELECT order_id, customer_id, order_date, {_STATUS} AS status, total_amount, shi
   CAST(day(order_date) AS INTEGER) AS order_day, CAST(dayofweek(order_date) + 1 AS INTEGER) AS order_dayofweek,
   CAST(hour(order_date) AS INTEGER) AS order_hour, {_WEEKEND} AS is_weekend,
   CAST(strftime(order_date, '%Y%m%d') AS INTEGER) AS order_date_key,
-  CAST(total_amount - coalesce(shipping_cost, 0) AS DECIMAL(13,2)) AS net_amount, 1 AS _silver_version
+  CAST(total_amount - coalesce(shipping_cost, 0) AS DECIMAL(19,2)) AS net_amount, 1 AS _silver_version
 FROM {_ORDERS} o WHERE total_amount >= 0""",
     "silver_order_items": f"""
-SELECT item_id, order_id, product_id, quantity, unit_price, CAST(coalesce(discount, 0) AS DECIMAL(9,4)) AS discount,
+SELECT item_id, order_id, product_id, quantity, CAST(unit_price AS DECIMAL(18,6)) AS unit_price, CAST(coalesce(discount, 0) AS DECIMAL(9,6)) AS discount,
   _ingestion_timestamp,
-  CAST(round(quantity * unit_price * (1 - CAST(coalesce(discount, 0) AS DECIMAL(9,4))), 2) AS DECIMAL(22,2)) AS line_total,
+  CAST(round(quantity * CAST(unit_price AS DECIMAL(18,6)) * (1 - CAST(coalesce(discount, 0) AS DECIMAL(9,6))), 2) AS DECIMAL(22,2)) AS line_total,
   1 AS _silver_version
 FROM {_ITEMS} i WHERE quantity > 0 AND unit_price > 0""",
     "silver_clickstream": f"""
@@ -120,18 +120,18 @@ SELECT customer_id, first_name, last_name, email, phone, lower(trim(segment)) AS
   regexp_matches(email, '{_EMAIL}') AS email_valid, concat_ws(' ', first_name, last_name) AS full_name,
   1 AS _silver_version FROM {_CUSTOMERS} c""",
     "reduced_products": f"""
-SELECT product_id, product_name, category, subcategory, brand, price, cost, weight_kg,
+SELECT product_id, product_name, category, subcategory, brand, CAST(price AS DECIMAL(18,6)) AS price, CAST(cost AS DECIMAL(18,6)) AS cost, weight_kg,
   {pct("price - cost", "price")} AS profit_margin, {_PRICE_TIER} AS price_tier, 1 AS _silver_version
 FROM {_PRODUCTS} p WHERE price > 0 AND cost > 0""",
     "reduced_orders": f"""
 SELECT order_id, customer_id, order_date, status, total_amount, shipping_cost, payment_method,
   CAST(year(order_date) AS INTEGER) AS order_year, CAST(month(order_date) AS INTEGER) AS order_month,
-  {_WEEKEND} AS is_weekend, CAST(total_amount - coalesce(shipping_cost, 0) AS DECIMAL(13,2)) AS net_amount,
+  {_WEEKEND} AS is_weekend, CAST(total_amount - coalesce(shipping_cost, 0) AS DECIMAL(19,2)) AS net_amount,
   1 AS _silver_version FROM {_ORDERS} o WHERE total_amount >= 0""",
     "reduced_order_items": f"""
-SELECT item_id, order_id, product_id, quantity, unit_price, CAST(coalesce(discount, 0) AS DECIMAL(9,4)) AS discount,
+SELECT item_id, order_id, product_id, quantity, CAST(unit_price AS DECIMAL(18,6)) AS unit_price, CAST(coalesce(discount, 0) AS DECIMAL(9,6)) AS discount,
   _ingestion_timestamp,
-  CAST(round(quantity * unit_price * (1 - CAST(coalesce(discount, 0) AS DECIMAL(9,4))), 2) AS DECIMAL(22,2)) AS line_total,
+  CAST(round(quantity * CAST(unit_price AS DECIMAL(18,6)) * (1 - CAST(coalesce(discount, 0) AS DECIMAL(9,6))), 2) AS DECIMAL(22,2)) AS line_total,
   1 AS _silver_version FROM {_ITEMS} i WHERE quantity > 0""",
     "stg_customers": """
 SELECT customer_id, trim(first_name) AS first_name, trim(last_name) AS last_name,
@@ -143,18 +143,18 @@ SELECT customer_id, trim(first_name) AS first_name, trim(last_name) AS last_name
   coalesce(trim(country), 'unknown') AS country, created_at FROM raw_customers""",
     "stg_products": f"""
 SELECT product_id, trim(product_name) AS product_name, lower(trim(category)) AS category,
-  lower(trim(subcategory)) AS subcategory, lower(trim(brand)) AS brand, price, cost,
+  lower(trim(subcategory)) AS subcategory, lower(trim(brand)) AS brand, CAST(price AS DECIMAL(18,6)) AS price, CAST(cost AS DECIMAL(18,6)) AS cost,
   {pct("price - cost", "price")} AS profit_margin, {_PRICE_TIER} AS price_tier, weight_kg
 FROM raw_products WHERE price > 0 AND cost > 0""",
     "stg_orders": f"""
 SELECT order_id, customer_id, order_date, {_STATUS} AS status, total_amount,
-  CAST(coalesce(shipping_cost, 0) AS DECIMAL(12,2)) AS shipping_cost,
-  CAST(total_amount - coalesce(shipping_cost, 0) AS DECIMAL(12,2)) AS net_amount, payment_method,
+  CAST(coalesce(shipping_cost, 0) AS DECIMAL(18,2)) AS shipping_cost,
+  CAST(total_amount - coalesce(shipping_cost, 0) AS DECIMAL(18,2)) AS net_amount, payment_method,
   CAST(year(order_date) AS INTEGER) AS order_year, CAST(month(order_date) AS INTEGER) AS order_month,
   {_WEEKEND} AS is_weekend FROM raw_orders WHERE total_amount >= 0""",
     "stg_order_items": """
-SELECT item_id, order_id, product_id, quantity, unit_price, CAST(coalesce(discount, 0) AS DECIMAL(5,4)) AS discount,
-  CAST(round(quantity * unit_price * (1 - CAST(coalesce(discount, 0) AS DECIMAL(5,4))), 2) AS DECIMAL(22,2)) AS line_total
+SELECT item_id, order_id, product_id, quantity, CAST(unit_price AS DECIMAL(18,6)) AS unit_price, CAST(coalesce(discount, 0) AS DECIMAL(9,6)) AS discount,
+  CAST(round(quantity * CAST(unit_price AS DECIMAL(18,6)) * (1 - CAST(coalesce(discount, 0) AS DECIMAL(9,6))), 2) AS DECIMAL(22,2)) AS line_total
 FROM raw_order_items WHERE quantity > 0 AND unit_price > 0""",
     "day_sales": f"""
 SELECT CAST(order_date AS DATE) AS sale_date, order_year, order_month, order_day, is_weekend,
@@ -291,15 +291,18 @@ SELECT *, false AS is_holiday, CAST(year(full_date + INTERVAL 6 MONTH) AS INTEGE
   CAST(quarter(full_date + INTERVAL 6 MONTH) AS INTEGER) AS fiscal_quarter FROM date_spine""",
     "dim_customer": """
 SELECT row_number() OVER (ORDER BY customer_id) AS customer_key, customer_id, first_name, last_name, full_name, email, phone,
-  segment, region, city, country, customer_tier, created_at, true AS is_active FROM gold_customer_360""",
+  segment, region, city, country, customer_tier, created_at, true AS is_active FROM gold_customer_360
+UNION ALL SELECT -1, NULL, NULL, NULL, 'unknown', NULL, NULL, 'unknown', 'unknown', 'unknown', 'unknown', 'unknown', NULL, false""",
     "dim_product": """
 SELECT row_number() OVER (ORDER BY product_id) AS product_key, product_id, product_name, category, subcategory, brand, price,
-  cost, profit_margin, price_tier, CAST(weight_kg AS DECIMAL(8,2)) AS weight_kg, true AS is_active FROM silver_products""",
+  cost, profit_margin, price_tier, CAST(weight_kg AS DECIMAL(8,2)) AS weight_kg, true AS is_active FROM silver_products
+UNION ALL SELECT -1, NULL, 'unknown', 'unknown', 'unknown', 'unknown', NULL, NULL, NULL, 'unknown', NULL, false""",
     "keyed_customers": "SELECT customer_id, row_number() OVER (ORDER BY customer_id) AS customer_key FROM silver_customers",
     "fact_orders": """
 SELECT row_number() OVER (ORDER BY o.order_id) AS order_key, o.order_id, coalesce(c.customer_key, -1) AS customer_key,
   o.order_date_key, o.status, o.total_amount, o.shipping_cost, o.net_amount, o.payment_method, o.order_year, o.order_month,
-  o.is_weekend FROM silver_orders o LEFT JOIN keyed_customers c ON o.customer_id = c.customer_id""",
+  o.is_weekend FROM silver_orders o LEFT JOIN keyed_customers c ON o.customer_id = c.customer_id
+UNION ALL SELECT -1, NULL, -1, NULL, 'unknown', NULL, NULL, NULL, NULL, NULL, NULL, NULL""",
     "fact_order_items": """
 SELECT row_number() OVER (ORDER BY i.item_id) AS item_key, i.item_id, coalesce(o.order_key, -1) AS order_key,
   coalesce(p.product_key, -1) AS product_key, i.quantity, i.unit_price, i.discount, i.line_total

@@ -17,7 +17,7 @@ from tidemark.plans.run import MedallionRun
 from tidemark.schemas import INGESTED_AT, PARTITION_DATE, SOURCES, Layout
 from tidemark.sources import run_log, snapshot, warehouse
 from tidemark.sources.bronze import ingest_all, ingest_from_config, with_partition_date, write_bronze
-from tidemark.sources.files import ingest_csv, ingest_csv_checked, ingest_json, ingest_parquet
+from tidemark.sources.files import REASON, ingest_csv, ingest_csv_checked, ingest_json, ingest_parquet
 from tidemark.streaming.ingest import drain_to_bronze, drain_to_silver
 
 _CUSTOMER_COLUMNS = "customer_id, first_name, last_name, email, phone, segment, region, city, country, created_at"
@@ -68,41 +68,51 @@ def scan_parquet(t: Tables) -> DataFrame:
 
 @query(
     "audit_columns",
-    """SELECT status, 'parquet/orders' AS _source_system, 'batch-7' AS _batch_id, true AS has_time, true AS has_file,
-      count(*) AS order_count FROM raw_orders GROUP BY 1""",
+    """SELECT order_id, status, 'parquet/orders' AS _source_system, 'batch-7' AS _batch_id, true AS has_time, true AS has_file
+    FROM raw_orders""",
 )
 def audit_columns(t: Tables) -> DataFrame:
     path = t.scratch("landing")
     t.raw("orders").write.parquet(path)
-    read = ingest_parquet(t.spark, path, "orders", "batch-7")
-    return read.groupBy(
+    return ingest_parquet(t.spark, path, "orders", "batch-7").select(
+        "order_id",
         "status",
         "_source_system",
         "_batch_id",
         F.col(INGESTED_AT).isNotNull().alias("has_time"),
         F.col("_source_file").endswith(".parquet").alias("has_file"),
-    ).agg(F.count(F.lit(1)).alias("order_count"))
+    )
 
 
-@query(
-    "quarantine",
-    """SELECT reason, count(*) AS order_count FROM (SELECT CASE WHEN status = 'lost' THEN 'malformed record'
-      WHEN customer_id IS NULL OR (status = 'canceled' AND payment_method = 'paypal') THEN 'missing customer_id' ELSE 'valid' END AS reason FROM raw_orders)
-    GROUP BY 1""",
-)
-def quarantine(t: Tables) -> DataFrame:
-    """Lost orders land with a text amount, cancelled paypal orders without a customer."""
-    path = t.scratch("landing")
-    rows = t.contract("orders")
+# Lost orders land with a text amount, cancelled paypal orders without a customer.
+_DAMAGED = """SELECT *, CASE WHEN status = 'lost' THEN 'malformed record'
+  WHEN customer_id IS NULL OR (status = 'canceled' AND payment_method = 'paypal') THEN 'missing customer_id' END AS fault FROM raw_orders"""
+
+
+def _damaged(orders: DataFrame) -> DataFrame:
     status = F.col("status")
     amount = F.when(status == "lost", F.lit("n/a")).otherwise(F.col("total_amount").cast("string"))
     nobody = (status == "canceled") & (F.col("payment_method") == "paypal")
-    customer = F.when(~nobody, F.col("customer_id"))
-    land_csv(rows.withColumns({"total_amount": amount, "customer_id": customer}), path)
+    return orders.withColumns({"total_amount": amount, "customer_id": F.when(~nobody, F.col("customer_id"))})
+
+
+@query("quarantine", f"SELECT order_id, coalesce(fault, 'valid') AS reason, CASE WHEN fault IS NULL THEN total_amount END AS total_amount FROM ({_DAMAGED}) d")
+def quarantine(t: Tables) -> DataFrame:
+    path = t.scratch("landing")
+    land_csv(_damaged(t.contract("orders")), path)
     read = ingest_csv_checked(t.spark, path, "orders", SOURCES["orders"].schema)
-    valid = read.valid.groupBy(F.lit("valid").alias("reason")).agg(F.count("order_id").alias("order_count"))
-    bad = read.rejected.groupBy(F.col("_reject_reason").alias("reason")).agg(F.count(F.lit(1)).alias("order_count"))
-    return valid.unionByName(bad)
+    amount = F.col("total_amount").cast("decimal(12,2)").alias("total_amount")
+    valid = read.valid.select("order_id", F.lit("valid").alias("reason"), amount)
+    return valid.unionByName(read.rejected.select("order_id", F.col(REASON).alias("reason"), F.lit(None).cast("decimal(12,2)").alias("total_amount")))
+
+
+@query("scan_csv_multiline", "SELECT review_id, rating, review_text, helpful_votes FROM raw_reviews")
+def scan_csv_multiline(t: Tables) -> DataFrame:
+    """Review texts with their line breaks, as they land."""
+    path = t.scratch("landing")
+    land_csv(t.contract("reviews"), path)
+    read = ingest_csv(t.spark, path, "reviews", SOURCES["reviews"].schema, multi_line=SOURCES["reviews"].multi_line)
+    return read.select("review_id", "rating", "review_text", "helpful_votes")
 
 
 # Bronze
@@ -124,40 +134,70 @@ def bronze_partition_overwrite(t: Tables) -> DataFrame:
 
 
 def _land_all(t: Tables) -> Layout:
-    """All six landing folders.  Line breaks inside review texts become blanks: plain CSV files are split by line."""
+    """All six landing folders, texts as they are."""
     layout = Layout(t.scratch("lake"))
     for name in SOURCES:
-        rows = t.contract(name)
-        if name == "reviews":
-            rows = rows.withColumn("review_text", F.regexp_replace("review_text", r"[\r\n]+", " "))
-        land_csv(rows, layout.landing(name))
+        land_csv(t.contract(name), layout.landing(name))
     return layout
 
 
-_RAW_COUNTS = " UNION ALL ".join(
-    f"SELECT '{n}' AS table_name, count(*) AS row_count, count(DISTINCT {s.key}) AS key_count FROM raw_{n}" for n, s in SOURCES.items()
-)
-
-
-def _counts(t: Tables, paths: dict[str, str]) -> DataFrame:
+# What of each table is compared, with the type that gives both engines the same text.
+_CONTENT = {
+    "customers": {"email": "", "segment": "", "region": "", "city": "", "phone": ""},
+    "products": {"product_name": "", "category": "", "brand": "", "price": "DECIMAL(12,2)", "cost": "DECIMAL(12,2)"},
+    "orders": {"customer_id": "", "status": "", "total_amount": "DECIMAL(12,2)", "shipping_cost": "DECIMAL(12,2)", "payment_method": ""},
+    "order_items": {"order_id": "", "product_id": "", "quantity": "", "unit_price": "DECIMAL(12,2)", "discount": "DECIMAL(5,4)"},
+    "clickstream": {"session_id": "", "customer_id": "", "event_type": "", "device_type": ""},
+    "reviews": {"product_id": "", "rating": "", "review_text": "", "helpful_votes": ""},
+}
+_SILVER_CONTENT = {
+    "customers": {"email": "", "segment": "", "full_name": "", "email_valid": ""},
+    "products": {"category": "", "price": "DECIMAL(12,2)", "profit_margin": "", "price_tier": ""},
+    "orders": {"customer_id": "", "status": "", "net_amount": "DECIMAL(13,2)", "order_date_key": ""},
+    "order_items": {"order_id": "", "quantity": "", "line_total": ""},
+    "clickstream": {"event_type": "", "event_hour": "", "is_conversion": ""},
+    "reviews": {"sentiment": "", "review_length": "", "review_text": ""},
+}
+_GOLD_CONTENT = {
+    "daily_sales": ("sale_date", {"total_orders": "", "unique_customers": "", "gross_revenue": "DECIMAL(22,2)", "ytd_revenue": "DECIMAL(22,2)"}),
+    "customer_360": ("customer_id", {"total_orders": "", "total_spend": "DECIMAL(22,2)", "customer_tier": "", "favorite_category": ""}),
+    "product_performance": ("product_id", {"total_revenue": "DECIMAL(22,2)", "units_sold": "", "category_revenue_rank": ""}),
+}
+_HOURLY = ("event_date || ' ' || event_hour || ' ' || device_type", {"total_events": "", "unique_sessions": "", "conversions": "", "conversion_rate": ""})
+
+
+def _digest(name: str, key: str, content: dict[str, str], source: str = "") -> str:
+    """SELECT of table, key and md5 of the compared columns; the same text for Spark and DuckDB but for the source."""
+    values = ", ".join(f"coalesce(CAST({f'CAST({c} AS {kind})' if kind else c} AS {{text}}), '~')" for c, kind in content.items())
+    return f"SELECT '{name}' AS table_name, CAST({key} AS {{text}}) AS key, md5(concat_ws('|', {values})) AS digest" + (f" FROM {source}" if source else "")
+
+
+def _digests_sql(parts: list[str]) -> str:
+    return "\nUNION ALL ".join(p.replace("{text}", "VARCHAR") for p in parts)
+
+
+def _digests(frames: dict[str, DataFrame], contents: dict[str, tuple[str, dict[str, str]]]) -> DataFrame:
+    """One row per row of each table: its key and the digest of what is compared."""
     result = None
-    for name, path in paths.items():
-        part = t.spark.read.parquet(path).agg(
-            F.count(F.lit(1)).alias("row_count"), F.count_distinct(SOURCES[name].key).alias("key_count")
-        )
-        part = part.select(F.lit(name).alias("table_name"), "row_count", "key_count")
+    for name, df in frames.items():
+        statement = _digest(name, *contents[name], "{frame}").replace("{text}", "STRING")
+        part = df.sparkSession.sql(statement, frame=df)
         result = part if result is None else result.unionByName(part)
     return result
 
 
-@query("ingest_all", _RAW_COUNTS)
+_RAW_KEYED = {n: (s.key, _CONTENT[n]) for n, s in SOURCES.items()}
+_RAW_DIGESTS = _digests_sql([_digest(n, *_RAW_KEYED[n], f"raw_{n}") for n in SOURCES])
+
+
+@query("ingest_all", _RAW_DIGESTS)
 def ingest_all_tables(t: Tables) -> DataFrame:
     layout = _land_all(t)
     ingest_all(t.spark, layout, "batch-1")
-    return _counts(t, {n: layout.bronze(n) for n in SOURCES})
+    return _digests({n: t.spark.read.parquet(layout.bronze(n)) for n in SOURCES}, _RAW_KEYED)
 
 
-@query("ingest_from_config", _RAW_COUNTS)
+@query("ingest_from_config", _RAW_DIGESTS)
 def ingest_config(t: Tables) -> DataFrame:
     layout = _land_all(t)
     config = t.scratch("config")
@@ -165,7 +205,7 @@ def ingest_config(t: Tables) -> DataFrame:
     t.spark.createDataFrame(items, "tableName STRING, sourcePath STRING").coalesce(1).write.json(config)
     bronze = t.scratch("bronze")
     ingest_from_config(t.spark, t.spark.read.json(config), f"{layout.base}/landing", bronze, date.fromisoformat(AS_OF))
-    return _counts(t, {n: f"{bronze}/{n}/{AS_OF.replace('-', '/')}" for n in SOURCES})
+    return _digests({n: t.spark.read.parquet(f"{bronze}/{n}/{AS_OF.replace('-', '/')}") for n in SOURCES}, _RAW_KEYED)
 
 
 # Snapshots
@@ -225,12 +265,7 @@ def silver_upsert(t: Tables) -> DataFrame:
     return snapshot.compact(t.spark, path)
 
 
-@query(
-    "warehouse_load",
-    """SELECT 'daily_sales' AS table_name, count(*) AS row_count FROM gold_daily_sales
-    UNION ALL SELECT 'customer_360', count(*) FROM gold_customer_360
-    UNION ALL SELECT 'product_performance', count(*) FROM gold_product_performance""",
-)
+@query("warehouse_load", _digests_sql([_digest(n, *_GOLD_CONTENT[n], f"gold_{n}") for n in warehouse.WAREHOUSE_TABLES]))
 def warehouse_load(t: Tables) -> DataFrame:
     """Loaded twice; the second load replaces the first."""
     path = t.scratch("warehouse")
@@ -246,12 +281,7 @@ def warehouse_load(t: Tables) -> DataFrame:
     stored = {n: t.spark.read.parquet(f"{path}/{n}") for n in warehouse.WAREHOUSE_TABLES}
     warehouse.load_warehouse(stored, warehouse.ParquetSink(f"{path}-copy"))
     warehouse.load_warehouse(stored, warehouse.ParquetSink(f"{path}-copy"))
-    result = None
-    for name in warehouse.WAREHOUSE_TABLES:
-        part = t.spark.read.parquet(f"{path}-copy/{name}").agg(F.count(F.lit(1)).alias("row_count"))
-        part = part.select(F.lit(name).alias("table_name"), "row_count")
-        result = part if result is None else result.unionByName(part)
-    return result
+    return _digests({n: t.spark.read.parquet(f"{path}-copy/{n}") for n in warehouse.WAREHOUSE_TABLES}, _GOLD_CONTENT)
 
 
 @query("audit_append", "SELECT * FROM raw_run_log")
@@ -324,38 +354,97 @@ def stream_upsert(t: Tables) -> DataFrame:
 # Landing files carry no load time, so versions of an item that land together differ by their content alone.
 _LANDED_ITEMS = latest("raw_order_items", "item_id", "order_id, product_id, quantity, unit_price, discount NULLS LAST")
 
-_RUN_COUNTS = f"""SELECT 'customers' AS table_name, count(*) AS row_count FROM silver_customers
-UNION ALL SELECT 'products', count(*) FROM silver_products UNION ALL SELECT 'orders', count(*) FROM silver_orders
-UNION ALL SELECT 'clickstream', count(*) FROM silver_clickstream UNION ALL SELECT 'reviews', count(*) FROM silver_reviews
-UNION ALL SELECT 'order_items', count(*) FROM {_LANDED_ITEMS} i WHERE quantity > 0 AND unit_price > 0
-UNION ALL SELECT 'daily_sales', count(*) FROM gold_daily_sales UNION ALL SELECT 'customer_360', count(*) FROM gold_customer_360
-UNION ALL SELECT 'product_performance', count(*) FROM gold_product_performance
-UNION ALL SELECT 'hourly_traffic', count(*) FROM gold_hourly_traffic"""
+_LANDED_SILVER = f"""(SELECT *, CAST(round(quantity * CAST(unit_price AS DECIMAL(18,6)) * (1 - CAST(coalesce(discount, 0) AS DECIMAL(9,6))), 2) AS DECIMAL(22,2))
+  AS line_total FROM {_LANDED_ITEMS} i WHERE quantity > 0 AND unit_price > 0) i"""
+_RUN_KEYED = {n: (s.key, _SILVER_CONTENT[n]) for n, s in SOURCES.items()}
+_ORDER_RUN = {"orders": ("order_id", _SILVER_CONTENT["orders"])}
 
 
-def _run_counts(t: Tables, layout: Layout) -> DataFrame:
-    paths = {n: layout.silver(n) for n in SOURCES}
-    paths |= {n: layout.gold(n) for n in ("daily_sales", "customer_360", "product_performance", "hourly_traffic")}
-    result = None
-    for name, path in paths.items():
-        part = snapshot.read_snapshot(t.spark, path).agg(F.count(F.lit(1)).alias("row_count"))
-        part = part.select(F.lit(name).alias("table_name"), "row_count")
-        result = part if result is None else result.unionByName(part)
-    return result
+def _run_sql() -> str:
+    parts = [_digest(n, *_RUN_KEYED[n], _LANDED_SILVER if n == "order_items" else f"silver_{n}") for n in SOURCES]
+    parts += [_digest("daily_sales", *_GOLD_CONTENT["daily_sales"], "gold_daily_sales"), _digest("hourly_traffic", *_HOURLY, "gold_hourly_traffic")]
+    return _digests_sql(parts)
+
 
+def _run_digests(t: Tables, layout: Layout) -> DataFrame:
+    frames = {n: snapshot.read_snapshot(t.spark, layout.silver(n)) for n in SOURCES}
+    frames |= {n: snapshot.read_snapshot(t.spark, layout.gold(n)) for n in ("daily_sales", "hourly_traffic")}
+    contents = _RUN_KEYED | {"daily_sales": _GOLD_CONTENT["daily_sales"], "hourly_traffic": _HOURLY}
+    return _digests(frames, contents)
 
-@query("full_run", _RUN_COUNTS)
+
+@query("full_run", _run_sql())
 def full_run(t: Tables) -> DataFrame:
+    """All stages, the warehouse load included."""
     layout = _land_all(t)
-    MedallionRun(t.spark, layout, AS_OF, "run-1").run("full")
-    return _run_counts(t, layout)
+    run = MedallionRun(t.spark, layout, AS_OF, "run-1", warehouse=warehouse.ParquetSink(layout.base + "/warehouse"))
+    run.run("full")
+    return _run_digests(t, layout)
 
 
-@query("run_modes", _RUN_COUNTS)
+@query("run_modes", _run_sql())
 def run_modes(t: Tables) -> DataFrame:
-    """An incremental run on an empty lake takes everything in; reprocessing a date leaves the same rows."""
+    """An incremental run takes in damaged amounts of the last day; reprocessing the day after a correction mends them."""
     layout = _land_all(t)
+    orders = t.contract("orders")
+    last_day = orders.agg(F.max(F.to_date("order_date"))).head()[0]
+    wrong = F.when(F.to_date("order_date") == F.lit(last_day), F.lit(1.0)).otherwise(F.col("total_amount"))
+    land_csv(orders.withColumn("total_amount", wrong), layout.landing("orders"), mode="overwrite")
     MedallionRun(t.spark, layout, AS_OF, "run-1").run("incremental")
-    last_day = t.raw("orders").agg(F.max(F.to_date("order_date"))).head()[0]
+    land_csv(orders, layout.landing("orders"), mode="overwrite")
+    MedallionRun(t.spark, layout, AS_OF, "run-2").run("reprocess", batch_date=last_day)
+    return _run_digests(t, layout)
+
+
+def _order_lake(t: Tables, orders: DataFrame) -> Layout:
+    """A lake whose other tables hold few rows: the runs below are about the orders."""
+    layout = Layout(t.scratch("lake"))
+    for name in SOURCES:
+        land_csv(orders if name == "orders" else t.contract(name).limit(1), layout.landing(name))
+    return layout
+
+
+def _silver_orders(t: Tables, layout: Layout) -> DataFrame:
+    return _digests({"orders": snapshot.read_snapshot(t.spark, layout.silver("orders"))}, _ORDER_RUN)
+
+
+@query("run_rebuild", _digest("orders", *_ORDER_RUN["orders"], "silver_orders WHERE order_date > TIMESTAMP '1995-06-30'").replace("{text}", "VARCHAR"))
+def run_rebuild(t: Tables) -> DataFrame:
+    """Dates that leave the landing files leave bronze and silver with the next rebuild."""
+    orders = t.contract("orders")
+    layout = _order_lake(t, orders)
+    MedallionRun(t.spark, layout, AS_OF, "run-1").run("full")
+    land_csv(orders.filter("order_date > TIMESTAMP '1995-06-30'"), layout.landing("orders"), mode="overwrite")
+    MedallionRun(t.spark, layout, AS_OF, "run-2").run("full")
+    return _silver_orders(t, layout)
+
+
+@query(
+    "run_reprocess_empty",
+    _digest(
+        "orders", *_ORDER_RUN["orders"], "silver_orders WHERE CAST(order_date AS DATE) <> (SELECT max(CAST(order_date AS DATE)) FROM raw_orders)"
+    ).replace("{text}", "VARCHAR"),
+)
+def run_reprocess_empty(t: Tables) -> DataFrame:
+    """A date that has become empty is empty after it is reprocessed."""
+    orders = t.contract("orders")
+    layout = _order_lake(t, orders)
+    MedallionRun(t.spark, layout, AS_OF, "run-1").run("full")
+    last_day = orders.agg(F.max(F.to_date("order_date"))).head()[0]
+    land_csv(orders.filter(F.to_date("order_date") != F.lit(last_day)), layout.landing("orders"), mode="overwrite")
     MedallionRun(t.spark, layout, AS_OF, "run-2").run("reprocess", batch_date=last_day)
-    return _run_counts(t, layout)
+    return _silver_orders(t, layout)
+
+
+@query(
+    "run_quarantine",
+    f"""SELECT order_id, fault AS reason, status FROM ({_DAMAGED}) d WHERE fault IS NOT NULL
+    UNION ALL SELECT order_id, 'kept', s.status FROM silver_orders s JOIN ({_DAMAGED}) d USING (order_id) WHERE d.fault IS NULL""",
+)
+def run_quarantine(t: Tables) -> DataFrame:
+    """A run stores the records it rejects with the reason, and cleans the others."""
+    layout = _order_lake(t, _damaged(t.contract("orders")))
+    MedallionRun(t.spark, layout, AS_OF, "run-1").run("full")
+    rejected = t.spark.read.parquet(layout.quarantine("orders")).select("order_id", F.col(REASON).alias("reason"), "status")
+    kept = snapshot.read_snapshot(t.spark, layout.silver("orders")).select("order_id", F.lit("kept").alias("reason"), "status")
+    return rejected.unionByName(kept)

@@ -1,7 +1,9 @@
 """Money, averages, percentages and value bands.
 
 Money is decimal from the silver layer on, so sums do not depend on the order of rows.  Averages are
-``sum / count`` with the exact decimal sum converted once.
+``sum / count`` with the exact decimal sum converted once.  All layers use the same three types: amounts in cents, prices
+and discounts with the digits they came with.  A value that is present but does not fit makes its row a rejected
+one; it never turns into a null or a zero.
 """
 
 from __future__ import annotations
@@ -12,10 +14,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def money(column: Column | str, precision: int = 12, scale: int = 2) -> Column:
-    """Decimal amount; text that is no number and amounts that do not fit become null."""
+AMOUNT, PRICE, DISCOUNT = "decimal(18,2)", "decimal(18,6)", "decimal(9,6)"
+
+
+def money(column: Column | str, kind: str = AMOUNT) -> Column:
+    """Decimal value; text that is no number and values that do not fit become null (see ``unfit``)."""
     value = F.col(column) if isinstance(column, str) else column
-    return value.try_cast(f"decimal({precision},{scale})")
+    return value.try_cast(kind)
+
+
+def money_or_zero(column: str, kind: str = AMOUNT) -> Column:
+    """Zero where the raw value is missing, and only there."""
+    return F.when(F.col(column).isNull(), F.lit(0).cast(kind)).otherwise(money(column, kind))
+
+
+def unfit(column: str, kind: str = AMOUNT) -> Column:
+    """The raw value is there but is no value of the type."""
+    return F.col(column).isNotNull() & money(column, kind).isNull()
+
+
+def positive(column: str) -> Column:
+    """Above zero by the raw value, whatever scale the stored value has; false for a missing one."""
+    return F.coalesce(F.col(column).try_cast("double") > 0, F.lit(False))
+
+
+def not_negative(column: str) -> Column:
+    return F.coalesce(F.col(column).try_cast("double") >= 0, F.lit(False))
 
 
 def average(total: Column, count: Column) -> Column:

@@ -70,11 +70,9 @@ def summary_figures(df: DataFrame, decimals: int = 4) -> DataFrame:
                 number = value
             else:
                 number = value.cast("double")
-            aggregates += [F.sum(number).alias(f"_s_{i}"), F.sum(number * number).alias(f"_q_{i}")]
-            n, s, q = (F.col(f"_n_{i}").cast("double"), F.col(f"_s_{i}").cast("double"), F.col(f"_q_{i}").cast("double"))
-            mean = F.round(F.try_divide(s, n), decimals)
-            variance = F.try_divide(q - F.try_divide(s * s, n), n - F.lit(1.0))
-            deviation = F.round(F.sqrt(F.greatest(variance, F.lit(0.0))), decimals)
+            aggregates += [F.sum(number).alias(f"_s_{i}"), F.stddev(number.cast("double")).alias(f"_d_{i}")]
+            mean = F.round(F.try_divide(F.col(f"_s_{i}").cast("double"), F.col(f"_n_{i}").cast("double")), decimals)
+            deviation = F.round(F.col(f"_d_{i}"), decimals)
         rows.append(
             F.struct(
                 F.lit(field.name).alias("column_name"),

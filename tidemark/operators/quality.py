@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from functools import partial, reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import percent
@@ -256,15 +256,22 @@ def gate(results: DataFrame, mode: str = "warn") -> bool:
         raise ValueError(f"unknown gate mode: {mode}")
     rows = results.select("check_name", "table_name", "passed", "details").collect()
     failures = [r for r in rows if not r["passed"]]
-    log.info("quality: %d checks, %d passed, %d failed", len(rows), len(rows) - len(failures), len(failures))
-    for row in failures:
-        log.warning("quality: %s on %s: %s", row["check_name"], row["table_name"], row["details"])
+    for line in report_lines(rows):
+        log.info("%s", line)
     if failures and mode == "fail":
         listed = "; ".join(f"{r['table_name']}.{r['check_name']}: {r['details']}" for r in failures)
         raise QualityGateError(f"{len(failures)} quality checks failed: {listed}")
     return not failures
 
 
+def report_lines(rows: Sequence[Row]) -> list[str]:
+    """All checks, passed and failed, by table; a line for each and the total at the end."""
+    ordered = sorted(rows, key=lambda r: (r["table_name"], r["check_name"]))
+    lines = [f"{'pass' if r['passed'] else 'FAIL'}  {r['table_name']}.{r['check_name']}: {r['details']}" for r in ordered]
+    passed = sum(bool(r["passed"]) for r in rows)
+    return [*lines, f"{passed} of {len(rows)} checks passed"]
+
+
 # The statuses a cleaned order may have, and the tiers of a customer.
 ORDER_STATUSES = ("completed", "delivered", "shipped", "pending", "processing", "cancelled", "unknown")
 CUSTOMER_TIERS = ("champion", "loyal", "new_active", "at_risk", "regular")

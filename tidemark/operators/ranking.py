@@ -1,13 +1,14 @@
 """Ranks and dense numbers without a one-task sort.
 
 ``rank().over(Window.orderBy(..))`` sorts all rows in one task, and a partitioned rank sorts a whole
-category in one task.  Both are used here only for inputs counted to be small.  Beyond that the work is
-done in ordered ranges:
+category in one task.  Here the work is done in ordered ranges, at every size:
 
 * equal values are first folded into one row with a count (a value shared by a third of the rows becomes
   one row), the folded rows are range-partitioned and sorted, every range adds up its own counts, and the
   totals of earlier ranges are added;
 * ranks then go back to the rows by an equi-join on the value.
+
+What is sorted and written for that is narrow: the values, or the keys to be numbered.
 """
 
 from __future__ import annotations
@@ -20,30 +21,19 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.scratch import materialise
 
-# Inputs up to this many rows are ranked by a plain window function in one task.
-SMALL_ROWS = 1_000_000
-
 _ROW_BITS = 33  # monotonically_increasing_id(): partition number above, row position below
 
 
 def rank_by(
     df: DataFrame,
     ranks: Sequence[tuple[str, Sequence[str], str]],
-    small_rows: int = SMALL_ROWS,
     label: str = "rank",
 ) -> DataFrame:
     """Add one rank column per ``(name, partition columns, value column)``, highest value first.
 
-    The input is written once, because it is counted and then read for every rank.
+    The input is written once, because it is read for every rank.
     """
-    table, rows = materialise(df, label)
-    if rows <= small_rows:
-        return table.withColumns(
-            {
-                name: F.rank().over(Window.partitionBy(*groups).orderBy(F.col(value).desc_nulls_last()))
-                for name, groups, value in ranks
-            }
-        )
+    table, _ = materialise(df, label)
     result = table
     for name, groups, value in ranks:
         result = _attach_rank(result, _ranked_values(table, name, list(groups), value), name, [*groups, value])
@@ -93,22 +83,30 @@ def _ranked_values(table: DataFrame, name: str, groups: list[str], value: str) -
 
 
 def dense_numbers(
-    df: DataFrame, order_by: Sequence[str], name: str, small_rows: int = SMALL_ROWS, label: str = "numbers"
+    df: DataFrame, order_by: Sequence[str], name: str, label: str = "numbers", after: DataFrame | int = 0
 ) -> DataFrame:
-    """Number the rows 1..n in the order of a unique key."""
-    table, rows = materialise(df, label)
-    if rows <= small_rows:
-        window = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-        return table.select(F.row_number().over(window).cast("bigint").alias(name), *table.columns)
+    """Number the rows in the order of a unique key, from 1 or behind ``after`` (a number, or one row with it).
+
+    The rows are written once, so that they are not derived again for the sort; the sort itself and its files
+    hold the key alone, and the number meets the rows on the key.
+    """
+    table, _ = materialise(df, label)
     order = [F.col(c).asc_nulls_first() for c in order_by]
-    placed, _ = materialise(_number_in_ranges(table, order), f"{name}-ranges")
+    placed, _ = materialise(_number_in_ranges(table.select(*order_by), order), f"{label}-ranges")
     sizes = placed.groupBy("_slot").agg(F.count(F.lit(1)).alias("_t"))
     earlier = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # One row per range, so the broadcast is as small as the number of shuffle partitions.
     offsets = sizes.select("_slot", (F.sum("_t").over(earlier) - F.col("_t")).alias("_offset"))
     inside = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    number = F.col("_offset") + inside + F.lit(1)
-    return placed.join(F.broadcast(offsets), "_slot").select(number.alias(name), *table.columns)
+    numbered = placed.join(F.broadcast(offsets), "_slot").select(
+        (F.col("_offset") + inside + F.lit(1)).alias(name), *[F.col(c).alias(f"_k_{c}") for c in order_by]
+    )
+    if isinstance(after, DataFrame):
+        numbered = numbered.join(F.broadcast(after.toDF("_after"))).withColumn(name, F.col(name) + F.coalesce("_after", F.lit(0)))
+    elif after:
+        numbered = numbered.withColumn(name, F.col(name) + F.lit(after))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in order_by])
+    return table.join(numbered, same, "inner").select(F.col(name).cast("bigint").alias(name), *table.columns)
 
 
 def _number_in_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:

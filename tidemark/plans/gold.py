@@ -11,7 +11,7 @@ from tidemark.functions.dates import days_since
 from tidemark.functions.numbers import at_least, at_most, mean_of, percent
 from tidemark.operators.dedup import first_per_group
 from tidemark.operators.joins import salted_lookup
-from tidemark.operators.ranking import SMALL_ROWS, rank_by
+from tidemark.operators.ranking import rank_by
 from tidemark.operators.running import moving_average, year_to_date
 
 # Score bands, tier names and the lifetime-value factor.
@@ -255,7 +255,6 @@ def product_performance(
     order_items: DataFrame,
     reviews: DataFrame,
     stamp: bool = False,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Product figures with the revenue rank inside the category.
 
@@ -269,9 +268,7 @@ def product_performance(
     ordered = F.col("order_count") + F.col("cancelled_orders")
     rate = F.when(ordered > 0, percent(F.col("cancelled_orders"), ordered)).otherwise(F.lit(0).cast("decimal(18,2)"))
     figures = figures.withColumn("cancellation_rate", rate)
-    ranked = rank_by(
-        figures, [("category_revenue_rank", ["category"], "total_revenue")], small_rows, "product_performance"
-    )
+    ranked = rank_by(figures, [("category_revenue_rank", ["category"], "total_revenue")], "product_performance")
     return _stamped(ranked, stamp)
 
 
@@ -280,7 +277,6 @@ def product_performance_all(
     order_items: DataFrame,
     reviews: DataFrame,
     stamp: bool = False,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Product figures over all items, cancelled orders included."""
     sales = (
@@ -298,24 +294,32 @@ def product_performance_all(
         .join(rated, "product_id", "left")
         .fillna(0, subset=["total_revenue", "units_sold", "review_count"])
     )
-    ranked = rank_by(figures, [("category_rank", ["category"], "total_revenue")], small_rows, "product_performance_all")
+    ranked = rank_by(figures, [("category_rank", ["category"], "total_revenue")], "product_performance_all")
     return _stamped(ranked, stamp)
 
 
 def hourly_traffic(clickstream: DataFrame, stamp: bool = False) -> DataFrame:
     """Events by date, hour and device.
 
-    The two distinct counts are two-phase as well: first by group and session (or customer), then by group.
+    Events are folded to one row per group, session and customer first, with their additive counts, so the two
+    distinct counts (which copy their input) see the folded rows and not every event.
     """
-    event = F.col("event_type")
-    traffic = clickstream.groupBy("event_date", "event_hour", "device_type").agg(
-        F.count("event_id").alias("total_events"),
+    event, group = F.col("event_type"), ("event_date", "event_hour", "device_type")
+    folded = clickstream.groupBy(*group, "session_id", "customer_id").agg(
+        F.count("event_id").alias("events"),
+        F.count_if(event == "page_view").alias("views"),
+        F.count_if(event == "add_to_cart").alias("adds"),
+        F.count_if(event == "purchase").alias("bought"),
+        F.count_if("is_conversion").alias("converted"),
+    )
+    traffic = folded.groupBy(*group).agg(
+        F.sum("events").alias("total_events"),
         F.count_distinct("session_id").alias("unique_sessions"),
         F.count_distinct("customer_id").alias("unique_users"),
-        F.count_if(event == "page_view").alias("page_views"),
-        F.count_if(event == "add_to_cart").alias("add_to_carts"),
-        F.count_if(event == "purchase").alias("purchases"),
-        F.count_if("is_conversion").alias("conversions"),
+        F.sum("views").alias("page_views"),
+        F.sum("adds").alias("add_to_carts"),
+        F.sum("bought").alias("purchases"),
+        F.sum("converted").alias("conversions"),
     )
     rate = F.when(
         F.col("unique_sessions") > 0, percent(F.col("conversions"), F.col("unique_sessions"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import full_days_since
 from tidemark.functions.numbers import average, mean_of
-from tidemark.operators.ranking import SMALL_ROWS, rank_by
+from tidemark.operators.ranking import rank_by
 from tidemark.operators.running import change_from_previous, moving_average, rank_in_month, year_to_date
 from tidemark.plans.gold import (
     CANCELLED,
@@ -29,18 +29,26 @@ def _stamped(df: DataFrame, stamp: bool) -> DataFrame:
 
 
 def mart_daily_sales(stg_orders: DataFrame, stamp: bool = False) -> DataFrame:
-    daily = (
+    group = ("sale_date", "order_year", "order_month", "is_weekend")
+    # Versions of one order are folded first, so the distinct counts see one row per order and customer.
+    folded = (
         stg_orders.filter(F.col("status") != CANCELLED)
-        .groupBy(F.to_date("order_date").alias("sale_date"), "order_year", "order_month", "is_weekend")
+        .groupBy(F.to_date("order_date").alias("sale_date"), *group[1:], "order_id", "customer_id")
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            F.sum("total_amount").alias("gross_revenue"),
-            F.sum("net_amount").alias("net_revenue"),
-            F.sum("shipping_cost").alias("total_shipping"),
-            mean_of("total_amount").alias("avg_order_value"),
+            F.sum("total_amount").alias("gross"),
+            F.sum("net_amount").alias("net"),
+            F.sum("shipping_cost").alias("shipping"),
+            F.count("total_amount").alias("amounts"),
         )
     )
+    daily = folded.groupBy(*group).agg(
+        F.count_distinct("order_id").alias("total_orders"),
+        F.count_distinct("customer_id").alias("unique_customers"),
+        F.sum("gross").cast("decimal(28,2)").alias("gross_revenue"),
+        F.sum("net").cast("decimal(28,2)").alias("net_revenue"),
+        F.sum("shipping").cast("decimal(28,2)").alias("total_shipping"),
+        average(F.sum("gross"), F.sum("amounts")).alias("avg_order_value"),
+    )
     day = "sale_date"
     running = {
         "ytd_revenue": year_to_date("gross_revenue", "order_year", day),
@@ -141,7 +149,6 @@ def mart_product_performance(
     stg_orders: DataFrame,
     stg_order_items: DataFrame,
     stamp: bool = False,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Product figures with the rank inside the category and overall.
 
@@ -181,7 +188,6 @@ def mart_product_performance(
             ("category_revenue_rank", ["category"], "total_revenue"),
             ("overall_revenue_rank", [], "total_revenue"),
         ],
-        small_rows,
         "mart_product_performance",
     )
     return _stamped(ranked, stamp)

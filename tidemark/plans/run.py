@@ -8,35 +8,50 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.operators.merge import replace_slice
 from tidemark.operators.quality import SILVER_RULES, evaluate, gate
 from tidemark.plans import gold, silver
-from tidemark.schemas import PARTITION_DATE, SOURCES, Layout
-from tidemark.sources.bronze import ingest_all, with_partition_date, write_bronze, write_counted
-from tidemark.sources.files import ingest_csv
+from tidemark.schemas import INGESTED_AT, PARTITION_DATE, SOURCES, Layout, SourceTable
+from tidemark.sources.bronze import ingest_all, with_partition_date, write_bronze_date, write_counted
+from tidemark.sources.files import ingest_csv_checked
 from tidemark.sources.parallel import run_parallel
 from tidemark.sources.run_log import StepRecord, append_steps, now
+from tidemark.sources.scratch import materialise, scratch_scope
 from tidemark.sources.snapshot import read_snapshot, write_snapshot
-from tidemark.streaming.ingest import drain_to_silver
+from tidemark.sources.warehouse import WAREHOUSE_TABLES, JdbcSink, ParquetSink
+from tidemark.streaming.ingest import drain_to_silver, mark_as_read
 
 log = logging.getLogger(__name__)
 
 MODES = ("full", "incremental", "reprocess")
 
 
+@dataclass(frozen=True)
+class Outcome:
+    """What a stage did with one table."""
+
+    table: str
+    rows: int
+    seconds: float
+    error: str | None = None
+
+
 @dataclass
 class MedallionRun:
     """One run.
 
     ``gate_mode`` says what failed quality checks do (``warn`` or ``fail``); ``fail_on_error`` says whether a
-    failed step stops the run or is only logged.
+    failed step stops the run or is only logged; ``on_ingest_error`` says the same of one table's landing files
+    (``raise`` or ``continue`` with the other tables).  With a ``warehouse`` sink the run ends with the load of the
+    warehouse tables.  Intermediate tables of the run are deleted when it ends.
     """
 
     spark: SparkSession
@@ -45,8 +60,10 @@ class MedallionRun:
     run_id: str
     gate_mode: str = "warn"
     fail_on_error: bool = True
+    on_ingest_error: str = "raise"
     workers: int = 4
     name: str = "daily_etl"
+    warehouse: ParquetSink | JdbcSink | None = None
     steps: list[StepRecord] = field(default_factory=list)
 
     def run(self, mode: str = "full", batch_date: date | str | None = None) -> list[StepRecord]:
@@ -57,58 +74,81 @@ class MedallionRun:
         if mode == "reprocess" and batch_date is None:
             raise ValueError("reprocess needs a batch date")
         try:
-            if mode == "full":
-                self._stage("bronze_ingestion", self.ingest)
-                self._stage("silver_transformation", self.clean)
-            elif mode == "incremental":
-                self._stage("silver_transformation", self.clean_new_files)
-            else:
-                self._stage("silver_transformation", lambda: self.replace_date(str(batch_date)))
-            self._stage("data_quality", self.check)
-            self._stage("gold_aggregation", self.aggregate)
+            with scratch_scope(self.spark):
+                if mode == "full":
+                    self._stage("bronze_ingestion", self.ingest)
+                    self._stage("silver_transformation", self.clean)
+                elif mode == "incremental":
+                    self._stage("silver_transformation", self.clean_new_files)
+                else:
+                    self._stage("silver_transformation", lambda: self.replace_date(str(batch_date)))
+                self._stage("data_quality", self.check)
+                self._stage("gold_aggregation", self.aggregate)
+                if self.warehouse is not None:
+                    self._stage("warehouse_load", self.load)
         finally:
             append_steps(self.spark, self.layout.audit, self.steps)
         return self.steps
 
-    def _stage(self, step: str, work: Callable[[], dict[str, int]]) -> None:
+    def _stage(self, step: str, work: Callable[[], list[Outcome]]) -> None:
+        """Run a stage; every table gets a log row with its own rows, seconds and error."""
         started = time.monotonic()
+        outside: Exception | None = None
         try:
-            rows = work()
-        except Exception as error:
-            self._record(step, "all", "failed", 0, started, str(error).splitlines()[0])
-            if self.fail_on_error:
-                raise
-            log.warning("%s failed: %s", step, error)
-            return
-        for table, count in rows.items():
-            self._record(step, table, "success", count, started, None)
-
-    def _record(self, step: str, table: str, status: str, rows: int, started: float, error: str | None) -> None:
-        seconds = int(time.monotonic() - started)
-        self.steps.append(StepRecord(self.run_id, self.name, step, table, status, rows, seconds, error, now()))
+            outcomes = work()
+        except Exception as error:  # not the failure of one table
+            outside = error
+            outcomes = [Outcome("all", 0, time.monotonic() - started, _first_line(error))]
+        for o in outcomes:
+            status = "success" if o.error is None else "failed"
+            self.steps.append(StepRecord(self.run_id, self.name, step, o.table, status, o.rows, int(o.seconds), o.error, now()))
+        failed = [o for o in outcomes if o.error is not None]
+        tolerated = step == "bronze_ingestion" and self.on_ingest_error == "continue"
+        if failed and self.fail_on_error and not tolerated:
+            raise outside or StageError(step, failed)
+        for o in failed:
+            log.warning("%s of %s failed: %s", step, o.table, o.error)
+
+    def _each(self, jobs: Mapping[str, Callable[[], int]]) -> list[Outcome]:
+        """Run the tables of a stage side by side; a failure of one does not hide what the others did."""
+
+        def timed(table: str, job: Callable[[], int]) -> Callable[[], Outcome]:
+            def run() -> Outcome:
+                started = time.monotonic()
+                try:
+                    return Outcome(table, job(), time.monotonic() - started)
+                except Exception as error:
+                    return Outcome(table, 0, time.monotonic() - started, _first_line(error))
+
+            return run
+
+        return run_parallel(self.spark, [timed(t, j) for t, j in jobs.items()], self.workers)
 
     def _silver(self, table: str) -> DataFrame:
         return read_snapshot(self.spark, self.layout.silver(table))
 
-    # Stages: each returns the rows written per table.
+    # Stages
 
-    def ingest(self) -> dict[str, int]:
-        loaded = ingest_all(self.spark, self.layout, self.run_id, workers=self.workers)
-        return {t.table: t.rows for t in loaded}
+    def ingest(self) -> list[Outcome]:
+        loaded = ingest_all(self.spark, self.layout, self.run_id, on_error="continue", workers=self.workers)
+        return [Outcome(t.table, t.rows, t.seconds, t.error) for t in loaded]
+
+    def clean(self) -> list[Outcome]:
+        """Rebuild silver from bronze; what landed so far is not new to a later incremental run."""
 
-    def clean(self) -> dict[str, int]:
         def job(table: str) -> Callable[[], int]:
             def build() -> int:
-                bronze = self.spark.read.parquet(self.layout.bronze(table)).drop(PARTITION_DATE)
+                bronze = self.spark.read.schema(_bronze_schema(table)).parquet(self.layout.bronze(table))
                 cleaned = silver.BUILDERS[table](bronze, stamp=True)
-                return write_counted(cleaned, lambda df: write_snapshot(df, self.layout.silver(table)))
+                rows = write_counted(cleaned, lambda df: write_snapshot(df, self.layout.silver(table)))
+                mark_as_read(self.spark, self.layout.landing(table), table, self.layout.checkpoint(table), SOURCES[table].schema)
+                return rows
 
             return build
 
-        counts = run_parallel(self.spark, [job(t) for t in SOURCES], self.workers)
-        return dict(zip(SOURCES, counts, strict=True))
+        return self._each({t: job(t) for t in SOURCES})
 
-    def clean_new_files(self) -> dict[str, int]:
+    def clean_new_files(self) -> list[Outcome]:
         """Stream new landing files into bronze and upsert them into silver."""
 
         def job(table: str) -> Callable[[], int]:
@@ -127,33 +167,37 @@ class MedallionRun:
 
             return drain
 
-        counts = run_parallel(self.spark, [job(t) for t in SOURCES], self.workers)
-        return dict(zip(SOURCES, counts, strict=True))
-
-    def replace_date(self, batch_date: str) -> dict[str, int]:
-        """Re-ingest one date of the event tables: one bronze partition, and that date's rows in silver."""
-        written: dict[str, int] = {}
-        for table in (t for t in SOURCES.values() if t.event_time):
-            raw = ingest_csv(self.spark, self.layout.landing(table.name), table.name, table.schema, self.run_id)
-            day = with_partition_date(raw, table).filter(F.col(PARTITION_DATE) == F.lit(batch_date).cast("date"))
-            write_bronze(day, self.layout.bronze(table.name), [PARTITION_DATE])
-            bronze = self.spark.read.schema(day.schema).parquet(self.layout.bronze(table.name))
-            again = bronze.filter(F.col(PARTITION_DATE) == F.lit(batch_date).cast("date")).drop(PARTITION_DATE)
-            cleaned = silver.BUILDERS[table.name](again, stamp=True)
-            written[table.name] = replace_slice(
-                cleaned, self.layout.silver(table.name), table.key, table.event_time, batch_date
-            )
-        return written
-
-    def check(self) -> dict[str, int]:
+        return self._each({t: job(t) for t in SOURCES})
+
+    def replace_date(self, batch_date: str) -> list[Outcome]:
+        """Re-ingest one date of the event tables: one bronze folder, and that date's rows in silver, even if none is left."""
+
+        def job(table: SourceTable) -> Callable[[], int]:
+            def replace() -> int:
+                read = ingest_csv_checked(
+                    self.spark, self.layout.landing(table.name), table.name, table.schema, self.run_id, table.multi_line
+                )
+                landed = with_partition_date(read.valid, table)
+                day = landed.filter(F.col(PARTITION_DATE) == F.lit(batch_date).cast("date")).drop(PARTITION_DATE)
+                again, _ = materialise(day, "reprocess")
+                write_bronze_date(again, self.layout.bronze(table.name), batch_date)
+                cleaned = silver.BUILDERS[table.name](again, stamp=True)
+                return replace_slice(cleaned, self.layout.silver(table.name), table.key, table.event_time, batch_date)
+
+            return replace
+
+        return self._each({t.name: job(t) for t in SOURCES.values() if t.event_time})
+
+    def check(self) -> list[Outcome]:
+        started = time.monotonic()
         tables = {t: self._silver(t) for t in ("orders", "customers", "products", "order_items")}
         results = evaluate(SILVER_RULES, tables, "silver").withColumn("run_id", F.lit(self.run_id))
         rows = write_counted(results, lambda df: df.write.mode("append").parquet(self.layout.quality))
         stored = self.spark.read.parquet(self.layout.quality).filter(F.col("run_id") == self.run_id)
         gate(stored, self.gate_mode)
-        return {"silver": rows}
+        return [Outcome("silver", rows, time.monotonic() - started)]
 
-    def aggregate(self) -> dict[str, int]:
+    def aggregate(self) -> list[Outcome]:
         customers, products, orders, items, clicks, reviews = (self._silver(t) for t in SOURCES)
         builders: dict[str, Callable[[], DataFrame]] = {
             "daily_sales": lambda: gold.daily_sales(orders, stamp=True),
@@ -167,5 +211,32 @@ class MedallionRun:
         def job(table: str) -> Callable[[], int]:
             return lambda: write_counted(builders[table](), lambda df: write_snapshot(df, self.layout.gold(table)))
 
-        counts = run_parallel(self.spark, [job(t) for t in builders], self.workers)
-        return dict(zip(builders, counts, strict=True))
+        return self._each({t: job(t) for t in builders})
+
+    def load(self) -> list[Outcome]:
+        """Hand the gold tables to the warehouse."""
+
+        def job(table: str) -> Callable[[], int]:
+            gold_table = read_snapshot(self.spark, self.layout.gold(table))
+            return lambda: write_counted(gold_table, lambda df: self.warehouse.write(df, table))
+
+        return self._each({t: job(t) for t in WAREHOUSE_TABLES})
+
+
+class StageError(RuntimeError):
+    """A stage failed for some of its tables."""
+
+    def __init__(self, step: str, failed: list[Outcome]):
+        super().__init__(f"{step} failed: " + "; ".join(f"{o.table}: {o.error}" for o in failed))
+
+
+def _first_line(error: Exception) -> str:
+    return (str(error).splitlines() or [type(error).__name__])[0]
+
+
+def _bronze_schema(table: str) -> StructType:
+    """Contract and audit columns of a bronze table; the partition date is left to the folder names."""
+    schema = StructType([StructField(f.name, f.dataType, True) for f in SOURCES[table].schema.fields])
+    for column in ("_source_file", "_source_system", "_batch_id"):
+        schema = schema.add(column, "string")
+    return schema.add(INGESTED_AT, "timestamp")

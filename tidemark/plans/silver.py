@@ -9,14 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import date_key, weekend
-from tidemark.functions.numbers import below, money, percent
+from tidemark.functions.numbers import AMOUNT, DISCOUNT, PRICE, below, money, money_or_zero, percent
 from tidemark.functions.text import is_email, or_unknown, relabel, standardize_strings, tidy
 from tidemark.operators.dedup import latest_of
+from tidemark.plans.validity import faults, valid
 from tidemark.schemas import SOURCES
+from tidemark.sources.files import REASON
 
 # Synonyms, statuses, price limits, events.
 SEGMENT_SYNONYMS = {"premium": ("premium", "gold", "vip"), "standard": ("standard", "regular", "normal")}
@@ -55,26 +57,24 @@ def products(raw: DataFrame, *, tidy_labels: bool = True, stamp: bool = False) -
     rows = latest_of(raw, SOURCES["products"])
     if tidy_labels:
         rows = standardize_strings(rows, ("category", "subcategory", "brand"))
-    priced = rows.withColumns({"price": money("price"), "cost": money("cost")})
-    valid = priced.filter((F.col("price") > 0) & (F.col("cost") > 0))
+    priced = valid(rows, "products").withColumns({"price": money("price", PRICE), "cost": money("cost", PRICE)})
     derived = {
         "profit_margin": percent(F.col("price") - F.col("cost"), F.col("price")),
         "price_tier": below(F.col("price"), PRICE_TIERS, TOP_PRICE_TIER),
     }
-    return silver_metadata(valid.withColumns(derived), stamp)
+    return silver_metadata(priced.withColumns(derived), stamp)
 
 
 def orders(raw: DataFrame, *, normalise_status: bool = True, stamp: bool = False) -> DataFrame:
     """Without ``normalise_status`` the raw status stays and only year, month and weekend are derived."""
     rows = latest_of(raw, SOURCES["orders"])
-    amounts = rows.withColumns({"total_amount": money("total_amount"), "shipping_cost": money("shipping_cost")})
-    valid = amounts.filter(F.col("total_amount") >= 0)
+    amounts = valid(rows, "orders").withColumns({"total_amount": money("total_amount"), "shipping_cost": money("shipping_cost")})
     when = F.col("order_date")
     derived = {
         "order_year": F.year(when),
         "order_month": F.month(when),
         "is_weekend": weekend(when),
-        "net_amount": F.col("total_amount") - F.coalesce("shipping_cost", F.lit(0).cast("decimal(12,2)")),
+        "net_amount": F.col("total_amount") - F.coalesce("shipping_cost", F.lit(0).cast(AMOUNT)),
     }
     if normalise_status:
         status = F.col("status")
@@ -86,19 +86,26 @@ def orders(raw: DataFrame, *, normalise_status: bool = True, stamp: bool = False
             "order_dayofweek": F.dayofweek(when),
             "order_hour": F.hour(when),
         }
-    return silver_metadata(valid.withColumns(derived), stamp)
+    return silver_metadata(amounts.withColumns(derived), stamp)
 
 
 def order_items(raw: DataFrame, *, require_price: bool = True, stamp: bool = False) -> DataFrame:
     rows = latest_of(raw, SOURCES["order_items"])
-    amounts = rows.withColumns(
-        {"unit_price": money("unit_price"), "discount": F.coalesce(money("discount", 9, 4), F.lit(0).cast("decimal(9,4)"))}
-    )
-    valid = amounts.filter(F.col("quantity") > 0)
-    if require_price:
-        valid = valid.filter(F.col("unit_price") > 0)
-    net = F.col("quantity") * F.col("unit_price") * (F.lit(1).cast("decimal(9,4)") - F.col("discount"))
-    return silver_metadata(valid.withColumns({"line_total": F.round(net, 2).cast("decimal(22,2)")}), stamp)
+    kept = valid(rows, "order_items" if require_price else "order_items_unpriced")
+    amounts = kept.withColumns({"unit_price": money("unit_price", PRICE), "discount": money_or_zero("discount", DISCOUNT)})
+    return silver_metadata(amounts.withColumns({"line_total": line_total()}), stamp)
+
+
+def line_total() -> Column:
+    """Quantity by price less discount, rounded once."""
+    net = F.col("quantity") * F.col("unit_price") * (F.lit(1).cast(DISCOUNT) - F.col("discount"))
+    return F.round(net, 2).cast("decimal(22,2)")
+
+
+def rejected(raw: DataFrame, table: str) -> DataFrame:
+    """Newest versions that the cleaned table leaves out, each with its first fault as ``_reject_reason``."""
+    rows = latest_of(raw, SOURCES[table])
+    return rows.withColumn(REASON, faults(table)).filter(F.col(REASON).isNotNull())
 
 
 def clickstream(raw: DataFrame, *, stamp: bool = False) -> DataFrame:

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import weekend
-from tidemark.functions.numbers import below, money, percent
+from tidemark.functions.numbers import AMOUNT, DISCOUNT, PRICE, below, money, money_or_zero, percent
 from tidemark.functions.text import or_unknown, relabel, tidy
-from tidemark.plans.silver import CANCELLED_SYNONYMS, KEPT_STATUSES, PRICE_TIERS, TOP_PRICE_TIER
+from tidemark.plans.silver import CANCELLED_SYNONYMS, KEPT_STATUSES, PRICE_TIERS, TOP_PRICE_TIER, line_total
+from tidemark.plans.validity import valid
 
 # This variant does not count "normal" as a standard customer.
 STAGING_SEGMENTS = {"premium": ("premium", "gold", "vip"), "standard": ("standard", "regular")}
@@ -32,9 +33,9 @@ def stg_customers(raw: DataFrame) -> DataFrame:
 
 
 def stg_products(raw: DataFrame) -> DataFrame:
-    price, cost = money("price"), money("cost")
+    price, cost = money("price", PRICE), money("cost", PRICE)
     optional = [c for c in ("weight_kg", "created_at") if c in raw.columns]
-    return raw.filter((price > 0) & (cost > 0)).select(
+    return valid(raw, "products").select(
         "product_id",
         F.trim("product_name").alias("product_name"),
         *[tidy(c).alias(c) for c in ("category", "subcategory", "brand")],
@@ -48,16 +49,16 @@ def stg_products(raw: DataFrame) -> DataFrame:
 
 def stg_orders(raw: DataFrame) -> DataFrame:
     total = money("total_amount")
-    shipping = F.coalesce(money("shipping_cost"), F.lit(0).cast("decimal(12,2)"))
+    shipping = money_or_zero("shipping_cost")
     labels = {s: (s,) for s in KEPT_STATUSES} | {"cancelled": CANCELLED_SYNONYMS}
-    return raw.filter(total >= 0).select(
+    return valid(raw, "orders").select(
         "order_id",
         "customer_id",
         "order_date",
         relabel(F.col("status"), labels, F.lit("unknown")).alias("status"),
         total.alias("total_amount"),
         shipping.alias("shipping_cost"),
-        (total - shipping).cast("decimal(12,2)").alias("net_amount"),
+        (total - shipping).cast(AMOUNT).alias("net_amount"),
         "payment_method",
         F.year("order_date").alias("order_year"),
         F.month("order_date").alias("order_month"),
@@ -66,15 +67,15 @@ def stg_orders(raw: DataFrame) -> DataFrame:
 
 
 def stg_order_items(raw: DataFrame) -> DataFrame:
-    price = money("unit_price")
-    discount = F.coalesce(money("discount", 5, 4), F.lit(0).cast("decimal(5,4)"))
-    net = F.col("quantity") * price * (F.lit(1).cast("decimal(5,4)") - discount)
-    return raw.filter((F.col("quantity") > 0) & (price > 0)).select(
-        "item_id",
-        "order_id",
-        "product_id",
-        "quantity",
-        price.alias("unit_price"),
-        discount.alias("discount"),
-        F.round(net, 2).cast("decimal(22,2)").alias("line_total"),
+    return (
+        valid(raw, "order_items")
+        .select(
+            "item_id",
+            "order_id",
+            "product_id",
+            "quantity",
+            money("unit_price", PRICE).alias("unit_price"),
+            money_or_zero("discount", DISCOUNT).alias("discount"),
+        )
+        .withColumn("line_total", line_total())
     )

@@ -17,6 +17,7 @@ class SourceTable:
     ``ties`` lists the columns that order two versions of a key which arrived in the same batch, so
     that the surviving version never depends on row order.  ``hashed_ties`` are long text columns
     that take part through a 64-bit hash: the sort and the shuffle then carry eight bytes, not the text.
+    ``multi_line`` says that quoted fields may hold line breaks; such files are read whole, one task each.
     """
 
     name: str
@@ -25,6 +26,7 @@ class SourceTable:
     ties: tuple[str, ...]
     hashed_ties: tuple[str, ...] = ()
     event_time: str | None = None
+    multi_line: bool = False
 
     @property
     def schema(self) -> StructType:
@@ -80,6 +82,7 @@ SOURCES: dict[str, SourceTable] = {
             key="review_id",
             ties=("created_at", "rating", "helpful_votes", "product_id", "customer_id"),
             hashed_ties=("review_text",),
+            multi_line=True,
         ),
     )
 }
@@ -97,6 +100,9 @@ class Layout:
     def bronze(self, table: str) -> str:
         return f"{self.base}/bronze/{table}"
 
+    def quarantine(self, table: str) -> str:
+        return f"{self.base}/quarantine/{table}"
+
     def silver(self, table: str) -> str:
         return f"{self.base}/silver/{table}"
 

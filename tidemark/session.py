@@ -18,8 +18,6 @@ BASE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Re-ingesting one date replaces that date only.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import logging
 import time
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
@@ -13,13 +14,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import PARTITION_DATE, SOURCES, Layout, SourceTable
-from tidemark.sources.files import ingest_csv
+from tidemark.sources.files import CORRUPT, REASON, ingest_csv, judge_csv
 from tidemark.sources.parallel import run_parallel
 
 log = logging.getLogger(__name__)
 
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
-
 
 @dataclass(frozen=True)
 class Loaded:
@@ -29,6 +28,7 @@ class Loaded:
     rows: int
     seconds: float
     error: str | None = None
+    rejected: int = 0
 
 
 def write_counted(df: DataFrame, write: Callable[[DataFrame], object]) -> int:
@@ -45,38 +45,60 @@ def with_partition_date(df: DataFrame, table: SourceTable) -> DataFrame:
     return df.withColumn(PARTITION_DATE, F.to_date(table.event_time))
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; file scans report the size of their files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
+def write_bronze(df: DataFrame, path: str, partition_by: Sequence[str] = (), replace: str = "dynamic") -> None:
+    """Overwrite the folder: all of it (``replace="static"``) or only the partitions that occur in ``df``.
 
-def write_bronze(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite the folder or, with partition columns, only the partitions that occur in ``df``.
-
-    Rows are brought together by partition value before the write, so a date becomes a few files instead of
-    one per task.  The rebalance hint lets adaptive execution split a date that exceeds the advisory partition
-    size.  It also merges small partitions, which would leave all files of a small input to one task; input
-    below ``SMALL_INPUT_BYTES`` is therefore spread by date over all tasks.
+    The rebalance hint brings rows together by partition value, so a date becomes a few files instead of one per
+    task, and lets adaptive execution split a date that exceeds the advisory partition size.  Files are cut by date
+    anyway, so small shuffle partitions are left apart: merging them would only queue their dates in one task.
     """
     if not partition_by:
         df.write.mode("overwrite").parquet(path)
         return
-    if estimated_bytes(df) <= SMALL_INPUT_BYTES:
-        gathered = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *partition_by)
-    else:
-        gathered = df.hint("rebalance", *partition_by)
-    writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*partition_by).parquet(path)
+    writer = df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", replace)
+    with _setting(df.sparkSession, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        writer.partitionBy(*partition_by).parquet(path)
+
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the time of one write; a job of another thread meanwhile has more, smaller tasks at worst."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None or before == value else spark.conf.set(name, before)
 
-def load_table(spark: SparkSession, layout: Layout, table: SourceTable, batch_id: str, infer: bool = False) -> Loaded:
+
+def write_bronze_date(df: DataFrame, path: str, day: str) -> None:
+    """Replace the folder of one date, also by nothing."""
+    df.drop(PARTITION_DATE).write.mode("overwrite").parquet(f"{path}/{PARTITION_DATE}={day}")
+
+
+def load_table(
+    spark: SparkSession, layout: Layout, table: SourceTable, batch_id: str, infer: bool = False, replace: str = "static"
+) -> Loaded:
+    """Landing files to bronze; records that break the contract go to the table's quarantine folder with the reason."""
     started = time.monotonic()
-    schema = None if infer else table.schema
-    raw = ingest_csv(spark, layout.landing(table.name), table.name, schema, batch_id)
-    raw = with_partition_date(raw, table)
     partitions = [PARTITION_DATE] if table.event_time else []
-    rows = write_counted(raw, lambda df: write_bronze(df, layout.bronze(table.name), partitions))
-    return Loaded(table.name, rows, time.monotonic() - started)
+    landing = layout.landing(table.name)
+    if infer:
+        raw = with_partition_date(ingest_csv(spark, landing, table.name, None, batch_id, table.multi_line), table)
+        rows = write_counted(raw, lambda df: write_bronze(df, layout.bronze(table.name), partitions, replace))
+        return Loaded(table.name, rows, time.monotonic() - started)
+    judged, typed = judge_csv(spark, landing, table.name, table.schema, batch_id, table.multi_line)
+    seen = Observation(f"judged-{uuid.uuid4().hex[:8]}")
+    bad = F.col(REASON).isNotNull()
+    counted = judged.observe(seen, F.count_if(~bad).alias("rows"), F.count_if(bad).alias("rejected"))
+    valid = with_partition_date(counted.filter(~bad).drop(CORRUPT, REASON).withColumns(typed), table)
+    write_bronze(valid, layout.bronze(table.name), partitions, replace)
+    rejected = int(seen.get["rejected"])
+    if rejected or replace == "static":
+        # A second scan, for the few files or runs that need it; a rebuild also clears what earlier runs rejected.
+        bad_rows = judged.filter(bad) if rejected else judged.limit(0)
+        bad_rows.write.mode("overwrite").parquet(layout.quarantine(table.name))
+    return Loaded(table.name, int(seen.get["rows"]), time.monotonic() - started, rejected=rejected)
 
 
 def ingest_all(
@@ -96,13 +118,15 @@ def ingest_all(
 
     def job(name: str) -> Callable[[], Loaded]:
         def load() -> Loaded:
+            started = time.monotonic()
             try:
                 return load_table(spark, layout, SOURCES[name], batch_id)
             except Exception as error:
+                seconds = time.monotonic() - started
                 if on_error == "raise":
                     raise
                 log.warning("ingest of %s failed: %s", name, error)
-                return Loaded(name, 0, 0.0, str(error).splitlines()[0])
+                return Loaded(name, 0, seconds, str(error).splitlines()[0])
 
         return load
 
@@ -124,7 +148,7 @@ def ingest_from_config(
             reader = spark.read.option("header", True).option("recursiveFileLookup", True).option("escape", '"')
             reader = reader.option("pathGlobFilter", "*.csv")
             if table in SOURCES:
-                reader = reader.schema(SOURCES[table].schema)
+                reader = reader.schema(SOURCES[table].schema).option("multiLine", SOURCES[table].multi_line)
             target = f"{bronze}/{table}/{day:%Y/%m/%d}"
             rows = write_counted(
                 reader.csv(f"{landing}/{source}"),

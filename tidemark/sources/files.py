@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -72,8 +72,10 @@ class Checked:
     rejected: DataFrame
 
 
-def ingest_csv_checked(spark: SparkSession, path: str, table: str, schema: StructType) -> Checked:
-    """Split a CSV into usable and rejected records.
+def judge_csv(
+    spark: SparkSession, path: str, table: str, schema: StructType, batch_id: str | None = None, multi_line: bool = False
+) -> tuple[DataFrame, dict[str, Column]]:
+    """Fields as text with audit columns and ``_reject_reason``; and the typed columns of valid records.
 
     A record is rejected when it has the wrong number of fields, when a field is no value of its type, or when
     a column the contract calls non-null is empty (file readers report every column as nullable).  Fields are
@@ -81,7 +83,7 @@ def ingest_csv_checked(spark: SparkSession, path: str, table: str, schema: Struc
     malformed would depend on the query.
     """
     text = StructType([StructField(f.name, StringType(), True) for f in schema.fields]).add(CORRUPT, StringType(), True)
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", multi_line)
     raw = reader.option("columnNameOfCorruptRecord", CORRUPT).schema(text).csv(path)
     typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
     unreadable = [F.col(name).isNotNull() & value.isNull() for name, value in typed.items()]
@@ -89,7 +91,14 @@ def ingest_csv_checked(spark: SparkSession, path: str, table: str, schema: Struc
     for field in schema.fields:
         if not field.nullable:
             reason = reason.when(F.col(field.name).isNull(), F.lit(f"missing {field.name}"))
-    judged = add_audit_columns(raw, f"csv/{table}").withColumn(REASON, reason)
+    return add_audit_columns(raw, f"csv/{table}", batch_id).withColumn(REASON, reason), typed
+
+
+def ingest_csv_checked(
+    spark: SparkSession, path: str, table: str, schema: StructType, batch_id: str | None = None, multi_line: bool = False
+) -> Checked:
+    """Split a CSV into usable and rejected records (see ``judge_csv``)."""
+    judged, typed = judge_csv(spark, path, table, schema, batch_id, multi_line)
     return Checked(
         valid=judged.filter(F.col(REASON).isNull()).drop(CORRUPT, REASON).withColumns(typed),
         rejected=judged.filter(F.col(REASON).isNotNull()),

@@ -8,11 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _local_folders: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -32,7 +35,28 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path that no other step uses."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    for paths in _scopes:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables made inside when the block ends; frames over them must not outlive it."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, label: str) -> tuple[DataFrame, int]:
@@ -49,5 +73,4 @@ def materialise(df: DataFrame, label: str) -> tuple[DataFrame, int]:
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application; frames that still read them stop working."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete_folder(spark, scratch_root(spark))

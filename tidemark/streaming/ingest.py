@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tidemark.operators.merge import upsert
+from tidemark.schemas import SOURCES
 from tidemark.sources.bronze import write_counted
 from tidemark.sources.files import add_audit_columns
 
@@ -31,6 +32,7 @@ def file_stream(
 ) -> DataFrame:
     """CSV arrivals with audit columns; ``max_files`` bounds one micro-batch of a large backlog."""
     reader = spark.readStream.schema(schema).option("header", True).option("escape", '"')
+    reader = reader.option("multiLine", table in SOURCES and SOURCES[table].multi_line)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return add_audit_columns(reader.csv(path), f"csv/{table}")
@@ -79,9 +81,16 @@ def drain_to_silver(
         read += write_counted(batch, lambda df: df.write.mode("overwrite").parquet(folder))
         landed = batch.sparkSession.read.schema(batch.schema).parquet(folder)
         # The transform leaves one row per key, so the source needs no key check.
-        upsert(transform(landed), silver, key, check_keys=False)
+        # A key whose newest version is invalid leaves silver, as it does when everything is rebuilt.
+        upsert(transform(landed), silver, key, check_keys=False, replaces=landed)
 
     stream = file_stream(spark, path, table, schema, max_files)
     writer = stream.writeStream.foreachBatch(apply).trigger(availableNow=True)
     writer.option("checkpointLocation", f"{checkpoint}/state").start().awaitTermination()
     return read
+
+
+def mark_as_read(spark: SparkSession, path: str, table: str, checkpoint: str, schema: StructType) -> None:
+    """Move the checkpoint behind the files that are there now, without reading them: a rebuild has taken them in."""
+    writer = file_stream(spark, path, table, schema).writeStream.foreachBatch(lambda batch, batch_id: None).trigger(availableNow=True)
+    writer.option("checkpointLocation", f"{checkpoint}/state").start().awaitTermination()
