@@ -6,6 +6,7 @@ from tidemark.operators.quality import QualityGateError
 from tidemark.plans.run import MedallionRun
 from tidemark.schemas import SOURCES, Layout
 from tidemark.sources import run_log, snapshot
+from tidemark.sources.buckets import read_buckets
 
 AS_OF = "2024-02-10"
 
@@ -21,7 +22,7 @@ def layout(tmp_path, raw_customers, raw_products, raw_orders, raw_items, raw_cli
 
 
 def counts(spark, layout):
-    return {t: snapshot.read_snapshot(spark, layout.silver(t)).count() for t in SOURCES}
+    return {t: read_buckets(spark, layout.silver(t)).count() for t in SOURCES}
 
 
 EXPECTED = {"customers": 5, "products": 4, "orders": 6, "order_items": 7, "clickstream": 5, "reviews": 3}
@@ -59,7 +60,7 @@ def test_reprocess_replaces_one_date(spark, layout, raw_orders):
     )
     land_csv(corrected.withColumn("shipping_address", F.lit("x")), layout.landing("orders"), mode="overwrite")
     MedallionRun(spark, layout, AS_OF, "r2").run("reprocess", "2024-02-01")
-    got = {r["order_id"]: float(r["total_amount"]) for r in snapshot.read_snapshot(spark, layout.silver("orders")).collect()}
+    got = {r["order_id"]: float(r["total_amount"]) for r in read_buckets(spark, layout.silver("orders")).collect()}
     # O4 left the date, O5 changed on it; O1 is of another date and keeps its old amount.
     assert "O4" not in got and got["O5"] == 1.0 and got["O1"] == 150.0
     assert spark.read.parquet(layout.bronze("orders")).count() == 7
@@ -87,3 +88,31 @@ def test_bad_arguments(spark, layout):
         run.run("partial")
     with pytest.raises(ValueError, match="batch date"):
         run.run("reprocess")
+
+
+def test_rebuild_forgets_what_left_the_landing_files(spark, layout, raw_orders):
+    MedallionRun(spark, layout, AS_OF, "r1").run()
+    land_csv(raw_orders.filter("order_id <> 'O4'").withColumn("shipping_address", F.lit("x")), layout.landing("orders"), mode="overwrite")
+    MedallionRun(spark, layout, AS_OF, "r2").run()
+    assert counts(spark, layout) == EXPECTED | {"orders": 5}
+
+
+def test_rejected_records_are_stored_and_tables_logged_one_by_one(spark, layout, raw_orders):
+    bad = raw_orders.withColumn("customer_id", F.when(F.col("order_id") != "O1", F.col("customer_id")))
+    land_csv(bad.withColumn("shipping_address", F.lit("x")), layout.landing("orders"), mode="overwrite")
+    run = MedallionRun(spark, layout, AS_OF, "r1", on_ingest_error="continue")
+    run.run()
+    rejected = spark.read.parquet(layout.quarantine("orders")).collect()
+    assert [(r["order_id"], r["_reject_reason"]) for r in rejected] == [("O1", "missing customer_id")]
+    assert counts(spark, layout) == EXPECTED | {"orders": 5}
+    assert len([s for s in run.steps if s.step == "bronze_ingestion"]) == 6
+
+
+def test_incremental_after_full_reads_new_files_only(spark, layout, raw_orders):
+    MedallionRun(spark, layout, AS_OF, "r1").run()
+    bad = raw_orders.filter("order_id = 'O1'").withColumns({"total_amount": F.lit(-1.0), "shipping_address": F.lit("x")})
+    land_csv(bad, layout.landing("orders"), mode="append")
+    run = MedallionRun(spark, layout, AS_OF, "r2")
+    run.run("incremental")
+    assert {s.table_name: s.rows_processed for s in run.steps if s.step == "silver_transformation"}["orders"] == 1
+    assert counts(spark, layout) == EXPECTED | {"orders": 5}  # its newest version is invalid

@@ -187,3 +187,42 @@ def test_scratch_on_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.scratch_root(Session())
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+    from tidemark.sources import buckets
+
+    path = str(tmp_path / "b")
+    df = spark.range(400).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"))
+    assert buckets.write_buckets(df, path, "k", buckets=16) == 400
+    first = set(buckets.read_buckets(spark, path).inputFiles())
+    change = spark.createDataFrame([("7", 2), ("new", 3)], "k STRING, v INT").withColumn("w", F.lit("x"))
+    gone = spark.createDataFrame([("8",), ("7",)], "k STRING")
+    assert buckets.upsert_buckets(change, path, "k", replaces=gone) == 2
+    table = buckets.read_buckets(spark, path)
+    assert 1 <= len(set(table.inputFiles()) - first) <= 3
+    got = {r["k"]: (r["v"], r["w"]) for r in table.collect()}
+    assert len(got) == 400 and "8" not in got and got["7"] == (2, "x") and got["new"] == (3, "x") and got["9"] == (1, None)
+    buckets.upsert_buckets(change.limit(0), path, "k", replaces=df.select("k"))
+    assert buckets.read_buckets(spark, path).select("k").collect() == [("new",)]
+    buckets.upsert_buckets(change.filter("k = '7'"), path, "k")
+    assert sorted(r["k"] for r in buckets.read_buckets(spark, path).collect()) == ["7", "new"]
+
+
+def test_snapshots_keep_two_versions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(4):
+        snapshot.write_snapshot(spark.range(n), path)
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if p.is_dir()) == ["version=00000003", "version=00000004"]
+
+
+def test_scratch_scope_deletes_what_was_made_inside(spark):
+    import os
+
+    from tidemark.sources import scratch
+
+    with scratch.scratch_scope(spark):
+        table, _ = scratch.materialise(spark.range(3), "scoped")
+        path = table.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)

@@ -17,6 +17,7 @@ from tidemark.plans.run import MedallionRun
 from tidemark.schemas import INGESTED_AT, PARTITION_DATE, SOURCES, Layout
 from tidemark.sources import run_log, snapshot, warehouse
 from tidemark.sources.bronze import ingest_all, ingest_from_config, with_partition_date, write_bronze
+from tidemark.sources.buckets import read_buckets, upsert_buckets
 from tidemark.sources.files import REASON, ingest_csv, ingest_csv_checked, ingest_json, ingest_parquet
 from tidemark.streaming.ingest import drain_to_bronze, drain_to_silver
 
@@ -253,16 +254,26 @@ def upsert_orders(t: Tables) -> DataFrame:
     return snapshot.read_snapshot(t.spark, path)
 
 
-@query("silver_upsert", "SELECT * FROM reduced_customers")
+_REDUCED = ("customers", "products", "orders", "order_items")
+_REDUCED_KEYED = {
+    "customers": ("customer_id", {"email": "", "segment": "", "full_name": "", "email_valid": ""}),
+    "products": ("product_id", {"category": "", "price": "DECIMAL(12,2)", "profit_margin": "", "price_tier": ""}),
+    "orders": ("order_id", {"status": "", "net_amount": "DECIMAL(13,2)", "order_year": ""}),
+    "order_items": ("item_id", {"order_id": "", "quantity": "", "line_total": ""}),
+}
+
+
+@query("silver_upsert", _digests_sql([_digest(n, *_REDUCED_KEYED[n], f"reduced_{n}") for n in _REDUCED]))
 def silver_upsert(t: Tables) -> DataFrame:
-    """Customers arrive in two batches; each is cleaned and upserted, then the table is compacted."""
-    path = t.scratch("customers")
-    raw = t.raw("customers")
-    for day in ("2001-08-01", "2001-08-02"):
-        batch = raw.filter(F.to_date(INGESTED_AT) == F.lit(day).cast("date"))
-        cleaned = silver.customers(batch, **silver.REDUCED_OPTIONS["customers"])
-        upsert(cleaned, path, "customer_id", check_keys=False)
-    return snapshot.compact(t.spark, path)
+    """The four tables of the interactive run arrive in two batches by key; each batch is cleaned and upserted."""
+    frames = {}
+    for name in _REDUCED:
+        path, key, raw = t.scratch(name), SOURCES[name].key, t.raw(name)
+        second = F.pmod(F.xxhash64(key), F.lit(5)) == 0
+        for batch in (raw.filter(~second), raw.filter(second), raw.filter(second)):
+            upsert_buckets(silver.BUILDERS[name](batch, **silver.REDUCED_OPTIONS[name]), path, key, replaces=batch)
+        frames[name] = read_buckets(t.spark, path)
+    return _digests(frames, _REDUCED_KEYED)
 
 
 @query("warehouse_load", _digests_sql([_digest(n, *_GOLD_CONTENT[n], f"gold_{n}") for n in warehouse.WAREHOUSE_TABLES]))
@@ -346,7 +357,7 @@ def stream_upsert(t: Tables) -> DataFrame:
         drain_to_silver(
             t.spark, landing, "orders", "order_id", silver.orders, bronze, target, checkpoint, SOURCES["orders"].schema
         )
-    return snapshot.read_snapshot(t.spark, target).select("order_id", "status", "total_amount", "net_amount")
+    return read_buckets(t.spark, target).select("order_id", "status", "total_amount", "net_amount")
 
 
 # Whole runs
@@ -367,7 +378,7 @@ def _run_sql() -> str:
 
 
 def _run_digests(t: Tables, layout: Layout) -> DataFrame:
-    frames = {n: snapshot.read_snapshot(t.spark, layout.silver(n)) for n in SOURCES}
+    frames = {n: read_buckets(t.spark, layout.silver(n)) for n in SOURCES}
     frames |= {n: snapshot.read_snapshot(t.spark, layout.gold(n)) for n in ("daily_sales", "hourly_traffic")}
     contents = _RUN_KEYED | {"daily_sales": _GOLD_CONTENT["daily_sales"], "hourly_traffic": _HOURLY}
     return _digests(frames, contents)
@@ -405,7 +416,7 @@ def _order_lake(t: Tables, orders: DataFrame) -> Layout:
 
 
 def _silver_orders(t: Tables, layout: Layout) -> DataFrame:
-    return _digests({"orders": snapshot.read_snapshot(t.spark, layout.silver("orders"))}, _ORDER_RUN)
+    return _digests({"orders": read_buckets(t.spark, layout.silver("orders"))}, _ORDER_RUN)
 
 
 @query("run_rebuild", _digest("orders", *_ORDER_RUN["orders"], "silver_orders WHERE order_date > TIMESTAMP '1995-06-30'").replace("{text}", "VARCHAR"))
@@ -446,5 +457,5 @@ def run_quarantine(t: Tables) -> DataFrame:
     layout = _order_lake(t, _damaged(t.contract("orders")))
     MedallionRun(t.spark, layout, AS_OF, "run-1").run("full")
     rejected = t.spark.read.parquet(layout.quarantine("orders")).select("order_id", F.col(REASON).alias("reason"), "status")
-    kept = snapshot.read_snapshot(t.spark, layout.silver("orders")).select("order_id", F.lit("kept").alias("reason"), "status")
+    kept = read_buckets(t.spark, layout.silver("orders")).select("order_id", F.lit("kept").alias("reason"), "status")
     return rejected.unionByName(kept)

@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tidemark.operators.merge import replace_slice
 from tidemark.operators.quality import SILVER_RULES, evaluate, gate
 from tidemark.plans import gold, silver
 from tidemark.schemas import INGESTED_AT, PARTITION_DATE, SOURCES, Layout, SourceTable
 from tidemark.sources.bronze import ingest_all, with_partition_date, write_bronze_date, write_counted
+from tidemark.sources.buckets import BUCKETS, buckets_exist, read_buckets, upsert_buckets, write_buckets
 from tidemark.sources.files import ingest_csv_checked
 from tidemark.sources.parallel import run_parallel
 from tidemark.sources.run_log import StepRecord, append_steps, now
@@ -51,7 +51,8 @@ class MedallionRun:
     ``gate_mode`` says what failed quality checks do (``warn`` or ``fail``); ``fail_on_error`` says whether a
     failed step stops the run or is only logged; ``on_ingest_error`` says the same of one table's landing files
     (``raise`` or ``continue`` with the other tables).  With a ``warehouse`` sink the run ends with the load of the
-    warehouse tables.  Intermediate tables of the run are deleted when it ends.
+    warehouse tables.  ``buckets`` is how many hash buckets a silver table gets when it is first written.  Intermediate
+    tables of the run are deleted when it ends.
     """
 
     spark: SparkSession
@@ -62,6 +63,7 @@ class MedallionRun:
     fail_on_error: bool = True
     on_ingest_error: str = "raise"
     workers: int = 4
+    buckets: int = BUCKETS
     name: str = "daily_etl"
     warehouse: ParquetSink | JdbcSink | None = None
     steps: list[StepRecord] = field(default_factory=list)
@@ -125,7 +127,7 @@ class MedallionRun:
         return run_parallel(self.spark, [timed(t, j) for t, j in jobs.items()], self.workers)
 
     def _silver(self, table: str) -> DataFrame:
-        return read_snapshot(self.spark, self.layout.silver(table))
+        return read_buckets(self.spark, self.layout.silver(table))
 
     # Stages
 
@@ -140,7 +142,7 @@ class MedallionRun:
             def build() -> int:
                 bronze = self.spark.read.schema(_bronze_schema(table)).parquet(self.layout.bronze(table))
                 cleaned = silver.BUILDERS[table](bronze, stamp=True)
-                rows = write_counted(cleaned, lambda df: write_snapshot(df, self.layout.silver(table)))
+                rows = write_buckets(cleaned, self.layout.silver(table), SOURCES[table].key, self.buckets)
                 mark_as_read(self.spark, self.layout.landing(table), table, self.layout.checkpoint(table), SOURCES[table].schema)
                 return rows
 
@@ -163,6 +165,7 @@ class MedallionRun:
                     silver=self.layout.silver(table),
                     checkpoint=self.layout.checkpoint(table),
                     schema=SOURCES[table].schema,
+                    buckets=self.buckets,
                 )
 
             return drain
@@ -182,7 +185,13 @@ class MedallionRun:
                 again, _ = materialise(day, "reprocess")
                 write_bronze_date(again, self.layout.bronze(table.name), batch_date)
                 cleaned = silver.BUILDERS[table.name](again, stamp=True)
-                return replace_slice(cleaned, self.layout.silver(table.name), table.key, table.event_time, batch_date)
+                silver_path = self.layout.silver(table.name)
+                if not buckets_exist(self.spark, silver_path):
+                    return write_buckets(cleaned, silver_path, table.key, self.buckets)
+                # The keys the day had before leave, and those it has now, valid or not.
+                stored = read_buckets(self.spark, silver_path)
+                had = stored.filter(F.to_date(table.event_time) == F.lit(batch_date).cast("date")).select(table.key)
+                return upsert_buckets(cleaned, silver_path, table.key, replaces=had.unionByName(again.select(table.key)))
 
             return replace
 

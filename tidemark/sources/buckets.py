@@ -1,0 +1,123 @@
+"""Tables laid out by a hash bucket of their key, so that a change rewrites only the buckets it touches.
+
+``<path>/version=N/bucket=K`` holds bucket K as version N wrote it; a version holds only the buckets it changed, and the
+table is the newest committed folder of every bucket.  Spark's job commit writes ``_SUCCESS`` last, so a job lost half way
+is not looked at.  The number of buckets is fixed by the first write.  One writer per table at a time.  A bucket
+keeps the folder that a write replaces and loses older ones, so a query may go on reading what it started from while
+one write happens.
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.sources.scratch import delete_folder, materialise
+
+# For small tables; choose it so that a bucket of the full table holds a gigabyte or so.
+BUCKETS = 16
+BUCKET = "_bucket"
+_FOLDER = re.compile(r"version=(\d+)$")
+
+
+def _files(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    folder, files = _files(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+
+
+def _layout(spark: SparkSession, path: str) -> tuple[dict[int, list[int]], int]:
+    """Committed versions of every bucket, newest first; and the highest version number seen at all."""
+    found: dict[int, list[int]] = {}
+    highest = 0
+    for name in _names(spark, path):
+        if match := _FOLDER.match(name):
+            version = int(match[1])
+            highest = max(highest, version)
+            inside = _names(spark, f"{path}/{name}")
+            if "_SUCCESS" in inside:
+                for bucket in (int(n.partition("=")[2]) for n in inside if n.startswith(f"{BUCKET}=")):
+                    found.setdefault(bucket, []).append(version)
+    return {b: sorted(v, reverse=True) for b, v in found.items()}, highest
+
+
+def _folder(path: str, version: int, bucket: int) -> str:
+    return f"{path}/version={version:08d}/{BUCKET}={bucket}"
+
+
+def buckets_exist(spark: SparkSession, path: str) -> bool:
+    return bool(_layout(spark, path)[0])
+
+
+def read_buckets(spark: SparkSession, path: str, only: set[int] | None = None) -> DataFrame | None:
+    """The rows of all (or some) buckets, columns of all versions together; None if no such bucket has a file."""
+    layout, _ = _layout(spark, path)
+    if not layout:
+        raise FileNotFoundError(f"no committed version of {path}")
+    folders = [_folder(path, versions[0], b) for b, versions in sorted(layout.items()) if only is None or b in only]
+    filled = [f for f in folders if any(n.endswith(".parquet") for n in _names(spark, f))]
+    return spark.read.option("mergeSchema", True).parquet(*filled) if filled else None
+
+
+def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int"))
+
+
+def _write(df: DataFrame, path: str, touched: set[int]) -> None:
+    """A new version of the touched buckets; one that has no row left is an empty folder."""
+    spark = df.sparkSession
+    layout, highest = _layout(spark, path)
+    for bucket in touched:
+        folder, files = _files(spark, _folder(path, highest + 1, bucket))
+        files.mkdirs(folder)
+    df.hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(f"{path}/version={highest + 1:08d}")
+    for bucket, versions in layout.items():
+        if bucket in touched:
+            for old in versions[1:]:
+                delete_folder(spark, _folder(path, old, bucket))
+
+
+def _buckets_of(spark: SparkSession, path: str, default: int) -> int:
+    """How many buckets a table was made with: every one has a folder from the first write on."""
+    layout, _ = _layout(spark, path)
+    return len(layout) or default
+
+
+def write_buckets(df: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> int:
+    """Replace the whole table.  Returns the rows."""
+    spark = df.sparkSession
+    buckets = _buckets_of(spark, path, buckets)
+    staged, rows = materialise(df, "buckets")
+    _write(_bucketed(staged, key, buckets), path, set(range(buckets)))
+    return rows
+
+
+def upsert_buckets(source: DataFrame, path: str, key: str, replaces: DataFrame | None = None, buckets: int = BUCKETS) -> int:
+    """Update rows with the key of a source row, insert the others; rewrites the touched buckets only.  Returns the source rows.
+
+    The source has one row per key.  Keys of ``replaces`` leave the table even if the source has no row for them.
+    """
+    spark = source.sparkSession
+    if not buckets_exist(spark, path):
+        return write_buckets(source, path, key, buckets)
+    buckets = _buckets_of(spark, path, buckets)
+    staged, rows = materialise(_bucketed(source, key, buckets), "upsert")
+    keys = staged.select(key, BUCKET)
+    if replaces is not None:
+        keys, _ = materialise(_bucketed(replaces.select(key), key, buckets).unionByName(keys).distinct(), "upsert-keys")
+    # At most one row per bucket.
+    touched = {r[BUCKET] for r in keys.select(BUCKET).distinct().collect()}
+    if not touched:
+        return rows
+    before = read_buckets(spark, path, touched)
+    if before is not None:
+        kept = _bucketed(before, key, buckets).join(keys.select(key), key, "left_anti")
+        staged = kept.unionByName(staged, allowMissingColumns=True)
+    _write(staged, path, touched)
+    return rows

@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tidemark.operators.merge import upsert
 from tidemark.schemas import SOURCES
 from tidemark.sources.bronze import write_counted
+from tidemark.sources.buckets import BUCKETS, upsert_buckets
 from tidemark.sources.files import add_audit_columns
 
 
@@ -67,6 +67,7 @@ def drain_to_silver(
     checkpoint: str,
     schema: StructType,
     max_files: int | None = None,
+    buckets: int = BUCKETS,
 ) -> int:
     """Bring new files into bronze and upsert their cleaned rows into silver.  Returns the rows read.
 
@@ -80,9 +81,9 @@ def drain_to_silver(
         folder = f"{bronze}/_batch={batch_id:08d}"
         read += write_counted(batch, lambda df: df.write.mode("overwrite").parquet(folder))
         landed = batch.sparkSession.read.schema(batch.schema).parquet(folder)
-        # The transform leaves one row per key, so the source needs no key check.
         # A key whose newest version is invalid leaves silver, as it does when everything is rebuilt.
-        upsert(transform(landed), silver, key, check_keys=False, replaces=landed)
+        # The transform leaves one row per key; only the buckets of the batch's keys are rewritten.
+        upsert_buckets(transform(landed), silver, key, replaces=landed, buckets=buckets)
 
     stream = file_stream(spark, path, table, schema, max_files)
     writer = stream.writeStream.foreachBatch(apply).trigger(availableNow=True)
