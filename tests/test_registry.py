@@ -6,6 +6,7 @@ import compare
 import pytest
 
 import __spark_entry__ as contract
+from tidemark.catalog import ORACLES, QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
@@ -16,13 +17,14 @@ def con():
     return compare.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    assert compare.differences(spark, con, name, contract.queries()[name], contract.oracle_sql()[name], FOLDER) == []
+    assert compare.differences(spark, con, name, QUERIES[name], ORACLES[name], FOLDER) == []
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):

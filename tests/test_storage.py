@@ -205,6 +205,8 @@ def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
     assert len(got) == 400 and "8" not in got and got["7"] == (2, "x") and got["new"] == (3, "x") and got["9"] == (1, None)
     buckets.upsert_buckets(change.limit(0), path, "k", replaces=df.select("k"))
     assert buckets.read_buckets(spark, path).select("k").collect() == [("new",)]
+    buckets.write_buckets(df.limit(0), str(tmp_path / "empty"), "k", buckets=4)
+    assert buckets.read_buckets(spark, str(tmp_path / "empty")).columns == ["k", "v"]
     buckets.upsert_buckets(change.filter("k = '7'"), path, "k")
     assert sorted(r["k"] for r in buckets.read_buckets(spark, path).collect()) == ["7", "new"]
 

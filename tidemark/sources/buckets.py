@@ -56,7 +56,7 @@ def buckets_exist(spark: SparkSession, path: str) -> bool:
 
 
 def read_buckets(spark: SparkSession, path: str, only: set[int] | None = None) -> DataFrame | None:
-    """The rows of all (or some) buckets, columns of all versions together; None if no such bucket has a file."""
+    """The rows of all (or some) buckets, columns of all versions together; None if no such bucket has a file (never for the whole table)."""
     layout, _ = _layout(spark, path)
     if not layout:
         raise FileNotFoundError(f"no committed version of {path}")
@@ -77,6 +77,9 @@ def _write(df: DataFrame, path: str, touched: set[int]) -> None:
         folder, files = _files(spark, _folder(path, highest + 1, bucket))
         files.mkdirs(folder)
     df.hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(f"{path}/version={highest + 1:08d}")
+    if read_buckets(spark, path) is None:
+        # No row anywhere: one empty file keeps the columns.
+        df.drop(BUCKET).limit(0).coalesce(1).write.mode("append").parquet(_folder(path, highest + 1, min(touched)))
     for bucket, versions in layout.items():
         if bucket in touched:
             for old in versions[1:]:
