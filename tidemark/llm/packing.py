@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
-from tidemark.llm.tokens import ChunkIds
+from tidemark.llm.tokens import chunk_ids
 
 LENGTH, END_ID = 2048, 1
 DIMENSIONS, BITS = 4, 12
@@ -79,7 +79,7 @@ def _tokenised(documents: DataFrame, path: str, end_id: int) -> DataFrame:
     """doc_id, ids (binary, little-endian 32 bits), n, projection."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkIds(path, end_id)
+        encoder = chunk_ids(path, end_id)
         table = np.random.default_rng(SEED).standard_normal((encoder.tokenizer.get_vocab_size() + 1, DIMENSIONS), np.float32)
         for batch in batches:
             done = 0
@@ -177,7 +177,8 @@ def pack(documents: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    joined = tokenised.select("doc_id", "ids", "n", "row").join(starts, "row").select("doc_id", "ids", "n", "start_all")
+    # The same join at every size: a broadcast that only small inputs get would hide what large ones move.
+    joined = tokenised.select("doc_id", "ids", "n", "row").join(starts.hint("merge"), "row").select("doc_id", "ids", "n", "start_all")
     return joined.mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
 
 
