@@ -427,6 +427,84 @@ def test_every_sentence_is_normal_and_anchored():
     assert {i for found in licences.RULES.values() for s in found for i in s} <= set(licences.SENTENCES)
 
 
+GPL_HEADER = """Copyright (C) 2020  A. Author
+
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+MPL_HEADER = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+MIT_HEADER = """Copyright (c) 2020 A. Author
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY."""
+BSD_HEADER = """Copyright (c) 2020, A. Author
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+APACHE_HEADER = """Copyright 2020 A. Author
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+
+
+def test_verbatim_headers_plain_and_in_comments(spark):
+    headers = {"GPL-3.0": GPL_HEADER, "MPL-2.0": MPL_HEADER, "MIT": MIT_HEADER, "BSD-3-Clause": BSD_HEADER, "Apache-2.0": APACHE_HEADER}
+    cases = []
+    for name, header in headers.items():
+        lines = header.split("\n")
+        cases += [(name, header), (name, header.replace("\n", "\r\n"))]
+        for mark in ("#", "//", ";;", "--", "%", "!", "dnl"):
+            cases.append((name, "\n".join(f"{mark} {line}".rstrip() for line in lines) + "\nx = 1\n"))
+        cases.append((name, "/*\n" + "\n".join(f" * {line}".rstrip() for line in lines) + "\n */\nint x;\n"))
+        cases.append((name, "<!--\n" + header + "\n-->\n"))
+    cases.append(("MIT", MIT_HEADER.replace("Author\n\n", "Author\n")))
+    df = frame(spark, [(i, text, "en", "s") for i, (_, text) in enumerate(cases)])
+    found = {r["doc_id"]: r["licences"] for r in licences.scan(df).collect()}
+    assert [found[i] for i in range(len(cases))] == [[name] for name, _ in cases]
+
+
 # chat
 
 

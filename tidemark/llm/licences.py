@@ -1,7 +1,8 @@
 """Licence scan by sentence rules.
 
-A text is cut into sentences (at sentence marks before white space and at blank lines); a normalised sentence, or else a
-line of it, that is known becomes an identifier.  The identifiers of a document, in their order, are matched against
+A text is cut into sentences (at sentence marks before white space, at blank lines, at lines of comment marks alone and after
+a line of copyright); marks at the start of a line and marks inside known sentences cut nothing.  A normalised sentence, or
+else a line of it, that is known becomes an identifier.  The identifiers of a document, in their order, are matched against
 ordered rules: a rule fires where its identifiers follow one another without another known sentence between them.
 
 Only built-in column functions run.  A cheap test for a word that every known sentence holds one of comes first; it excludes
@@ -66,6 +67,12 @@ RULES = {
 ANCHORS = ("licens", "permi", "redistribut", "warrant", "copyright", "rights")
 MARK = "\x01"
 ENDS = r"[.;:!?]+(\s+|\z)|\n[ \t\r]*\n"
+#: Comment marks at the start of a line; a line of them alone becomes a blank line.
+COMMENT = r"(?im)^[ \t]*(?:[/*#;%!'>|\"-]+|<!--+|\(\*+|\{-+|(?:dnl|rem|c)(?=[ \t\r]*$|[ \t]+\S))"
+#: A line of copyright stands for itself, whatever follows it.
+COPYRIGHT = r"(?im)^([ \t]*(?:copyright|\(c\)|©)[ \t:]*(?:\(c\)|©|[0-9]{4}|<year>|\[yyyy\])[^\n]*)\n"
+#: Marks inside known sentences that would cut them, between the words around them.
+INSIDE = r"(?i)(\bfree\W+software)[:;](?=\W+you\W+can\b)|(\bany\W+warranty)[:;](?=\W+without\W+even\b)|(\blicense\W+v)\.(?=\W+2\.0\b)|(\bcc0\W+1\.0)[.;:](?=\W+no\W+rights\b)"
 
 
 def normal(text: Column) -> Column:
@@ -76,14 +83,19 @@ def _known() -> Column:
     return F.create_map(*[F.lit(x) for name, words in SENTENCES.items() for x in (words, name)])
 
 
+def _cut(text: Column) -> Column:
+    """Sentences of a text."""
+    plain = F.regexp_replace(F.regexp_replace(text, COMMENT, ""), COPYRIGHT, f"$1\n{MARK}")
+    return F.split(F.regexp_replace(F.regexp_replace(plain, INSIDE, "$1$2$3$4"), ENDS, MARK), MARK)
+
+
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences, in their order."""
     known = _known()
     lookup = lambda part: F.try_element_at(known, normal(part))
     in_lines = lambda part: F.transform(F.split(part, "\n"), lookup)
-    sentences = F.split(F.regexp_replace(text, ENDS, MARK), MARK)
     of_sentence = lambda part: F.when(lookup(part).isNotNull(), F.array(lookup(part))).otherwise(in_lines(part))
-    anchored = F.filter(sentences, lambda part: F.lower(part).rlike("|".join(ANCHORS)))
+    anchored = F.filter(_cut(text), lambda part: F.lower(part).rlike("|".join(ANCHORS)))
     return F.filter(F.flatten(F.transform(anchored, of_sentence)), lambda name: name.isNotNull())
 
 
