@@ -20,7 +20,7 @@ MIXTURE_SHARE, MIXTURE_EPOCHS = 0.9, 1
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the class-conditional models reject go; labels of two thirds of the ids teach them."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold_of(F.col("doc_id"), 3) != 1)
-    return docs.where(toxicity.score_column(docs, model) < TOXIC_FROM)
+    return toxicity.scored(docs, model, "_toxicity").where(F.col("_toxicity") < TOXIC_FROM).drop("_toxicity")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -308,6 +308,29 @@ def test_toxic_words_are_learnt_and_clean_texts_left_alone(spark):
     assert len(wrong) <= 2
 
 
+def toxic_frame(spark, n=400):
+    def text(i):
+        words = prose(i, 150).split()
+        for k in range(5, 150, 30) if i % 4 == 0 else ():
+            words[k] = ["zonkwit", "zonkwitty", "blarghed", "blargher"][(i + k) % 4]
+        return " ".join(words)
+
+    rows = [(i, text(i), "en", "s") for i in range(n)]
+    return frame(spark, rows + [(n, None, "en", "s"), (n + 1, "12 ...", "en", "s"), (None, text(4), "en", "s"), (7, text(8), "en", "s")])
+
+
+def test_toxicity_model_beyond_the_broadcast_keeps_every_expression(spark):
+    df = toxic_frame(spark)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)], "doc_id long, toxic int")
+    small, large = toxicity.fit(df, labels), toxicity.fit(df, labels, broadcast_bytes=0)
+    assert small.table is None and large.ratios == {} and len(small.ratios) > 3
+    assert {r["expression"]: r["ratio"] for r in large.table.collect()} == small.ratios
+    assert large.weights == pytest.approx(small.weights, rel=1e-9)
+    large.weights = small.weights
+    by = [sorted((r["doc_id"] is None, r["doc_id"] or 0, r["score"]) for r in toxicity.scored(df, m).collect()) for m in (small, large)]
+    assert by[0] == by[1] and len(by[0]) == 404 and toxicity.scored(df, large).columns == [*df.columns, "score"]
+
+
 def test_toxicity_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.fit(odd, labels)

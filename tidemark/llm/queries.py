@@ -27,9 +27,9 @@ TOXIC_FROM = 0.7
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = toxicity.fit(documents, table(spark, folder, "labels"), fold_of(F.col("doc_id"), 3) != 1)
-    return documents.select(
-        "doc_id", (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), toxicity.score_column(documents, model).alias("score")
-    ).withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+    return toxicity.scored(documents.select("doc_id", "text"), model).select(
+        "doc_id", (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted")
+    )
 
 
 @query

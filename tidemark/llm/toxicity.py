@@ -12,8 +12,10 @@ of the class, its sampling noise and a constant, so rare expressions have the sh
 and add nothing to the comparison.  A document's figures are the mean log ratio per word and that mean times the
 root of the number of words; a logistic curve fitted on held-back training rows turns them into a score.
 
-The counts are Spark aggregations over all labelled texts.  The broadcast model holds the expressions whose
-class count exceeds the discount, at most ``max_expressions`` of the strongest.
+The counts are Spark aggregations.  The model holds every expression whose class count exceeds the discount.  It is
+broadcast while its measured size is at most ``broadcast_bytes``; beyond that it stays a Spark table, and the distinct
+words of the texts look their expressions up by joins before they are summed per text.  Log ratios are whole
+multiples of 2^-30, so their sums are exact in any order and both ways give the same scores.
 
 Nulls: a null text is an empty one; rows with a null label or id teach nothing; every row is scored.  Empty texts
 and texts without words get the score of a zero ratio.  Repeated rows are scored each.  Without both classes in
@@ -34,12 +36,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded, logistic_fit, stored
+from tidemark.operators.joins import salted_lookup
 
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (5, 4)
 DISCOUNT, DEVIATIONS = 0.75, 4.5
 CALIBRATION_FOLDS, CALIBRATION_ROWS = 4, 20_000
-MAX_EXPRESSIONS = 200_000
+BROADCAST_BYTES = 64 << 20
+#: Memory of one expression in a worker besides its letters.
+ENTRY_BYTES = 150
+GRAIN = 2.0**30
+TEXT_KEY = "_text_key"
 CACHE = 400_000
 FLUSH = 300_000
 
@@ -47,6 +54,8 @@ FLUSH = 300_000
 @dataclass
 class ToxicityModel:
     ratios: dict[str, float] = field(default_factory=dict)
+    #: expression, ratio: in place of ``ratios`` where these are too many to broadcast
+    table: DataFrame | None = None
     #: log ratio of the two shared parts, for expressions without evidence
     rest: float = 0.0
     weights: tuple[float, ...] | None = None
@@ -87,8 +96,12 @@ def figures(texts: pd.Series, chunks: _Chunks) -> np.ndarray:
     """Mean log ratio per word, and the mean times the root of the number of words."""
     sums = [0j if t is None else sum(map(chunks.__getitem__, t.lower().split()), 0j) for t in texts]
     sums = np.asarray(sums, complex)
-    n = np.maximum(sums.imag, 1)
-    return np.column_stack([sums.real / n, sums.real / np.sqrt(n)]) * [20.0, 1.0]
+    return _of_sums(sums.real, sums.imag)
+
+
+def _of_sums(ratios: np.ndarray, words: np.ndarray) -> np.ndarray:
+    n = np.maximum(words, 1)
+    return np.column_stack([ratios / n, ratios / np.sqrt(n)]) * [20.0, 1.0]
 
 
 def _expressions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -114,7 +127,7 @@ def _expressions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield part()
 
 
-def fit(documents: DataFrame, labels: DataFrame, training: Column | None = None, max_expressions: int = MAX_EXPRESSIONS) -> ToxicityModel:
+def fit(documents: DataFrame, labels: DataFrame, training: Column | None = None, broadcast_bytes: int = BROADCAST_BYTES) -> ToxicityModel:
     """Learn from the labelled rows for which ``training`` (a condition on ``doc_id``) holds; all without it."""
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
     if training is not None:
@@ -147,23 +160,26 @@ def fit(documents: DataFrame, labels: DataFrame, training: Column | None = None,
     for name, size in (("ordinary", n[0]), ("toxic", n[1])):
         expected = shared * size
         excess.append(F.greatest(F.col(name) - expected - DISCOUNT - DEVIATIONS * F.sqrt(expected), F.lit(0.0)) / size)
-    evidence = (
+    evidence = stored(
         counts.where("expression != ''")
         .select("expression", shared.alias("shared"), excess[0].alias("more_ordinary"), excess[1].alias("more_toxic"))
-        .where("more_ordinary > 0 OR more_toxic > 0")
-        .orderBy(F.greatest("more_ordinary", "more_toxic").desc(), "expression")
-        .limit(max_expressions)
-        .toPandas()
+        .where("more_ordinary > 0 OR more_toxic > 0"),
+        "toxicity-evidence",
     )
+    measured = evidence.agg(
+        F.sum("more_ordinary"), F.sum("more_toxic"), F.sum(F.octet_length("expression") + F.lit(ENTRY_BYTES))
+    ).first()
     # A word lies on one level only (the longest with evidence), so the mass of a level is at most one.
-    kept = [max(0.1, 1 - evidence[c].sum() / (1 + len(PREFIXES))) for c in ("more_ordinary", "more_toxic")]
-    p_ordinary = evidence["more_ordinary"] + kept[0] * evidence["shared"]
-    p_toxic = evidence["more_toxic"] + kept[1] * evidence["shared"]
-    model = ToxicityModel(
-        ratios=dict(zip(evidence["expression"], np.log(p_toxic / p_ordinary).tolist(), strict=True)),
-        rest=math.log(kept[1] / kept[0]),
-        prior=prior,
-    )
+    kept = [max(0.1, 1 - (mass or 0) / (1 + len(PREFIXES))) for mass in measured[:2]]
+    p_ordinary = F.col("more_ordinary") + F.lit(kept[0]) * F.col("shared")
+    p_toxic = F.col("more_toxic") + F.lit(kept[1]) * F.col("shared")
+    table = evidence.select("expression", (F.rint(F.log(p_toxic / p_ordinary) * GRAIN) / GRAIN).alias("ratio"))
+    model = ToxicityModel(rest=round(math.log(kept[1] / kept[0]) * GRAIN) / GRAIN, prior=prior)
+    if (measured[2] or 0) <= broadcast_bytes:
+        ratios = table.toPandas()
+        model.ratios = dict(zip(ratios["expression"], ratios["ratio"].tolist(), strict=True))
+    else:
+        model.table = table
     held_back = bounded(rows.where("fold = 0"), F.col("doc_id"), CALIBRATION_ROWS)
     calibration = _with_figures(held_back, model).select("a", "b", "toxic").toPandas()
     y = calibration["toxic"].to_numpy(float)
@@ -173,6 +189,9 @@ def fit(documents: DataFrame, labels: DataFrame, training: Column | None = None,
 
 
 def _with_figures(rows: DataFrame, model: ToxicityModel) -> DataFrame:
+    if model.table is not None:
+        keyed = rows.select("toxic", _text_key(F.col("text")).alias(TEXT_KEY))
+        return keyed.join(_sums(rows, model), TEXT_KEY).mapInPandas(_figures_of_sums, "a double, b double, toxic int")
     shipped = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -184,8 +203,63 @@ def _with_figures(rows: DataFrame, model: ToxicityModel) -> DataFrame:
     return rows.select("text", "toxic").mapInPandas(run, "a double, b double, toxic int")
 
 
+def _figures_of_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        out = _of_sums(batch["ratios"].to_numpy(float), batch["words"].to_numpy(float))
+        yield pd.DataFrame({"a": out[:, 0], "b": out[:, 1], "toxic": batch["toxic"].to_numpy()})
+
+
+def _text_key(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def _words_of_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The distinct words of each text and how often it has them; the word '' for a text without words."""
+    for batch in batches:
+        for at in range(0, len(batch), 100):
+            part = batch.iloc[at : at + 100]
+            found = [(key, w, n) for key, text in zip(part[TEXT_KEY], part["text"], strict=True) for w, n in (Counter(WORD.findall((text or "").lower())) or {"": 0}).items()]
+            yield pd.DataFrame(found, columns=[TEXT_KEY, "word", "times"])
+
+
+def _sums(rows: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
+    """Text key, sum of log ratios and number of words of each distinct text, by joins with the model's table."""
+    texts = rows.select(_text_key(F.col(text)).alias(TEXT_KEY), F.col(text).alias("text"))
+    held = stored(
+        # Equal texts share a key; their words are kept once.
+        texts.mapInPandas(_words_of_texts, f"{TEXT_KEY} string, word string, times long").groupBy(TEXT_KEY, "word").agg(F.max("times").alias("times")),
+        "toxicity-words",
+    )
+    levels = F.array(
+        F.struct(F.lit(0).alias("level"), F.col("word").alias("expression")),
+        *[F.struct(F.lit(i).alias("level"), F.substring("word", 1, n).alias("expression")) for i, n in enumerate(PREFIXES, 1)],
+    )
+    tried = held.select("word").distinct().select("word", F.inline(levels))
+    ratios = tried.join(model.table, "expression").groupBy("word").agg(F.min_by("ratio", "level").alias("ratio"))
+    # One row per word on the right; a common word's texts are spread over groups.
+    met = salted_lookup(held, ratios, "word", [TEXT_KEY], "left")
+    ratio = F.coalesce("ratio", F.lit(model.rest))
+    return met.groupBy(TEXT_KEY).agg(F.sum(ratio * F.col("times")).alias("ratios"), F.sum("times").alias("words"))
+
+
+def scored(documents: DataFrame, model: ToxicityModel, column: str = "score", text: str = "text") -> DataFrame:
+    """The documents with the probability that their text is toxic, by broadcast or by joins as the model's size asks."""
+    if model.table is None:
+        return documents.withColumn(column, score_column(documents, model, text))
+    sums, plain = _sums(documents, model, text), ToxicityModel(weights=model.weights, prior=model.prior)
+
+    @F.pandas_udf("double")
+    def probability(ratios: pd.Series, words: pd.Series) -> pd.Series:
+        return pd.Series(plain.probability(_of_sums(ratios.to_numpy(float), words.to_numpy(float))))
+
+    met = documents.withColumn(TEXT_KEY, _text_key(F.col(text))).join(sums, TEXT_KEY, "left")
+    return met.withColumn(column, probability("ratios", "words")).select(*documents.columns, column)
+
+
 def score_column(documents: DataFrame, model: ToxicityModel, text: str = "text") -> Column:
     """Probability that a row's text is toxic; the model travels by broadcast, once per executor."""
+    if model.table is not None:
+        raise ValueError("the model is too large to broadcast: use scored()")
     shipped = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
