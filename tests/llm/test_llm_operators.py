@@ -331,6 +331,17 @@ def test_toxicity_model_beyond_the_broadcast_keeps_every_expression(spark):
     assert by[0] == by[1] and len(by[0]) == 404 and toxicity.scored(df, large).columns == [*df.columns, "score"]
 
 
+def test_toxicity_counts_all_labelled_rows(spark):
+    df = toxic_frame(spark)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)], "doc_id long, toxic int")
+    # A word of toxic texts of one fold alone is learnt, whichever fold it is.
+    folds = df.where("doc_id BETWEEN 0 AND 299 AND doc_id % 4 = 0").select("doc_id", F.pmod(F.xxhash64(F.col("doc_id"), F.lit("calibration")), F.lit(4)).alias("fold"))
+    for fold in (0, 1):
+        ids = sorted({r["doc_id"] for r in folds.where(F.col("fold") == fold).collect()})[:12]
+        marked = df.withColumn("text", F.when(F.col("doc_id").isin(ids), F.concat("text", F.lit(" quuxterly"))).otherwise(F.col("text")))
+        assert toxicity.fit(marked, labels).ratios.get("quuxt", 0) > 0
+
+
 def test_toxicity_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.fit(odd, labels)

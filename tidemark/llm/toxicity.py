@@ -10,9 +10,10 @@ occurrences: neither a text that repeats a word nor a thousand copies of one tex
 with p_shared from the counts of both classes.  The discount d(e) removes what the shared model already expects
 of the class, its sampling noise and a constant, so rare expressions have the shared probability in both models
 and add nothing to the comparison.  A document's figures are the mean log ratio per word and that mean times the
-root of the number of words; a logistic curve fitted on held-back training rows turns them into a score.
+root of the number of words; a logistic curve turns them into a score.
 
-The counts are Spark aggregations.  The model holds every expression whose class count exceeds the discount.  It is
+The counts are Spark aggregations over all labelled texts.  The curve is fitted on scores of a bounded sample by a
+calibration model, which counts all texts but that sample; the model that is returned counts the sample too.  The model holds every expression whose class count exceeds the discount.  It is
 broadcast while its measured size is at most ``broadcast_bytes``; beyond that it stays a Spark table, and the distinct
 words of the texts look their expressions up by joins before they are summed per text.  Log ratios are whole
 multiples of 2^-30, so their sums are exact in any order and both ways give the same scores.
@@ -104,26 +105,30 @@ def _of_sums(ratios: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.column_stack([ratios / n, ratios / np.sqrt(n)]) * [20.0, 1.0]
 
 
+COUNTS = ("ordinary", "toxic", "sample_ordinary", "sample_toxic")
+
+
 def _expressions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents that hold each expression, summed over a task's rows in parts."""
-    counts: tuple[Counter, Counter] = (Counter(), Counter())
+    """Documents that hold each expression, by class and apart for the sample, summed over a task's rows in parts."""
+    counts = tuple(Counter() for _ in COUNTS)
 
     def part() -> pd.DataFrame:
-        keys = list(counts[0].keys() | counts[1].keys())
-        out = pd.DataFrame({"expression": keys, "ordinary": [counts[0][k] for k in keys], "toxic": [counts[1][k] for k in keys]})
+        keys = list(set().union(*counts))
+        out = pd.DataFrame({"expression": keys} | {name: [c[k] for k in keys] for name, c in zip(COUNTS, counts, strict=True)})
         for c in counts:
             c.clear()
-        return out.astype({"ordinary": "int64", "toxic": "int64"})
+        return out.astype(dict.fromkeys(COUNTS, "int64"))
 
     for batch in batches:
-        for text, label in zip(batch["text"], batch["toxic"], strict=True):
+        for text, label, sampled in zip(batch["text"], batch["toxic"], batch["sampled"], strict=True):
             words = set(WORD.findall((text or "").lower()))
             held = words.union(*({w[:n] for w in words} for n in PREFIXES))
-            counts[label].update(held)
-            counts[label][""] += len(words)
-            if len(counts[0]) + len(counts[1]) > FLUSH:
+            count = counts[label + 2 * sampled]
+            count.update(held)
+            count[""] += len(words)
+            if sum(map(len, counts)) > FLUSH:
                 yield part()
-    if counts[0] or counts[1]:
+    if any(counts):
         yield part()
 
 
@@ -143,18 +148,34 @@ def fit(documents: DataFrame, labels: DataFrame, training: Column | None = None,
         ),
         "toxicity-rows",
     )
+    drawn = bounded(rows.where("fold = 0").select("doc_id"), F.col("doc_id"), CALIBRATION_ROWS)
+    last = drawn.agg(F.max(F.xxhash64("doc_id"))).first()[0]
+    sampled = (F.col("fold") == 0) & (F.xxhash64("doc_id") <= F.lit(last)) if last is not None else F.lit(False)
     counts = stored(
-        rows.where("fold != 0").select("text", "toxic").mapInPandas(_expressions, "expression string, ordinary long, toxic long")
-        .groupBy("expression").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")),
+        rows.select("text", "toxic", sampled.alias("sampled")).mapInPandas(_expressions, "expression string, " + ", ".join(f"{c} long" for c in COUNTS))
+        .groupBy("expression").agg(*[F.sum(c).alias(c) for c in COUNTS]),
         "toxicity-counts",
     )
-    total = counts.where("expression = ''").agg(F.sum("ordinary"), F.sum("toxic")).first()
-    n = (float(total[0] or 0), float(total[1] or 0))
     seen = rows.groupBy("toxic").count().collect()
     held = {r["toxic"]: r["count"] for r in seen}
     prior = held.get(1, 0) / max(1, sum(held.values()))
-    if not (n[0] and n[1]):
+    model = _learnt(counts.select("expression", *[(F.col(c) + F.col(f"sample_{c}")).alias(c) for c in COUNTS[:2]]), prior, broadcast_bytes)
+    before = _learnt(counts, prior, broadcast_bytes)
+    if model is None or before is None:
         return ToxicityModel(prior=prior)
+    calibration = _with_figures(rows.where(sampled), before).select("a", "b", "toxic").toPandas()
+    y = calibration["toxic"].to_numpy(float)
+    if len(y) and 0 < y.sum() < len(y):
+        model.weights = tuple(logistic_fit(calibration[["a", "b"]].to_numpy(float), y, ridge=1e-2))
+    return model
+
+
+def _learnt(counts: DataFrame, prior: float, broadcast_bytes: int) -> ToxicityModel | None:
+    """The model of these counts, without a curve; None where a class has no words."""
+    total = counts.where("expression = ''").agg(F.sum("ordinary"), F.sum("toxic")).first()
+    n = (float(total[0] or 0), float(total[1] or 0))
+    if not (n[0] and n[1]):
+        return None
     shared = (F.col("ordinary") + F.col("toxic")) / F.lit(n[0] + n[1])
     excess = []
     for name, size in (("ordinary", n[0]), ("toxic", n[1])):
@@ -180,11 +201,6 @@ def fit(documents: DataFrame, labels: DataFrame, training: Column | None = None,
         model.ratios = dict(zip(ratios["expression"], ratios["ratio"].tolist(), strict=True))
     else:
         model.table = table
-    held_back = bounded(rows.where("fold = 0"), F.col("doc_id"), CALIBRATION_ROWS)
-    calibration = _with_figures(held_back, model).select("a", "b", "toxic").toPandas()
-    y = calibration["toxic"].to_numpy(float)
-    if len(y) and 0 < y.sum() < len(y):
-        model.weights = tuple(logistic_fit(calibration[["a", "b"]].to_numpy(float), y, ridge=1e-2))
     return model
 
 
