@@ -1,7 +1,10 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.catalog.tables import land_csv
+from tidemark.catalog import QUERIES, storage
+from tidemark.catalog.tables import Tables, land_csv
 from tidemark.operators.quality import QualityGateError
 from tidemark.plans.run import MedallionRun
 from tidemark.schemas import SOURCES, Layout
@@ -116,3 +119,27 @@ def test_incremental_after_full_reads_new_files_only(spark, layout, raw_orders):
     run.run("incremental")
     assert {s.table_name: s.rows_processed for s in run.steps if s.step == "silver_transformation"}["orders"] == 1
     assert counts(spark, layout) == EXPECTED | {"orders": 5}  # its newest version is invalid
+
+
+TEST_TABLES = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+class Landed(Exception):
+    pass
+
+
+@pytest.mark.skipif(not os.path.isdir(TEST_TABLES), reason="test tables are not here")
+@pytest.mark.parametrize("name", ["run_rebuild", "run_reprocess_empty", "run_quarantine"])
+def test_registered_runs_land_whole_tables(spark, monkeypatch, name):
+    class Look:
+        def __init__(self, spark, layout, *rest):
+            self.layout = layout
+
+        def run(self, *rest, **options):
+            raise Landed({n: spark.read.option("multiLine", True).option("escape", '"').csv(self.layout.landing(n), header=True).count() for n in SOURCES})
+
+    monkeypatch.setattr(storage, "MedallionRun", Look)
+    with pytest.raises(Landed) as landed:
+        QUERIES[name](spark, TEST_TABLES)
+    given = Tables(spark, TEST_TABLES)
+    assert landed.value.args[0] == {n: given.contract(n).count() for n in SOURCES}

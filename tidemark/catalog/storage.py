@@ -134,11 +134,11 @@ def bronze_partition_overwrite(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).select("event_id", "load", PARTITION_DATE)
 
 
-def _land_all(t: Tables) -> Layout:
-    """All six landing folders, texts as they are."""
+def _land_all(t: Tables, orders: DataFrame | None = None) -> Layout:
+    """All six landing folders, whole and with texts as they are; ``orders`` in place of the given ones."""
     layout = Layout(t.scratch("lake"))
     for name in SOURCES:
-        land_csv(t.contract(name), layout.landing(name))
+        land_csv(orders if name == "orders" and orders is not None else t.contract(name), layout.landing(name))
     return layout
 
 
@@ -407,14 +407,6 @@ def run_modes(t: Tables) -> DataFrame:
     return _run_digests(t, layout)
 
 
-def _order_lake(t: Tables, orders: DataFrame) -> Layout:
-    """A lake whose other tables hold few rows: the runs below are about the orders."""
-    layout = Layout(t.scratch("lake"))
-    for name in SOURCES:
-        land_csv(orders if name == "orders" else t.contract(name).limit(1), layout.landing(name))
-    return layout
-
-
 def _silver_orders(t: Tables, layout: Layout) -> DataFrame:
     return _digests({"orders": read_buckets(t.spark, layout.silver("orders"))}, _ORDER_RUN)
 
@@ -423,7 +415,7 @@ def _silver_orders(t: Tables, layout: Layout) -> DataFrame:
 def run_rebuild(t: Tables) -> DataFrame:
     """Dates that leave the landing files leave bronze and silver with the next rebuild."""
     orders = t.contract("orders")
-    layout = _order_lake(t, orders)
+    layout = _land_all(t, orders)
     MedallionRun(t.spark, layout, AS_OF, "run-1").run("full")
     land_csv(orders.filter("order_date > TIMESTAMP '1995-06-30'"), layout.landing("orders"), mode="overwrite")
     MedallionRun(t.spark, layout, AS_OF, "run-2").run("full")
@@ -439,7 +431,7 @@ def run_rebuild(t: Tables) -> DataFrame:
 def run_reprocess_empty(t: Tables) -> DataFrame:
     """A date that has become empty is empty after it is reprocessed."""
     orders = t.contract("orders")
-    layout = _order_lake(t, orders)
+    layout = _land_all(t, orders)
     MedallionRun(t.spark, layout, AS_OF, "run-1").run("full")
     last_day = orders.agg(F.max(F.to_date("order_date"))).head()[0]
     land_csv(orders.filter(F.to_date("order_date") != F.lit(last_day)), layout.landing("orders"), mode="overwrite")
@@ -454,7 +446,7 @@ def run_reprocess_empty(t: Tables) -> DataFrame:
 )
 def run_quarantine(t: Tables) -> DataFrame:
     """A run stores the records it rejects with the reason, and cleans the others."""
-    layout = _order_lake(t, _damaged(t.contract("orders")))
+    layout = _land_all(t, _damaged(t.contract("orders")))
     MedallionRun(t.spark, layout, AS_OF, "run-1").run("full")
     rejected = t.spark.read.parquet(layout.quarantine("orders")).select("order_id", F.col(REASON).alias("reason"), "status")
     kept = read_buckets(t.spark, layout.silver("orders")).select("order_id", F.lit("kept").alias("reason"), "status")
