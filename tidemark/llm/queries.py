@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, exact_dedup, language, licences, mixing, near_join, packing, quality_knn, quality_rules, toxicity
+from tidemark.llm import (
+    chat,
+    exact_dedup,
+    language,
+    licences,
+    mixing,
+    near_join,
+    packing,
+    phrases,
+    quality_knn,
+    quality_rules,
+    toxicity,
+    whitening,
+    winnowing,
+)
 from tidemark.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,3 +199,97 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, folder, "documents"))
     columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
     return judged.select(*columns)
+
+
+@query
+def op11_qdwh_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, folder, "embeddings"))
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "found")
+    return rows.select("vec_id", "n", "deviation", "identity_error", each).select(
+        "vec_id",
+        (F.col("at") + 1).cast("int").alias("component"),
+        "n",
+        F.col("deviation").try_cast("long").alias("deviation"),
+        F.col("found.whitened").alias("whitened"),
+        F.col("found.explained").alias("explained"),
+        "identity_error",
+    )
+
+
+PHRASE_SUPPORT, PHRASE_WORDS, PHRASES_PER_LANGUAGE, COVERED_PERCENT = 10, 3, 2000, 50
+
+
+@query
+def op12_son_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"), PHRASE_SUPPORT, PHRASE_WORDS, PHRASES_PER_LANGUAGE, COVERED_PERCENT)
+
+
+ORACLES["op12_son_collocations"] = rf"""
+WITH p AS (
+    SELECT doc_id, lang, unnest(s) AS piece, generate_subscripts(s, 1) AS piece_no
+    FROM (SELECT row_number() OVER () AS doc_id, coalesce(lang, 'und') AS lang,
+          string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS s FROM documents)
+), w AS (
+    SELECT doc_id, lang, piece_no, unnest(s) AS a, generate_subscripts(s, 1) AS i
+    FROM (SELECT doc_id, lang, piece_no, regexp_extract_all(piece, '[^\x20\x09]+') AS s FROM p)
+), runs AS (
+    SELECT lang, a, lead(a) OVER o AS b, lead(a, 2) OVER o AS c FROM w WINDOW o AS (PARTITION BY doc_id, piece_no ORDER BY i)
+), f AS (
+    SELECT lang, 1 AS size, a AS phrase, count(*) AS times FROM runs GROUP BY ALL
+    UNION ALL SELECT lang, 2, a || ' ' || b, count(*) FROM runs WHERE b IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT lang, 3, a || ' ' || b || ' ' || c, count(*) FROM runs WHERE c IS NOT NULL GROUP BY ALL
+), totals AS (SELECT lang, sum(times)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+frequent AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS s FROM f WHERE times >= {PHRASE_SUPPORT}),
+candidates AS (SELECT * FROM frequent WHERE size > 1),
+parted AS MATERIALIZED (
+    SELECT *, array_to_string(s[:k], ' ') AS head, array_to_string(s[k + 1:], ' ') AS tail FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)
+),
+cuts AS (
+    SELECT c.lang, c.phrase, c.size, c.times AS a, c.s, k, l.times AS l, r.times AS r,
+           ((1000000::HUGEINT * c.times * c.times) // (l.times::HUGEINT * r.times))::BIGINT AS score
+    FROM parted c JOIN frequent l ON l.lang = c.lang AND l.phrase = c.head JOIN frequent r ON r.lang = c.lang AND r.phrase = c.tail
+), lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+    SELECT lang, phrase, max(times) AS longer FROM (
+        SELECT lang, s[1] || ' ' || s[2] AS phrase, times FROM candidates WHERE size = 3
+        UNION ALL SELECT lang, s[2] || ' ' || s[3], times FROM candidates WHERE size = 3
+    ) GROUP BY lang, phrase
+), kept AS (
+    SELECT t.*, row_number() OVER (PARTITION BY t.lang ORDER BY score DESC, a DESC, t.phrase) AS rank
+    FROM lowest t LEFT JOIN inside i ON i.lang = t.lang AND i.phrase = t.phrase WHERE longer IS NULL OR 100 * longer < {COVERED_PERCENT} * a
+)
+SELECT k.lang, rank, phrase, a, l, r, n, score FROM kept k JOIN totals t ON t.lang = k.lang WHERE rank <= {PHRASES_PER_LANGUAGE}
+"""
+
+
+@query
+def op13_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    found = winnowing.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def _winnowing_sql() -> str:
+    def words(name: str, key: str) -> str:
+        low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        return rf"SELECT row_number() OVER () AS row_no, {key}, regexp_extract_all({low}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {name}"
+
+    return rf"""
+WITH d AS ({words("documents", "doc_id")}), b AS ({words("benchmark", "item_id")}),
+windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS said
+    FROM (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM (SELECT *, least(len(w), {winnowing.WINDOW}) AS size FROM b WHERE len(w) > 0))
+),
+places AS (
+    SELECT row_no, size, i, array_to_string(w[i:i + size - 1], ' ') AS said
+    FROM (SELECT row_no, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, (SELECT DISTINCT size FROM windows))
+),
+found AS (SELECT row_no, i, p.size, item_id FROM places p JOIN windows USING (size, said)),
+hit AS (SELECT row_no, count(DISTINCT word) AS n_hit FROM (SELECT row_no, unnest(range(i, i + size)) AS word FROM (SELECT DISTINCT row_no, i, size FROM found)) GROUP BY row_no),
+items AS (SELECT row_no, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT row_no, item_id::VARCHAR AS item FROM found WHERE item_id IS NOT NULL) GROUP BY row_no)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (row_no) LEFT JOIN items USING (row_no)
+"""
+
+
+ORACLES["op13_winnowing"] = _winnowing_sql()
