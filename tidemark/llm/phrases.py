@@ -6,12 +6,14 @@ The corpus is cut into a few shards of documents.
 1. *Local mining.*  Each shard is mined completely at the support lowered to its share of the language's words,
    ``ceil(support * words of the shard / words of the language)``.  A phrase below that in every shard has fewer
    than ``support`` occurrences in all, so none is lost.  Mining goes by length: a phrase can only be frequent in a
-   shard if the two phrases one word shorter are.  A shard is a group of rows, not a task: its occurrences are counted
-   in each task and then added up by key.
+   shard if the two phrases one word shorter are.  A shard is a group of rows, not a task: tasks count its phrases
+   piece by piece, and the counts of one range of hashes meet in one group.  The number of ranges grows with the text, so
+   a group stays small.
 2. *Union.*  Whatever is frequent in some shard is a candidate.
 3. *Exact count.*  The whole corpus is read again and every candidate is counted by its words.
 
-Mining compares 64-bit hashes, and what it hands on are bit tables of a fixed size (``bitmaps.BITS``).  Both may add
+At most ``LANGUAGES`` languages have their lowered support at hand in the tasks; in the smaller ones every phrase is a
+candidate.  Mining compares 64-bit hashes, and what it hands on are bit tables of a fixed size (``bitmaps.BITS``).  Both may add
 candidates and cannot take any away; the counts come from step 3, which compares words.  At sizes where the tables
 fill up more candidates are counted, with the same result.
 
@@ -37,13 +39,19 @@ from tidemark.llm.common import stored
 from tidemark.llm.spans import LowerWords, bytes_of, hashes_of
 
 SHARDS = 4
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
+SLICE_ROWS = 600
+#: Words of the corpus for each range of hashes of a shard; about 50 MB in the group at most.
+RANGE_WORDS = 2_000_000
+#: Rows that a task of the exact count holds before it adds them up.
+HELD_ROWS = 400_000
+LANGUAGES = 10_000
 _BREAKS = bytes_of(".,;:!?\n\x0b\x0c\r")
 _INSIDE = ~(_BREAKS | bytes_of(" \t"))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SHARD_SHIFT = 20
 
-_MINED = "lang string, shard int, phrase_hash long, times long"
+_MINED = "lang string, shard int, part int, hashes binary, times binary, words long"
 _COUNTED = "lang string, size int, phrase string, times long"
 
 
@@ -54,18 +62,23 @@ def _in_shard(hashes: np.ndarray, shard: np.ndarray) -> np.ndarray:
 class _Chunk:
     """Distinct (unit, word) pairs of some texts and the runs they form; a unit is a language and a shard."""
 
-    def __init__(self, texts: list[bytes], langs: list[str], shards: list[int]):
+    def __init__(self, texts: list[bytes], langs: list[str], shards: list[int], exact: bool = False):
         words = LowerWords(texts, _INSIDE, _BREAKS)
-        number, distinct = words.encoded()
-        units = sorted(set(zip(langs, shards, strict=True)))
+        self.units = units = sorted(set(zip(langs, shards, strict=True)))
         unit_no = {u: i for i, u in enumerate(units)}
         unit = np.array([unit_no[u] for u in zip(langs, shards, strict=True)], np.int64)[words.owner]
-        self.ids, self.known = _encode(number * len(units) + unit)
-        self.word, self.unit = self.known // max(len(units), 1), self.known % max(len(units), 1)
-        self.units, self.distinct = units, distinct
-        seed = hashes_of([u[0].encode() for u in units])
-        self.hash = mixed(hashes_of(distinct)[self.word] * _ODD ^ seed[self.unit]) if len(self.known) else np.zeros(0, np.uint64)
-        self.shard = np.array([u[1] for u in units], np.uint64)[self.unit] if len(self.known) else np.zeros(0, np.uint64)
+        seed = hashes_of([u[0].encode() for u in units])[unit] if len(unit) else np.zeros(0, np.uint64)
+        hashes = mixed(words.hashes() ^ seed) if len(unit) else seed
+        if exact:  # words are told apart by their bytes, else by their hashes
+            number, self.distinct = words.encoded()
+            keys = number * len(units) + unit
+        else:
+            keys = (hashes + unit.astype(np.uint64) * _ODD).view(np.int64)
+        self.ids, known = _encode(keys)
+        self.hash, self.unit = np.zeros(len(known), np.uint64), np.zeros(len(known), np.int64)
+        self.hash[self.ids], self.unit[self.ids] = hashes, unit
+        self.word = known // max(len(units), 1)
+        self.shard = np.array([u[1] for u in units], np.uint64)[self.unit] if len(known) else np.zeros(0, np.uint64)
         #: Places where the next word lies in the same piece.
         self.joined = words.piece[:-1] == words.piece[1:]
 
@@ -74,7 +87,7 @@ class _Chunk:
 
         A run goes on to the next length only where the table of its own length may hold it.
         """
-        ids, rows, hashes = self.ids, np.arange(len(self.known))[:, None], self.hash
+        ids, rows, hashes = self.ids, np.arange(len(self.hash))[:, None], self.hash
         at = np.arange(len(ids))
         for length in range(1, size + 1):
             times = np.bincount(ids, minlength=len(rows)) if len(rows) else np.zeros(0, np.int64)
@@ -88,8 +101,8 @@ class _Chunk:
             there[at] = np.where(good[ids], ids, -1) if len(rows) else -1
             at = np.flatnonzero((there[:-2] >= 0) & (there[1:-1] >= 0) & self.joined) if len(self.ids) > 1 else np.zeros(0, np.int64)
             last = self.ids[at + length - 1 + 1] if len(at) else np.zeros(0, np.int64)
-            ids, pairs = _encode(there[at] * max(len(self.known), 1) + last)
-            head, tail = pairs // max(len(self.known), 1), pairs % max(len(self.known), 1)
+            ids, pairs = _encode(there[at] * max(len(self.hash), 1) + last)
+            head, tail = pairs // max(len(self.hash), 1), pairs % max(len(self.hash), 1)
             hashes = mixed(hashes[head] * _ODD + self.hash[tail] + np.uint64(length)) if len(pairs) else np.zeros(0, np.uint64)
             rows = np.column_stack((rows[head], tail)) if len(pairs) else np.zeros((0, length + 1), np.int64)
 
@@ -100,47 +113,109 @@ def _encode(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found.indices.to_numpy(zero_copy_only=False).astype(np.int64), found.dictionary.to_numpy(zero_copy_only=False)
 
 
-def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[_Chunk]:
-    for batch in batches:
+def _chunks(batches: Iterable[pa.RecordBatch], exact: bool = False) -> Iterator[_Chunk]:
+    for batch in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
         langs, shards = batch.column("lang").to_pylist(), batch.column("shard").to_pylist()
         for first, texts in pieces(batch.column("text").to_pylist(), CHUNK_BYTES):
-            yield _Chunk(texts, langs[first : first + len(texts)], shards[first : first + len(texts)])
+            yield _Chunk(texts, langs[first : first + len(texts)], shards[first : first + len(texts)], exact)
 
 
-def _mine(rows: DataFrame, tables: list[np.ndarray], size: int) -> DataFrame:
-    """Times of each run of ``size`` words in each shard; rows: lang, shard, phrase_hash, times."""
+def _local_counts(rows: DataFrame, tables: list[np.ndarray], size: int, ranges: int) -> DataFrame:
+    """Times of the runs of ``size`` words in each chunk: one row per language, shard and range of hashes.
+
+    ``hashes`` are 64-bit and ``times`` 32-bit numbers, ``words`` is their sum.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(tables)
+    names = [f.split()[0] for f in _MINED.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
             *_, (runs, hashes, times) = chunk.levels(shared.value, size, by_shard=True)
-            if len(runs):
-                unit = chunk.unit[runs[:, 0]]
-                lang = pa.DictionaryArray.from_arrays(pa.array(unit, pa.int32()), pa.array([u[0] for u in chunk.units])).dictionary_decode()
-                shard = pa.array(chunk.shard[runs[:, 0]].astype(np.int32))
-                yield pa.RecordBatch.from_arrays([lang, shard, pa.array(hashes.view(np.int64)), pa.array(times, pa.int64())], ["lang", "shard", "phrase_hash", "times"])
+            if not len(runs):
+                continue
+            group = chunk.unit[runs[:, 0]] * ranges + (hashes >> np.uint64(32)).astype(np.int64) % ranges
+            order = np.argsort(group, kind="stable")
+            group, hashes, times = group[order], hashes[order], times[order]
+            first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+            ends = np.append(first, len(group))
+            units = [chunk.units[g] for g in (group[first] // ranges).tolist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([u[0] for u in units]),
+                    pa.array([u[1] for u in units], pa.int32()),
+                    pa.array((group[first] % ranges).astype(np.int32)),
+                    _blobs(hashes, ends),
+                    _blobs(times.astype(np.uint32), ends),
+                    pa.array(np.add.reduceat(times, first)),
+                ],
+                names,
+            )
+
+    return rows.mapInArrow(run, _MINED)
+
+
+def _blobs(values: np.ndarray, ends: np.ndarray) -> pa.BinaryArray:
+    offsets = (ends * values.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _frequent(counts: DataFrame, needed: dict[tuple[str, int], int]) -> DataFrame:
+    """(phrase_hash, shard) of what reaches the lowered support of its shard."""
+    shared = counts.sparkSession.sparkContext.broadcast(needed)
 
-    return rows.mapInArrow(run, _MINED).groupBy("lang", "shard", "phrase_hash").agg(F.sum("times").alias("times"))
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[bytes, bytes]] = []
+        group: tuple | None = None
+        for batch in batches:
+            for lang, shard, part, hashes, times in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                if (lang, shard, part) != group:
+                    if held:
+                        yield added(group, held)
+                    group, held = (lang, shard, part), []
+                held.append((hashes, times))
+        if held:
+            yield added(group, held)
+
+    def added(group: tuple, held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        hashes = np.frombuffer(b"".join(h for h, _ in held), np.uint64)
+        times = np.frombuffer(b"".join(t for _, t in held), np.uint32).astype(np.int64)
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        first = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
+        good = np.add.reduceat(times[order], first) >= shared.value.get(group[:2], 1)
+        found = hashes[first[good]]
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(np.full(len(found), group[1], np.int32))], ["phrase_hash", "shard"])
+
+    key = ["lang", "shard", "part"]
+    return counts.select(*key, "hashes", "times").repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "phrase_hash long, shard int")
 
 
 def _count(rows: DataFrame, tables: list[np.ndarray], size: int) -> DataFrame:
     """Exact times of all runs that the tables may hold; rows: lang, size, phrase, times."""
     shared = rows.sparkSession.sparkContext.broadcast(tables)
+    names = ["lang", "size", "phrase", "times"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches):
+        held: list[pa.RecordBatch] = []
+        for chunk in _chunks(batches, exact=True):
+            words = pa.array([w.decode("utf-8", "replace") for w in chunk.distinct], pa.string())
+            langs = pa.array([u[0] for u in chunk.units], pa.string())
             for length, (runs, hashes, times) in enumerate(chunk.levels(shared.value, size, by_shard=False), 1):
                 keep = np.flatnonzero(perhaps(shared.value[length - 1], hashes))
-                if not len(keep):
-                    continue
                 runs = runs[keep]
-                words = pa.array([w.decode("utf-8", "replace") for w in chunk.distinct], pa.string())
                 parts = [words.take(pa.array(chunk.word[runs[:, i]])) for i in range(length)]
                 phrase = parts[0] if length == 1 else pa.compute.binary_join_element_wise(*parts, " ")
-                lang = pa.array([u[0] for u in chunk.units]).take(pa.array(chunk.unit[runs[:, 0]]))
-                yield pa.RecordBatch.from_arrays(
-                    [lang, pa.array(np.full(len(keep), length, np.int32)), phrase, pa.array(times[keep], pa.int64())], ["lang", "size", "phrase", "times"]
-                )
+                lang = langs.take(pa.array(chunk.unit[runs[:, 0]]))
+                held.append(pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(keep), length, np.int32)), phrase, pa.array(times[keep], pa.int64())], names))
+            if sum(map(len, held)) >= HELD_ROWS:
+                yield from added(held)
+                held = []
+        if held:
+            yield from added(held)
+
+    def added(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = pa.Table.from_batches(held).group_by(names[:3]).aggregate([("times", "sum")]).rename_columns(names)
+        yield from found.combine_chunks().to_batches(max_chunksize=50_000)
 
     return rows.mapInArrow(run, _COUNTED).groupBy("lang", "size", "phrase").agg(F.sum("times").alias("times"))
 
@@ -149,19 +224,22 @@ def frequent_phrases(documents: DataFrame, support: int, max_words: int, shards:
     """(lang, size, phrase, times) of every phrase with ``support`` occurrences, and (lang, n) with the words of each language."""
     text_shard = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(shards)).cast("int")
     rows = documents.where(F.col("text").isNotNull()).select(F.coalesce("lang", F.lit("und")).alias("lang"), text_shard.alias("shard"), "text")
+    letters = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    ranges = 1 << max(int(letters / 6 / shards / RANGE_WORDS), 1).bit_length()
     local: list[np.ndarray] = []
     union: list[np.ndarray] = []
-    needed = totals = None
+    needed: dict[tuple[str, int], int] = {}
+    totals = None
     for size in range(1, max_words + 1):
-        mined = _mine(rows, local, size)
+        counts = _local_counts(rows, local, size, ranges)
         if size == 1:
-            mined = stored(mined, "phrases-words")
-            of_shard = mined.groupBy("lang", "shard").agg(F.sum("times").alias("words"))
+            counts = stored(counts, "phrases-words")
+            of_shard = counts.groupBy("lang", "shard").agg(F.sum("words").alias("words"))
             totals = stored(of_shard.groupBy("lang").agg(F.sum("words").alias("n")), "phrases-totals")
+            large = totals.orderBy(F.desc("n"), "lang").limit(LANGUAGES)
             lowered = F.expr(f"({support} * words + n - 1) div n").alias("needed")
-            needed = stored(of_shard.join(totals, "lang").select("lang", "shard", lowered), "phrases-support")
-        frequent = mined.join(needed, ["lang", "shard"]).where("times >= needed").select("phrase_hash", "shard")
-        frequent = stored(frequent, f"phrases-frequent-{size}")
+            needed = {(r["lang"], r["shard"]): r["needed"] for r in of_shard.join(large, "lang").select("lang", "shard", lowered).collect()}
+        frequent = stored(_frequent(counts, needed), f"phrases-frequent-{size}")
         own = F.col("phrase_hash").bitwiseXOR(F.shiftleft(F.col("shard").cast("long"), _SHARD_SHIFT))
         local.append(bit_table(frequent, own, bits))
         union.append(bit_table(frequent, F.col("phrase_hash"), bits))
