@@ -51,7 +51,7 @@ def _attach_rank(rows: DataFrame, ranked: DataFrame, name: str, keys: list[str])
 def _ranked_values(table: DataFrame, name: str, groups: list[str], value: str) -> DataFrame:
     folded = table.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
     order = [F.col(c).asc_nulls_first() for c in groups] + [F.col(value).desc_nulls_last()]
-    placed, _ = materialise(_number_in_ranges(folded, order), f"{name}-values")
+    placed, _ = materialise(number_in_ranges(folded, order), f"{name}-values")
 
     inside = (
         Window.partitionBy("_slot", *groups)
@@ -92,7 +92,7 @@ def dense_numbers(
     """
     table, _ = materialise(df, label)
     order = [F.col(c).asc_nulls_first() for c in order_by]
-    placed, _ = materialise(_number_in_ranges(table.select(*order_by), order), f"{label}-ranges")
+    placed, _ = materialise(number_in_ranges(table.select(*order_by), order), f"{label}-ranges")
     sizes = placed.groupBy("_slot").agg(F.count(F.lit(1)).alias("_t"))
     earlier = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # One row per range, so the broadcast is as small as the number of shuffle partitions.
@@ -109,7 +109,7 @@ def dense_numbers(
     return table.join(numbered, same, "inner").select(F.col(name).cast("bigint").alias(name), *table.columns)
 
 
-def _number_in_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+def number_in_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Sort into ordered ranges; ``_slot`` is the range, ``_place`` grows along it."""
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     return ranged.withColumn("_slot", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id())
