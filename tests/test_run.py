@@ -9,7 +9,7 @@ from tidemark.operators.quality import QualityGateError
 from tidemark.plans.run import MedallionRun
 from tidemark.schemas import SOURCES, Layout
 from tidemark.sources import run_log, snapshot
-from tidemark.sources.buckets import read_buckets
+from tidemark.sources.keyed import read_keyed
 
 AS_OF = "2024-02-10"
 
@@ -25,7 +25,7 @@ def layout(tmp_path, raw_customers, raw_products, raw_orders, raw_items, raw_cli
 
 
 def counts(spark, layout):
-    return {t: read_buckets(spark, layout.silver(t)).count() for t in SOURCES}
+    return {t: read_keyed(spark, layout.silver(t)).count() for t in SOURCES}
 
 
 EXPECTED = {"customers": 5, "products": 4, "orders": 6, "order_items": 7, "clickstream": 5, "reviews": 3}
@@ -63,7 +63,7 @@ def test_reprocess_replaces_one_date(spark, layout, raw_orders):
     )
     land_csv(corrected.withColumn("shipping_address", F.lit("x")), layout.landing("orders"), mode="overwrite")
     MedallionRun(spark, layout, AS_OF, "r2").run("reprocess", "2024-02-01")
-    got = {r["order_id"]: float(r["total_amount"]) for r in read_buckets(spark, layout.silver("orders")).collect()}
+    got = {r["order_id"]: float(r["total_amount"]) for r in read_keyed(spark, layout.silver("orders")).collect()}
     # O4 left the date, O5 changed on it; O1 is of another date and keeps its old amount.
     assert "O4" not in got and got["O5"] == 1.0 and got["O1"] == 150.0
     assert spark.read.parquet(layout.bronze("orders")).count() == 7

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.tables import land_csv
 from tidemark.operators.merge import DuplicateSourceKeys, replace_slice, upsert
+from tidemark.sources.keyed import read_keyed
 from tidemark.schemas import SOURCES, Layout
 from tidemark.sources import bronze, files, run_log, scratch, snapshot, warehouse
 
@@ -100,16 +101,16 @@ def test_upsert_updates_inserts_and_repeats(spark, tmp_path):
     change = spark.createDataFrame([("b", 20), ("c", 30)], "k STRING, v INT")
     assert upsert(change, path, "k") == 2
     expected = [("a", 1), ("b", 20), ("c", 30)]
-    assert rows(snapshot.read_snapshot(spark, path), "k", "v") == expected
+    assert rows(read_keyed(spark, path), "k", "v") == expected
     upsert(change, path, "k")
-    assert rows(snapshot.read_snapshot(spark, path), "k", "v") == expected
+    assert rows(read_keyed(spark, path), "k", "v") == expected
 
 
 def test_upsert_extends_the_schema(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert(spark.createDataFrame([("a", 1)], "k STRING, v INT"), path, "k")
     upsert(spark.createDataFrame([("b", 2, "new")], "k STRING, v INT, w STRING"), path, "k")
-    got = {r["k"]: r["w"] for r in snapshot.read_snapshot(spark, path).collect()}
+    got = {r["k"]: r["w"] for r in read_keyed(spark, path).collect()}
     assert got == {"a": None, "b": "new"}
 
 
@@ -125,7 +126,7 @@ def test_replace_slice(spark, tmp_path):
     # b is gone, e is new, and c moved from the second day to the first.
     again = [("a", datetime(2024, 1, 1, 9)), ("e", datetime(2024, 1, 1)), ("c", datetime(2024, 1, 1))]
     replace_slice(spark.createDataFrame(again, "k STRING, at TIMESTAMP"), path, "k", "at", "2024-01-01")
-    assert {r["k"]: r["at"] for r in snapshot.read_snapshot(spark, path).collect()} == dict(again) | {"d": None}
+    assert {r["k"]: r["at"] for r in read_keyed(spark, path).collect()} == dict(again) | {"d": None}
 
 
 def test_ingest_all_error_handling(spark, tmp_path, raw_orders):
@@ -190,25 +191,29 @@ def test_scratch_on_a_cluster_needs_a_shared_folder():
 
 
 def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
-    from tidemark.sources import buckets
+    from tidemark.sources import keyed
 
     path = str(tmp_path / "b")
     df = spark.range(400).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"))
-    assert buckets.write_buckets(df, path, "k", buckets=16) == 400
-    first = set(buckets.read_buckets(spark, path).inputFiles())
-    change = spark.createDataFrame([("7", 2), ("new", 3)], "k STRING, v INT").withColumn("w", F.lit("x"))
+    assert keyed.write_keyed(df, path, "k", buckets=16) == 400
+    first = set(keyed.read_keyed(spark, path).inputFiles())
+    change = spark.createDataFrame([("7", 2), ("new", 3)], "k STRING, v INT")
     gone = spark.createDataFrame([("8",), ("7",)], "k STRING")
-    assert buckets.upsert_buckets(change, path, "k", replaces=gone) == 2
-    table = buckets.read_buckets(spark, path)
+    assert keyed.upsert_keyed(change, path, "k", replaces=gone) == 2
+    table = keyed.read_keyed(spark, path)
     assert 1 <= len(set(table.inputFiles()) - first) <= 3
-    got = {r["k"]: (r["v"], r["w"]) for r in table.collect()}
-    assert len(got) == 400 and "8" not in got and got["7"] == (2, "x") and got["new"] == (3, "x") and got["9"] == (1, None)
-    buckets.upsert_buckets(change.limit(0), path, "k", replaces=df.select("k"))
-    assert buckets.read_buckets(spark, path).select("k").collect() == [("new",)]
-    buckets.write_buckets(df.limit(0), str(tmp_path / "empty"), "k", buckets=4)
-    assert buckets.read_buckets(spark, str(tmp_path / "empty")).columns == ["k", "v"]
-    buckets.upsert_buckets(change.filter("k = '7'"), path, "k")
-    assert sorted(r["k"] for r in buckets.read_buckets(spark, path).collect()) == ["7", "new"]
+    got = {r["k"]: r["v"] for r in table.collect()}
+    assert len(got) == 400 and "8" not in got and got["7"] == 2 and got["new"] == 3 and got["9"] == 1
+    change = change.withColumn("w", F.lit("x"))
+    keyed.upsert_keyed(change, path, "k")
+    got = {r["k"]: (r["v"], r["w"]) for r in keyed.read_keyed(spark, path).collect()}
+    assert len(got) == 400 and got["7"] == (2, "x") and got["9"] == (1, None)
+    keyed.upsert_keyed(change.limit(0), path, "k", replaces=df.select("k"))
+    assert keyed.read_keyed(spark, path).select("k").collect() == [("new",)]
+    keyed.write_keyed(df.limit(0), str(tmp_path / "empty"), "k", buckets=4)
+    assert keyed.read_keyed(spark, str(tmp_path / "empty")).columns == ["k", "v"]
+    keyed.upsert_keyed(change.filter("k = '7'"), path, "k")
+    assert sorted(r["k"] for r in keyed.read_keyed(spark, path).collect()) == ["7", "new"]
 
 
 def test_snapshots_keep_two_versions(spark, tmp_path):

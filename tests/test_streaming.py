@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidemark.catalog.tables import land_csv
 from tidemark.plans import silver
 from tidemark.schemas import SOURCES
-from tidemark.sources.buckets import read_buckets
+from tidemark.sources.keyed import read_keyed
 from tidemark.streaming.ingest import drain_to_bronze, drain_to_silver
 
 
@@ -47,6 +47,6 @@ def test_stream_upsert_equals_batch(spark, tmp_path, raw_orders):
     newer = changed.withColumn("_ingestion_timestamp", F.lit(datetime(2024, 1, 2)))
     batch = silver.orders(late.unionByName(newer))
     columns = ["order_id", "status", "total_amount", "net_amount", "order_date_key"]
-    got = read_buckets(spark, target).select(columns).collect()
+    got = read_keyed(spark, target).select(columns).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, batch.select(columns).collect()))
     assert spark.read.parquet(f"{bronze}/_batch=00000000").count() == 8

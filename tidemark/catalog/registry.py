@@ -15,8 +15,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Body], Body]:
-    """Register a query under a name."""
+def query(name: str, sql: str | None = None, replaced: dict[str, str] | None = None) -> Callable[[Body], Body]:
+    """Register a query under a name; ``replaced`` gives views of its SQL another definition."""
 
     def register(body: Body) -> Body:
         if name in QUERIES:
@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Body], Body]:
 
         QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = with_views(sql)
+            ORACLES[name] = with_views(sql, replaced)
         return body
 
     return register

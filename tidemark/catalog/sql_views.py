@@ -313,12 +313,13 @@ LEFT JOIN dim_product p ON i.product_id = p.product_id""",
 _WORD = re.compile(r"[a-z_0-9]+")
 
 
-def with_views(statement: str) -> str:
-    """Put every view the statement needs in front of it, in order of definition.
+def with_views(statement: str, replaced: dict[str, str] | None = None) -> str:
+    """Put every view the statement needs in front of it, in order of definition; some views may be replaced.
 
     A view sees only views defined before it, so a name shared with a given table means the given table.
     """
-    names = list(VIEWS)
+    views = VIEWS | (replaced or {})
+    names = list(views)
     needed: set[str] = set()
     pending = [(statement, len(names))]
     while pending:
@@ -326,9 +327,9 @@ def with_views(statement: str) -> str:
         for word in set(_WORD.findall(text)) & set(names[:limit]):
             if word not in needed:
                 needed.add(word)
-                pending.append((VIEWS[word], names.index(word)))
+                pending.append((views[word], names.index(word)))
     chosen = [n for n in names if n in needed]
     if not chosen:
         return statement.strip()
-    clauses = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in chosen)
+    clauses = ",\n".join(f"{n} AS ({views[n].strip()})" for n in chosen)
     return f"WITH {clauses}\n{statement.strip()}"

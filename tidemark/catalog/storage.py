@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query
-from tidemark.catalog.sql_views import AS_OF, latest
+from tidemark.catalog.sql_views import AS_OF, VIEWS
 from tidemark.catalog.tables import Tables, land_csv
 from tidemark.operators.dedup import latest_of
 from tidemark.operators.merge import upsert
@@ -16,8 +16,8 @@ from tidemark.plans import gold, silver
 from tidemark.plans.run import MedallionRun
 from tidemark.schemas import INGESTED_AT, PARTITION_DATE, SOURCES, Layout
 from tidemark.sources import run_log, snapshot, warehouse
-from tidemark.sources.bronze import ingest_all, ingest_from_config, with_partition_date, write_bronze
-from tidemark.sources.buckets import read_buckets, upsert_buckets
+from tidemark.sources.bronze import ingest_all, ingest_from_config, read_quarantine, with_partition_date, write_bronze
+from tidemark.sources.keyed import read_keyed, upsert_keyed
 from tidemark.sources.files import REASON, ingest_csv, ingest_csv_checked, ingest_json, ingest_parquet
 from tidemark.streaming.ingest import drain_to_bronze, drain_to_silver
 
@@ -251,7 +251,7 @@ def upsert_orders(t: Tables) -> DataFrame:
     changes = shipped.unionByName(again)
     upsert(changes, path, "order_id")
     upsert(changes, path, "order_id")
-    return snapshot.read_snapshot(t.spark, path)
+    return read_keyed(t.spark, path)
 
 
 _REDUCED = ("customers", "products", "orders", "order_items")
@@ -271,8 +271,8 @@ def silver_upsert(t: Tables) -> DataFrame:
         path, key, raw = t.scratch(name), SOURCES[name].key, t.raw(name)
         second = F.pmod(F.xxhash64(key), F.lit(5)) == 0
         for batch in (raw.filter(~second), raw.filter(second), raw.filter(second)):
-            upsert_buckets(silver.BUILDERS[name](batch, **silver.REDUCED_OPTIONS[name]), path, key, replaces=batch)
-        frames[name] = read_buckets(t.spark, path)
+            upsert_keyed(silver.BUILDERS[name](batch, **silver.REDUCED_OPTIONS[name]), path, key, replaces=batch)
+        frames[name] = read_keyed(t.spark, path)
     return _digests(frames, _REDUCED_KEYED)
 
 
@@ -357,34 +357,32 @@ def stream_upsert(t: Tables) -> DataFrame:
         drain_to_silver(
             t.spark, landing, "orders", "order_id", silver.orders, bronze, target, checkpoint, SOURCES["orders"].schema
         )
-    return read_buckets(t.spark, target).select("order_id", "status", "total_amount", "net_amount")
+    return read_keyed(t.spark, target).select("order_id", "status", "total_amount", "net_amount")
 
 
 # Whole runs
 
 # Landing files carry no load time, so versions of an item that land together differ by their content alone.
-_LANDED_ITEMS = latest("raw_order_items", "item_id", "order_id, product_id, quantity, unit_price, discount NULLS LAST")
-
-_LANDED_SILVER = f"""(SELECT *, CAST(round(quantity * CAST(unit_price AS DECIMAL(18,6)) * (1 - CAST(coalesce(discount, 0) AS DECIMAL(9,6))), 2) AS DECIMAL(22,2))
-  AS line_total FROM {_LANDED_ITEMS} i WHERE quantity > 0 AND unit_price > 0) i"""
+_LANDED = {"raw_order_items": f"SELECT * EXCLUDE (_ingestion_timestamp), CAST(NULL AS TIMESTAMP) AS _ingestion_timestamp FROM ({VIEWS['raw_order_items']}) i"}
 _RUN_KEYED = {n: (s.key, _SILVER_CONTENT[n]) for n, s in SOURCES.items()}
-_ORDER_RUN = {"orders": ("order_id", _SILVER_CONTENT["orders"])}
+_RUN_GOLD = _GOLD_CONTENT | {"hourly_traffic": _HOURLY}
+_RUN_PARTS = [_digest(n, *_RUN_KEYED[n], f"silver_{n}") for n in SOURCES] + [_digest(n, *c, f"gold_{n}") for n, c in _RUN_GOLD.items()]
+_RUN_SQL = _digests_sql(_RUN_PARTS)
 
 
-def _run_sql() -> str:
-    parts = [_digest(n, *_RUN_KEYED[n], _LANDED_SILVER if n == "order_items" else f"silver_{n}") for n in SOURCES]
-    parts += [_digest("daily_sales", *_GOLD_CONTENT["daily_sales"], "gold_daily_sales"), _digest("hourly_traffic", *_HOURLY, "gold_hourly_traffic")]
-    return _digests_sql(parts)
+def _landed_orders(condition: str, source: str = VIEWS["raw_orders"]) -> dict[str, str]:
+    """What has landed, with the orders that satisfy a condition."""
+    return _LANDED | {"raw_orders": f"SELECT * FROM ({source}) o WHERE {condition}"}
 
 
 def _run_digests(t: Tables, layout: Layout) -> DataFrame:
-    frames = {n: read_buckets(t.spark, layout.silver(n)) for n in SOURCES}
-    frames |= {n: snapshot.read_snapshot(t.spark, layout.gold(n)) for n in ("daily_sales", "hourly_traffic")}
-    contents = _RUN_KEYED | {"daily_sales": _GOLD_CONTENT["daily_sales"], "hourly_traffic": _HOURLY}
-    return _digests(frames, contents)
+    """All six silver and all four gold tables."""
+    frames = {n: read_keyed(t.spark, layout.silver(n)) for n in SOURCES}
+    frames |= {n: snapshot.read_snapshot(t.spark, layout.gold(n)) for n in _RUN_GOLD}
+    return _digests(frames, _RUN_KEYED | _RUN_GOLD)
 
 
-@query("full_run", _run_sql())
+@query("full_run", _RUN_SQL, _LANDED)
 def full_run(t: Tables) -> DataFrame:
     """All stages, the warehouse load included."""
     layout = _land_all(t)
@@ -393,7 +391,7 @@ def full_run(t: Tables) -> DataFrame:
     return _run_digests(t, layout)
 
 
-@query("run_modes", _run_sql())
+@query("run_modes", _RUN_SQL, _LANDED)
 def run_modes(t: Tables) -> DataFrame:
     """An incremental run takes in damaged amounts of the last day; reprocessing the day after a correction mends them."""
     layout = _land_all(t)
@@ -407,27 +405,21 @@ def run_modes(t: Tables) -> DataFrame:
     return _run_digests(t, layout)
 
 
-def _silver_orders(t: Tables, layout: Layout) -> DataFrame:
-    return _digests({"orders": read_buckets(t.spark, layout.silver("orders"))}, _ORDER_RUN)
-
-
-@query("run_rebuild", _digest("orders", *_ORDER_RUN["orders"], "silver_orders WHERE order_date > TIMESTAMP '1995-06-30'").replace("{text}", "VARCHAR"))
+@query("run_rebuild", _RUN_SQL, _landed_orders("order_date > TIMESTAMP '1995-06-30'"))
 def run_rebuild(t: Tables) -> DataFrame:
-    """Dates that leave the landing files leave bronze and silver with the next rebuild."""
+    """Dates that leave the landing files leave bronze, silver and gold with the next rebuild."""
     orders = t.contract("orders")
     layout = _land_all(t, orders)
     MedallionRun(t.spark, layout, AS_OF, "run-1").run("full")
     land_csv(orders.filter("order_date > TIMESTAMP '1995-06-30'"), layout.landing("orders"), mode="overwrite")
     MedallionRun(t.spark, layout, AS_OF, "run-2").run("full")
-    return _silver_orders(t, layout)
+    return _run_digests(t, layout)
 
 
-@query(
-    "run_reprocess_empty",
-    _digest(
-        "orders", *_ORDER_RUN["orders"], "silver_orders WHERE CAST(order_date AS DATE) <> (SELECT max(CAST(order_date AS DATE)) FROM raw_orders)"
-    ).replace("{text}", "VARCHAR"),
-)
+_LAST_DAY = f"(SELECT max(CAST(order_date AS DATE)) FROM ({VIEWS['raw_orders']}) l)"
+
+
+@query("run_reprocess_empty", _RUN_SQL, _landed_orders(f"CAST(order_date AS DATE) <> {_LAST_DAY}"))
 def run_reprocess_empty(t: Tables) -> DataFrame:
     """A date that has become empty is empty after it is reprocessed."""
     orders = t.contract("orders")
@@ -436,18 +428,83 @@ def run_reprocess_empty(t: Tables) -> DataFrame:
     last_day = orders.agg(F.max(F.to_date("order_date"))).head()[0]
     land_csv(orders.filter(F.to_date("order_date") != F.lit(last_day)), layout.landing("orders"), mode="overwrite")
     MedallionRun(t.spark, layout, AS_OF, "run-2").run("reprocess", batch_date=last_day)
-    return _silver_orders(t, layout)
+    return _run_digests(t, layout)
 
 
-@query(
-    "run_quarantine",
-    f"""SELECT order_id, fault AS reason, status FROM ({_DAMAGED}) d WHERE fault IS NOT NULL
-    UNION ALL SELECT order_id, 'kept', s.status FROM silver_orders s JOIN ({_DAMAGED}) d USING (order_id) WHERE d.fault IS NULL""",
-)
+# Bad records
+
+_ALL_DAMAGED = _DAMAGED.replace("raw_orders", f"({VIEWS['raw_orders']}) r")
+_REFUSED = ("order_id", {"fault": "", "status": ""})
+
+
+def _refused_sql(condition: str) -> str:
+    return _digests_sql([*_RUN_PARTS, _digest("quarantine", *_REFUSED, f"({_ALL_DAMAGED}) d WHERE {condition}")])
+
+
+def _with_refused(t: Tables, layout: Layout) -> DataFrame:
+    refused = read_quarantine(t.spark, layout, "orders").withColumnRenamed(REASON, "fault")
+    return _run_digests(t, layout).unionByName(_digests({"quarantine": refused}, {"quarantine": _REFUSED}))
+
+
+@query("run_quarantine", _refused_sql("fault IS NOT NULL"), _landed_orders("fault IS NULL", _ALL_DAMAGED))
 def run_quarantine(t: Tables) -> DataFrame:
     """A run stores the records it rejects with the reason, and cleans the others."""
     layout = _land_all(t, _damaged(t.contract("orders")))
     MedallionRun(t.spark, layout, AS_OF, "run-1").run("full")
-    rejected = t.spark.read.parquet(layout.quarantine("orders")).select("order_id", F.col(REASON).alias("reason"), "status")
-    kept = read_buckets(t.spark, layout.silver("orders")).select("order_id", F.lit("kept").alias("reason"), "status")
-    return rejected.unionByName(kept)
+    return _with_refused(t, layout)
+
+
+@query("run_incremental_quarantine", _refused_sql("fault IS NOT NULL"), _landed_orders("fault IS NULL", _ALL_DAMAGED))
+def run_incremental_quarantine(t: Tables) -> DataFrame:
+    """Damaged orders that arrive after a full run are judged like those that were there."""
+    damaged = _damaged(t.contract("orders"))
+    first = F.pmod(F.xxhash64("order_id"), F.lit(2)) == 0
+    layout = _land_all(t, damaged.filter(first))
+    MedallionRun(t.spark, layout, AS_OF, "run-1").run("full")
+    land_csv(damaged.filter(~first), layout.landing("orders"), mode="append")
+    MedallionRun(t.spark, layout, AS_OF, "run-2").run("incremental")
+    return _with_refused(t, layout)
+
+
+_DAMAGED_LAST_DAY = f"fault IS NOT NULL AND CAST(order_date AS DATE) = {_LAST_DAY}"
+
+
+@query("run_reprocess_quarantine", _refused_sql(_DAMAGED_LAST_DAY), _landed_orders(f"NOT ({_DAMAGED_LAST_DAY})", _ALL_DAMAGED))
+def run_reprocess_quarantine(t: Tables) -> DataFrame:
+    """All orders are damaged in the landing files, and one date is reprocessed: its bad records are stored."""
+    orders = t.contract("orders")
+    layout = _land_all(t, orders)
+    MedallionRun(t.spark, layout, AS_OF, "run-1").run("full")
+    last_day = orders.agg(F.max(F.to_date("order_date"))).head()[0]
+    land_csv(_damaged(orders), layout.landing("orders"), mode="overwrite")
+    MedallionRun(t.spark, layout, AS_OF, "run-2").run("reprocess", batch_date=last_day)
+    return _with_refused(t, layout)
+
+
+_NEWEST_LEFT_OUT = """
+SELECT 'products' AS table_name, product_id AS key, CASE WHEN price > 0 THEN 'cost is not positive' ELSE 'price is not positive' END AS reason
+FROM raw_products WHERE product_id NOT IN (SELECT product_id FROM silver_products)
+UNION ALL SELECT 'orders', order_id, 'total_amount is missing or negative' FROM newest_orders WHERE NOT coalesce(total_amount >= 0, false)
+UNION ALL SELECT 'clickstream', event_id, 'event_type is missing' FROM raw_clickstream WHERE event_type IS NULL
+UNION ALL SELECT 'reviews', review_id, 'rating is not from 1 to 5' FROM raw_reviews WHERE NOT coalesce(rating BETWEEN 1 AND 5, false)
+"""
+
+
+@query("silver_rejected", _NEWEST_LEFT_OUT, _LANDED)
+def silver_rejected(t: Tables) -> DataFrame:
+    """What a run leaves out of the cleaned tables, with the reason; half of the orders and clicks arrive later."""
+    def later(name: str) -> Column:
+        return F.pmod(F.xxhash64(SOURCES[name].key), F.lit(2)) == 1
+
+    layout = _land_all(t)
+    for name in ("orders", "clickstream"):
+        land_csv(t.contract(name).filter(~later(name)), layout.landing(name), mode="overwrite")
+    MedallionRun(t.spark, layout, AS_OF, "run-1").run("full")
+    for name in ("orders", "clickstream"):
+        land_csv(t.contract(name).filter(later(name)), layout.landing(name), mode="append")
+    MedallionRun(t.spark, layout, AS_OF, "run-2").run("incremental")
+    found = None
+    for name, source in SOURCES.items():
+        rows = t.spark.read.parquet(layout.rejected(name)).select(F.lit(name).alias("table_name"), F.col(source.key).alias("key"), F.col(REASON).alias("reason"))
+        found = rows if found is None else found.unionByName(rows)
+    return found

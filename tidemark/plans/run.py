@@ -16,15 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from tidemark.operators.merge import replace_slice
 from tidemark.operators.quality import SILVER_RULES, evaluate, gate
 from tidemark.plans import gold, silver
 from tidemark.schemas import INGESTED_AT, PARTITION_DATE, SOURCES, Layout, SourceTable
 from tidemark.sources.bronze import ingest_all, with_partition_date, write_bronze_date, write_counted
-from tidemark.sources.buckets import BUCKETS, buckets_exist, read_buckets, upsert_buckets, write_buckets
 from tidemark.sources.files import ingest_csv_checked
+from tidemark.sources.keyed import BUCKETS, read_keyed, write_keyed
 from tidemark.sources.parallel import run_parallel
 from tidemark.sources.run_log import StepRecord, append_steps, now
-from tidemark.sources.scratch import materialise, scratch_scope
+from tidemark.sources.scratch import delete_folder, materialise, scratch_scope
 from tidemark.sources.snapshot import read_snapshot, write_snapshot
 from tidemark.sources.warehouse import WAREHOUSE_TABLES, JdbcSink, ParquetSink
 from tidemark.streaming.ingest import drain_to_silver, mark_as_read
@@ -127,7 +128,7 @@ class MedallionRun:
         return run_parallel(self.spark, [timed(t, j) for t, j in jobs.items()], self.workers)
 
     def _silver(self, table: str) -> DataFrame:
-        return read_buckets(self.spark, self.layout.silver(table))
+        return read_keyed(self.spark, self.layout.silver(table))
 
     # Stages
 
@@ -142,7 +143,9 @@ class MedallionRun:
             def build() -> int:
                 bronze = self.spark.read.schema(_bronze_schema(table)).parquet(self.layout.bronze(table))
                 cleaned = silver.BUILDERS[table](bronze, stamp=True)
-                rows = write_buckets(cleaned, self.layout.silver(table), SOURCES[table].key, self.buckets)
+                rows = write_keyed(cleaned, self.layout.silver(table), SOURCES[table].key, self.buckets)
+                delete_folder(self.spark, self.layout.rejected(table))
+                silver.rejected(bronze, table).write.mode("overwrite").parquet(f"{self.layout.rejected(table)}/_run={self.run_id}/_batch=full")
                 mark_as_read(self.spark, self.layout.landing(table), table, self.layout.checkpoint(table), SOURCES[table].schema)
                 return rows
 
@@ -166,6 +169,9 @@ class MedallionRun:
                     checkpoint=self.layout.checkpoint(table),
                     schema=SOURCES[table].schema,
                     buckets=self.buckets,
+                    quarantine=self.layout.quarantine_streaming(table),
+                    left_out=lambda df: silver.rejected(df, table),
+                    rejected=f"{self.layout.rejected(table)}/_run={self.run_id}",
                 )
 
             return drain
@@ -180,18 +186,18 @@ class MedallionRun:
                 read = ingest_csv_checked(
                     self.spark, self.layout.landing(table.name), table.name, table.schema, self.run_id, table.multi_line
                 )
+                # Rejected records of the day, and those whose day cannot be read.
+                own_day = F.to_date(F.col(table.event_time).try_cast("timestamp"))
+                refused = read.rejected.filter(own_day.isNull() | (own_day == F.lit(batch_date).cast("date")))
+                refused.write.mode("overwrite").parquet(f"{self.layout.quarantine_reprocessed(table.name)}/{PARTITION_DATE}={batch_date}")
                 landed = with_partition_date(read.valid, table)
                 day = landed.filter(F.col(PARTITION_DATE) == F.lit(batch_date).cast("date")).drop(PARTITION_DATE)
                 again, _ = materialise(day, "reprocess")
                 write_bronze_date(again, self.layout.bronze(table.name), batch_date)
                 cleaned = silver.BUILDERS[table.name](again, stamp=True)
-                silver_path = self.layout.silver(table.name)
-                if not buckets_exist(self.spark, silver_path):
-                    return write_buckets(cleaned, silver_path, table.key, self.buckets)
+                silver.rejected(again, table.name).write.mode("overwrite").parquet(f"{self.layout.rejected(table.name)}/_run={self.run_id}/_batch={batch_date}")
                 # The keys the day had before leave, and those it has now, valid or not.
-                stored = read_buckets(self.spark, silver_path)
-                had = stored.filter(F.to_date(table.event_time) == F.lit(batch_date).cast("date")).select(table.key)
-                return upsert_buckets(cleaned, silver_path, table.key, replaces=had.unionByName(again.select(table.key)))
+                return replace_slice(cleaned, self.layout.silver(table.name), table.key, table.event_time, batch_date, again, self.buckets)
 
             return replace
 

@@ -103,6 +103,16 @@ class Layout:
     def quarantine(self, table: str) -> str:
         return f"{self.base}/quarantine/{table}"
 
+    def quarantine_streaming(self, table: str) -> str:
+        return f"{self.base}/quarantine/{table}_streaming"
+
+    def quarantine_reprocessed(self, table: str) -> str:
+        return f"{self.base}/quarantine/{table}_reprocessed"
+
+    def rejected(self, table: str) -> str:
+        """Rows that reached bronze and that the cleaned table leaves out."""
+        return f"{self.base}/rejected/{table}"
+
     def silver(self, table: str) -> str:
         return f"{self.base}/silver/{table}"
 

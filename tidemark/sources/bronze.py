@@ -9,13 +9,15 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import PARTITION_DATE, SOURCES, Layout, SourceTable
 from tidemark.sources.files import CORRUPT, REASON, ingest_csv, judge_csv
 from tidemark.sources.parallel import run_parallel
+from tidemark.sources.scratch import delete_folder
 
 log = logging.getLogger(__name__)
 
@@ -76,6 +78,32 @@ def write_bronze_date(df: DataFrame, path: str, day: str) -> None:
     df.drop(PARTITION_DATE).write.mode("overwrite").parquet(f"{path}/{PARTITION_DATE}={day}")
 
 
+def write_judged(judged: DataFrame, typed: dict[str, Column], write: Callable[[DataFrame], object], quarantine: str, always: bool = False) -> tuple[int, int]:
+    """Hand the valid records, typed, to ``write`` and store the others with their reason.  Returns both counts.
+
+    Counts come from the write; the records are read a second time only where some are bad.  ``always`` writes the
+    quarantine folder also without a bad record, so that it holds nothing from before.
+    """
+    seen = Observation(f"judged-{uuid.uuid4().hex[:8]}")
+    bad = F.col(REASON).isNotNull()
+    counted = judged.observe(seen, F.count_if(~bad).alias("rows"), F.count_if(bad).alias("rejected"))
+    write(counted.filter(~bad).drop(CORRUPT, REASON).withColumns(typed))
+    rows, rejected = int(seen.get["rows"]), int(seen.get["rejected"])
+    if rejected or always:
+        (judged.filter(bad) if rejected else judged.limit(0)).write.mode("overwrite").parquet(quarantine)
+    return rows, rejected
+
+
+def read_quarantine(spark: SparkSession, layout: Layout, table: str) -> DataFrame | None:
+    """All rejected records of a table, of whole loads, new files and reprocessed dates; None if there are none."""
+    found = []
+    for path in (layout.quarantine(table), layout.quarantine_streaming(table), layout.quarantine_reprocessed(table)):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            found.append(spark.read.parquet(path))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found) if found else None
+
+
 def load_table(
     spark: SparkSession, layout: Layout, table: SourceTable, batch_id: str, infer: bool = False, replace: str = "static"
 ) -> Loaded:
@@ -88,17 +116,16 @@ def load_table(
         rows = write_counted(raw, lambda df: write_bronze(df, layout.bronze(table.name), partitions, replace))
         return Loaded(table.name, rows, time.monotonic() - started)
     judged, typed = judge_csv(spark, landing, table.name, table.schema, batch_id, table.multi_line)
-    seen = Observation(f"judged-{uuid.uuid4().hex[:8]}")
-    bad = F.col(REASON).isNotNull()
-    counted = judged.observe(seen, F.count_if(~bad).alias("rows"), F.count_if(bad).alias("rejected"))
-    valid = with_partition_date(counted.filter(~bad).drop(CORRUPT, REASON).withColumns(typed), table)
-    write_bronze(valid, layout.bronze(table.name), partitions, replace)
-    rejected = int(seen.get["rejected"])
-    if rejected or replace == "static":
-        # A second scan, for the few files or runs that need it; a rebuild also clears what earlier runs rejected.
-        bad_rows = judged.filter(bad) if rejected else judged.limit(0)
-        bad_rows.write.mode("overwrite").parquet(layout.quarantine(table.name))
-    return Loaded(table.name, int(seen.get["rows"]), time.monotonic() - started, rejected=rejected)
+
+    def write(valid: DataFrame) -> None:
+        write_bronze(with_partition_date(valid, table), layout.bronze(table.name), partitions, replace)
+
+    rebuild = replace == "static"
+    rows, rejected = write_judged(judged, typed, write, layout.quarantine(table.name), always=rebuild)
+    if rebuild:  # all landing files have been judged again
+        delete_folder(spark, layout.quarantine_streaming(table.name))
+        delete_folder(spark, layout.quarantine_reprocessed(table.name))
+    return Loaded(table.name, rows, time.monotonic() - started, rejected=rejected)
 
 
 def ingest_all(
@@ -138,23 +165,28 @@ def ingest_from_config(
 ) -> list[Loaded]:
     """Copy the tables listed in a configuration frame (``tableName``, ``sourcePath``; one row per table).
 
-    ``<landing>/<sourcePath>/*.csv`` becomes snappy Parquet in ``<bronze>/<tableName>/yyyy/MM/dd``.
+    ``<landing>/<sourcePath>/*.csv`` becomes snappy Parquet in ``<bronze>/<tableName>/yyyy/MM/dd``; records of a known
+    table that break its contract go to ``<bronze>/_quarantine/<tableName>/yyyy/MM/dd`` with the reason.
     """
     items = config.select("tableName", "sourcePath").collect()
 
     def job(table: str, source: str) -> Callable[[], Loaded]:
         def copy() -> Loaded:
             started = time.monotonic()
-            reader = spark.read.option("header", True).option("recursiveFileLookup", True).option("escape", '"')
-            reader = reader.option("pathGlobFilter", "*.csv")
-            if table in SOURCES:
-                reader = reader.schema(SOURCES[table].schema).option("multiLine", SOURCES[table].multi_line)
-            target = f"{bronze}/{table}/{day:%Y/%m/%d}"
-            rows = write_counted(
-                reader.csv(f"{landing}/{source}"),
-                lambda df: df.write.mode("overwrite").option("compression", "snappy").parquet(target),
-            )
-            return Loaded(table, rows, time.monotonic() - started)
+            files = {"recursiveFileLookup": True, "pathGlobFilter": "*.csv"}
+            dated = f"{table}/{day:%Y/%m/%d}"
+
+            def write(df: DataFrame) -> None:
+                df.write.mode("overwrite").option("compression", "snappy").parquet(f"{bronze}/{dated}")
+
+            if table not in SOURCES:
+                reader = spark.read.option("header", True).option("escape", '"').options(**files)
+                return Loaded(table, write_counted(reader.csv(f"{landing}/{source}"), write), time.monotonic() - started)
+            known = SOURCES[table]
+            judged, typed = judge_csv(spark, f"{landing}/{source}", table, known.schema, None, known.multi_line, **files)
+            audit = [c for c in judged.columns if c not in {*known.schema.names, CORRUPT, REASON}]
+            rows, rejected = write_judged(judged, typed, lambda df: write(df.drop(*audit)), f"{bronze}/_quarantine/{dated}", always=True)
+            return Loaded(table, rows, time.monotonic() - started, rejected=rejected)
 
         return copy
 

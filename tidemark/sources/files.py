@@ -72,8 +72,24 @@ class Checked:
     rejected: DataFrame
 
 
+def text_fields(schema: StructType) -> StructType:
+    """The contract's columns as text, and the whole record where it has the wrong number of fields."""
+    return StructType([StructField(f.name, StringType(), True) for f in schema.fields]).add(CORRUPT, StringType(), True)
+
+
+def judgement(schema: StructType) -> tuple[Column, dict[str, Column]]:
+    """Why a record read as ``text_fields`` is rejected, null for a valid one; and the typed columns of valid records."""
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    unreadable = [F.col(name).isNotNull() & value.isNull() for name, value in typed.items()]
+    reason = F.when(reduce(or_, unreadable, F.col(CORRUPT).isNotNull()), F.lit("malformed record"))
+    for field in schema.fields:
+        if not field.nullable:
+            reason = reason.when(F.col(field.name).isNull(), F.lit(f"missing {field.name}"))
+    return reason, typed
+
+
 def judge_csv(
-    spark: SparkSession, path: str, table: str, schema: StructType, batch_id: str | None = None, multi_line: bool = False
+    spark: SparkSession, path: str, table: str, schema: StructType, batch_id: str | None = None, multi_line: bool = False, **options: object
 ) -> tuple[DataFrame, dict[str, Column]]:
     """Fields as text with audit columns and ``_reject_reason``; and the typed columns of valid records.
 
@@ -82,15 +98,9 @@ def judge_csv(
     read as text and cast here: the reader itself only parses the columns a query asks for, so what it calls
     malformed would depend on the query.
     """
-    text = StructType([StructField(f.name, StringType(), True) for f in schema.fields]).add(CORRUPT, StringType(), True)
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", multi_line)
-    raw = reader.option("columnNameOfCorruptRecord", CORRUPT).schema(text).csv(path)
-    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
-    unreadable = [F.col(name).isNotNull() & value.isNull() for name, value in typed.items()]
-    reason = F.when(reduce(or_, unreadable, F.col(CORRUPT).isNotNull()), F.lit("malformed record"))
-    for field in schema.fields:
-        if not field.nullable:
-            reason = reason.when(F.col(field.name).isNull(), F.lit(f"missing {field.name}"))
+    raw = reader.option("columnNameOfCorruptRecord", CORRUPT).options(**options).schema(text_fields(schema)).csv(path)
+    reason, typed = judgement(schema)
     return add_audit_columns(raw, f"csv/{table}", batch_id).withColumn(REASON, reason), typed
 
 

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tidemark.schemas import SOURCES
-from tidemark.sources.bronze import write_counted
-from tidemark.sources.buckets import BUCKETS, upsert_buckets
-from tidemark.sources.files import add_audit_columns
+from tidemark.sources.bronze import write_judged
+from tidemark.sources.keyed import BUCKETS, upsert_keyed
+from tidemark.sources.files import CORRUPT, REASON, add_audit_columns, judgement, text_fields
 
 
 def remembered_schema(spark: SparkSession, path: str, store: str) -> StructType:
@@ -32,6 +32,7 @@ def file_stream(
 ) -> DataFrame:
     """CSV arrivals with audit columns; ``max_files`` bounds one micro-batch of a large backlog."""
     reader = spark.readStream.schema(schema).option("header", True).option("escape", '"')
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     reader = reader.option("multiLine", table in SOURCES and SOURCES[table].multi_line)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -46,9 +47,26 @@ def drain_to_bronze(
     checkpoint: str,
     schema: StructType | None = None,
     max_files: int | None = None,
+    quarantine: str | None = None,
 ) -> DataFrame:
-    """Append all new files to ``target``; a repeated call adds nothing.  Returns the table so far."""
+    """Append all new files to ``target``; a repeated call adds nothing.  Returns the table so far.
+
+    With ``quarantine``, records that break the schema go there with the reason, one partition per batch; without
+    it, a field that is no value of its type becomes null.
+    """
     known = schema if schema is not None else remembered_schema(spark, path, f"{checkpoint}/schema")
+    if quarantine is not None:
+        reason, typed = judgement(known)
+
+        def split(batch: DataFrame, batch_id: int) -> None:
+            part = f"_batch={batch_id:08d}"
+            judged = batch.withColumn(REASON, reason)
+            write_judged(judged, typed, lambda df: df.write.mode("overwrite").parquet(f"{target}/{part}"), f"{quarantine}/{part}")
+
+        text = file_stream(spark, path, table, text_fields(known), max_files)
+        writer = text.writeStream.foreachBatch(split).trigger(availableNow=True)
+        writer.option("checkpointLocation", f"{checkpoint}/state").start().awaitTermination()
+        return spark.read.schema(text.drop(CORRUPT).withColumns(typed).schema).parquet(target).drop("_batch")
     stream = file_stream(spark, path, table, known, max_files)
     writer = stream.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
     query = writer.option("checkpointLocation", f"{checkpoint}/state").option("path", target).start()
@@ -68,24 +86,37 @@ def drain_to_silver(
     schema: StructType,
     max_files: int | None = None,
     buckets: int = BUCKETS,
+    quarantine: str | None = None,
+    left_out: Callable[[DataFrame], DataFrame] | None = None,
+    rejected: str | None = None,
 ) -> int:
-    """Bring new files into bronze and upsert their cleaned rows into silver.  Returns the rows read.
+    """Bring new files into bronze and upsert their cleaned rows into silver.  Returns the valid records read.
 
-    A batch that is repeated after a failure replaces its own bronze partition and upserts the same rows, so
-    the result is the same.
+    Records that break the contract go to ``quarantine`` (a folder beside bronze by default) with the reason, one
+    partition per batch; with ``left_out`` and ``rejected``, rows that the cleaned table leaves out are stored too.  A
+    batch that is repeated after a failure replaces its own partitions and upserts the same rows, so the result is the
+    same.
     """
     read = 0
+    refused = quarantine or f"{bronze}_quarantine"
+    reason, typed = judgement(schema)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         nonlocal read
-        folder = f"{bronze}/_batch={batch_id:08d}"
-        read += write_counted(batch, lambda df: df.write.mode("overwrite").parquet(folder))
-        landed = batch.sparkSession.read.schema(batch.schema).parquet(folder)
+        part = f"_batch={batch_id:08d}"
+        folder = f"{bronze}/{part}"
+        judged = batch.withColumn(REASON, reason)
+        rows, _ = write_judged(judged, typed, lambda df: df.write.mode("overwrite").parquet(folder), f"{refused}/{part}")
+        read += rows
+        kept = judged.drop(CORRUPT, REASON).withColumns(typed).schema
+        landed = batch.sparkSession.read.schema(kept).parquet(folder)
+        if left_out is not None and rejected is not None:
+            left_out(landed).write.mode("overwrite").parquet(f"{rejected}/{part}")
         # A key whose newest version is invalid leaves silver, as it does when everything is rebuilt.
         # The transform leaves one row per key; only the buckets of the batch's keys are rewritten.
-        upsert_buckets(transform(landed), silver, key, replaces=landed, buckets=buckets)
+        upsert_keyed(transform(landed), silver, key, replaces=landed, buckets=buckets)
 
-    stream = file_stream(spark, path, table, schema, max_files)
+    stream = file_stream(spark, path, table, text_fields(schema), max_files)
     writer = stream.writeStream.foreachBatch(apply).trigger(availableNow=True)
     writer.option("checkpointLocation", f"{checkpoint}/state").start().awaitTermination()
     return read
