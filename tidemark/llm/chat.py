@@ -116,30 +116,31 @@ def render_turn(role: str, text: str) -> tuple[str, int, int]:
 
 
 def format_turns(conversations: DataFrame) -> DataFrame:
-    """One segment per row: conv_id, turn, role, segment, loss_start, loss_end (empty span: not under the loss)."""
+    """One segment per row: conv_id, turn, role, text, segment, loss_start, loss_end (empty span: not under the loss)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            segment, start, end = [], [], []
+            segment, said, start, end = [], [], [], []
             for role, text in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 made, b, e = render_turn(role or "", text or "")
                 under = (role or "") == LOSS_ROLE
                 segment.append(made)
+                said.append(text or "")
                 start.append(b if under else 0)
                 end.append(e if under else 0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("conv_id"), batch.column("turn"), batch.column("role"), pa.array(segment, pa.string()), pa.array(start), pa.array(end)],
-                names=["conv_id", "turn", "role", "segment", "loss_start", "loss_end"],
+                [batch.column("conv_id"), batch.column("turn"), batch.column("role").fill_null(""), pa.array(said, pa.string()), pa.array(segment, pa.string()), pa.array(start), pa.array(end)],
+                names=["conv_id", "turn", "role", "text", "segment", "loss_start", "loss_end"],
             )
 
     kind = {c: conversations.schema[c].dataType.simpleString() for c in ("conv_id", "turn")}
-    schema = f"conv_id {kind['conv_id']}, turn {kind['turn']}, role string, segment string, loss_start long, loss_end long"
+    schema = f"conv_id {kind['conv_id']}, turn {kind['turn']}, role string, text string, segment string, loss_start long, loss_end long"
     return conversations.select("conv_id", "turn", "role", "text").mapInArrow(run, schema)
 
 
 def whole(segments: DataFrame) -> DataFrame:
     """conv_id, formatted: the text of each conversation in one string (for conversations that fit in one)."""
-    order = F.array_sort(F.collect_list(F.struct("turn", "role", "segment")))
+    order = F.array_sort(F.collect_list(F.struct("turn", "role", "text", "segment")))
     return segments.groupBy("conv_id").agg(F.concat(F.lit(HEAD), F.array_join(F.transform(order, lambda p: p["segment"]), "")).alias("formatted"))
 
 
@@ -176,7 +177,7 @@ def read_back(segments: DataFrame) -> DataFrame:
 
     kind = segments.schema["conv_id"].dataType.simpleString()
     schema = f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    ordered = segments.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "segment")
+    ordered = segments.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return ordered.select("conv_id", "segment", "loss_start", "loss_end").mapInArrow(run, schema)
 
 

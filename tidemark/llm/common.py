@@ -20,6 +20,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the id's decimal digits modulo ``folds``; 0 for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds, F.lit(0))

@@ -1,4 +1,4 @@
-"""Exact duplicates through an extendible-hash index that lies in shared files.
+"""Exact duplicates by grouping on key and bytes; an index in shared files holds the groups of copies.
 
 Texts are equal when they are identical after white space is deleted.  A text's key is a 64-bit hash of what is
 left.
@@ -9,7 +9,7 @@ left.
 2. *Chains.*  All texts are grouped by key and text.  The grouping compares the bytes; different texts with one
    key come out as separate links of that key's chain.  Copies are folded in each task before the shuffle, so a
    group of any size sends one row per task.
-3. *Index.*  A group of copies is an index row (bucket, key, digest, row to keep, size).  The owner task of a
+3. *Index.*  A text that occurs once is in no index row; a group of copies is one (bucket, key, digest, row to keep, size).  The owner task of a
    bucket, that is of one range of keys, sorts its rows and writes them.
 4. *Lookup.*  Each document's narrow entry meets the index on bucket, key and digest.  Both sides come straight
    from a shuffle, so adaptive execution splits a hot key.

@@ -1,10 +1,10 @@
-"""N-gram Jaccard join: a MinHash LSH forest proposes, exact set comparison decides.
+"""N-gram Jaccard join: MinHash bands propose, exact set comparison decides.
 
 1. *Texts.*  Rows with one text are folded to one node (by digest), so copies never meet as pairs.
-2. *Forest.*  Each node's set of five-word shingles gets ``trees`` signatures of MinHash values; a signature is a
-   path in its tree's prefix trie.  Matched prefixes start at ``depth`` values and are shortened one by one until
-   the chance that two sets at the threshold share a prefix in some tree reaches ``recall``.
-3. *Candidates.*  Nodes under one prefix are linked to its smallest node (a star, one edge per node and tree,
+2. *Bands.*  Each node's set of five-word shingles gets ``trees`` signatures of MinHash values.  The length of the
+   prefix that must agree is fixed before the data is read: ``depth`` values, shortened until the chance that two sets
+   at the threshold agree in some signature reaches ``recall``.  No trie is built and no prefix is shortened by the data.
+3. *Candidates.*  Nodes with one prefix are linked to its smallest node (a star, one edge per node and tree,
    never all pairs).  The connected components of these stars are the candidate groups.
 4. *Verification.*  Small groups are gathered in bundles, larger ones cut into blocks of ``BLOCK`` nodes of which
    each two meet in one task.  A task counts the common shingles of its sets with array products and keeps per node
@@ -25,11 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import Words, mixed, pieces
-from tidemark.llm.common import stored
+from tidemark.llm.common import fresh, stored
 from tidemark.llm.components import components
 
 WIDTH, THRESHOLD = 5, 0.8
@@ -121,13 +121,12 @@ def _verified(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": node, "links": linked.sum(1).astype("int64"), "root": root})
 
 
-def links(documents: DataFrame, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> DataFrame:
-    """One row per document: doc_id, class_id, links, copies.
+def _digest(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
-    ``class_id`` is the smallest id of the document's class (documents linked directly or through others),
-    ``links`` the number of different other texts of at least the threshold's similarity, ``copies`` the number of
-    documents with this very text.
-    """
+
+def _classes(documents: DataFrame, trees: int, depth: int, recall: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, same) of every row; (node, same, least_id, copies, component) of every text; (node, links)."""
     depth = matched_depth(THRESHOLD, trees, depth, recall)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -138,7 +137,7 @@ def links(documents: DataFrame, trees: int = TREES, depth: int = DEPTH, recall:
                 yield pd.DataFrame({"doc_id": rows["doc_id"].array, "same": rows["same"].array, "paths": list(paths)})
 
     # A nullable id is carried as text: pandas would turn it into a float.
-    inputs = documents.select(F.col("doc_id").cast("string").alias("doc_id"), F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("same"), "text")
+    inputs = documents.select(F.col("doc_id").cast("string").alias("doc_id"), _digest(F.col("text")).alias("same"), "text")
     signed = stored(
         inputs.mapInPandas(sign, "doc_id string, same binary, paths array<long>").withColumn("doc_id", F.col("doc_id").cast("long")), "join-signatures"
     )
@@ -165,7 +164,7 @@ def links(documents: DataFrame, trees: int = TREES, depth: int = DEPTH, recall:
             F.least("part", "other").alias("bi"), F.greatest("part", "other").alias("bj"),
         )
     )
-    texts = documents.select(F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("same"), "text")
+    texts = documents.select(_digest(F.col("text")).alias("same"), "text")
     wanted = placed.select("same")
     # Copies are folded here, before texts are dealt to their tasks.
     # The same join at every size: a broadcast that only small inputs get would hide what large ones move.
@@ -177,12 +176,32 @@ def links(documents: DataFrame, trees: int = TREES, depth: int = DEPTH, recall:
     counted = verified.groupBy("node").agg(F.sum("links").alias("links"))
     classes = components(verified.where("root != node").select(F.col("node").alias("a"), F.col("root").alias("b")))
     named = nodes.select("node", "same", "least_id", "copies").join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return signed.select("doc_id", "same"), named, counted
+
+
+def links(documents: DataFrame, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> DataFrame:
+    """One row per document: doc_id, class_id, links, copies.
+
+    ``class_id`` is the smallest id of the document's class (documents linked directly or through others),
+    ``links`` the number of different other texts of at least the threshold's similarity, ``copies`` the number of
+    documents with this very text.
+    """
+    rows, named, counted = _classes(documents, trees, depth, recall)
     least = named.groupBy("component").agg(F.min("least_id").alias("class_id"))
     result = named.join(least, "component").join(counted, "node", "left").select("same", "class_id", "copies", F.coalesce("links", F.lit(0).cast("long")).alias("links"))
-    return signed.select("doc_id", "same").join(result, "same").select("doc_id", "class_id", "links", "copies")
+    return rows.join(result, "same").select("doc_id", "class_id", "links", "copies")
 
 
-def keep_one(documents: DataFrame) -> DataFrame:
-    """The rows of ``documents`` that stay: of each class the one with the smallest id, and every row without an id."""
-    gone = links(documents).where("doc_id != class_id").select("doc_id").distinct()
-    return documents.join(gone, "doc_id", "left_anti")
+def keep_one(documents: DataFrame, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> DataFrame:
+    """One row of each class: of the text with the smallest id (a missing id is greater than all), the row with that id.
+
+    Rows are told apart by id and text, so a row that shares its id with one of another class stays or goes with its
+    own text, and of rows that repeat id and text one stays.
+    """
+    _, named, _ = _classes(documents, trees, depth, recall)
+    first = F.min(F.struct(F.col("least_id").isNull(), "least_id", "same")).alias("first")
+    chosen = named.groupBy("component").agg(first).select("first.same")
+    same, nth = fresh(documents, "_same"), fresh(documents, "_nth")
+    held = documents.withColumn(same, _digest(F.col("text"))).join(chosen.withColumnRenamed("same", same), same, "left_semi")
+    of_text = Window.partitionBy(same).orderBy(F.col("doc_id").asc_nulls_last())
+    return held.withColumn(nth, F.row_number().over(of_text)).where(F.col(nth) == 1).select(documents.columns)

@@ -11,7 +11,8 @@ from functools import lru_cache
 
 import numpy as np
 
-CHUNKS, WORDS = 400_000, 600_000
+#: What a worker remembers at most, about 200 bytes each; beyond it the worker starts anew.
+CHUNKS, WORDS = 1_000_000, 1_000_000
 #: Holds no text: line feeds are replaced before texts are split.
 END = "\n"
 #: Punctuation behind a word is a run of its own; the apostrophe is not, it may begin a contraction.
@@ -58,9 +59,11 @@ class ChunkIds(dict):
 
     def _ids(self, chunk: str) -> bytes:
         head = chunk.rstrip(TAIL)
-        if not (head.isalpha() and max(head) < LATIN_END):
+        low = head.lower()
+        # Lower case of another length ends in a mark that would join the punctuation.
+        if not (head.isalpha() and (head.isascii() or (max(head) < LATIN_END and len(low) == len(head)))):
             return self._encoded(chunk)
-        word = self._word(head.lower())
+        word = self._word(low)
         return word if len(head) == len(chunk) else word + self._word(chunk[len(head) :])
 
     def __missing__(self, chunk: str) -> int:

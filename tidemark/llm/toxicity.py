@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded, logistic_fit, stored
+from tidemark.llm.common import bounded, fresh, logistic_fit, stored
 from tidemark.operators.joins import salted_lookup
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -268,8 +268,11 @@ def scored(documents: DataFrame, model: ToxicityModel, column: str = "score", te
     def probability(ratios: pd.Series, words: pd.Series) -> pd.Series:
         return pd.Series(plain.probability(_of_sums(ratios.to_numpy(float), words.to_numpy(float))))
 
-    met = documents.withColumn(TEXT_KEY, _text_key(F.col(text))).join(sums, TEXT_KEY, "left")
-    return met.withColumn(column, probability("ratios", "words")).select(*documents.columns, column)
+    key, ratios, words = (fresh(documents, c) for c in (TEXT_KEY, "_ratios", "_words"))
+    figures_of = sums.select(F.col(TEXT_KEY).alias(key), F.col("ratios").alias(ratios), F.col("words").alias(words))
+    met = documents.withColumn(key, _text_key(F.col(text))).join(figures_of, key, "left")
+    kept = [c for c in documents.columns if c != column]
+    return met.select(*kept, probability(ratios, words).alias(column))
 
 
 def score_column(documents: DataFrame, model: ToxicityModel, text: str = "text") -> Column:
