@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, mixing, near_join, packing, toxicity
-from tidemark.llm.common import fold_of, stored, table
+from tidemark.llm.common import fold_of, fresh, stored, table
 from tidemark.llm.queries import MIXTURE, TOXIC_FROM, domain_of_source, word_tokenizer
 
 #: Every document of the mixture is used once at most: its copies have just been removed.
@@ -20,7 +20,8 @@ MIXTURE_SHARE, MIXTURE_EPOCHS = 0.9, 1
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the class-conditional models reject go; labels of two thirds of the ids teach them."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold_of(F.col("doc_id"), 3) != 1)
-    return toxicity.scored(docs, model, "_toxicity").where(F.col("_toxicity") < TOXIC_FROM).drop("_toxicity")
+    score = fresh(docs, "_toxicity")
+    return toxicity.scored(docs, model, score).where(F.col(score) < TOXIC_FROM).drop(score)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
