@@ -1,17 +1,24 @@
 """Event-time streams, sessions, as-of joins and grouping sets on rows that are hard for them."""
 
+import math
 import random
 from bisect import bisect_right
 from collections import defaultdict
 from contextlib import contextmanager
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.catalog.tables import land_csv
+from tidemark.functions.documents import typed_fields
 from tidemark.operators import grouping
 from tidemark.operators.asof import asof_join
+from tidemark.operators.changes import apply_to_history, table_changes
+from tidemark.operators.frames import moving_sum
+from tidemark.operators.intervals import interval_join
+from tidemark.operators.quantiles import exact_quantiles, ntile
 from tidemark.operators.sessions import sessions
 from tidemark.streaming import event_time
 
@@ -213,3 +220,116 @@ def test_pivot(spark):
     df = spark.createDataFrame(SALES, "a string, b string, who int, amount int")
     found = {r["a"]: (r["x"], r["none"]) for r in grouping.pivot(df, ["a"], "b", {"x": "x", "none": None}, F.col("amount")).collect()}
     assert found == {"a": (45, 0), "b": (3, 6), None: (12, 12)}
+
+
+# Intervals
+
+
+def test_intervals_meet_once(spark):
+    rng = random.Random(9)
+
+    def side(n, long):
+        starts = [rng.randrange(-500, 3000) for _ in range(n)]
+        return [(i, s, s + (rng.randrange(long) if i % 7 else rng.randrange(2000))) for i, s in enumerate(starts)]
+
+    a = [*side(150, 20), (900, 5, 4), (901, None, 3), (902, 3, None), (903, 64, 64), (903, 64, 64), (904, -8, -1), (905, 0, 1023)]
+    b = [*side(120, 60), (900, 64, 64), (901, 63, 63), (902, 65, 70), (903, -100_000, 100_000), (904, None, None)]
+    left, right = spark.createDataFrame(a, "i int, s long, e long"), spark.createDataFrame(b, "j int, f long, t long")
+    found = sorted((r["i"], r["j"]) for r in interval_join(left, right, ("s", "e"), ("f", "t")).collect())
+    known = [(i, s, e) for i, s, e in a if s is not None and e is not None and s <= e]
+    assert found == sorted((i, j) for i, s, e in known for j, f, t in b if f is not None and t is not None and s <= t and f <= e)
+    text = plan_of(interval_join(left, right, ("s", "e"), ("f", "t")))
+    assert "NestedLoop" not in text and "CartesianProduct" not in text
+    assert interval_join(left.limit(0), right, ("s", "e"), ("f", "t")).count() == 0
+
+
+# Quantiles
+
+
+@pytest.mark.parametrize("bins", [2, 7, 4096])
+def test_quantiles_are_exact(spark, bins):
+    rng = random.Random(bins)
+    values = [rng.randrange(-(10**6), 10**6) for _ in range(300)] + [77] * 250 + [2**62, -(2**62)]
+    if bins == 2:
+        values = values[:-2]
+    shares = ["0", "0.001", "0.333", "0.5", "0.5", "0.75", "0.999", "1"]
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v long")
+    ordered = sorted(values)
+    expected = [ordered[max(math.ceil(Decimal(q) * len(values)), 1) - 1] for q in shares]
+    assert exact_quantiles(df, "v", shares, bins) == expected
+    assert exact_quantiles(df.where("v IS NULL"), "v", shares) == [None] * 8
+    assert exact_quantiles(df.where("v = 77"), "v", ["0", "1"]) == [77, 77]
+
+
+@pytest.mark.parametrize(("n", "groups"), [(10, 4), (3, 5), (40, 8), (1, 1)])
+def test_ntile_sizes(spark, n, groups):
+    found = ntile(spark.range(n).select((F.col("id") * 7 % n).alias("k")), ["k"], groups).orderBy("k").collect()
+    expected = [i for i in range(1, groups + 1) for _ in range(n // groups + (i <= n % groups))]
+    assert [r["ntile"] for r in found] == expected
+
+
+# Calendar frames
+
+
+@pytest.mark.parametrize("stretch", [7, 16, 128])
+def test_moving_sums_reach_over_stretches(spark, stretch):
+    rng = random.Random(stretch)
+    rows = [(rng.choice(["hot", "hot", "b"]), (DAY + timedelta(days=rng.randrange(-40, 60))).date(), rng.randrange(9)) for _ in range(150)] + [("b", None, 5)]
+    df = spark.createDataFrame(rows, "k string, day date, v int")
+    found = sorted(map(repr, (tuple(r) for r in moving_sum(df, "k", "day", "v", 7, "s", stretch).collect())))
+    assert found == sorted(repr((k, d, v, None if d is None else sum(w for j, e, w in rows if j == k and e is not None and d - timedelta(days=6) <= e <= d))) for k, d, v in rows)
+    with pytest.raises(ValueError, match="stretch"):
+        moving_sum(df, "k", "day", "v", 8, "s", 7)
+
+
+# Changes
+
+
+def test_changes_of_a_multiset(spark):
+    before = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), ("c", 3), ("d", None), (None, 1)], "k string, v int")
+    after = spark.createDataFrame([("a", 1), ("b", 20), ("e", 5), ("e", 5), ("d", None), (None, 2)], "k string, v int")
+    found = {tuple(r) for r in table_changes(before, after, "k").collect()}
+    assert found == {
+        ("a", 1, -1, "updated"), ("b", 2, -1, "updated"), ("b", 20, 1, "updated"), ("c", 3, -1, "deleted"), ("e", 5, 2, "inserted"),
+        (None, 1, -1, "updated"), (None, 2, 1, "updated"),
+    }
+    assert table_changes(before, before, "k").count() == 0
+
+
+def test_history_takes_late_changes_between(spark, tmp_path):
+    path = str(tmp_path / "history")
+    day = {i: (DAY + timedelta(days=i)).date() for i in range(10)}
+
+    def batch(*rows):
+        df = spark.createDataFrame([(k, day.get(d), v) for k, d, v in rows], "k string, at date, v string")
+        return sorted(map(repr, (tuple(r) for r in apply_to_history(df, path, "k", "at", ["v"], buckets=4).collect())))
+
+    def versions(*rows):
+        return sorted(repr((k, day[a], day.get(b), v)) for k, a, b, v in rows)
+
+    assert batch(("a", 1, "x"), ("a", 5, "x"), ("b", 2, "x"), (None, 1, "x"), ("c", 99, "x")) == versions(("a", 1, None, "x"), ("b", 2, None, "x"))
+    late = [("a", 3, "y"), ("b", 1, None)]
+    expected = versions(("a", 1, 3, "x"), ("a", 3, 5, "y"), ("a", 5, None, "x"), ("b", 1, 2, None), ("b", 2, None, "x"))
+    assert batch(*late) == expected and batch(*late) == expected
+    # A correction of a day, and of two contents of one day the greater.
+    assert batch(("a", 3, "x"), ("b", 4, "m"), ("b", 4, "n")) == versions(("a", 1, None, "x"), ("b", 1, 2, None), ("b", 2, 4, "x"), ("b", 4, None, "n"))
+
+
+# Documents and sketches
+
+
+def test_fields_of_documents(spark):
+    texts = ['{"k": 1, "s": "a"}', '{"k": "x", "s": "b"}', "{", None, "[1]", '{"k": 2}', '{"k": 1.5, "s": "c"}']
+    found = typed_fields(spark.createDataFrame([(t,) for t in texts], "props string"), "props", {"k": "bigint", "s": "string"}).collect()
+    assert [(r["k"], r["s"]) for r in found][:6] == [(1, "a"), (None, "b"), (None, None), (None, None), (None, None), (2, None)]
+    assert [r["fault"] for r in found][:6] == [None, "k is no number", "no document", None, "k is no number", "s is missing"]
+    assert [r["bad_props"] for r in found][:3] == [None, texts[1], texts[2]]
+
+
+@pytest.mark.parametrize("n", [50, 3000, 60_000])
+def test_merged_sketches_stay_within_their_error(spark, n):
+    rows = spark.range(n * 2).select((F.col("id") % n).alias("user"), (F.col("id") % 24).alias("hour"))
+    hours = rows.groupBy("hour").agg(F.hll_sketch_agg("user", F.lit(12)).alias("s"))
+    merged = hours.agg(F.hll_sketch_estimate(F.hll_union_agg("s"))).head()[0]
+    whole = rows.agg(F.hll_sketch_estimate(F.hll_sketch_agg("user", F.lit(12)))).head()[0]
+    assert abs(merged - n) <= math.ceil(0.05 * n) and abs(merged - whole) <= math.ceil(0.02 * n)

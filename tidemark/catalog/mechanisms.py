@@ -1,17 +1,23 @@
-"""Queries of event-time streams, sessions, as-of joins and grouping sets."""
+"""Queries of event-time streams, sessions, as-of and interval joins, grouping sets, quantiles, versions and sketches."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query
 from tidemark.catalog.sql_views import pct
 from tidemark.catalog.tables import Tables, land_csv
+from tidemark.functions.documents import typed_fields
 from tidemark.functions.numbers import percent
 from tidemark.operators import grouping
 from tidemark.operators.asof import asof_join
+from tidemark.operators.changes import apply_to_history, table_changes
+from tidemark.operators.frames import moving_sum
+from tidemark.operators.intervals import interval_join
+from tidemark.operators.quantiles import exact_quantiles, ntile
 from tidemark.operators.sessions import sessions
+from tidemark.sources.scratch import materialise
 from tidemark.streaming import event_time
 
 # Streams with event time
@@ -185,3 +191,150 @@ _PIVOTED = {"delivered": "F", "open": "O", "partial": "P"}
 def sales_pivot(t: Tables) -> DataFrame:
     wide = grouping.pivot(_sales(t), _SALES_KEYS[:2], "o_orderstatus", _PIVOTED, F.col("price"))
     return wide.withColumns({n: F.col(n).cast("decimal(22,2)") for n in _PIVOTED})
+
+
+# Interval join
+
+
+@query(
+    "join_interval",
+    """WITH stops AS (
+        SELECT s_suppkey, date_diff('day', DATE '1970-01-01', date '1992-01-01' + CAST((s_suppkey * 53) % 2400 AS INT)) AS stop_from,
+          CASE WHEN s_suppkey % 25 = 0 THEN 300 ELSE s_suppkey % 4 END AS days FROM supplier
+    ), open AS (SELECT o_orderkey, date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS ordered, o_orderkey % 3 AS days FROM orders)
+    SELECT o_orderkey, ordered, ordered + open.days AS shipped, s_suppkey, stop_from, stop_from + stops.days AS stop_to
+    FROM open JOIN stops ON ordered <= stop_from + stops.days AND stop_from <= ordered + open.days""",
+)
+def join_interval(t: Tables) -> DataFrame:
+    """Orders that were open while a supplier stood still; most stops last days, some most of a year."""
+    epoch, key = F.lit("1970-01-01").cast("date"), F.col("s_suppkey")
+    start = F.datediff(F.date_add(F.lit("1992-01-01").cast("date"), ((key * 53) % 2400).cast("int")), epoch)
+    length = F.when(key % 25 == 0, 300).otherwise(key % 4)
+    stops = t.given("supplier").select("s_suppkey", start.alias("stop_from"), (start + length).alias("stop_to"))
+    ordered = F.datediff(F.to_date("o_orderdate"), epoch)
+    orders = t.given("orders").select("o_orderkey", ordered.alias("ordered"), (ordered + F.col("o_orderkey") % 3).alias("shipped"))
+    return interval_join(orders, stops, ("ordered", "shipped"), ("stop_from", "stop_to"))
+
+
+# Quantiles
+
+_SHARES = ("0", "0.01", "0.25", "0.5", "0.9", "0.99", "1")
+
+
+@query(
+    "revenue_percentiles",
+    f"""WITH p AS (SELECT CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders),
+    r AS (SELECT cents, row_number() OVER (ORDER BY cents) AS pos, count(*) OVER () AS n FROM p)
+    SELECT share, cents FROM r JOIN (VALUES {', '.join(f"('{s}', CAST({s} AS DECIMAL(4,2)))" for s in _SHARES)}) q(share, f) ON pos = greatest(CAST(ceil(f * n) AS BIGINT), 1)""",
+)
+def revenue_percentiles(t: Tables) -> DataFrame:
+    cents = t.given("orders").select(F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    found = exact_quantiles(materialise(cents, "cents")[0], "cents", _SHARES)
+    return t.spark.createDataFrame(list(zip(_SHARES, found, strict=True)), "share STRING, cents BIGINT")
+
+
+@query(
+    "customer_ntile",
+    """SELECT o_custkey, spent, ntile(10) OVER (ORDER BY spent, o_custkey) AS decile
+    FROM (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS spent FROM orders GROUP BY o_custkey) s""",
+)
+def customer_ntile(t: Tables) -> DataFrame:
+    spent = F.sum(F.col("o_totalprice").cast("decimal(12,2)")).cast("decimal(22,2)").alias("spent")
+    return ntile(t.given("orders").groupBy("o_custkey").agg(spent), ["spent", "o_custkey"], 10, "decile")
+
+
+# Calendar frames
+
+
+@query(
+    "product_ma7_calendar",
+    """WITH sold AS (SELECT l_partkey, CAST(l_shipdate AS DATE) AS day, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS units FROM lineitem GROUP BY ALL)
+    SELECT l_partkey, day, units, CAST(sum(units) OVER (PARTITION BY l_partkey ORDER BY day RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) AS BIGINT) AS units_7d,
+      CAST(round(CAST(sum(units) OVER (PARTITION BY l_partkey ORDER BY day RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) AS DOUBLE) / 7, 6) AS DOUBLE) AS average_7d FROM sold""",
+)
+def product_ma7_calendar(t: Tables) -> DataFrame:
+    """Units of the last seven calendar days; a day without a sale counts as zero."""
+    sold = t.given("lineitem").groupBy("l_partkey", F.to_date("l_shipdate").alias("day")).agg(F.sum(F.col("l_quantity").cast("long")).alias("units"))
+    summed = moving_sum(sold, "l_partkey", "day", "units", 7, "units_7d")
+    return summed.withColumn("average_7d", F.round(F.col("units_7d").cast("double") / 7, 6))
+
+
+# Changes and versions
+
+
+@query(
+    "table_changes",
+    """WITH a AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 9 = 0),
+    b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 8 = 1 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 5 <> 0
+          UNION ALL SELECT -o_orderkey, 'N', o_totalprice FROM orders WHERE o_orderkey % 11 = 0),
+    d AS (SELECT o_orderkey, o_orderstatus, o_totalprice, -count(*) AS copies FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) x GROUP BY ALL
+          UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice, count(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) y GROUP BY ALL)
+    SELECT *, CASE WHEN o_orderkey NOT IN (SELECT o_orderkey FROM a) THEN 'inserted' WHEN o_orderkey NOT IN (SELECT o_orderkey FROM b) THEN 'deleted' ELSE 'updated' END AS change FROM d""",
+)
+def changes_of_orders(t: Tables) -> DataFrame:
+    """Some orders occur twice in the old state; in the new one some are changed, some gone and some are new."""
+    orders, key = t.given("orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), F.col("o_orderkey")
+    before = orders.unionByName(orders.where(key % 9 == 0))
+    kept = orders.where(key % 5 != 0).withColumn("o_orderstatus", F.when(key % 8 == 1, "X").otherwise(F.col("o_orderstatus")))
+    added = orders.where(key % 11 == 0).withColumns({"o_orderkey": -key, "o_orderstatus": F.lit("N")})
+    return table_changes(before, kept.unionByName(added), "o_orderkey")
+
+
+@query(
+    "dim_customer_history",
+    """WITH c AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS valid_from, max(o_orderpriority) AS priority FROM orders GROUP BY 1, 2),
+    told AS (SELECT * FROM (SELECT *, lag(priority) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS prior FROM c) x WHERE prior IS NULL OR prior <> priority)
+    SELECT o_custkey, valid_from, lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS valid_to, priority FROM told""",
+)
+def dim_customer_history(t: Tables) -> DataFrame:
+    """A customer's priority over time, from three batches whose changes lie between each other."""
+    path, day = t.scratch("history"), F.to_date("o_orderdate").alias("changed")
+    changes = t.given("orders").select("o_custkey", day, F.col("o_orderpriority").alias("priority"))
+    # Changes of one customer and day travel together: what a batch corrects is not what this query shows.
+    batch = F.pmod(F.xxhash64("o_custkey", "changed"), F.lit(3))
+    for k in (2, 0, 1):
+        versions = apply_to_history(changes.where(batch == k), path, "o_custkey", "changed", ["priority"])
+    return versions
+
+
+# Sketches and semi-structured fields
+
+#: Sketches have 2 ** 12 registers: a relative error of about 1.6 %, three times which is allowed for here.
+_REGISTERS, _ERROR = 12, 0.05
+
+
+@query(
+    "sketch_unique_users",
+    """SELECT CAST(ts AS DATE) AS day, count(DISTINCT user_id) AS users, true AS is_close, true AS same_from_hours FROM events GROUP BY 1
+    UNION ALL SELECT NULL, count(DISTINCT user_id), true, true FROM events""",
+)
+def sketch_unique_users(t: Tables) -> DataFrame:
+    """One sketch per hour, merged to days and to all; next to the exact numbers and to sketches built in one go."""
+    events = t.given("events").select(F.col("ts").cast("timestamp").alias("ts"), "user_id")
+    day = F.to_date("ts").alias("day")
+    hours, _ = materialise(events.groupBy(day, F.hour("ts").alias("hour")).agg(F.hll_sketch_agg("user_id", F.lit(_REGISTERS)).alias("sketch")), "sketches")
+    pairs = events.select(day, "user_id").distinct()
+
+    def level(key: Column, merged: DataFrame, exact: DataFrame) -> DataFrame:
+        estimate, users = F.hll_sketch_estimate(F.hll_union_agg("sketch")), F.count("user_id").alias("users")
+        direct = F.hll_sketch_estimate(F.hll_sketch_agg("user_id", F.lit(_REGISTERS))).alias("direct")
+        estimated = merged.groupBy(key.alias("level")).agg(estimate.alias("estimate"))
+        both = estimated.join(exact.groupBy(key.alias("level")).agg(users, direct), "level")
+        close = F.abs(F.col("estimate") - F.col("users")) <= F.ceil(F.col("users") * _ERROR)
+        return both.select(F.col("level").try_cast("date").alias("day"), "users", close.alias("is_close"), (F.col("estimate") == F.col("direct")).alias("same_from_hours"))
+
+    return level(F.col("day").cast("string"), hours, pairs).unionByName(level(F.lit("all"), hours, events.select("user_id").distinct()))
+
+
+@query(
+    "event_props",
+    """WITH e AS (SELECT event_id, event_type, CASE WHEN event_id % 17 = 0 THEN substr(props, 1, 4) WHEN event_id % 19 = 0 THEN '{"k": "many"}' ELSE props END AS props FROM events)
+    SELECT event_id, event_type, CASE WHEN json_valid(props) THEN TRY_CAST(props::JSON ->> 'k' AS BIGINT) END AS k,
+      CASE WHEN NOT json_valid(props) THEN 'no document' WHEN TRY_CAST(props::JSON ->> 'k' AS BIGINT) IS NULL THEN 'k is no number' END AS fault,
+      CASE WHEN NOT json_valid(props) OR TRY_CAST(props::JSON ->> 'k' AS BIGINT) IS NULL THEN props END AS bad_props FROM e""",
+)
+def event_props(t: Tables) -> DataFrame:
+    """Typed fields of the events' documents; text that is none, or holds another type, is kept apart with the reason."""
+    number, props = F.col("event_id"), F.col("props")
+    damaged = F.when(number % 17 == 0, F.substring(props, 1, 4)).when(number % 19 == 0, F.lit('{"k": "many"}')).otherwise(props)
+    return typed_fields(t.given("events").withColumn("props", damaged), "props", {"k": "bigint"}).select("event_id", "event_type", "k", "fault", "bad_props")
