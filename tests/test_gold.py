@@ -203,3 +203,10 @@ def test_repeated_order_versions_multiply_item_figures(stg):
     products = by(marts.mart_product_performance(stg["products"], orders, stg["items"]), "product_id")
     assert (products["P2"]["units_sold"], products["P2"]["order_count"]) == (2, 1)
     assert products["P2"]["total_revenue"] == Decimal("179.98") and products["P2"]["avg_selling_price"] == pytest.approx(99.99)
+
+
+def test_tiers_need_the_orders_alone(spark, raw_customers, raw_orders, raw_items, raw_products, raw_reviews):
+    customers, orders = silver.customers(raw_customers), silver.orders(raw_orders)
+    whole = gold.customer_360(customers, orders, silver.order_items(raw_items), silver.products(raw_products), silver.reviews(raw_reviews), "2024-02-10")
+    tiers = gold.customer_tiers(customers, orders, "2024-02-10")
+    assert sorted(map(tuple, tiers.collect())) == sorted(map(tuple, whole.select("customer_id", "customer_tier").collect()))

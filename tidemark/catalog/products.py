@@ -174,7 +174,7 @@ def _spine(t: Tables) -> DataFrame:
 
 
 def _dim_customer(t: Tables) -> DataFrame:
-    return star.dim_customer(t.silver("customers"), _customer_360(t))
+    return star.dim_customer(t.silver("customers"), gold.customer_tiers(t.silver("customers"), t.silver("orders"), AS_OF))
 
 
 def _dim_product(t: Tables) -> DataFrame:

@@ -189,8 +189,11 @@ def customer_360(
     )
     # The estimate is null for a customer without orders, so it is taken before the spend is filled.
     profile = profile.withColumn("lifetime_value_estimate", lifetime_value(F.col("total_spend")))
-    profile = profile.fillna(0, subset=["total_orders", "total_spend", "total_reviews"])
-    profile = profile.withColumns(
+    return _stamped(_with_tier(profile.fillna(0, subset=["total_orders", "total_spend", "total_reviews"])), stamp)
+
+
+def _with_tier(profile: DataFrame) -> DataFrame:
+    scored = profile.withColumns(
         {
             "rfm_recency_score": recency_score(F.col("days_since_last_order")),
             "rfm_frequency_score": frequency_score(F.col("total_orders")),
@@ -198,7 +201,13 @@ def customer_360(
         }
     )
     tier = rfm_tier(F.col("rfm_recency_score"), F.col("rfm_frequency_score"), F.col("rfm_monetary_score"))
-    return _stamped(profile.withColumn("customer_tier", tier), stamp)
+    return scored.withColumn("customer_tier", tier)
+
+
+def customer_tiers(customers: DataFrame, orders: DataFrame, as_of: date | str) -> DataFrame:
+    """customer_id and customer_tier of the profile, from the orders alone."""
+    profile = customers.select("customer_id").join(order_metrics(orders, as_of), "customer_id", "left")
+    return _with_tier(profile.fillna(0, subset=["total_orders", "total_spend"])).select("customer_id", "customer_tier")
 
 
 def customer_tier_simple(
