@@ -233,3 +233,25 @@ def test_scratch_scope_deletes_what_was_made_inside(spark):
         path = table.inputFiles()[0].removeprefix("file://")
         assert os.path.exists(path)
     assert not os.path.exists(path)
+
+
+def test_a_users_setting_comes_back_after_writes_of_several_threads(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    from time import sleep
+
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+
+    def write(seconds):
+        with bronze._setting(spark, name, "false"):
+            sleep(seconds)
+            return spark.conf.get(name)
+
+    try:
+        for own in ("true", "false"):
+            spark.conf.set(name, own)
+            with ThreadPoolExecutor(4) as pool:
+                assert set(pool.map(write, [0.2, 0.05, 0.1, 0.0])) == {"false"}
+            assert spark.conf.get(name) == own and not bronze._settings_held
+    finally:
+        spark.conf.set(name, before)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import threading
 import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -62,15 +63,30 @@ def write_bronze(df: DataFrame, path: str, partition_by: Sequence[str] = (), rep
         writer.partitionBy(*partition_by).parquet(path)
 
 
+_settings_lock = threading.Lock()
+_settings_held: dict[str, tuple[int, str | None]] = {}
+
+
 @contextmanager
 def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    """A session setting for the time of one write; a job of another thread meanwhile has more, smaller tasks at worst."""
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
+    """A session setting while any thread writes: the first one in sets it, the last one out puts back what was there."""
+    with _settings_lock:
+        inside, before = _settings_held.get(name, (0, None))
+        if not inside:
+            before = spark.conf.get(name, None)
+            spark.conf.set(name, value)
+        _settings_held[name] = (inside + 1, before)
     try:
         yield
     finally:
-        spark.conf.unset(name) if before is None or before == value else spark.conf.set(name, before)
+        with _settings_lock:
+            inside, before = _settings_held.pop(name)
+            if inside > 1:
+                _settings_held[name] = (inside - 1, before)
+            elif before is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, before)
 
 
 def write_bronze_date(df: DataFrame, path: str, day: str) -> None:
