@@ -210,3 +210,8 @@ def test_tiers_need_the_orders_alone(spark, raw_customers, raw_orders, raw_items
     whole = gold.customer_360(customers, orders, silver.order_items(raw_items), silver.products(raw_products), silver.reviews(raw_reviews), "2024-02-10")
     tiers = gold.customer_tiers(customers, orders, "2024-02-10")
     assert sorted(map(tuple, tiers.collect())) == sorted(map(tuple, whole.select("customer_id", "customer_tier").collect()))
+
+
+def test_distinct_counts_copy_no_row(spark, s, raw_orders):
+    for df in (gold.hourly_traffic(s["clickstream"]), marts.mart_daily_sales(staging.stg_orders(raw_orders))):
+        assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()

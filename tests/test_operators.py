@@ -121,6 +121,21 @@ def test_dense_numbers_of_nothing(spark):
     assert dense_numbers(df, ["k"], "n").count() == 0
 
 
+def test_numbered_rows_keep_their_columns_and_pass_one_range_shuffle(spark):
+    df = spark.range(200).select((F.lit(199) - F.col("id")).alias("k"), (F.col("id") % 3).alias("v"))
+    numbered = dense_numbers(df, ["k"], "n", after=10)
+    assert numbered.columns == ["n", "k", "v"]
+    assert {(r["n"], r["k"], r["v"]) for r in numbered.collect()} == {(k + 11, k, (199 - k) % 3) for k in range(200)}
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning(k" not in plan
+
+
+def test_beside_matches_null_keys(spark):
+    left = spark.createDataFrame([(None, 1, 5), (1, None, 6), (2, 2, 7)], "a INT, b INT, x INT")
+    right = spark.createDataFrame([(None, 1, 8), (1, None, 9)], "a INT, b INT, y INT")
+    assert {(r["x"], r["y"]) for r in joins.beside(left, right, ["a", "b"]).collect()} == {(5, 8), (6, 9), (7, None)}
+
+
 def test_running_figures_are_over_rows_present(spark):
     days = [("2024-12-30", 1), ("2024-12-31", 2), ("2025-01-05", 4)]
     df = spark.createDataFrame(days, "d STRING, v INT").select(F.to_date("d").alias("d"), "v").withColumn("y", F.year("d"))

@@ -121,6 +121,46 @@ def test_incremental_after_full_reads_new_files_only(spark, layout, raw_orders):
     assert counts(spark, layout) == EXPECTED | {"orders": 5}  # its newest version is invalid
 
 
+def star_keys(spark, layout, table, natural, surrogate):
+    return {r[natural]: r[surrogate] for r in snapshot.read_snapshot(spark, layout.star(table)).collect()}
+
+
+def test_star_schema_keeps_its_keys_and_marts_count_every_version_once(spark, layout, raw_customers, raw_orders):
+    land_csv(raw_customers.filter("customer_id <> 'C1'").select(*SOURCES["customers"].schema.names), layout.landing("customers"), mode="overwrite")
+    run = MedallionRun(spark, layout, AS_OF, "r1", reporting=True)
+    run.run()
+    assert [s.table_name for s in run.steps if s.step == "star_facts"] == ["fact_orders", "fact_order_items"]
+    assert {s.status for s in run.steps} == {"success"} and len([s for s in run.steps if s.step == "marts"]) == 3
+    first = star_keys(spark, layout, "dim_customer", "customer_id", "customer_key")
+    assert "C1" not in first and first[None] == -1
+    orders = star_keys(spark, layout, "fact_orders", "order_id", "order_key")
+    land_csv(raw_customers.filter("customer_id = 'C1'").select(*SOURCES["customers"].schema.names), layout.landing("customers"), mode="append")
+    more = raw_orders.filter("order_id = 'O5'").withColumns({"order_id": F.lit("A0"), "customer_id": F.lit("C1"), "shipping_address": F.lit("x")})
+    land_csv(more, layout.landing("orders"), mode="append")
+    MedallionRun(spark, layout, AS_OF, "r2", reporting=True).run("incremental")
+    assert star_keys(spark, layout, "dim_customer", "customer_id", "customer_key") == first | {"C1": max(first.values()) + 1}
+    assert star_keys(spark, layout, "fact_orders", "order_id", "order_key") == orders | {"A0": max(orders.values()) + 1}
+    before = {r["sale_date"]: r for r in snapshot.read_snapshot(spark, layout.mart("mart_daily_sales")).collect()}
+    day = more.select(F.to_date("order_date").alias("d")).head()["d"]
+    # The day's rows that came as a new file are replaced with it; rebuilding takes in all files at once.
+    for run_id, mode in (("r3", "reprocess"), ("r4", "full")):
+        MedallionRun(spark, layout, AS_OF, run_id, reporting=True).run(mode, day if mode == "reprocess" else None)
+        after = {r["sale_date"]: r for r in snapshot.read_snapshot(spark, layout.mart("mart_daily_sales")).collect()}
+        assert after.keys() == before.keys()
+        assert all(after[d]["gross_revenue"] == before[d]["gross_revenue"] and after[d]["total_orders"] == before[d]["total_orders"] for d in after)
+        assert star_keys(spark, layout, "fact_orders", "order_id", "order_key")["A0"] == max(orders.values()) + 1
+
+
+def test_failed_order_fact_stops_the_item_fact(spark, layout, monkeypatch):
+    def broken(*rest, **options):
+        raise RuntimeError("no orders")
+
+    monkeypatch.setattr("tidemark.plans.run.star.fact_orders", broken)
+    run = MedallionRun(spark, layout, AS_OF, "r1", reporting=True, fail_on_error=False)
+    run.run()
+    assert [(s.table_name, s.error_message) for s in run.steps if s.status == "failed"] == [("fact_orders", "no orders"), ("fact_order_items", "fact_orders failed")]
+
+
 TEST_TABLES = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 

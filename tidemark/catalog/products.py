@@ -139,7 +139,8 @@ def gold_product_performance_all(t: Tables) -> DataFrame:
 
 @query("gold_hourly_traffic", "SELECT * FROM gold_hourly_traffic")
 def gold_hourly_traffic(t: Tables) -> DataFrame:
-    return gold.hourly_traffic(t.silver("clickstream"))
+    used = ("event_id", "session_id", "customer_id", "event_type", "event_date", "event_hour", "device_type", "is_conversion")
+    return gold.hourly_traffic(t.stored("clickstream", *used))
 
 
 # Marts

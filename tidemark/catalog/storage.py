@@ -431,6 +431,58 @@ def run_reprocess_empty(t: Tables) -> DataFrame:
     return _run_digests(t, layout)
 
 
+# Star schema and marts of a run
+
+_REPORTING = {
+    "dim_date": ("full_date", {"date_key": "", "quarter": "", "month_name": "", "week": "", "day_of_week": "", "is_weekend": "", "fiscal_year": ""}),
+    "dim_customer": ("customer_id", {"customer_key": "", "full_name": "", "segment": "", "customer_tier": "", "is_active": ""}),
+    "dim_product": ("product_id", {"product_key": "", "product_name": "", "category": "", "price": "DECIMAL(12,2)", "is_active": ""}),
+    "fact_orders": ("order_id", {"order_key": "", "customer_key": "", "order_date_key": "", "status": "", "net_amount": "DECIMAL(13,2)"}),
+    "fact_order_items": ("item_id", {"item_key": "", "order_key": "", "product_key": "", "quantity": "", "line_total": ""}),
+    "mart_daily_sales": ("sale_date", {"total_orders": "", "unique_customers": "", "gross_revenue": "DECIMAL(22,2)", "ytd_revenue": "DECIMAL(22,2)", "month_revenue_rank": ""}),
+    "mart_customer_360": ("customer_id", {"total_orders": "", "total_spend": "DECIMAL(22,2)", "unique_products": "", "customer_tier": ""}),
+    "mart_product_performance": ("product_id", {"total_revenue": "DECIMAL(22,2)", "units_sold": "", "order_count": "", "overall_revenue_rank": ""}),
+}
+_FIRST_CUSTOMERS, _FIRST_ORDERS = "right(customer_id, 1) <> '3'", "right(order_id, 1) <> '7'"
+
+
+def _kept_numbers(view: str, key: str, first: str) -> str:
+    """The view with numbers that the first arrival got, and numbers behind them for the second."""
+    plain = f"row_number() OVER (ORDER BY {key})"
+    first = first.replace(key.split(".")[-1], key)
+    number = f"row_number() OVER (PARTITION BY {first} ORDER BY {key}) + CASE WHEN {first} THEN 0 ELSE count(*) FILTER ({first}) OVER () END"
+    return VIEWS[view].replace(plain, number)
+
+
+_SECOND_LOAD = _LANDED | {
+    "date_spine": VIEWS["date_spine"].replace("o_orderdate", "order_date").replace("FROM orders)", "FROM silver_orders)"),
+    "dim_customer": _kept_numbers("dim_customer", "customer_id", _FIRST_CUSTOMERS),
+    "keyed_customers": _kept_numbers("keyed_customers", "customer_id", _FIRST_CUSTOMERS),
+    "fact_orders": _kept_numbers("fact_orders", "o.order_id", _FIRST_ORDERS),
+}
+
+
+@query("run_reporting", _digests_sql([_digest(n, *c, n) for n, c in _REPORTING.items()]), _SECOND_LOAD)
+def run_reporting(t: Tables) -> DataFrame:
+    """Star schema and marts over two arrivals: keys of the full run before stay, facts meet what has arrived since.
+
+    The last day is reprocessed after its orders came as new files, so its streamed rows must not count twice.
+    """
+    layout = _land_all(t)
+    firsts = {"customers": F.expr(_FIRST_CUSTOMERS), "orders": F.expr(_FIRST_ORDERS)}
+    options = {"reporting": True, "fiscal_start_month": 7}
+    for name, first in firsts.items():
+        land_csv(t.contract(name).filter(first), layout.landing(name), mode="overwrite")
+    MedallionRun(t.spark, layout, AS_OF, "run-1", **options).run("full")
+    for name, first in firsts.items():
+        land_csv(t.contract(name).filter(~first), layout.landing(name), mode="append")
+    MedallionRun(t.spark, layout, AS_OF, "run-2").run("incremental")
+    last_day = t.contract("orders").agg(F.max(F.to_date("order_date"))).head()[0]
+    MedallionRun(t.spark, layout, AS_OF, "run-3", **options).run("reprocess", batch_date=last_day)
+    frames = {n: snapshot.read_snapshot(t.spark, (layout.mart if n.startswith("mart_") else layout.star)(n)) for n in _REPORTING}
+    return _digests(frames, _REPORTING)
+
+
 # Bad records
 
 _ALL_DAMAGED = _DAMAGED.replace("raw_orders", f"({VIEWS['raw_orders']}) r")

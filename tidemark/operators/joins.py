@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SALT = "_salt"
@@ -34,6 +35,13 @@ def salted_lookup(
     return salted_facts.join(offered, [key, _SALT], how).drop(_SALT)
 
 
+def beside(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The columns of ``right`` (one row per key) beside the rows of ``left``; null keys are equal."""
+    own = right.select(*[F.col(c).alias(f"_b_{c}") for c in keys], *[c for c in right.columns if c not in keys])
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in keys])
+    return left.join(own, same, "left").drop(*[f"_b_{c}" for c in keys])
+
+
 def distinct_keys(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 

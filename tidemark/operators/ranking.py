@@ -8,7 +8,7 @@ category in one task.  Here the work is done in ordered ranges, at every size:
   totals of earlier ranges are added;
 * ranks then go back to the rows by an equi-join on the value.
 
-What is sorted and written for that is narrow: the values, or the keys to be numbered.
+What is sorted and written for ranks is narrow: the values.  Rows to be numbered are sorted themselves, once.
 """
 
 from __future__ import annotations
@@ -87,26 +87,25 @@ def dense_numbers(
 ) -> DataFrame:
     """Number the rows in the order of a unique key, from 1 or behind ``after`` (a number, or one row with it).
 
-    The rows are written once, so that they are not derived again for the sort; the sort itself and its files
-    hold the key alone, and the number meets the rows on the key.
+    The rows pass one shuffle, by ranges of the key, and are written in that order; a row's number is its place in the
+    range and the rows of earlier ranges.  The bounds of the ranges are sampled, so the last stage before runs twice.
     """
-    table, _ = materialise(df, label)
     order = [F.col(c).asc_nulls_first() for c in order_by]
-    placed, _ = materialise(number_in_ranges(table.select(*order_by), order), f"{label}-ranges")
+    placed, _ = materialise(number_in_ranges(df, order), label)
     sizes = placed.groupBy("_slot").agg(F.count(F.lit(1)).alias("_t"))
     earlier = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # One row per range, so the broadcast is as small as the number of shuffle partitions.
     offsets = sizes.select("_slot", (F.sum("_t").over(earlier) - F.col("_t")).alias("_offset"))
     inside = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    numbered = placed.join(F.broadcast(offsets), "_slot").select(
-        (F.col("_offset") + inside + F.lit(1)).alias(name), *[F.col(c).alias(f"_k_{c}") for c in order_by]
-    )
+    numbered = placed.join(F.broadcast(offsets), "_slot")
+    before: Column = F.lit(0)
     if isinstance(after, DataFrame):
-        numbered = numbered.join(F.broadcast(after.toDF("_after"))).withColumn(name, F.col(name) + F.coalesce("_after", F.lit(0)))
+        numbered = numbered.join(F.broadcast(after.toDF("_after")))
+        before = F.coalesce("_after", F.lit(0))
     elif after:
-        numbered = numbered.withColumn(name, F.col(name) + F.lit(after))
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in order_by])
-    return table.join(numbered, same, "inner").select(F.col(name).cast("bigint").alias(name), *table.columns)
+        before = F.lit(after)
+    number = F.col("_offset") + inside + F.lit(1) + before
+    return numbered.select(number.cast("bigint").alias(name), *df.columns)
 
 
 def number_in_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:

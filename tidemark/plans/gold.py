@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import days_since
 from tidemark.functions.numbers import at_least, at_most, mean_of, percent
 from tidemark.operators.dedup import first_per_group
-from tidemark.operators.joins import salted_lookup
+from tidemark.operators.joins import beside, salted_lookup
 from tidemark.operators.ranking import rank_by
 from tidemark.operators.running import moving_average, year_to_date
 
@@ -310,26 +310,29 @@ def product_performance_all(
 def hourly_traffic(clickstream: DataFrame, stamp: bool = False) -> DataFrame:
     """Events by date, hour and device.
 
-    Events are folded to one row per group, session and customer first, with their additive counts, so the two
-    distinct counts (which copy their input) see the folded rows and not every event.
+    Events are folded to one row per group and session, with their additive counts, and on a second reading of few
+    columns to one per group and customer; the two small results stand beside each other.  No row is copied for a
+    distinct count.  Pass a stored table, as it is read twice.
     """
     event, group = F.col("event_type"), ("event_date", "event_hour", "device_type")
-    folded = clickstream.groupBy(*group, "session_id", "customer_id").agg(
+    visits = clickstream.groupBy(*group, "session_id").agg(
         F.count("event_id").alias("events"),
         F.count_if(event == "page_view").alias("views"),
         F.count_if(event == "add_to_cart").alias("adds"),
         F.count_if(event == "purchase").alias("bought"),
         F.count_if("is_conversion").alias("converted"),
     )
-    traffic = folded.groupBy(*group).agg(
+    users = clickstream.select(*group, "customer_id").distinct().groupBy(*group).agg(F.count("customer_id").alias("unique_users"))
+    by_visit = visits.groupBy(*group).agg(
         F.sum("events").alias("total_events"),
-        F.count_distinct("session_id").alias("unique_sessions"),
-        F.count_distinct("customer_id").alias("unique_users"),
+        F.count("session_id").alias("unique_sessions"),
         F.sum("views").alias("page_views"),
         F.sum("adds").alias("add_to_carts"),
         F.sum("bought").alias("purchases"),
         F.sum("converted").alias("conversions"),
     )
+    first = [*group, "total_events", "unique_sessions", "unique_users"]
+    traffic = beside(by_visit, users, group).select(*first, *[c for c in by_visit.columns if c not in first])
     rate = F.when(
         F.col("unique_sessions") > 0, percent(F.col("conversions"), F.col("unique_sessions"))
     ).otherwise(F.lit(0).cast("decimal(18,2)"))

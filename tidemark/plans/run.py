@@ -11,6 +11,7 @@ import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,15 +19,15 @@ from pyspark.sql.types import StructField, StructType
 
 from tidemark.operators.merge import replace_slice
 from tidemark.operators.quality import SILVER_RULES, evaluate, gate
-from tidemark.plans import gold, silver
+from tidemark.plans import gold, marts, silver, staging, star
 from tidemark.schemas import INGESTED_AT, PARTITION_DATE, SOURCES, Layout, SourceTable
-from tidemark.sources.bronze import ingest_all, with_partition_date, write_bronze_date, write_counted
+from tidemark.sources.bronze import drop_streamed_date, ingest_all, with_partition_date, write_bronze_date, write_counted
 from tidemark.sources.files import ingest_csv_checked
 from tidemark.sources.keyed import BUCKETS, read_keyed, write_keyed
 from tidemark.sources.parallel import run_parallel
 from tidemark.sources.run_log import StepRecord, append_steps, now
-from tidemark.sources.scratch import delete_folder, materialise, scratch_scope
-from tidemark.sources.snapshot import read_snapshot, write_snapshot
+from tidemark.sources.scratch import delete_folder, folder_exists, materialise, scratch_scope
+from tidemark.sources.snapshot import read_snapshot, snapshot_exists, write_snapshot
 from tidemark.sources.warehouse import WAREHOUSE_TABLES, JdbcSink, ParquetSink
 from tidemark.streaming.ingest import drain_to_silver, mark_as_read
 
@@ -52,8 +53,9 @@ class MedallionRun:
     ``gate_mode`` says what failed quality checks do (``warn`` or ``fail``); ``fail_on_error`` says whether a
     failed step stops the run or is only logged; ``on_ingest_error`` says the same of one table's landing files
     (``raise`` or ``continue`` with the other tables).  With a ``warehouse`` sink the run ends with the load of the
-    warehouse tables.  ``buckets`` is how many hash buckets a silver table gets when it is first written.  Intermediate
-    tables of the run are deleted when it ends.
+    warehouse tables.  ``buckets`` is how many hash buckets a silver table gets when it is first written.  ``reporting``
+    also builds the star schema, whose surrogate keys stay what they were in the run before, and the marts over every
+    landed version; ``fiscal_start_month`` is for its calendar.  Intermediate tables of the run are deleted when it ends.
     """
 
     spark: SparkSession
@@ -67,6 +69,8 @@ class MedallionRun:
     buckets: int = BUCKETS
     name: str = "daily_etl"
     warehouse: ParquetSink | JdbcSink | None = None
+    reporting: bool = False
+    fiscal_start_month: int = 1
     steps: list[StepRecord] = field(default_factory=list)
 
     def run(self, mode: str = "full", batch_date: date | str | None = None) -> list[StepRecord]:
@@ -87,6 +91,10 @@ class MedallionRun:
                     self._stage("silver_transformation", lambda: self.replace_date(str(batch_date)))
                 self._stage("data_quality", self.check)
                 self._stage("gold_aggregation", self.aggregate)
+                if self.reporting:
+                    self._stage("star_dimensions", self.dimensions)
+                    self._stage("star_facts", self.facts)
+                    self._stage("marts", self.build_marts)
                 if self.warehouse is not None:
                     self._stage("warehouse_load", self.load)
         finally:
@@ -130,6 +138,23 @@ class MedallionRun:
     def _silver(self, table: str) -> DataFrame:
         return read_keyed(self.spark, self.layout.silver(table))
 
+    def _landed(self, table: str) -> DataFrame:
+        """Every version in bronze, from whole loads and from new files."""
+        schema, found = _bronze_schema(table), []
+        for path in (self.layout.bronze(table), self.layout.bronze_streaming(table)):
+            if folder_exists(self.spark, path):
+                found.append(self.spark.read.schema(schema).parquet(path).select(schema.names))
+        if not found:
+            raise FileNotFoundError(f"no bronze of {table}")
+        return reduce(DataFrame.unionByName, found)
+
+    def _previous(self, table: str) -> DataFrame | None:
+        path = self.layout.star(table)
+        return read_snapshot(self.spark, path) if snapshot_exists(self.spark, path) else None
+
+    def _built(self, table: str) -> DataFrame:
+        return read_snapshot(self.spark, self.layout.star(table))
+
     # Stages
 
     def ingest(self) -> list[Outcome]:
@@ -164,7 +189,7 @@ class MedallionRun:
                     table,
                     SOURCES[table].key,
                     lambda df: silver.BUILDERS[table](df, stamp=True),
-                    bronze=f"{self.layout.bronze(table)}_streaming",
+                    bronze=self.layout.bronze_streaming(table),
                     silver=self.layout.silver(table),
                     checkpoint=self.layout.checkpoint(table),
                     schema=SOURCES[table].schema,
@@ -194,6 +219,7 @@ class MedallionRun:
                 day = landed.filter(F.col(PARTITION_DATE) == F.lit(batch_date).cast("date")).drop(PARTITION_DATE)
                 again, _ = materialise(day, "reprocess")
                 write_bronze_date(again, self.layout.bronze(table.name), batch_date)
+                drop_streamed_date(self.spark, self.layout.bronze_streaming(table.name), _bronze_schema(table.name), table.event_time, batch_date)
                 cleaned = silver.BUILDERS[table.name](again, stamp=True)
                 silver.rejected(again, table.name).write.mode("overwrite").parquet(f"{self.layout.rejected(table.name)}/_run={self.run_id}/_batch={batch_date}")
                 # The keys the day had before leave, and those it has now, valid or not.
@@ -223,11 +249,58 @@ class MedallionRun:
             "hourly_traffic": lambda: gold.hourly_traffic(clicks, stamp=True),
         }
 
+        return self._snapshots(builders, self.layout.gold)
+
+    def _snapshots(self, builders: Mapping[str, Callable[[], DataFrame]], path: Callable[[str], str]) -> list[Outcome]:
         def job(table: str) -> Callable[[], int]:
-            return lambda: write_counted(builders[table](), lambda df: write_snapshot(df, self.layout.gold(table)))
+            return lambda: write_counted(builders[table](), lambda df: write_snapshot(df, path(table)))
 
         return self._each({t: job(t) for t in builders})
 
+    def dimensions(self) -> list[Outcome]:
+        """Dimensions of the star schema; the tiers are those of the gold profile."""
+
+        def customers() -> DataFrame:
+            tiers = read_snapshot(self.spark, self.layout.gold("customer_360")).select("customer_id", "customer_tier")
+            return star.dim_customer(self._silver("customers"), tiers, stamp=True, previous=self._previous("dim_customer"))
+
+        return self._snapshots(
+            {
+                "dim_date": lambda: star.dim_date(star.date_spine_of(self._silver("orders"), "order_date"), self.fiscal_start_month),
+                "dim_customer": customers,
+                "dim_product": lambda: star.dim_product(self._silver("products"), stamp=True, previous=self._previous("dim_product")),
+            },
+            self.layout.star,
+        )
+
+    def facts(self) -> list[Outcome]:
+        """The order fact, then the item fact, which looks up its order there."""
+
+        def orders() -> DataFrame:
+            return star.fact_orders(self._silver("orders"), self._built("dim_customer"), stamp=True, previous=self._previous("fact_orders"))
+
+        def items() -> DataFrame:
+            found = self._silver("order_items"), self._built("fact_orders"), self._built("dim_product")
+            return star.fact_order_items(*found, stamp=True, previous=self._previous("fact_order_items"))
+
+        done = self._snapshots({"fact_orders": orders}, self.layout.star)
+        if done[0].error is not None:  # the items would meet the orders of the run before
+            return [*done, Outcome("fact_order_items", 0, 0.0, "fact_orders failed")]
+        return [*done, *self._snapshots({"fact_order_items": items}, self.layout.star)]
+
+    def build_marts(self) -> list[Outcome]:
+        customers, products, orders, items = (
+            getattr(staging, f"stg_{t}")(self._landed(t)) for t in ("customers", "products", "orders", "order_items")
+        )
+        return self._snapshots(
+            {
+                "mart_daily_sales": lambda: marts.mart_daily_sales(orders, stamp=True),
+                "mart_customer_360": lambda: marts.mart_customer_360(customers, orders, items, self.as_of, stamp=True),
+                "mart_product_performance": lambda: marts.mart_product_performance(products, orders, items, stamp=True),
+            },
+            self.layout.mart,
+        )
+
     def load(self) -> list[Outcome]:
         """Hand the gold tables to the warehouse."""
 

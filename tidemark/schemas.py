@@ -100,6 +100,9 @@ class Layout:
     def bronze(self, table: str) -> str:
         return f"{self.base}/bronze/{table}"
 
+    def bronze_streaming(self, table: str) -> str:
+        return f"{self.base}/bronze/{table}_streaming"
+
     def quarantine(self, table: str) -> str:
         return f"{self.base}/quarantine/{table}"
 
@@ -119,6 +122,12 @@ class Layout:
     def gold(self, table: str) -> str:
         return f"{self.base}/gold/{table}"
 
+    def star(self, table: str) -> str:
+        return f"{self.base}/star/{table}"
+
+    def mart(self, table: str) -> str:
+        return f"{self.base}/marts/{table}"
+
     def warehouse(self, table: str) -> str:
         return f"{self.base}/warehouse/{table}"
 

@@ -14,11 +14,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.schemas import PARTITION_DATE, SOURCES, Layout, SourceTable
 from tidemark.sources.files import CORRUPT, REASON, ingest_csv, judge_csv
 from tidemark.sources.parallel import run_parallel
-from tidemark.sources.scratch import delete_folder
+from tidemark.sources.scratch import delete_folder, folder_exists, materialise
 
 log = logging.getLogger(__name__)
 
@@ -94,6 +95,25 @@ def write_bronze_date(df: DataFrame, path: str, day: str) -> None:
     df.drop(PARTITION_DATE).write.mode("overwrite").parquet(f"{path}/{PARTITION_DATE}={day}")
 
 
+def drop_streamed_date(spark: SparkSession, path: str, schema: StructType, event_time: str, day: str) -> None:
+    """Take one date out of the rows that came as new files; only the arrivals that hold it are rewritten."""
+    if not folder_exists(spark, path):
+        return
+    streamed = spark.read.schema(StructType([*schema.fields, StructField("_batch", StringType())])).parquet(path)
+    own = F.coalesce(F.to_date(event_time) == F.lit(day).cast("date"), F.lit(False))
+    # At most one row per arrival.
+    touched = [r["_batch"] for r in streamed.filter(own).select("_batch").distinct().collect()]
+    if not touched:
+        return
+    # Stored first: a partition cannot be overwritten while it is read.
+    kept, rows = materialise(streamed.filter(F.col("_batch").isin(touched) & ~own), "streamed-rest")
+    if rows:
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(path)
+    filled = {r["_batch"] for r in kept.select("_batch").distinct().collect()} if rows else set()
+    for batch in set(touched) - filled:
+        delete_folder(spark, f"{path}/_batch={batch}")
+
+
 def write_judged(judged: DataFrame, typed: dict[str, Column], write: Callable[[DataFrame], object], quarantine: str, always: bool = False) -> tuple[int, int]:
     """Hand the valid records, typed, to ``write`` and store the others with their reason.  Returns both counts.
 
@@ -114,8 +134,7 @@ def read_quarantine(spark: SparkSession, layout: Layout, table: str) -> DataFram
     """All rejected records of a table, of whole loads, new files and reprocessed dates; None if there are none."""
     found = []
     for path in (layout.quarantine(table), layout.quarantine_streaming(table), layout.quarantine_reprocessed(table)):
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        if folder_exists(spark, path):
             found.append(spark.read.parquet(path))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found) if found else None
 
@@ -139,6 +158,7 @@ def load_table(
     rebuild = replace == "static"
     rows, rejected = write_judged(judged, typed, write, layout.quarantine(table.name), always=rebuild)
     if rebuild:  # all landing files have been judged again
+        delete_folder(spark, layout.bronze_streaming(table.name))
         delete_folder(spark, layout.quarantine_streaming(table.name))
         delete_folder(spark, layout.quarantine_reprocessed(table.name))
     return Loaded(table.name, rows, time.monotonic() - started, rejected=rejected)

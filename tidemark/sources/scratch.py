@@ -54,6 +54,11 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             delete_folder(spark, path)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
