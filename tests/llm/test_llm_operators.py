@@ -432,6 +432,70 @@ def test_expectation_maximisation_trusts_the_better_rules():
     assert np.mean(right) > 0.88 and chance[0, 1, 2] > chance[2, 1, 2] and len(posterior) == 27
 
 
+def plain_posterior(patterns, n_rules, rounds):
+    """Expectation-maximisation rule by rule, pattern by pattern."""
+    chance = [{y: list(quality_rules.START[y]) for y in (0, 1)} for _ in range(n_rules)]
+    prior = quality_rules.PRIOR
+
+    def good(pattern):
+        weight = {0: 1 - prior, 1: prior}
+        for rule, vote in enumerate(pattern):
+            for y in weight:
+                weight[y] *= chance[rule][y][vote]
+        return weight[1] / (weight[0] + weight[1])
+
+    for _ in range(rounds):
+        share = {p: good(p) for p in patterns}
+        for rule in range(n_rules):
+            for y in (0, 1):
+                counts = [quality_rules.SMOOTHING] * 3
+                for p, n in patterns.items():
+                    counts[p[rule]] += n * (share[p] if y else 1 - share[p])
+                chance[rule][y] = [c / sum(counts) for c in counts]
+        prior = min(0.999, max(0.001, sum(n * share[p] for p, n in patterns.items()) / sum(patterns.values())))
+    return {p: good(p) for p in patterns}
+
+
+def test_verdicts_equal_a_plain_expectation_maximisation(monkeypatch):
+    rng = np.random.default_rng(8)
+    truth = rng.random(500) < 0.8
+    votes = np.stack([np.where(rng.random(500) < a, truth, ~truth) + 1 for a in (0.9, 0.8, 0.85, 0.7)], 1)
+    votes[rng.random(votes.shape) < 0.3] = 0
+    patterns = Counter(map(tuple, votes.tolist()))
+    monkeypatch.setattr(quality_rules, "ROUNDS", 25)
+    posterior, _ = quality_rules.fit(patterns, 4)
+    for pattern, want in plain_posterior(patterns, 4, 25).items():
+        assert posterior[pattern] == pytest.approx(want, abs=1e-9)
+
+
+def test_one_fault_is_outvoted_and_several_are_not(spark):
+    def text(i):
+        words = prose(i, 150).split()
+        if i % 10 == 0:  # marks on every second word
+            return " ".join(w + "###" if k % 2 else w for k, w in enumerate(words))
+        if i in (1, 2):  # capitals only
+            return " ".join(words).upper()
+        if i in (3, 4):  # repeated lines only
+            return " ".join(words) + "\nso it goes" * 4
+        if i == 5:  # long words only
+            return " ".join("".join(words[k : k + 3]).replace(".", "") for k in range(0, 150, 3)) + " " + " ".join("x" * 30 + str(k) for k in range(20))
+        return " ".join(words)
+
+    df = frame(spark, [(i, text(i), "en", "s") for i in range(300)])
+    found = {r["doc_id"]: r for r in quality_rules.judge(df).collect()}
+    assert [i for i in found if found[i]["kept"] == (i % 10 == 0)] == []
+    conditions = {name: against for name, (against, _) in quality_rules.rules().items()}
+    faults = quality_rules.counted(df).select("doc_id", *[F.coalesce(c, F.lit(False)).alias(n) for n, c in conditions.items()]).collect()
+    by_id = {r["doc_id"]: sorted(n for n in conditions if r[n]) for r in faults}
+    assert [by_id[i] for i in (1, 3, 5, 6)] == [["capitals"], ["repeated lines"], ["word length"], []]
+    assert by_id[10] == ["marks", "symbols", "words with symbols"]
+
+
+def test_marks_and_marked_words():
+    made = quality_rules.text_counts(["a# b ## c, (d) $1% \u20ac".encode(), b""])
+    assert made["n_marks"].tolist() == [8, 0] and made["n_marked_words"].tolist() == [3, 0]
+
+
 def test_rules_on_empty_table(empty):
     assert quality_rules.judge(empty).count() == 0
 

@@ -1,10 +1,11 @@
 """Quality rules as weak supervision: rules vote or abstain, expectation-maximisation learns how far to trust each.
 
-Every text gets counts; rules turn them into votes for (2) or against (1) quality, or abstain (0).  The votes of
-all documents are counted by pattern (at most ``3 ** len(RULES)`` rows, whatever the corpus); on these counts a
-two-class model with independent rules is fitted by expectation-maximisation.  Its posterior probability of quality decides,
-so one failed rule does not reject a document that the others vouch for.  Base conditions (too few
-words, too many repeated words) come first.
+Every text gets counts; rules turn them into votes for (2) or against (1) quality, or abstain (0).  A rule looks at one
+measure alone and votes both ways: against where the measure is bad, for where it is plainly good, not at all between.
+The votes of all documents are counted by pattern (at most ``3 ** len(rules())`` rows, whatever the corpus); on these
+counts a two-class model with independent rules is fitted by expectation-maximisation.  Its posterior probability of
+quality decides, so one failed rule does not reject a document that the others vouch for.  Base conditions (too few words,
+too many repeated words) come first.
 
 A null text has no words.  Every row is counted and judged, repeated rows each; null ids pass through; extra columns
 are ignored; an empty table gives an empty result.
@@ -25,11 +26,16 @@ from tidemark.llm.common import stored
 
 WINDOW = 8
 LEAST_WORDS, MOST_REPEATED = 20, 30
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_kinds", "n_letters", "n_capitals")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_kinds", "n_letters", "n_capitals", "n_marks", "n_marked_words")
 SYMBOL = np.zeros(256, bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
-#: Both classes start from: a rule votes rightly four times as often as wrongly.
-TRUST, PRIOR, ROUNDS, SMOOTHING = 0.8, 0.7, 200, 1.0
+#: ASCII characters that are neither letters nor digits, spaces or control characters.
+MARK = np.zeros(256, bool)
+MARK[[c for c in range(0x21, 0x7F) if not chr(c).isalnum()]] = True
+#: Where the estimate starts: chances to abstain, to vote against and to vote for, in bad and in good texts.  A vote
+#: against is rare in good texts; bad texts have some faults and not all, so a vote for says little.
+START = ((0.18, 0.32, 0.5), (0.18, 0.02, 0.8))
+PRIOR, ROUNDS, SMOOTHING = 0.85, 200, 1.0
 KEEP_FROM = 0.5
 
 
@@ -58,6 +64,8 @@ def text_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
     letter = words.buffer | 0x20
     letter = (letter >= 97) & (letter <= 122)
     capital = letter & (words.buffer < 97)
+    symbols = np.concatenate(([0], np.cumsum(SYMBOL[words.buffer])))
+    marked = symbols[words.end] > symbols[words.start]
     count = lambda chosen: np.bincount(owner_of_byte[chosen], minlength=n)
     return {
         "n_words": words.count,
@@ -69,6 +77,8 @@ def text_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
         "n_kinds": np.bincount(words.owner[order][kind], minlength=n),
         "n_letters": count(letter),
         "n_capitals": count(capital),
+        "n_marks": count(MARK[words.buffer]),
+        "n_marked_words": np.bincount(words.owner[marked], minlength=n),
     }
 
 
@@ -92,21 +102,21 @@ def _share(part: str, whole: str) -> Column:
 
 
 def rules() -> dict[str, tuple[Column, Column]]:
-    """Per rule the conditions to vote against and for; neither: it abstains."""
+    """Per rule the conditions to vote against and for; neither, or a measure that does not exist: it abstains."""
     repeated, symbols, lines = _share("n_repeat_words", "n_words"), _share("n_symbols", "n_words"), _share("n_dup_lines", "n_lines")
     length, kinds, capitals = _share("word_chars", "n_words"), _share("n_kinds", "n_words"), _share("n_capitals", "n_letters")
-    long_enough, never = F.col("n_words") >= 50, F.lit(False)
-    # Faults speak against a text one by one; only a text that is sound in all respects is spoken for.
-    sound = (symbols < 0.05) & (capitals < 0.2) & (length >= 3) & (length <= 12)
+    marks, marked = _share("n_marks", "word_chars"), _share("n_marked_words", "n_words")
+    # The share of different words falls with the length of any text.
+    comparable = F.col("n_words").between(50, 10_000)
     return {
-        "repeated words": (repeated > 0.3, never),
-        "symbols": (symbols > 0.15, never),
-        "repeated lines": (lines > 0.3, never),
-        "word length": ((length < 2.5) | (length > 15), never),
-        "capitals": (capitals > 0.4, never),
-        "kinds of words": (long_enough & (kinds < 0.2), never),
-        "sound prose": (never, sound & (repeated < 0.3)),
-        "text length": (never, sound & (F.col("n_words") >= 100)),
+        "repeated words": (repeated > 0.2, repeated < 0.05),
+        "symbols": (symbols > 0.15, symbols < 0.03),
+        "repeated lines": (lines > 0.3, lines < 0.1),
+        "word length": ((length < 2.5) | (length > 12), (length > 3.5) & (length < 7)),
+        "capitals": (capitals > 0.4, capitals < 0.15),
+        "kinds of words": (comparable & (kinds < 0.2), comparable & (kinds > 0.4)),
+        "marks": (marks > 0.1, marks < 0.07),
+        "words with symbols": (marked > 0.1, marked < 0.02),
     }
 
 
@@ -114,10 +124,7 @@ def fit(patterns: Mapping[tuple[int, ...], int], n_rules: int) -> tuple[dict[tup
     """Posterior probability of quality of every possible pattern; and P(vote | class) by rule, class and vote."""
     votes = np.array(list(patterns) or np.zeros((0, n_rules)), int).reshape(-1, n_rules)
     weight = np.array(list(patterns.values()), float)
-    chance = np.empty((n_rules, 2, 3))
-    chance[:, :, 0] = 1 / 3
-    chance[:, 0, 1] = chance[:, 1, 2] = TRUST * 2 / 3
-    chance[:, 0, 2] = chance[:, 1, 1] = (1 - TRUST) * 2 / 3
+    chance = np.tile(np.array(START), (n_rules, 1, 1))
     prior = PRIOR
     columns = np.arange(n_rules)
 
