@@ -242,14 +242,69 @@ def test_hilbert_neighbours_touch():
 # mixture
 
 
+def plain_shares(budget, weights, limits):
+    """Shares of ``budget`` by weight, none above its limit; what one cannot take goes to the others by weight."""
+    given, open_ = [0.0] * len(weights), set(range(len(weights)))
+    left = min(budget, sum(limits))
+    while open_ and left > 1e-9:
+        total = sum(weights[i] for i in open_)
+        if total <= 0:
+            total, weights = float(len(open_)), [1.0 if i in open_ else w for i, w in enumerate(weights)]
+        full = [i for i in open_ if limits[i] <= left * weights[i] / total]
+        if not full:
+            for i in open_:
+                given[i] = left * weights[i] / total
+            return given
+        for i in full:
+            given[i] = limits[i]
+        left -= sum(limits[i] for i in full)
+        open_ -= set(full)
+    return given
+
+
+def plain_budgets(tokens, total, weights, max_epochs):
+    """Token budget of every leaf.  ``weights`` is by path (a prefix of a leaf); a path without one weighs 1."""
+    children: dict[tuple, set[tuple]] = defaultdict(set)
+    limit: dict[tuple, float] = defaultdict(float)
+    for leaf, held in tokens.items():
+        for depth in range(len(leaf) + 1):
+            limit[leaf[:depth]] += held * max_epochs
+            if depth:
+                children[leaf[: depth - 1]].add(leaf[:depth])
+    out: dict[tuple, int] = {}
+
+    def descend(node: tuple, budget: float) -> None:
+        if node in tokens and not children[node]:
+            out[node] = int(budget + 1e-6)
+            return
+        below = sorted(children[node], key=repr)
+        for child, part in zip(below, plain_shares(budget, [weights.get(c, 1.0) for c in below], [limit[c] for c in below]), strict=True):
+            descend(child, part)
+
+    descend((), min(total, limit[()]))
+    return out
+
+
+def test_budgets_equal_the_plain_descent(spark):
+    rng = np.random.default_rng(4)
+    leaves = {(d, lang, s): int(rng.integers(0, 2000)) for d in ("a", "b", None, "z") for lang in ("x", "y", None) for s in ("1", "2", "3", None) if rng.random() < 0.7}
+    schema = "domain string, lang string, source string, tokens long"
+    df = spark.createDataFrame([(*leaf, n) for leaf, n in leaves.items()], schema)
+    weights = {("a",): 5.0, ("z",): 0.0, ("a", "x"): 0.3, ("b", None): 4.0, ("a", "y", "1"): 0.0, ("a", "y", "2"): 0.0, (None, "x", None): 7.5}
+    for total, epochs in ((0.1, 1), (0.5, 1), (0.97, 1), (1.0, 1), (1.7, 3), (9.0, 2)):
+        want = plain_budgets(leaves, total * sum(leaves.values()), weights, epochs)
+        found = mixing.leaf_budgets(df, total * sum(leaves.values()), weights, epochs).collect()
+        assert {(r["domain"], r["lang"], r["source"]): r["budget"] for r in found} == want
+
+
 def test_shortages_go_to_siblings_first():
     tokens = {("a", "x", "1"): 100, ("a", "x", "2"): 1000, ("a", "y", "1"): 1000, ("b", "x", "1"): 1000}
-    found = mixing.budgets(tokens, 800, {("a",): 1, ("b",): 1}, 1)
+    found = plain_budgets(tokens, 800, {("a",): 1, ("b",): 1}, 1)
     assert found == {("a", "x", "1"): 100, ("a", "x", "2"): 100, ("a", "y", "1"): 200, ("b", "x", "1"): 400}
-    tight = mixing.budgets({("a", "x", "1"): 100, ("a", "x", "2"): 1000, ("b", "x", "1"): 1000}, 1000, {("a", "x", "1"): 9}, 1)
+    tight = plain_budgets({("a", "x", "1"): 100, ("a", "x", "2"): 1000, ("b", "x", "1"): 1000}, 1000, {("a", "x", "1"): 9}, 1)
     assert tight == {("a", "x", "1"): 100, ("a", "x", "2"): 400, ("b", "x", "1"): 500}
-    assert sum(mixing.budgets(tokens, 10**9, {}, 2).values()) == 2 * sum(tokens.values())
-    assert mixing.budgets({}, 10, {}, 1) == {}
+    assert sum(plain_budgets(tokens, 10**9, {}, 2).values()) == 2 * sum(tokens.values())
+    assert plain_budgets({}, 10, {}, 1) == {}
 
 
 @pytest.mark.parametrize("slice_rows", [4, 4096])
@@ -264,7 +319,7 @@ def test_mixture_is_the_seeded_prefix(spark, corpus, monkeypatch, slice_rows):
     for r in keyed:
         leaves[(r["domain"], r["lang"], r["source"])].append((r["doc_id"], r["key"], len(WORDS.findall(r["text"]))))
     held = {k: sum(x[2] for x in v) for k, v in leaves.items()}
-    granted = mixing.budgets(held, 0.9 * sum(held.values()), weights, 3)
+    granted = plain_budgets(held, 0.9 * sum(held.values()), weights, 3)
     want = set()
     for leaf, members in leaves.items():
         whole, rest = divmod(granted[leaf], held[leaf])

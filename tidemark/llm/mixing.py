@@ -10,8 +10,10 @@ order that depends on the seed and the epoch.  The end of the prefix is found fr
 order; only the slice it falls into is sorted, so a leaf that holds most rows is never in one task.  Texts are not
 shuffled: what passes through shuffles is a hash and a count per document.
 
-The budget table has one row per leaf; it is worked out on the driver and met by a broadcast up to ``BROADCAST_LEAVES``
-rows, beyond by a plain join.  Tokens are words (runs without white space).
+The budgets are worked out as tables, level by level: within a family, sums over members in the order of limit per
+weight (members with the same are one row) give the level to which all are filled.  The driver gets the number of
+leaves and of tokens.  The budget table has one row per leaf and is met by a broadcast up to ``BROADCAST_LEAVES`` rows,
+beyond by a plain join.  Tokens are words (runs without white space).
 
 Null domains, languages or sources are nodes of their own; a null text has no tokens and stays out unless its
 leaf gives a whole epoch; rows that repeat id and text stand or go together; an empty table gives an empty result; extra
@@ -20,8 +22,8 @@ columns are carried along (``epoch``, ``tokens`` and ``domain`` are replaced).
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -34,47 +36,68 @@ SLICE_ROWS, SLICE_BITS = 4096, 16
 SEED = 17
 
 
-def share_out(budget: float, weights: Sequence[float], limits: Sequence[float]) -> list[float]:
-    """Shares of ``budget`` by weight, none above its limit; what one cannot take goes to the others by weight."""
-    given, open_ = [0.0] * len(weights), set(range(len(weights)))
-    left = min(budget, sum(limits))
-    while open_ and left > 1e-9:
-        total = sum(weights[i] for i in open_)
-        if total <= 0:
-            total, weights = float(len(open_)), [1.0 if i in open_ else w for i, w in enumerate(weights)]
-        full = [i for i in open_ if limits[i] <= left * weights[i] / total]
-        if not full:
-            for i in open_:
-                given[i] = left * weights[i] / total
-            return given
-        for i in full:
-            given[i] = limits[i]
-        left -= sum(limits[i] for i in full)
-        open_ -= set(full)
-    return given
-
-
-def budgets(tokens: Mapping[tuple, int], total: float, weights: Mapping[tuple, float], max_epochs: float) -> dict[tuple, int]:
-    """Token budget of every leaf.  ``weights`` is by path (a prefix of a leaf); a path without one weighs 1."""
-    children: dict[tuple, set[tuple]] = defaultdict(set)
-    limit: dict[tuple, float] = defaultdict(float)
-    for leaf, held in tokens.items():
-        for depth in range(len(leaf) + 1):
-            limit[leaf[:depth]] += held * max_epochs
-            if depth:
-                children[leaf[: depth - 1]].add(leaf[:depth])
-    out: dict[tuple, int] = {}
-
-    def descend(node: tuple, budget: float) -> None:
-        if node in tokens and not children[node]:
-            out[node] = int(budget + 1e-6)
-            return
-        below = sorted(children[node], key=repr)
-        for child, part in zip(below, share_out(budget, [weights.get(c, 1.0) for c in below], [limit[c] for c in below]), strict=True):
-            descend(child, part)
-
-    descend((), min(total, limit[()]))
-    return out
+def _equal(columns: Sequence[str]) -> Column:
+    """Join condition on columns of the left side and their ``__`` twins of the right; nulls are equal."""
+    return reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in columns])
+
+
+def _twins(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"__{c}") for c in columns], *[c for c in df.columns if c not in columns])
+
+
+def _without(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.drop(*[f"__{c}" for c in columns])
+
+
+def _weighted(nodes: DataFrame, path: Sequence[str], weights: Mapping[tuple, float]) -> DataFrame:
+    given = [(*p, float(w)) for p, w in weights.items() if len(p) == len(path)]
+    if not given:
+        return nodes.withColumn("weight", F.lit(1.0))
+    schema = ", ".join(f"__{c} string" for c in path) + ", weight double"
+    joined = nodes.join(nodes.sparkSession.createDataFrame(given, schema), _equal(path), "left")
+    return _without(joined, path).withColumn("weight", F.coalesce("weight", F.lit(1.0)))
+
+
+def _levels(nodes: DataFrame, parent: Sequence[str]) -> DataFrame:
+    """Per family, and apart for members without weight: tokens per unit of weight that a member gets unless it holds less.
+
+    Members are filled from the least limit per weight on; the level is what is left for a unit of weight of those that
+    are not full, and null where all are.  Members without weight get what the others cannot take.
+    """
+    folded = nodes.groupBy(*parent, "idle", "ratio").agg(F.sum("limit").alias("held"), F.sum("unit").alias("units"), F.first("budget").alias("budget"))
+    family, kind = Window.partitionBy(*parent), Window.partitionBy(*parent, "idle")
+    earlier = kind.orderBy("ratio").rowsBetween(Window.unboundedPreceding, -1)
+    taken = F.coalesce(F.sum(F.when(~F.col("idle"), F.col("held"))).over(family), F.lit(0))
+    filled = (
+        folded.withColumn("to_share", F.when(F.col("idle"), F.greatest(F.lit(0.0), F.col("budget") - taken)).otherwise(F.col("budget")))
+        .withColumn("held_before", F.coalesce(F.sum("held").over(earlier), F.lit(0)))
+        .withColumn("units_left", F.sum("units").over(kind) - F.coalesce(F.sum("units").over(earlier), F.lit(0.0)))
+        .withColumn("full", F.col("ratio") * F.col("units_left") <= F.col("to_share") - F.col("held_before"))
+    )
+    held = F.coalesce(F.sum(F.when(F.col("full"), F.col("held"))), F.lit(0))
+    units = F.sum(F.when(~F.col("full"), F.col("units")))
+    return filled.groupBy(*parent, "idle").agg((F.try_divide(F.first("to_share") - held, units)).alias("level"))
+
+
+def leaf_budgets(leaves: DataFrame, total: float, weights: Mapping[tuple, float], max_epochs: int) -> DataFrame:
+    """``leaves`` (a row per leaf with its ``tokens``) with ``budget``, its tokens of the total.
+
+    ``weights`` is by path (a prefix of a leaf); a path without one weighs 1.
+    """
+    above = leaves.sparkSession.range(1).select(F.lit("").alias("root"), F.lit(float(total)).alias("budget"))
+    rooted = leaves.withColumn("root", F.lit(""))
+    for depth in range(1, len(LEAF) + 1):
+        path, parent = LEAF[:depth], ("root", *LEAF[: depth - 1])
+        nodes = rooted.groupBy("root", *path).agg((F.sum("tokens") * max_epochs).alias("limit"))
+        nodes = _without(nodes.join(_twins(above, parent), _equal(parent)), parent)
+        idle = F.col("weight") <= 0
+        unit = F.when(idle, 1.0).otherwise(F.col("weight"))
+        nodes = _weighted(nodes, path, weights).withColumns({"idle": idle, "unit": unit, "ratio": F.col("limit") / unit})
+        met = nodes.join(_twins(_levels(nodes, parent), (*parent, "idle")), _equal((*parent, "idle")))
+        share = F.least(F.col("limit").cast("double"), F.col("level") * F.col("unit"))
+        above = met.select("root", *path, share.alias("budget"))
+    found = above.select(*LEAF, F.floor(F.col("budget") + 1e-6).alias("budget"))
+    return _without(leaves.join(_twins(found, LEAF), _equal(LEAF)), LEAF)
 
 
 def _words(text: Column) -> Column:
@@ -98,25 +121,19 @@ def mix(
         domain.alias("domain"), "lang", "source", F.xxhash64("doc_id", "text").alias("key"), _words(F.col("text")).alias("tokens"), F.struct("*").alias("row")
     )
     rows = stored(named.select(*LEAF, "key", "tokens"), "mixing-rows")
-    leaves = rows.groupBy(*LEAF).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")).collect()
-    held = {tuple(r[c] for c in LEAF): int(r["tokens"]) for r in leaves}
-    spark = documents.sparkSession
-    plan_rows = []
-    granted = budgets(held, share * sum(held.values()), weights, max_epochs)
-    for r in leaves:
-        leaf, tokens = tuple(r[c] for c in LEAF), int(r["tokens"])
-        budget = granted.get(leaf, 0)
-        whole = min(max_epochs, budget // tokens) if tokens else 0
-        bits = min(SLICE_BITS, max(0, (int(r["n"]) // SLICE_ROWS).bit_length()))
-        plan_rows.append((*leaf, int(whole), int(budget - whole * tokens), bits))
-    plan = spark.createDataFrame(plan_rows, "domain string, lang string, source string, whole int, rest long, bits int")
-    if len(plan_rows) <= BROADCAST_LEAVES:
+    leaves = stored(rows.groupBy(*LEAF).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")), "mixing-leaves")
+    everything = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.count("*").alias("leaves")).head()
+    few = everything["leaves"] <= BROADCAST_LEAVES
+    whole = F.when(F.col("tokens") > 0, F.least(F.lit(max_epochs), F.expr("budget div tokens"))).otherwise(0)
+    slices_needed = F.expr(f"n div {SLICE_ROWS}")
+    bits = F.when(slices_needed > 0, F.least(F.lit(SLICE_BITS), F.length(F.bin(slices_needed)))).otherwise(0)
+    planned = leaf_budgets(leaves, share * everything["tokens"], weights, max_epochs).withColumn("whole", whole.cast("int"))
+    plan = stored(planned.select(*LEAF, "whole", (F.col("budget") - F.col("whole") * F.col("tokens")).alias("rest"), bits.cast("int").alias("bits")), "mixing-plan")
+    if few:
         plan = F.broadcast(plan)
 
     def with_plan(df: DataFrame, other: DataFrame) -> DataFrame:
-        renamed = other.select(*[F.col(c).alias(f"__{c}") for c in LEAF], *[c for c in other.columns if c not in LEAF])
-        matched = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in LEAF]
-        return df.join(renamed, matched[0] & matched[1] & matched[2]).drop(*[f"__{c}" for c in LEAF])
+        return _without(df.join(_twins(other, LEAF), _equal(LEAF)), LEAF)
 
     order = F.xxhash64(F.col("key"), F.lit(seed), F.col("whole"))
     # Shifting right keeps the sign, so slices are ordered as the hashes are.
@@ -127,7 +144,7 @@ def mix(
     before = F.sum("sum").over(_window(LEAF, "slice")) - F.col("sum")
     ends = slices.withColumn("before", before).where("before <= rest AND before + sum > rest").select(*LEAF, "slice", "before")
     ends = stored(ends, "mixing-ends")
-    in_end = with_plan(placed, F.broadcast(ends.withColumnRenamed("slice", "end")) if len(plan_rows) <= BROADCAST_LEAVES else ends.withColumnRenamed("slice", "end"))
+    in_end = with_plan(placed, F.broadcast(ends.withColumnRenamed("slice", "end")) if few else ends.withColumnRenamed("slice", "end"))
     cut = (
         in_end.where("slice = end")
         .groupBy(*LEAF, "place").agg(F.sum("tokens").alias("sum"), F.first("before").alias("before"), F.first("rest").alias("rest"))
@@ -138,7 +155,7 @@ def mix(
     # One row per leaf: rows of earlier slices are in, rows of the end slice up to the cut.
     ends_cut = _outer(ends, cut)
     schedule = stored(_outer(plan, ends_cut), "mixing-schedule")
-    if len(plan_rows) <= BROADCAST_LEAVES:
+    if few:
         schedule = F.broadcast(schedule)
     chosen = with_plan(named, schedule).withColumn("place", order).withColumn("slice", piece)
     # A leaf with a rest but no end slice holds nothing beyond it: that can only be a leaf without tokens.
@@ -159,6 +176,5 @@ def _window(leaf: Sequence[str], by: str) -> WindowSpec:
 
 def _outer(left: DataFrame, right: DataFrame) -> DataFrame:
     """Left join on the leaf, nulls equal; ``slice`` of the end is called ``end``."""
-    right = right.select(*[F.col(c).alias(f"__{c}") for c in LEAF], *[F.col(c).alias("end" if c == "slice" else c) for c in right.columns if c not in LEAF])
-    matched = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in LEAF]
-    return left.join(right, matched[0] & matched[1] & matched[2], "left").drop(*[f"__{c}" for c in LEAF])
+    named = right.withColumnRenamed("slice", "end")
+    return _without(left.join(_twins(named, LEAF), _equal(LEAF), "left"), LEAF)
