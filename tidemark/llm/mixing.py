@@ -84,18 +84,21 @@ def leaf_budgets(leaves: DataFrame, total: float, weights: Mapping[tuple, float]
 
     ``weights`` is by path (a prefix of a leaf); a path without one weighs 1.
     """
-    above = leaves.sparkSession.range(1).select(F.lit("").alias("root"), F.lit(float(total)).alias("budget"))
-    rooted = leaves.withColumn("root", F.lit(""))
+    above = None
     for depth in range(1, len(LEAF) + 1):
-        path, parent = LEAF[:depth], ("root", *LEAF[: depth - 1])
-        nodes = rooted.groupBy("root", *path).agg((F.sum("tokens") * max_epochs).alias("limit"))
-        nodes = _without(nodes.join(_twins(above, parent), _equal(parent)), parent)
+        path, parent = LEAF[:depth], LEAF[: depth - 1]
+        nodes = leaves.groupBy(*path).agg((F.sum("tokens") * max_epochs).alias("limit"))
+        if above is None:
+            nodes = nodes.withColumn("budget", F.lit(float(total)))
+        else:
+            nodes = _without(nodes.join(_twins(above, parent), _equal(parent)), parent)
         idle = F.col("weight") <= 0
         unit = F.when(idle, 1.0).otherwise(F.col("weight"))
         nodes = _weighted(nodes, path, weights).withColumns({"idle": idle, "unit": unit, "ratio": F.col("limit") / unit})
         met = nodes.join(_twins(_levels(nodes, parent), (*parent, "idle")), _equal((*parent, "idle")))
         share = F.least(F.col("limit").cast("double"), F.col("level") * F.col("unit"))
-        above = met.select("root", *path, share.alias("budget"))
+        # Read by the next level's sums and by its nodes.
+        above = stored(met.select(*path, share.alias("budget")), "mixing-budgets")
     found = above.select(*LEAF, F.floor(F.col("budget") + 1e-6).alias("budget"))
     return _without(leaves.join(_twins(found, LEAF), _equal(LEAF)), LEAF)
 
