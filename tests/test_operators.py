@@ -60,6 +60,28 @@ def test_salted_lookup_spreads_a_hot_key(spark):
     assert sum(sizes) == 4000 and len(sizes) > 1 and max(sizes) < 3000
 
 
+def test_heavy_keys_are_found_and_few(spark):
+    """A third of the rows, half a per cent and a tail of single rows; keys sorted over the partitions or mixed."""
+    rows = spark.range(0, 60_000, 1, 12).select(
+        F.when(F.col("id") < 20_000, "hot").when(F.col("id") < 20_300, "warm").when(F.col("id") < 20_600, F.lit(None)).otherwise(F.concat(F.lit("k"), "id")).alias("k")
+    )
+    for df in (rows, rows.repartition(9)):
+        found = {r[0] for r in joins.heavy_keys(df, "k", 500).collect()}
+        assert {"hot", "warm"} <= found and len(found) <= 1000 and None not in found
+    assert joins.heavy_keys(rows.limit(0), "k").count() == 0
+    assert joins.heavy_keys(spark.sql("SELECT CAST(null AS INT) AS k"), "k").count() == 0
+
+
+def test_salted_lookup_copies_heavy_dimension_rows_alone(spark):
+    f = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    d = f.select("k").distinct().withColumn("v", F.col("k") * 2)
+    held = (joins.heavy_keys(f, "k").collect(), joins.salted_lookup(f, d, "k", ["id"]))
+    assert [r[0] for r in held[0]] == [-1]
+    assert held[1].where("v = k * 2").count() == 30_000
+    plan = held[1]._jdf.queryExecution().executedPlan().toString()
+    assert "sequence(0, CASE WHEN isnotnull(_heavy_key" in plan
+
+
 def test_salted_lookup_rejects_other_join_types(spark):
     df = spark.createDataFrame([("a",)], "k STRING")
     with pytest.raises(ValueError, match="lookup type"):

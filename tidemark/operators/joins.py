@@ -8,8 +8,28 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SALT = "_salt"
+_SALT, _HEAVY = "_salt", "_heavy_key"
 DEFAULT_SALTS = 16
+#: Keys that hold about one row in so many are heavy.
+HEAVY_ONE_IN = 1000
+_MERGERS = 64
+
+
+def heavy_keys(keys: DataFrame, column: str, one_in: int = HEAVY_ONE_IN, name: str = _HEAVY) -> DataFrame:
+    """At most ``2 * one_in`` keys, among them every key that holds more than two rows in ``one_in``; no null.
+
+    Frequent-items sketches of bounded size are merged, in ``_MERGERS`` tasks and then in one: neither keys nor rows
+    are shuffled.  A sketch of ``4 * one_in`` items errs by less than one row in ``2 * one_in``.
+    """
+    held = keys.select(F.col(column).alias("item"), F.pmod(F.spark_partition_id(), F.lit(_MERGERS)).alias("merger")).where("item IS NOT NULL")
+    often = F.expr(f"approx_top_k(item, {2 * one_in}, {4 * one_in})")
+    merged = held.groupBy("merger").agg(often.alias("top"), F.count(F.lit(1)).alias("rows"))
+    # The number of all rows goes along as the count of no item.
+    total = F.struct(F.lit(None).cast(held.schema["item"].dataType).alias("item"), F.col("rows").alias("count"))
+    counted = merged.select(F.inline(F.concat("top", F.array(total))))
+    summed = counted.groupBy("item").agg(F.sum("count").alias("n"))
+    whole = summed.agg(F.max(F.when(F.col("item").isNull(), F.col("n"))).alias("rows"), F.collect_list(F.struct("item", "n")).alias("found"))
+    return whole.select(F.inline("found"), "rows").where(F.col("item").isNotNull() & (F.col("n") * one_in > F.col("rows"))).select(F.col("item").alias(name))
 
 
 def salted_lookup(
@@ -19,19 +39,26 @@ def salted_lookup(
     spread_by: Sequence[str],
     how: str = "inner",
     salts: int = DEFAULT_SALTS,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Join facts to a dimension that has one row per key, where one key may hold a large share of the facts.
 
-    Facts of one key are spread over ``salts`` groups by a hash of ``spread_by`` (columns that tell facts of
-    one key apart); every dimension row is offered once to each group.  Each fact meets its dimension row in
-    exactly one group, so no result row is lost or doubled.  The dimension is copied ``salts`` times, so keep
-    it narrow.  Both inputs reach the join straight from a shuffle, which lets adaptive execution split a
-    group further, or broadcast the dimension when its measured size is small.
+    Facts of a heavy key (see ``heavy_keys``) or without a key are spread over ``salts`` groups by a hash of
+    ``spread_by`` (columns that tell facts of one key apart), and the dimension rows of heavy keys are offered once
+    to each group; all other rows are in one group and are copied nowhere.  Each fact meets its dimension row in
+    exactly one group, so no result row is lost or doubled, whatever is taken for heavy.  ``keys`` is a cheaper frame
+    with the facts' key column to find heavy keys in.  The list of heavy keys is broadcast: its length is bounded
+    by the sketch.  Both inputs reach the join straight from a shuffle, which lets adaptive execution split a group
+    further, or broadcast the dimension when its measured size is small.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported lookup type: {how}")
-    salted_facts = facts.withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    offered = dimension.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    heavy = F.broadcast(heavy_keys(facts if keys is None else keys, key))
+    group = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    spread = F.col(_HEAVY).isNotNull() | F.col(key).isNull()
+    salted_facts = facts.join(heavy, F.col(key) == F.col(_HEAVY), "left").withColumn(_SALT, F.when(spread, group).otherwise(0)).drop(_HEAVY)
+    last = F.when(F.col(_HEAVY).isNotNull(), salts - 1).otherwise(0)
+    offered = dimension.join(heavy, F.col(key) == F.col(_HEAVY), "left").withColumn(_SALT, F.explode(F.sequence(F.lit(0), last))).drop(_HEAVY)
     return salted_facts.join(offered, [key, _SALT], how).drop(_SALT)
 
 

@@ -161,7 +161,7 @@ def favourite_category(order_items: DataFrame, orders: DataFrame, products: Data
         .join(orders.select("order_id", "customer_id"), "order_id")
     )
     # A best-selling product is in very many orders, so its rows are spread by order.
-    labelled = salted_lookup(bought, products.select("product_id", "category"), "product_id", ["order_id"])
+    labelled = salted_lookup(bought, products.select("product_id", "category"), "product_id", ["order_id"], keys=order_items)
     counted = labelled.groupBy("customer_id", "category").agg(F.sum("lines").alias("category_count"))
     best = first_per_group(
         counted, ["customer_id"], [F.col("category_count").desc(), F.col("category").asc_nulls_last()]

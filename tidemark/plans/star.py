@@ -143,7 +143,7 @@ def fact_order_items(
     """
     with_order = order_items.join(orders.select("order_id", "order_key"), "order_id", "left")
     with_product = salted_lookup(
-        with_order, products.select("product_id", "product_key"), "product_id", ["item_id"], "left"
+        with_order, products.select("product_id", "product_key"), "product_id", ["item_id"], "left", keys=order_items
     )
     rows = with_product.select(
         "item_id", _known("order_key"), _known("product_key"), "quantity", "unit_price", "discount", "line_total"
