@@ -92,3 +92,13 @@ def test_rule_sets_have_the_published_size():
 def test_staged_columns_keep_only_what_rules_read(t):
     staged = quality.staged_columns([NotNull("t", "k"), References("t", "k", "ref", "id")], t)
     assert staged["t"].columns == ["k"] and staged["ref"].columns == ["id"]
+
+
+def test_report_rows_are_the_logged_lines(spark):
+    results = spark.createDataFrame(
+        [("unique:k", "t", True, "ok"), ("not_null:k", "t", False, "2 null values"), ("range:v", "a", True, "fine")],
+        "check_name STRING, table_name STRING, passed BOOLEAN, details STRING",
+    )
+    rows = quality.report(results).orderBy("line").collect()
+    assert [r["text"] for r in rows] == quality.report_lines(results.collect()) and [r["line"] for r in rows] == [1, 2, 3, 4]
+    assert [r["text"] for r in quality.report(results.limit(0)).collect()] == ["0 of 0 checks passed"]

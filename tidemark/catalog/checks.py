@@ -116,6 +116,19 @@ _FAILING_RULES = (
 )
 
 
+_FAILING_SQL = rules_sql(_FAILING_RULES, "silver", "silver_")
+
+
+@query(
+    "dq_report",
+    f"""SELECT row_number() OVER (ORDER BY table_name, check_name, details) AS line,
+      CASE WHEN passed THEN 'pass' ELSE 'FAIL' END || '  ' || table_name || '.' || check_name || ': ' || details AS text FROM ({_FAILING_SQL})
+    UNION ALL SELECT count(*) + 1, count(*) FILTER (passed) || ' of ' || count(*) || ' checks passed' FROM ({_FAILING_SQL})""",
+)
+def dq_report(t: Tables) -> DataFrame:
+    return quality.report(_silver_results(t, _FAILING_RULES))
+
+
 @query(
     "dq_summary",
     f"""SELECT *, {pct("passed", "total_checks")} AS pass_rate FROM (SELECT count(*) AS total_checks,

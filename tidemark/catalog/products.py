@@ -295,6 +295,10 @@ def _missing_sql() -> str:
 
 
 query("profile_nulls", _missing_sql())(lambda t: profile.missing_values({n: t.raw(n) for n in SOURCES}))
+_FIRST_PRODUCTS = ("product_id", "product_name", "category", "subcategory", "brand", "price", "cost")
+query("profile_preview", f"SELECT {', '.join(_FIRST_PRODUCTS)} FROM raw_products ORDER BY product_id LIMIT 10")(
+    lambda t: profile.preview(t.raw("products"), by=["product_id"]).select(*_FIRST_PRODUCTS)
+)
 query(
     "profile_segments",
     "SELECT segment, count(*) AS customer_count, count(DISTINCT region) AS regions FROM raw_customers GROUP BY 1",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from tidemark.catalog.sql_views import AS_OF, VIEWS
 from tidemark.catalog.tables import Tables, land_csv
 from tidemark.operators.dedup import latest_of
 from tidemark.operators.merge import upsert
-from tidemark.plans import gold, silver
+from tidemark.operators.quality import SILVER_RULES
+from tidemark.plans import gold, metrics, silver
 from tidemark.plans.run import MedallionRun
 from tidemark.schemas import INGESTED_AT, PARTITION_DATE, SOURCES, Layout
 from tidemark.sources import run_log, snapshot, warehouse
@@ -533,6 +535,83 @@ def run_reprocess_quarantine(t: Tables) -> DataFrame:
     return _with_refused(t, layout)
 
 
+# What a run reports
+
+_STATES = _landed_orders("fault IS NULL", _ALL_DAMAGED)
+_REFUSED_ORDERS = f"(SELECT count(*) FROM ({_ALL_DAMAGED}) d WHERE fault IS NOT NULL)"
+
+
+def _without_reviews(t: Tables) -> Layout:
+    """All landing folders but that of the reviews; some orders are damaged."""
+    layout = Layout(t.scratch("lake"))
+    for name in SOURCES:
+        if name != "reviews":
+            land_csv(_damaged(t.contract(name)) if name == "orders" else t.contract(name), layout.landing(name))
+    return layout
+
+
+def _step_sql(step: str, layer: str, tables: tuple[str, ...], missing: tuple[str, ...]) -> str:
+    done = [f"SELECT '{step}' AS step, '{n}' AS table_name, 'success' AS status, count(*) AS rows_processed FROM {layer}_{n}" for n in tables if n not in missing]
+    return " UNION ALL ".join([*done, *[f"SELECT '{step}', '{n}', 'failed', 0" for n in missing]])
+
+
+_LOG_SQL = " UNION ALL ".join(
+    [
+        _step_sql("bronze_ingestion", "raw", tuple(SOURCES), ("reviews",)),
+        _step_sql("silver_transformation", "silver", tuple(SOURCES), ("reviews",)),
+        f"SELECT 'data_quality', 'silver', 'success', {len(SILVER_RULES)}",
+        _step_sql("gold_aggregation", "gold", tuple(_RUN_GOLD), ("customer_360", "product_performance")),
+    ]
+)
+
+
+@query(
+    "ingest_continue",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS row_count, {_REFUSED_ORDERS if n == 'orders' else 0} AS rejected, false AS failed FROM raw_{n}" for n in SOURCES if n != "reviews"
+    )
+    + " UNION ALL SELECT 'reviews', 0, 0, true",
+    _STATES,
+)
+def ingest_continue(t: Tables) -> DataFrame:
+    """One table has no landing files: the others are loaded, and the failure is told with its cause."""
+    layout = _without_reviews(t)
+    loaded = ingest_all(t.spark, layout, "batch-1", on_error="continue")
+    told = t.spark.createDataFrame([(o.table, o.rejected, o.error is not None) for o in loaded], "table_name STRING, rejected BIGINT, failed BOOLEAN")
+    sizes = [
+        t.spark.read.parquet(layout.bronze(o.table)).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(o.table).alias("table_name"), "row_count")
+        for o in loaded
+        if o.error is None
+    ]
+    counted = reduce(DataFrame.unionByName, sizes)
+    return told.join(counted, "table_name", "left").select("table_name", F.coalesce("row_count", F.lit(0).cast("long")).alias("row_count"), "rejected", "failed")
+
+
+def _logged(t: Tables) -> DataFrame:
+    layout = _without_reviews(t)
+    run = MedallionRun(t.spark, layout, AS_OF, "run-1", on_ingest_error="continue", fail_on_error=False)
+    run.run("full")
+    return run_log.read_run_log(t.spark, layout.audit)
+
+
+@query("run_log_of_run", f"SELECT 'run-1' AS run_id, l.*, status = 'failed' AS has_error FROM ({_LOG_SQL}) l", _STATES)
+def run_log_of_run(t: Tables) -> DataFrame:
+    """The log of a run in which one source is missing: what needs it fails, with an error each, and the rest is built."""
+    return _logged(t).select("run_id", "step", "table_name", "status", "rows_processed", F.col("error_message").isNotNull().alias("has_error"))
+
+
+@query(
+    "run_outcome",
+    f"""SELECT 'run-1' AS run_id, 'failed' AS outcome, count(*) AS steps, count(*) FILTER (status = 'failed') AS failed_steps,
+      sum(rows_processed)::BIGINT AS rows_processed,
+      string_agg(step || '.' || table_name, ', ' ORDER BY step || '.' || table_name) FILTER (status = 'failed') AS failures
+    FROM ({_LOG_SQL}) l""",
+    _STATES,
+)
+def run_outcome(t: Tables) -> DataFrame:
+    return metrics.outcomes(_logged(t))
+
+
 _NEWEST_LEFT_OUT = """
 SELECT 'products' AS table_name, product_id AS key, CASE WHEN price > 0 THEN 'cost is not positive' ELSE 'price is not positive' END AS reason
 FROM raw_products WHERE product_id NOT IN (SELECT product_id FROM silver_products)

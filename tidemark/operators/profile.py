@@ -119,5 +119,6 @@ def daily_trend(orders: DataFrame) -> DataFrame:
     )
 
 
-def preview(df: DataFrame, rows: int = 10) -> DataFrame:
-    return df.limit(rows)
+def preview(df: DataFrame, rows: int = 10, by: Sequence[str] = ()) -> DataFrame:
+    """Some rows, or with ``by`` the first in that order: each task sends ``rows`` rows at most, nothing is sorted whole."""
+    return (df.orderBy(*by) if by else df).limit(rows)

@@ -272,6 +272,17 @@ def report_lines(rows: Sequence[Row]) -> list[str]:
     return [*lines, f"{passed} of {len(rows)} checks passed"]
 
 
+def report(results: DataFrame) -> DataFrame:
+    """The lines of ``report_lines`` as rows (``line``, ``text``), for results that are kept as a table; one row per rule."""
+    mark = F.when(F.col("passed"), "pass").otherwise("FAIL")
+    text = F.concat(mark, F.lit("  "), "table_name", F.lit("."), "check_name", F.lit(": "), "details")
+    total = F.concat(F.count_if("passed").cast("string"), F.lit(" of "), F.count(F.lit(1)).cast("string"), F.lit(" checks passed"))
+    line = F.struct("table_name", "check_name", text.alias("text"))
+    gathered = results.agg(F.sort_array(F.collect_list(line)).alias("lines"), total.alias("total"))
+    texts = F.concat(F.col("lines.text"), F.array("total"))
+    return gathered.select(F.posexplode(texts).alias("line", "text")).select((F.col("line") + 1).cast("long").alias("line"), "text")
+
+
 # The statuses a cleaned order may have, and the tiers of a customer.
 ORDER_STATUSES = ("completed", "delivered", "shipped", "pending", "processing", "cancelled", "unknown")
 CUSTOMER_TIERS = ("champion", "loyal", "new_active", "at_risk", "regular")

@@ -34,6 +34,19 @@ def run_summary(run_log: DataFrame) -> DataFrame:
     )
 
 
+def outcomes(run_log: DataFrame) -> DataFrame:
+    """Outcome of every run: failed when one of its steps failed, with the steps and tables that did."""
+    step = F.concat("step", F.lit("."), "table_name")
+    failed = F.col("status") == "failed"
+    return run_log.groupBy("run_id").agg(
+        F.when(F.count_if(failed) > 0, "failed").otherwise("success").alias("outcome"),
+        F.count(F.lit(1)).alias("steps"),
+        F.count_if(failed).alias("failed_steps"),
+        F.sum("rows_processed").alias("rows_processed"),
+        F.array_join(F.sort_array(F.collect_set(F.when(failed, step))), ", ").alias("failures"),
+    )
+
+
 def layer_row_counts(run_log: DataFrame) -> DataFrame:
     """Rows of the latest successful load of each table in each layer."""
     layer = F.lit(None).cast("string")

@@ -239,14 +239,20 @@ class MedallionRun:
         return [Outcome("silver", rows, time.monotonic() - started)]
 
     def aggregate(self) -> list[Outcome]:
-        customers, products, orders, items, clicks, reviews = (self._silver(t) for t in SOURCES)
+        """Gold tables; a silver table that is missing stops those alone that are built from it."""
+
+        def of(*tables: str) -> list[DataFrame]:
+            return [self._silver(t) for t in tables]
+
         builders: dict[str, Callable[[], DataFrame]] = {
-            "daily_sales": lambda: gold.daily_sales(orders, stamp=True),
+            "daily_sales": lambda: gold.daily_sales(*of("orders"), stamp=True),
             "customer_360": lambda: gold.customer_360(
-                customers, orders, items, products, reviews, self.as_of, stamp=True
+                *of("customers", "orders", "order_items", "products", "reviews"), self.as_of, stamp=True
+            ),
+            "product_performance": lambda: gold.product_performance(
+                *of("products", "orders", "order_items", "reviews"), stamp=True
             ),
-            "product_performance": lambda: gold.product_performance(products, orders, items, reviews, stamp=True),
-            "hourly_traffic": lambda: gold.hourly_traffic(clicks, stamp=True),
+            "hourly_traffic": lambda: gold.hourly_traffic(*of("clickstream"), stamp=True),
         }
 
         return self._snapshots(builders, self.layout.gold)
