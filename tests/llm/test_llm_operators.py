@@ -6,7 +6,9 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import chat, exact_dedup, language, licences, mixing, near_join, packing, quality_knn, quality_rules, toxicity
 from tidemark.llm.arrays import Words
 from tidemark.llm.components import components
-from tidemark.llm.queries import domain_of_source
+from tidemark.llm.queries import ORACLES, domain_of_source
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, tokens string, n int, kept string, links string"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -570,7 +572,7 @@ def test_licence_rules(spark, odd, empty):
     ]
     df = frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
     found = {r["doc_id"]: r for r in licences.scan(df).collect()}
-    assert [found[i]["licences"] for i in range(6)] == [["MIT"], ["BSD-3-Clause"], ["BSD-2-Clause"], [], ["Apache-2.0", "Proprietary"], []]
+    assert [found[i]["licences"] for i in range(6)] == [["MIT"], ["BSD-3-Clause"], ["BSD-2-Clause"], [], ["Apache-2.0"], []]
     assert found[3]["sentence_ids"] == ["mit-condition", "mit-grant"]
     assert all(r["licences"] == [] for r in licences.scan(odd).collect()) and licences.scan(empty).count() == 0
 
@@ -658,6 +660,41 @@ def test_verbatim_headers_plain_and_in_comments(spark):
     assert [found[i] for i in range(len(cases))] == [[name] for name, _ in cases]
 
 
+LGPL_HEADER = GPL_HEADER.replace("This program", "This library").replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1")
+ORGANISATION = BSD_HEADER.replace("the copyright holder", "the University of Somewhere, Department of Things,")
+
+
+def test_licence_headers_as_people_change_them(spark):
+    one_line = " ".join(MIT_HEADER.split())
+    literal = "\n".join(f'  "{line}\\n"' for line in MIT_HEADER.split("\n"))
+    cases = [
+        (["BSD-3-Clause"], BSD_HEADER.replace("Author\n", "Author\nAll rights reserved.\n")),
+        (["BSD-3-Clause"], ORGANISATION),
+        (["BSD-3-Clause"], ORGANISATION.replace("\n", "\n# ")),
+        (["BSD-3-Clause"], BSD_HEADER[: BSD_HEADER.index("3.")] + "3. The name of the author may not be used to endorse or promote products\n   derived from this software without specific prior written permission."),
+        (["BSD-2-Clause"], BSD_HEADER[: BSD_HEADER.index("3.")]),
+        (["MIT"], one_line),
+        (["MIT"], literal),
+        (["MIT"], "Licensed under the MIT license (see LICENSE)."),
+        (["GPL-2.0"], GPL_HEADER.replace("version 3", "version 2")),
+        (["GPL-3.0"], " ".join(GPL_HEADER.split())),
+        (["LGPL-2.1"], LGPL_HEADER),
+        (["LGPL-3.0"], GPL_HEADER.replace("GNU General", "GNU Lesser General")),
+        (["AGPL-3.0"], GPL_HEADER.replace("GNU General", "GNU Affero General")),
+        (["GPL-2.0"], "// SPDX-License-Identifier: GPL-2.0-only\nint x;"),
+        (["Apache-2.0", "MIT"], "# SPDX-License-Identifier: (MIT OR Apache-2.0)\nx = 1"),
+        ([], "SPDX-License-Identifier: None-Such\n"),
+        (["Proprietary"], "Copyright 2020 Firm\nAll rights reserved."),
+    ]
+    df = frame(spark, [(i, text, "en", "s") for i, (_, text) in enumerate(cases)])
+    found = {r["doc_id"]: r["licences"] for r in licences.scan(df).collect()}
+    assert [found[i] for i in range(len(cases))] == [named for named, _ in cases]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(cases)), "text": [text for _, text in cases]}))
+    con.execute(ORACLES["op2_licence_sentences"])
+    assert {r[0]: r[-1] for r in con.fetchall()} == {i: " ".join(named) for i, (named, _) in enumerate(cases)}
+
+
 # chat
 
 

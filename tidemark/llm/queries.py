@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
@@ -128,17 +129,27 @@ def op2_licence_sentences(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _replaced(column: str, steps: list[tuple[str, str]], flags: str = "") -> str:
+    """SQL of replacements one after the other."""
+    for pattern, other in steps:
+        parts = (flags + pattern).replace("'", "''"), re.sub(r"[$]([0-9])", r"\\\1", other)
+        column = f"regexp_replace({column}, '{parts[0]}', '{parts[1]}', 'g')"
+    return column
+
+
 def _licence_sql() -> str:
+    """The operator's own cuts and rules."""
     values = ", ".join(f"('{words}', '{name}')" for name, words in licences.SENTENCES.items())
-    fires = {n: " OR ".join(f"contains(joined, ' {' '.join(s)} ')" for s in found) for n, found in licences.RULES.items()}
-    fires["BSD-2-Clause"] = f"({fires['BSD-2-Clause']}) AND NOT ({fires['BSD-3-Clause']})"
+    fires = {n: "(" + " OR ".join(f"contains(joined, ' {' '.join(s)} ')" for s in found) + ")" for n, found in licences.RULES.items()}
+    for name, others in licences.YIELDS.items():
+        fires[name] = f"({fires[name]} AND NOT ({' OR '.join(fires[other] for other in others)}))"
     named = ", ".join(f"CASE WHEN {condition} THEN '{name}' END" for name, condition in fires.items())
-    normal = "trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g'))"
+    normal = _replaced("trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g'))", licences.SAME)
     return rf"""
 WITH known(words, name) AS (VALUES {values}),
 sentences AS (
     SELECT doc_id, text, unnest(s) AS part, generate_subscripts(s, 1) AS i
-    FROM (SELECT doc_id, text, string_split(regexp_replace(coalesce(text, ''), '{licences.ENDS}', chr(1), 'g'), chr(1)) AS s FROM documents)
+    FROM (SELECT doc_id, text, string_split({_replaced("coalesce(text, '')", licences.CUTS, "(?im)")}, chr(1)) AS s FROM documents)
 ),
 whole AS (SELECT s.*, k.name FROM sentences s LEFT JOIN known k ON k.words = {normal}),
 lines AS (
