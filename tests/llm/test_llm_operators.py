@@ -557,6 +557,27 @@ def test_rules_on_empty_table(empty):
     assert quality_rules.judge(empty).count() == 0
 
 
+def test_index_holds_every_text(spark, empty):
+    texts = [f"text number {i}" for i in range(300)] + ["twice  over", "twice over"]
+    docs = frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    index = exact_dedup.build_index(docs, capacity=16, max_depth=8)
+    rows = index.rows.collect()
+    assert len(rows) == 301 and {r["link"] for r in rows} == {1}
+    assert len({r["bucket"] for r in rows}) > 8 and all(index.cells[(r["key"] & (2**64 - 1)) >> 56] == r["bucket"] for r in rows)
+    asked = spark.createDataFrame([("text number 7", 1), ("textnumber 7", 2), ("twiceover", 3), ("never seen", 4), (None, 5)], "text STRING, key INT")
+    got = {r["key"]: (r["keep_id"], r["group_size"]) for r in index.lookup(asked).collect()}
+    assert got == {1: (7, 1), 2: (7, 1), 3: (300, 2), 4: (None, None), 5: (None, None)}
+    assert exact_dedup.build_index(empty).lookup(asked).where("keep_id IS NOT NULL").count() == 0
+
+
+def test_texts_of_one_key_are_links_of_a_chain(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup.F, "xxhash64", lambda *_: F.lit(5).cast("long"))
+    docs = frame(spark, [(i, t, "en", "s") for i, t in enumerate(["a", "b", "c", "b "])])
+    index = exact_dedup.build_index(docs)
+    assert sorted(r["link"] for r in index.rows.collect()) == [1, 2, 3]
+    assert {r["doc_id"]: (r["keep_id"], r["kept"]) for r in exact_dedup.duplicates(docs).collect()} == {0: (0, True), 1: (3, False), 2: (2, True), 3: (3, True)}
+
+
 # licences
 
 
