@@ -216,6 +216,36 @@ def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
     assert sorted(r["k"] for r in keyed.read_keyed(spark, path).collect()) == ["7", "new"]
 
 
+def test_a_keyed_table_is_written_without_staging_or_shuffle_and_stays_until_then(spark, tmp_path):
+    from tidemark.sources import keyed, scratch
+
+    path = str(tmp_path / "t")
+    df = spark.range(1000, numPartitions=1).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"))
+    made = []
+    scratch._scopes.append(made)
+    try:
+        assert keyed.write_keyed(df, path, "k", buckets=16) == 1000
+        few = df.filter("k IN ('1', '2')").withColumn("w", F.lit("x"))
+        assert keyed.write_keyed(few, path, "k", buckets=8) == 2
+    finally:
+        scratch._scopes.remove(made)
+    assert made == []  # no scratch table
+    table = keyed.read_keyed(spark, path)
+    assert sorted(table.collect()) == [("1", 1, "x"), ("2", 1, "x")]
+    bad = df.withColumn("v", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        keyed.write_keyed(bad, path, "k", buckets=8)
+    assert sorted(keyed.read_keyed(spark, path).collect()) == [("1", 1, "x"), ("2", 1, "x")]
+    assert keyed.write_keyed(few.limit(0), path, "k", buckets=8) == 0
+    assert keyed.read_keyed(spark, path).count() == 0 and keyed.read_keyed(spark, path).columns == ["k", "v", "w"]
+
+
+def test_bronze_files_hold_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bronze, "FILE_ROWS", 10)
+    bronze.write_bronze(spark.range(25, numPartitions=1), str(tmp_path / "b"))
+    assert len(spark.read.parquet(str(tmp_path / "b")).inputFiles()) == 3
+
+
 def test_snapshots_keep_two_versions(spark, tmp_path):
     path = str(tmp_path / "t")
     for n in range(4):
