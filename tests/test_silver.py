@@ -1,3 +1,4 @@
+from datetime import datetime
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -105,3 +106,26 @@ def test_staging_differs_from_silver(raw_customers, raw_products, raw_orders, ra
 
 def test_staging_is_narrow(raw_orders):
     assert "Exchange" not in staging.stg_orders(raw_orders)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_left_out_are_found_beside_the_cleaned_table_without_ordering_the_valid_ones(spark, tmp_path):
+    from tidemark.sources import scratch
+
+    columns = "order_id STRING, customer_id STRING, order_date TIMESTAMP, status STRING, total_amount DOUBLE, shipping_cost DOUBLE, payment_method STRING, _ingestion_timestamp TIMESTAMP"
+    day, late = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    rows = [(k, "C1", day, "pending", amount, None, "x", at) for k, amount, at in [
+        ("valid", 1.0, day), ("bad", -1.0, day), ("mended", -1.0, day), ("mended", 2.0, late),
+        ("spoiled", 2.0, day), ("spoiled", None, late), ("spoiled", -3.0, day), ("tied", -1.0, day), ("tied", 5.0, day), (None, -1.0, day),
+    ]]
+    raw = spark.createDataFrame(rows, columns)
+    cleaned, _ = scratch.materialise(silver.orders(raw), "cleaned")
+    made = []
+    scratch._scopes.append(made)
+    try:
+        found = silver.rejected_beside(raw, "orders", cleaned)
+    finally:
+        scratch._scopes.remove(made)
+    assert sorted(map(str, found.collect())) == sorted(map(str, silver.rejected(raw, "orders").collect()))
+    assert found.columns == silver.rejected(raw, "orders").columns
+    assert spark.read.parquet(made[0]).where("order_id = 'valid'").isEmpty()
+    assert silver.rejected_beside(raw.where("order_id = 'valid'"), "orders", cleaned).count() == 0
