@@ -215,3 +215,14 @@ def test_tiers_need_the_orders_alone(spark, raw_customers, raw_orders, raw_items
 def test_distinct_counts_copy_no_row(spark, s, raw_orders):
     for df in (gold.hourly_traffic(s["clickstream"]), marts.mart_daily_sales(staging.stg_orders(raw_orders))):
         assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_days_of_stored_orders_shuffle_days_and_customers_alone(spark, s, raw_orders):
+    """Cancelled orders, orders without a day or a customer: the same days, and no sum travels with a customer."""
+    odd = s["orders"].unionByName(s["orders"].selectExpr("* EXCEPT (order_date, customer_id, order_id)", "order_id || 'x' AS order_id", "CAST(NULL AS TIMESTAMP) AS order_date", "CAST(NULL AS STRING) AS customer_id"))
+    once, twice = gold.sales_per_day(odd), gold.sales_per_day(odd, stored=True)
+    assert once.columns == twice.columns
+    assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
+    plan = gold.daily_sales(s["orders"], stored=True)._jdf.queryExecution().optimizedPlan().toString()
+    counted = [line for line in plan.splitlines() if "Aggregate" in line and "customer_id" in line]
+    assert counted and not any("sum(" in line for line in counted)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import salted_lookup
+from tidemark.operators.joins import folded_lookup, salted_lookup
 from tidemark.operators.ranking import dense_numbers, rank_by
 from tidemark.plans import gold, silver, star
 
@@ -83,3 +83,26 @@ def test_fact_items_are_whole_under_skew(spark, eager_splitting, items):
         F.count_if((F.col("order_key") < 0) | (F.col("product_key") < 0)).alias("unknown"),
     ).head()
     assert tuple(got) == (6000, 6000, 6000, 0)
+
+
+def test_items_are_dealt_by_order_once(spark, eager_splitting, items):
+    """Fold and join share the shuffle of the items: it is by order, and the other one is of the orders."""
+    orders = items.select("order_id").distinct().withColumn("status", F.lit("shipped"))
+    priced = items.withColumn("line_total", F.lit(1).cast("decimal(22,2)"))
+    sold = gold.product_sales(priced.localCheckpoint(), orders.localCheckpoint())
+    plan = sold._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "hashpartitioning(order_id" in line]
+    assert len(dealt) == 2 and all("_salt" in line and "product_id" not in line.split("hashpartitioning(")[1].split(")")[0] for line in dealt)
+
+
+def test_folded_lookup_is_the_fold_beside_the_dimension(spark, items):
+    """A hot order, items without an order or a product, and orders that are missing or there twice."""
+    orders = items.where("order_id <> 'O8'").select("order_id").distinct().withColumn("status", F.lit("shipped"))
+    orders = orders.unionByName(orders.where("order_id IN ('O7', 'O9')")).unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS order_id, 'lost' AS status"))
+    n = F.col("quantity")
+    odd = items.withColumn("order_id", F.when(n != 3, F.col("order_id"))).withColumn("product_id", F.when(n != 4, F.col("product_id")))
+    sums = [F.sum("quantity").alias("units"), F.count(F.lit(1)).alias("lines")]
+    want = odd.groupBy("order_id", "product_id").agg(*sums).join(orders, "order_id")
+    got = folded_lookup(odd, orders, "order_id", "product_id", sums)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

@@ -285,3 +285,18 @@ def test_a_users_setting_comes_back_after_writes_of_several_threads(spark):
             assert spark.conf.get(name) == own and not bronze._settings_held
     finally:
         spark.conf.set(name, before)
+
+
+def test_keyed_write_keeps_a_file_open_for_every_bucket(spark, tmp_path, monkeypatch):
+    """Rows are not sorted by bucket; more buckets than files may be open give the same table."""
+    from tidemark.sources import keyed
+
+    held = []
+    real = keyed.setting
+    monkeypatch.setattr(keyed, "setting", lambda session, name, value: held.append((name, value)) or real(session, name, value))
+    df = spark.range(0, 3000, 1, 2).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("v"))
+    for buckets in (16, 100):
+        path = str(tmp_path / str(buckets))
+        assert keyed.write_keyed(df, path, "k", buckets=buckets) == 3000
+        assert rows(read_keyed(spark, path), "k", "v") == rows(df, "k", "v")
+    assert held == [keyed.OPEN_FILES] * 2 and spark.conf.get(keyed.OPEN_FILES[0]) == "0"

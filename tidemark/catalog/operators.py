@@ -362,7 +362,8 @@ def dedup_latest(t: Tables) -> DataFrame:
 
 @query("top1_per_group", "SELECT customer_id, favorite_category FROM favourite_category")
 def top1_per_group(t: Tables) -> DataFrame:
-    return gold.favourite_category(t.silver("order_items"), t.silver("orders"), t.silver("products"))
+    items = t.stored("order_items", "order_id", "product_id")
+    return gold.favourite_category(items, t.silver("orders"), t.silver("products"))
 
 
 @query("window_ytd", "SELECT sale_date, ytd_revenue, ytd_orders FROM gold_daily_sales")

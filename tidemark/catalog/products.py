@@ -115,7 +115,8 @@ def gold_daily_sales_short(t: Tables) -> DataFrame:
 def _customer_360(t: Tables) -> DataFrame:
     s = t.silver_set
     orders = t.stored("orders", "order_id", "customer_id", "order_date", "status", "total_amount")
-    return gold.customer_360(s["customers"], orders, s["order_items"], s["products"], s["reviews"], AS_OF)
+    items = t.stored("order_items", "order_id", "product_id")
+    return gold.customer_360(s["customers"], orders, items, s["products"], s["reviews"], AS_OF)
 
 
 query("gold_customer_360", "SELECT * FROM gold_customer_360")(_customer_360)
@@ -129,7 +130,8 @@ def gold_customer_tier_simple(t: Tables) -> DataFrame:
 @query("gold_product_performance", "SELECT * FROM gold_product_performance")
 def gold_product_performance(t: Tables) -> DataFrame:
     s = t.silver_set
-    return gold.product_performance(s["products"], s["orders"], s["order_items"], s["reviews"])
+    items = t.stored("order_items", "order_id", "product_id", "quantity", "line_total")
+    return gold.product_performance(s["products"], s["orders"], items, s["reviews"])
 
 
 @query("gold_product_performance_all", "SELECT * FROM gold_product_performance_all")

@@ -54,12 +54,38 @@ def salted_lookup(
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported lookup type: {how}")
     heavy = F.broadcast(heavy_keys(facts if keys is None else keys, key))
+    return _salted(facts, heavy, key, spread_by, salts).join(_offered(dimension, heavy, key, salts), [key, _SALT], how).drop(_SALT)
+
+
+def folded_lookup(
+    facts: DataFrame,
+    dimension: DataFrame,
+    key: str,
+    fold_by: str,
+    aggregates: Sequence[Column],
+    salts: int = DEFAULT_SALTS,
+    keys: DataFrame | None = None,
+) -> DataFrame:
+    """Facts folded to one row per ``key`` and ``fold_by``, beside the dimension rows of their key (inner).
+
+    The facts are dealt by key before the fold, so that the fold and the join need one shuffle of them, whatever size
+    the dimension has.  Heavy keys are spread as in ``salted_lookup``, by ``fold_by``, which keeps a folded row in one group.
+    """
+    heavy = F.broadcast(heavy_keys(facts if keys is None else keys, key))
+    dealt = _salted(facts.where(F.col(key).isNotNull()), heavy, key, [fold_by], salts).repartition(key, _SALT)
+    folded = dealt.groupBy(key, _SALT, fold_by).agg(*aggregates)
+    return folded.join(_offered(dimension, heavy, key, salts), [key, _SALT]).drop(_SALT)
+
+
+def _salted(facts: DataFrame, heavy: DataFrame, key: str, spread_by: Sequence[str], salts: int) -> DataFrame:
     group = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     spread = F.col(_HEAVY).isNotNull() | F.col(key).isNull()
-    salted_facts = facts.join(heavy, F.col(key) == F.col(_HEAVY), "left").withColumn(_SALT, F.when(spread, group).otherwise(0)).drop(_HEAVY)
+    return facts.join(heavy, F.col(key) == F.col(_HEAVY), "left").withColumn(_SALT, F.when(spread, group).otherwise(0)).drop(_HEAVY)
+
+
+def _offered(dimension: DataFrame, heavy: DataFrame, key: str, salts: int) -> DataFrame:
     last = F.when(F.col(_HEAVY).isNotNull(), salts - 1).otherwise(0)
-    offered = dimension.join(heavy, F.col(key) == F.col(_HEAVY), "left").withColumn(_SALT, F.explode(F.sequence(F.lit(0), last))).drop(_HEAVY)
-    return salted_facts.join(offered, [key, _SALT], how).drop(_SALT)
+    return dimension.join(heavy, F.col(key) == F.col(_HEAVY), "left").withColumn(_SALT, F.explode(F.sequence(F.lit(0), last))).drop(_HEAVY)
 
 
 def beside(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
