@@ -1,7 +1,11 @@
+import threading
+
 import pytest
 
+from tidemark.catalog import checks
 from tidemark.operators import quality
 from tidemark.operators.quality import Allowed, Fresh, InRange, NotNull, References, Unique, evaluate
+from tidemark.plans import staging
 
 
 @pytest.fixture
@@ -102,3 +106,30 @@ def test_report_rows_are_the_logged_lines(spark):
     rows = quality.report(results).orderBy("line").collect()
     assert [r["text"] for r in rows] == quality.report_lines(results.collect()) and [r["line"] for r in rows] == [1, 2, 3, 4]
     assert [r["text"] for r in quality.report(results.limit(0)).collect()] == ["0 of 0 checks passed"]
+
+
+def test_marts_of_the_model_tests_are_built_side_by_side(spark, monkeypatch, raw_customers, raw_products, raw_orders, raw_items):
+    """Every mart waits until all three have begun; they read staged tables that are stored."""
+    together, plans = threading.Barrier(3), []
+
+    class Given:
+        raw = {"customers": raw_customers, "products": raw_products, "orders": raw_orders, "order_items": raw_items}.get
+
+        def staging(self, name):
+            return getattr(staging, f"stg_{name}")(Given.raw(name))
+
+    def begun(build):
+        def wait(*frames):
+            plans.extend(f._jdf.queryExecution().analyzed().toString() for f in frames if not isinstance(f, str))
+            together.wait(60)
+            return build(*frames)
+
+        return wait
+
+    for name in ("mart_daily_sales", "mart_customer_360", "mart_product_performance"):
+        monkeypatch.setattr(checks.marts, name, begun(getattr(checks.marts, name)))
+    given = Given()
+    given.spark = spark
+    found = checks.dq_model_tests(given).collect()
+    assert len(found) == 29 and {r["layer"] for r in found} == {"source", "staging", "mart"}
+    assert len(plans) == 7 and all(p.strip().startswith("Relation") for p in plans)
