@@ -17,7 +17,7 @@ from tidemark.operators import grouping
 from tidemark.operators.asof import asof_join
 from tidemark.operators.changes import apply_to_history, table_changes
 from tidemark.operators.frames import moving_sum
-from tidemark.operators.intervals import interval_join
+from tidemark.operators.intervals import BUNDLE, _bundled, interval_join
 from tidemark.operators.quantiles import exact_quantiles, ntile
 from tidemark.operators.sessions import sessions
 from tidemark.streaming import event_time
@@ -243,6 +243,26 @@ def test_intervals_meet_once(spark):
     assert interval_join(left.limit(0), right, ("s", "e"), ("f", "t")).count() == 0
 
 
+def test_rows_of_one_interval_stay_together(spark):
+    """Pairs come as one right row beside a run of left rows, so what does not change between rows takes no room."""
+    left = spark.range(6000).selectExpr("id AS i", "id % 3 * 10 AS s", "id % 3 * 10 + 1 AS e")
+    right = spark.range(400).selectExpr("id AS j", "id % 2 * 10 + 1 AS f", "id % 2 * 10 + 5 AS t")
+    joined = interval_join(left, right, ("s", "e"), ("f", "t"))
+    parts = joined.select("i", "j").rdd.glom().collect()
+    pairs = [(r["i"], r["j"]) for rows in parts for r in rows]
+    assert len(pairs) == len(set(pairs)) == 2 * 2000 * 200
+    assert all(i % 3 == j % 2 for i, j in pairs)
+    runs = sum(1 + sum(a["j"] != b["j"] for a, b in zip(rows, rows[1:])) for rows in parts if rows)
+    assert len(pairs) / runs > 100
+    # A run is bounded: an interval with many rows has several bundles.
+    assert max(len(b) for b in _bundles(left)) <= 2 * BUNDLE
+
+
+def _bundles(left):
+    spans = left.select(F.struct("i").alias("_a"), F.col("s").alias("_as"), F.col("e").alias("_ae"))
+    return [r["_a"] for r in _bundled(spans, "a").collect()]
+
+
 # Quantiles
 
 
