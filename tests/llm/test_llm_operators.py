@@ -13,7 +13,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, exact_dedup, language, licences, mixing, near_join, packing, quality_knn, quality_rules, toxicity
+from tidemark.llm import chat, exact_dedup, language, licences, mixing, near_join, packing, quality_knn, quality_rules, tokens, toxicity
 from tidemark.llm.arrays import Words
 from tidemark.llm.components import components
 from tidemark.llm.queries import ORACLES, domain_of_source
@@ -399,6 +399,22 @@ def test_toxicity_counts_all_labelled_rows(spark):
         assert toxicity.fit(marked, labels).ratios.get("quuxt", 0) > 0
 
 
+def test_workers_hold_little_and_let_go_of_the_encoder():
+    """A worker that has encoded tokens and turns to other work frees the encoder; counts leave it in small parts."""
+    letters = str.maketrans("0123456789", "abcdefghij")
+    texts = [" ".join(f"{i * 1000 + k:07d}".translate(letters) for k in range(1000)) for i in range(250)]
+    batch = pd.DataFrame({"text": texts, "toxic": 0, "sampled": False})
+    tokens.chunk_ids(TOKENIZER, 1)
+    parts = list(toxicity._expressions(iter([batch])))
+    assert tokens.chunk_ids.cache_info().currsize == 0
+    assert max(map(len, parts)) < 110_000
+    counted = pd.concat(parts).groupby("expression")["ordinary"].sum()
+    assert counted[""] == 250_000 and (counted[[w for t in texts for w in t.split()]] == 1).all()
+    tokens.chunk_ids(TOKENIZER, 1)
+    found = near_join._verified(pd.DataFrame({"text": ["a b c d e f"] * 2, "node": [3, 5], "candidate": 3, "part": 0, "bi": 0, "bj": 0}))
+    assert tokens.chunk_ids.cache_info().currsize == 0 and found["root"].tolist() == [3, 3]
+
+
 def test_toxicity_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.fit(odd, labels)

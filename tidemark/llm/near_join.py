@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.arrays import Words, mixed, pieces
 from tidemark.llm.common import fresh, stored
 from tidemark.llm.components import components
+from tidemark.llm.tokens import let_go
 
 WIDTH, THRESHOLD = 5, 0.8
 TREES, DEPTH, RECALL = 30, 10, 0.999
@@ -100,6 +101,7 @@ def common_counts(owner: np.ndarray, shingles: np.ndarray, n: int) -> np.ndarray
 
 def _verified(group: pd.DataFrame) -> pd.DataFrame:
     """Links and local component of each node of a bundle or of two blocks."""
+    let_go()
     n = len(group)
     texts = [t.encode("utf-8", "surrogatepass") for t in group["text"]]
     owner, shingles = Words(texts).shingles(WIDTH)
@@ -130,6 +132,7 @@ def _classes(documents: DataFrame, trees: int, depth: int, recall: float) -> tup
     depth = matched_depth(THRESHOLD, trees, depth, recall)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go()
         for batch in batches:
             for first, texts in pieces(batch["text"]):
                 rows = batch.iloc[first : first + len(texts)]

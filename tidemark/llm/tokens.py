@@ -100,3 +100,8 @@ class ChunkIds(dict):
 def chunk_ids(path: str, end_id: int) -> ChunkIds:
     """The encoder of this worker process: what one task has looked up serves the next."""
     return ChunkIds(path, end_id)
+
+
+def let_go() -> None:
+    """Frees the encoder of this worker process: Spark gives workers that have encoded other work, which needs the memory."""
+    chunk_ids.cache_clear()

@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded, fresh, logistic_fit, stored
+from tidemark.llm.tokens import let_go
 from tidemark.operators.joins import salted_lookup
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -48,8 +49,9 @@ BROADCAST_BYTES = 64 << 20
 ENTRY_BYTES = 150
 GRAIN = 2.0**30
 TEXT_KEY = "_text_key"
-CACHE = 400_000
-FLUSH = 300_000
+#: Chunks and counted expressions that a worker holds at most, about 200 bytes each.
+CACHE = 100_000
+FLUSH = 100_000
 
 
 @dataclass
@@ -110,6 +112,7 @@ COUNTS = ("ordinary", "toxic", "sample_ordinary", "sample_toxic")
 
 def _expressions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Documents that hold each expression, by class and apart for the sample, summed over a task's rows in parts."""
+    let_go()
     counts = tuple(Counter() for _ in COUNTS)
 
     def part() -> pd.DataFrame:
@@ -211,6 +214,7 @@ def _with_figures(rows: DataFrame, model: ToxicityModel) -> DataFrame:
     shipped = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go()
         chunks = _Chunks(shipped.value)
         for batch in batches:
             out = figures(batch["text"], chunks)
@@ -231,6 +235,7 @@ def _text_key(text: Column) -> Column:
 
 def _words_of_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The distinct words of each text and how often it has them; the word '' for a text without words."""
+    let_go()
     for batch in batches:
         for at in range(0, len(batch), 100):
             part = batch.iloc[at : at + 100]
@@ -283,6 +288,7 @@ def score_column(documents: DataFrame, model: ToxicityModel, text: str = "text")
 
     @F.pandas_udf("double")
     def toxicity(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        let_go()
         chunks = _Chunks(shipped.value)
         for texts in batches:
             yield pd.Series(chunks.model.probability(figures(texts, chunks)))
