@@ -20,6 +20,7 @@ from tidemark.operators.frames import moving_sum
 from tidemark.operators.intervals import BUNDLE, _bundled, interval_join
 from tidemark.operators.quantiles import exact_quantiles, ntile
 from tidemark.operators.sessions import sessions
+from tidemark.sources.bronze import setting
 from tidemark.streaming import event_time
 
 DAY = datetime(2024, 3, 1)
@@ -258,6 +259,18 @@ def test_rows_of_one_interval_stay_together(spark):
     assert max(len(b) for b in _bundles(left)) <= 2 * BUNDLE
 
 
+def test_a_crowded_bin_is_met_by_several_tasks(spark, monkeypatch):
+    """Most pairs lie in one bin of the level of the long intervals; both sides reach the join by a shuffle."""
+    monkeypatch.setattr("tidemark.operators.intervals.PAIRS", 2000, raising=False)
+    left = spark.range(4000).selectExpr("id AS i", "id % 400 AS s", "id % 400 + 1 AS e")
+    right = spark.range(30).selectExpr("id AS j", "id AS f", "id + 400 AS t")
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        parts = interval_join(left, right, ("s", "e"), ("f", "t")).select("i", "j").rdd.glom().collect()
+    pairs = [(r["i"], r["j"]) for rows in parts for r in rows]
+    assert sorted(pairs) == sorted((i, j) for i in range(4000) for j in range(30) if i % 400 + 1 >= j)
+    assert max(len(rows) for rows in parts) < 0.6 * len(pairs)
+
+
 def _bundles(left):
     spans = left.select(F.struct("i").alias("_a"), F.col("s").alias("_as"), F.col("e").alias("_ae"))
     return [r["_a"] for r in _bundled(spans, "a").collect()]
