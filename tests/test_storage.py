@@ -1,5 +1,6 @@
 from datetime import date, datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +107,39 @@ def test_upsert_updates_inserts_and_repeats(spark, tmp_path):
     assert rows(read_keyed(spark, path), "k", "v") == expected
 
 
+def test_upsert_stores_no_copy_of_the_table(spark, tmp_path, monkeypatch):
+    path, stored = str(tmp_path / "t"), []
+
+    def counted(df, label):
+        found = scratch.materialise(df, label)
+        stored.append(found[1])
+        return found
+
+    monkeypatch.setattr("tidemark.sources.keyed.materialise", counted)
+    upsert(spark.range(400).selectExpr("CAST(id AS STRING) AS k", "0 AS n"), path, "k", check_keys=False)
+    # Two keys change, one leaves; all buckets are touched by the third upsert and some are emptied by the last.
+    changed = spark.createDataFrame([("7", 1), ("8", 1)], "k STRING, n INT")
+    upsert(changed, path, "k", check_keys=False, replaces=spark.createDataFrame([("9",)], "k STRING"))
+    assert sum(stored) < 20
+    assert rows(read_keyed(spark, path).filter("n = 1 OR k = '9'"), "k") == [("7",), ("8",)] and read_keyed(spark, path).count() == 399
+    upsert(changed, path, "k", check_keys=False, replaces=spark.range(9, 400).selectExpr("CAST(id AS STRING) AS k"))
+    assert rows(read_keyed(spark, path), "k") == [(str(k),) for k in range(9)]
+    upsert(changed.limit(0), path, "k", check_keys=False, replaces=spark.range(400).selectExpr("CAST(id AS STRING) AS k"))
+    assert read_keyed(spark, path).count() == 0 and read_keyed(spark, path).columns == ["k", "n"]
+    upsert(changed, path, "k", check_keys=False)
+    assert rows(read_keyed(spark, path), "k") == [("7",), ("8",)]
+
+
+def test_keyed_files_hold_no_dictionary_of_the_key_and_no_ranges_of_audit_texts(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(spark.range(5).selectExpr("CAST(id AS STRING) AS k", "'f' AS _source_file"), path, "k", check_keys=False)
+    for file in tmp_path.glob("t/*/*/*.parquet"):
+        held = pq.ParquetFile(file).metadata.row_group(0)
+        key, source = held.column(0), held.column(1)
+        assert not any("DICTIONARY" in e for e in key.encodings) and key.statistics is not None
+        assert source.statistics is None or not source.statistics.has_min_max
+
+
 def test_upsert_extends_the_schema(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert(spark.createDataFrame([("a", 1)], "k STRING, v INT"), path, "k")
