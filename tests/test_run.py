@@ -8,7 +8,8 @@ from tidemark.catalog.tables import Tables, land_csv
 from tidemark.operators.quality import QualityGateError
 from tidemark.plans.run import MedallionRun
 from tidemark.schemas import SOURCES, Layout
-from tidemark.sources import run_log, snapshot
+from tidemark.sources import files, run_log, snapshot
+from tidemark.sources.bronze import read_quarantine
 from tidemark.sources.keyed import read_keyed
 
 AS_OF = "2024-02-10"
@@ -69,6 +70,45 @@ def test_reprocess_replaces_one_date(spark, layout, raw_orders):
     assert spark.read.parquet(layout.bronze("orders")).count() == 7
 
 
+def test_reprocess_reads_the_landing_files_once(spark, layout, monkeypatch, raw_orders):
+    MedallionRun(spark, layout, AS_OF, "r1").run()
+    bad = raw_orders.withColumns({"customer_id": F.when(F.col("order_id") != "O4", F.col("customer_id")), "shipping_address": F.lit("x")})
+    land_csv(bad, layout.landing("orders"), mode="overwrite")
+    seen, judge = spark.sparkContext.accumulator(0), files.judge_csv
+
+    def count(key):
+        seen.add(1)
+        return True
+
+    counted = F.udf(count, "boolean").asNondeterministic()  # no other filter goes before it
+
+    def watched(spark, path, table, *rest):
+        judged, typed = judge(spark, path, table, *rest)
+        return judged.filter(counted(SOURCES[table].key)), typed
+
+    for place in ("tidemark.sources.files.judge_csv", "tidemark.plans.run.judge_csv"):
+        monkeypatch.setattr(place, watched, raising=False)
+    MedallionRun(spark, layout, AS_OF, "r2").run("reprocess", "2024-02-01")
+    assert seen.value == 8 + 6  # orders and clicks
+    assert "O4" not in {r["order_id"] for r in read_keyed(spark, layout.silver("orders")).collect()}
+    refused = read_quarantine(spark, layout, "orders")
+    assert [(r["order_id"], r["_reject_reason"]) for r in refused.collect()] == [("O4", "missing customer_id")]
+
+
+def test_folders_of_all_dates_are_listed_by_few_tasks(spark, layout):
+    days = spark.range(60).selectExpr("CAST(id AS STRING) AS order_id", "date_add(DATE '2024-01-01', CAST(id AS INT)) AS _partition_date")
+    days.coalesce(1).write.partitionBy("_partition_date").parquet(layout.bronze("orders"))
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    context.setJobGroup("listing", "listing")
+    try:
+        landed = MedallionRun(spark, layout, AS_OF, "r1")._landed("orders")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    found = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert found and max(found) <= 2 * context.defaultParallelism < 60
+    assert landed.count() == 60
+
+
 def test_gate_can_stop_the_run(spark, layout):
     run = MedallionRun(spark, layout, AS_OF, "r1", gate_mode="fail")
     with pytest.raises(QualityGateError):
